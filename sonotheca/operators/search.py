@@ -74,26 +74,23 @@ def _closest(
     return np.concatenate(out_q), np.concatenate(out_id), np.concatenate(out_d)
 
 
-class _Queries:
-    """Query vectors by model, small enough to be sent to every task."""
-
-    def __init__(self, table: pa.Table, cosine: bool):
-        self.by_model = {}
-        models = np.array(table["model"].to_pylist(), dtype=object)
-        for model in sorted(set(models)):
-            picked = table.filter(pa.array(models == model))
-            vectors = _matrix(picked["embedding"])
-            self.by_model[model] = (
-                picked["qid"].to_numpy(), _directions(vectors) if cosine else vectors
-            )
+def _by_model(table: pa.Table, cosine: bool) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Query ids and vectors of each model, as plain arrays that can be broadcast."""
+    models = np.array(table["model"].to_pylist(), dtype=object)
+    grouped = {}
+    for model in sorted(set(models)):
+        picked = table.filter(pa.array(models == model))
+        vectors = _matrix(picked["embedding"])
+        grouped[model] = (picked["qid"].to_numpy(), _directions(vectors) if cosine else vectors)
+    return grouped
 
 
 def _search_batch(
-    queries: _Queries, batch: pa.RecordBatch | pa.Table, k: int, cosine: bool
+    queries: dict, batch: pa.RecordBatch | pa.Table, k: int, cosine: bool
 ) -> list[tuple]:
     models = np.array(batch["model"].to_pylist(), dtype=object)
     found = []
-    for model, (qids, q_vectors) in queries.by_model.items():
+    for model, (qids, q_vectors) in queries.items():
         rows = pa.array(np.flatnonzero(models == model))
         if not len(rows):
             continue
@@ -160,7 +157,7 @@ def _ranked(
     head = asked.limit(limit + 1).toArrow()
     bounded = head.num_rows <= limit
     if bounded:
-        candidates = _search_broadcast(_Queries(head, cosine), stored, k, cosine)
+        candidates = _search_broadcast(_by_model(head, cosine), stored, k, cosine)
     else:
         candidates = _search_grid(asked, stored, k, cosine)
     best = first_per(candidates, ["qid"], [F.col("distance"), F.col("id")], k, rank_as="rank")
@@ -168,7 +165,7 @@ def _ranked(
     return best.select("qid", "rank", "id", distance.alias("distance")), bounded
 
 
-def _search_broadcast(queries: _Queries, stored: DataFrame, k: int, cosine: bool) -> DataFrame:
+def _search_broadcast(queries: dict, stored: DataFrame, k: int, cosine: bool) -> DataFrame:
     shared = stored.sparkSession.sparkContext.broadcast(queries)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,7 +193,7 @@ def _search_grid(asked: DataFrame, stored: DataFrame, k: int, cosine: bool) -> D
     def search_cell(left: pa.Table, right: pa.Table) -> pa.Table:
         if not (left.num_rows and right.num_rows):
             return _NEAR.empty_table()
-        found = _search_batch(_Queries(left, cosine), right, k, cosine)
+        found = _search_batch(_by_model(left, cosine), right, k, cosine)
         return pa.Table.from_batches([_as_arrow(_k_best(found, k))] if found else [], schema=_NEAR)
 
     cells = ["q_cell", "s_cell"]

@@ -2,43 +2,45 @@
 
 from pyspark.sql import types as T
 
-LINKS = "ARRAY<STRUCT<type: STRING, href: STRING>>"
-SEGMENTS = "ARRAY<STRUCT<start: DOUBLE, end: DOUBLE, text: STRING>>"
-METADATA = (
-    "STRUCT<title: STRING, podcast: STRING, audio_url: STRING,"
-    " spotify_url: STRING, published_date: STRING>"
-)
+_STR, _INT, _LONG, _DOUBLE = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
+_BOOL, _TIME = T.BooleanType(), T.TimestampType()
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+def _schema(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
-FEED_CHANNEL = _schema(
-    "title STRING, item ARRAY<STRUCT<title: STRING, pubDate: STRING, link: STRING,"
-    " enclosure: ARRAY<STRUCT<_url: STRING, _type: STRING, _length: BIGINT>>>>"
-)
+LINKS = T.ArrayType(_schema(type=_STR, href=_STR))
+SEGMENTS = T.ArrayType(_schema(start=_DOUBLE, end=_DOUBLE, text=_STR))
+_ENCLOSURES = T.ArrayType(_schema(_url=_STR, _type=_STR, _length=_LONG))
+_ENTRIES = T.ArrayType(_schema(title=_STR, pubDate=_STR, link=_STR, enclosure=_ENCLOSURES))
+
+FEED_CHANNEL = _schema(title=_STR, item=_ENTRIES)
 FEED_ITEMS = _schema(
-    f"feed_id STRING, feed_title STRING, feed_pos INT, title STRING, links {LINKS},"
-    " published_ts TIMESTAMP"
+    feed_id=_STR, feed_title=_STR, feed_pos=_INT, title=_STR, links=LINKS, published_ts=_TIME
 )
-FETCH_LOG = _schema(
-    "audio_url STRING, status INT, content_type STRING, content_length BIGINT, head STRING"
-)
-CATALOGUE = _schema("query_title STRING, rank INT, title STRING, show STRING, url STRING")
+FETCH_LOG = _schema(audio_url=_STR, status=_INT, content_type=_STR, content_length=_LONG, head=_STR)
+CATALOGUE = _schema(query_title=_STR, rank=_INT, title=_STR, show=_STR, url=_STR)
 EPISODE = _schema(
-    "title STRING, podcast STRING, audio_url STRING, spotify_url STRING, published_date STRING"
+    title=_STR, podcast=_STR, audio_url=_STR, spotify_url=_STR, published_date=_STR
 )
-RESPONSE = _schema(f"text STRING, language STRING, duration DOUBLE, segments {SEGMENTS}")
+RESPONSE = _schema(text=_STR, language=_STR, duration=_DOUBLE, segments=SEGMENTS)
 PART_RESULTS = _schema(
-    f"file STRING, part_ix INT, text STRING, duration DOUBLE, language STRING, segments {SEGMENTS}"
+    file=_STR, part_ix=_INT, text=_STR, duration=_DOUBLE, language=_STR, segments=SEGMENTS
+)
+ATTEMPTS = _schema(item=_STR, service=_STR, attempt=_INT, error=_STR)
+CALLS = _schema(account=_STR, ts=_TIME, audio_seconds=_DOUBLE)
+LISTING = _schema(path=_STR, modificationTime=_TIME, length=_LONG)
+TRANSCRIPTS = _schema(
+    collection=_STR, stem=_STR, audio_url=_STR, metadata=EPISODE, published_ts=_TIME, text=_STR,
+    blank=_BOOL, error=_STR, batch_seq=_LONG,
 )
-ATTEMPTS = _schema("item STRING, service STRING, attempt INT, error STRING")
-CALLS = _schema("account STRING, ts TIMESTAMP, audio_seconds DOUBLE")
-MARKS = _schema("collection STRING, published_ts TIMESTAMP")
-COLLECTIONS = _schema("collection STRING, model STRING")
+COLLECTIONS = _schema(collection=_STR, model=_STR)
 CHUNKS = _schema(
-    "collection STRING, batch_seq BIGINT, id STRING, document STRING,"
-    f" embedding ARRAY<DOUBLE>, model STRING, metadata {METADATA}"
+    collection=_STR, batch_seq=_LONG, id=_STR, document=_STR, embedding=T.ArrayType(_DOUBLE),
+    model=_STR, metadata=EPISODE,
 )
-QUERIES = _schema("qid BIGINT, text STRING, model STRING")
+BASES = _schema(collection=_STR, upto=_LONG)
+MARKS = _schema(collection=_STR, published_ts=_TIME)
+STORED_MARKS = _schema(collection=_STR, published_ts=_TIME, batch_seq=_LONG)
+QUERIES = _schema(qid=_LONG, text=_STR, model=_STR)

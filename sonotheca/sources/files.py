@@ -9,11 +9,9 @@ from pyspark.sql import types as T
 
 from sonotheca.fixed_values import EPISODE_FIELDS
 from sonotheca.functions.audio import is_audio
-from sonotheca.schemas import EPISODE
+from sonotheca.schemas import EPISODE, LISTING
 from sonotheca.sources.feeds import file_stem
 
-_LISTING = T.StructType.fromDDL("path STRING, modificationTime TIMESTAMP, length BIGINT")
-
 
 def _missing(problem: AnalysisException) -> bool:
     return problem.getCondition() == "PATH_NOT_FOUND"
@@ -23,7 +21,7 @@ def _listing(spark: SparkSession, folder: str, recursive: bool, glob: str | None
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(folder if recursive else f"{folder}/*").select(*_LISTING.fieldNames())
+    return reader.load(folder).select(*LISTING.fieldNames())
 
 
 def list_audio(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
@@ -41,12 +39,12 @@ def list_mp3(spark: SparkSession, folder: str) -> DataFrame:
     except AnalysisException as problem:
         if not _missing(problem):
             raise
-        return spark.createDataFrame([], _LISTING)
+        return spark.createDataFrame([], LISTING)
 
 
 def read_transcripts(spark: SparkSession, folder: str) -> DataFrame:
     """``file, stem, text``: every ``*.txt`` of the folder as one row."""
-    texts = spark.read.text(f"{folder}/*.txt", wholetext=True)
+    texts = spark.read.text(folder, wholetext=True, pathGlobFilter="*.txt")
     stem = file_stem(F.col("_metadata.file_name"))
     return texts.select(
         F.concat(stem, F.lit(".txt")).alias("file"), stem.alias("stem"), F.col("value").alias("text")
@@ -61,7 +59,7 @@ def read_sidecars(spark: SparkSession, folder: str) -> DataFrame:
     """
     schema = T.StructType(EPISODE.fields + [T.StructField("_bad", T.StringType())])
     records = spark.read.schema(schema).json(
-        f"{folder}/*.json", multiLine=True, columnNameOfCorruptRecord="_bad"
+        folder, multiLine=True, columnNameOfCorruptRecord="_bad", pathGlobFilter="*.json"
     )
     stem = file_stem(F.col("_metadata.file_name")).alias("stem")
     return records.select(stem, *EPISODE_FIELDS, "_bad").filter("_bad IS NULL").drop("_bad")
@@ -88,8 +86,5 @@ def export_texts(transcripts: DataFrame, path: str, stem: str = "stem") -> None:
 
 def read_exported_texts(spark: SparkSession, path: str) -> DataFrame:
     """``stem, text`` of an export, without the line end the text writer adds."""
-    texts = spark.read.option("basePath", path).text(f"{path}/stem=*", wholetext=True)
-    return texts.select(
-        F.col("stem").cast("string").alias("stem"),
-        F.regexp_replace("value", r"\n\z", "").alias("text"),
-    )
+    texts = spark.read.schema("value STRING, stem STRING").text(path, wholetext=True)
+    return texts.select("stem", F.regexp_replace("value", r"\n\z", "").alias("text"))
