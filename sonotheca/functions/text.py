@@ -131,10 +131,13 @@ def chunk_text(text: Column | str, chunk_size: int = CHUNK_SIZE, overlap: int =
 
 
 def safe_title(title: Column | str) -> Column:
-    """Letters, digits and spaces of a title, right-trimmed: the stem of its files."""
-    return F.rtrim(
-        F.regexp_replace(_col(title), rf"[^\p{{L}}\p{{Nd}} {OTHER_DIGITS}{NEWER_LETTERS}]", "")
-    )
+    """Letters, digits and spaces of a title, right-trimmed: the stem of its files.
+
+    The long lists of rare characters are looked at only for a character that the
+    common classes do not hold.
+    """
+    dropped = rf"[^\p{{L}}\p{{Nd}} ](?<![{OTHER_DIGITS}{NEWER_LETTERS}])"
+    return F.rtrim(F.regexp_replace(_col(title), dropped, ""))
 
 
 def chunk_id(filename: Column | str, chunk_ix: Column | str) -> Column:

@@ -32,31 +32,26 @@ def bucket_counts(buckets: Column, dim: int = EMBEDDING_DIM) -> Column:
     ordered = F.sort_array(F.concat(buckets, F.sequence(F.lit(0), F.lit(dim - 1))))
 
     def run_ends(values: Column) -> Column:
-        last = F.size(values) - 1
-        ends = F.transform(
-            values,
-            lambda v, i: F.when((i == last) | (F.get(values, i + 1) != v), i),
+        return F.filter(
+            F.sequence(F.lit(0), F.size(values) - 1),
+            lambda i: ~F.get(values, i).eqNullSafe(F.get(values, i + 1)),
         )
-        return F.array_compact(ends)
 
     def gaps(ends: Column) -> Column:
-        return F.transform(
-            ends, lambda e, i: e - F.when(i == 0, F.lit(-1)).otherwise(F.get(ends, i - 1)) - 1
-        )
+        previous = F.slice(F.concat(F.array(F.lit(-1)), ends), 1, dim)
+        return F.zip_with(ends, previous, lambda end, start: end - start - 1)
 
     return let(ordered, lambda values: let(run_ends(values), gaps))
 
 
-def unit_length(vector: Column) -> Column:
-    """Scale to Euclidean length 1; a zero vector stays zero."""
+def unit_length(counts: Column) -> Column:
+    """Integer counts scaled to Euclidean length 1; all zeros stay zeros."""
     def scaled(v: Column) -> Column:
-        squares = F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x)
-        return let(
-            F.sqrt(squares),
-            lambda n: F.transform(v, lambda x: F.when(n > 0, x / n).otherwise(F.lit(0.0))),
-        )
+        squares = F.aggregate(v, F.lit(0), lambda acc, x: acc + x * x)
+        length = F.sqrt(F.greatest(squares, F.lit(1)))
+        return let(length, lambda n: F.transform(v, lambda x: x / n))
 
-    return let(vector.cast("array<double>"), scaled)
+    return let(counts, scaled)
 
 
 def hashed_words(text: Column | str, dim: int = EMBEDDING_DIM) -> Column:

@@ -38,6 +38,10 @@ def quota_usage(calls: DataFrame) -> DataFrame:
     anything is shuffled; from then on an account has at most one row per second.
     Each row is also placed in the following day as context.  A window then covers
     one account and two days, never the whole history of a busy account.
+
+    A rolling sum is the running total up to now minus the one up to the start of
+    the window.  Both only grow along the timeline, so each row is added once,
+    while a moving frame would add up its rows again for every second.
     """
     seconds = (
         calls.groupBy("account", F.unix_seconds(F.col("ts").cast("timestamp")).alias("second"))
@@ -49,8 +53,13 @@ def quota_usage(calls: DataFrame) -> DataFrame:
     )
     timeline = Window.partitionBy("account", "_day").orderBy("second")
 
+    def running(value: str, until: int) -> Column:
+        return F.sum(value).over(timeline.rangeBetween(Window.unboundedPreceding, until))
+
     def rolling(value: str, width: int) -> Column:
-        return F.sum(value).over(timeline.rangeBetween(1 - width, 0))
+        before = F.coalesce(running(value, -width), F.lit(0))
+        total = running(value, 0) - before
+        return F.round(total, 6) if value == "audio_s" else total
 
     used = (
         placed.withColumn("requests_minute", rolling("calls", 60))

@@ -52,8 +52,9 @@ def normalise_result(response: Column | str, language: str = TRANSCRIPT_LANGUAGE
     )
 
 
-def _block(pos: str) -> Column:
-    return F.floor(F.col(pos) / BLOCK)
+def _in_blocks(rows: DataFrame, pos: str) -> DataFrame:
+    """Adds the block of each row, unless an earlier step has placed the rows already."""
+    return rows if "_block" in rows.columns else rows.withColumn("_block", F.floor(F.col(pos) / BLOCK))
 
 
 def earlier_total(
@@ -66,7 +67,7 @@ def earlier_total(
     The window therefore never sees more than one block of a key, however many
     rows the key has.
     """
-    blocked = rows.withColumn("_block", _block(pos))
+    blocked = _in_blocks(rows, pos)
     totals = blocked.groupBy(key, "_block").agg(F.sum(value).alias("_total"))
     before = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -78,7 +79,7 @@ def earlier_total(
     return (
         blocked.join(offsets, [key, "_block"])
         .withColumn(name, F.col("_offset") + F.coalesce(F.sum(value).over(inside), F.lit(0.0)))
-        .drop("_block", "_offset")
+        .drop("_offset")
     )
 
 
@@ -87,6 +88,11 @@ def shift_segments(parts: DataFrame, key: str = "file") -> DataFrame:
 
     A missing time counts as 0, a missing duration adds nothing.
     """
+    return _shifted(parts, key).drop("_block")
+
+
+def _shifted(parts: DataFrame, key: str) -> DataFrame:
+    """Shifted parts that still carry their block, so that grouping by it needs no shuffle."""
     reported = F.coalesce(F.col("duration"), F.lit(0.0))
     placed = earlier_total(parts, reported, key, "part_ix", "_earlier")
     shifted = F.transform(
@@ -122,7 +128,7 @@ def reassemble(
     """
     segments = [_in_order("segments").alias("segments")] if with_segments else []
     blocks = (
-        parts.withColumn("_block", _block("part_ix"))
+        _in_blocks(parts, "part_ix")
         .withColumn("_ix", F.col("part_ix"))
         .groupBy(key, "_block")
         .agg(
@@ -149,7 +155,7 @@ def combine_results(
     parts: DataFrame, key: str = "file", language: str = TRANSCRIPT_LANGUAGE
 ) -> DataFrame:
     """The complete record of a split file: text, durations and shifted segments."""
-    return reassemble(shift_segments(parts, key), key, language, with_segments=True)
+    return reassemble(_shifted(parts, key), key, language, with_segments=True)
 
 
 def transcribe(

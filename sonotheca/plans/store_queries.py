@@ -35,7 +35,9 @@ named AS (SELECT 'doc_' || doc_id || '_' || chunk_ix AS id, document FROM chunks
 {_vectors_sql('vectors', 'named', 'id', 'document')}
 SELECT id, bucket, round(value, 6) AS value FROM vectors""")
 def embed_chunks(t: Tables) -> DataFrame:
-    vectors = embed(chunk_rows(t)).select("id", F.posexplode("embedding").alias("bucket", "value"))
+    # The outer form keeps Spark from testing for empty vectors, which would compute them twice.
+    long = F.posexplode_outer("embedding").alias("bucket", "value")
+    vectors = embed(chunk_rows(t)).select("id", long)
     return vectors.filter(F.col("value") > 0).withColumn("value", F.round("value", 6))
 
 
