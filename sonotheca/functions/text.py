@@ -136,7 +136,7 @@ def safe_title(title: Column | str) -> Column:
     The long lists of rare characters are looked at only for a character that the
     common classes do not hold.
     """
-    dropped = rf"[^\p{{L}}\p{{Nd}} ](?<![{OTHER_DIGITS}{NEWER_LETTERS}])"
+    dropped = rf"(?s)(?=[^\p{{L}}\p{{Nd}} ])(?![{OTHER_DIGITS}{NEWER_LETTERS}])."
     return F.rtrim(F.regexp_replace(_col(title), dropped, ""))
 
 
