@@ -173,9 +173,9 @@ def backfill(
     """
     runs = 0
     while True:
-        before = read_marks(spark, root)
-        run_batch(spark, root, items, transcripts, n=n, with_ties=True, **options)
-        moved = read_marks(spark, root).exceptAll(before)
+        seq = next_batch_seq(spark, root)
+        run_batch(spark, root, items, transcripts, batch_seq=seq, n=n, with_ties=True, **options)
+        moved = read_marks(spark, root).exceptAll(read_marks(spark, root, before=seq))
         if moved.isEmpty():
             return runs
         runs += 1
