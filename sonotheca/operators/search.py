@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -76,10 +77,9 @@ def _closest(
 
 def _by_model(table: pa.Table, cosine: bool) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     """Query ids and vectors of each model, as plain arrays that can be broadcast."""
-    models = np.array(table["model"].to_pylist(), dtype=object)
     grouped = {}
-    for model in sorted(set(models)):
-        picked = table.filter(pa.array(models == model))
+    for model in sorted(table["model"].unique().to_pylist()):
+        picked = table.filter(pc.equal(table["model"], model))
         vectors = _matrix(picked["embedding"])
         grouped[model] = (picked["qid"].to_numpy(), _directions(vectors) if cosine else vectors)
     return grouped
@@ -88,16 +88,15 @@ def _by_model(table: pa.Table, cosine: bool) -> dict[str, tuple[np.ndarray, np.n
 def _search_batch(
     queries: dict, batch: pa.RecordBatch | pa.Table, k: int, cosine: bool
 ) -> list[tuple]:
-    models = np.array(batch["model"].to_pylist(), dtype=object)
     found = []
     for model, (qids, q_vectors) in queries.items():
-        rows = pa.array(np.flatnonzero(models == model))
-        if not len(rows):
+        rows = batch.filter(pc.equal(batch["model"], model))
+        if not rows.num_rows:
             continue
-        vectors = _matrix(batch["embedding"].take(rows))
+        vectors = _matrix(rows["embedding"])
         if cosine:
             vectors = _directions(vectors)
-        ids = np.array(batch["id"].take(rows).to_pylist(), dtype=object)
+        ids = np.array(rows["id"].to_pylist(), dtype=object)
         found.append(_closest(qids, q_vectors, ids, vectors, k))
     return found
 
@@ -203,12 +202,9 @@ def _search_grid(asked: DataFrame, stored: DataFrame, k: int, cosine: bool) -> D
 def require_same_model(queries: DataFrame, store: DataFrame) -> None:
     """Refuse queries whose model did not fill the store; an empty store is fine."""
     known = store.select("model").distinct()
-    if known.isEmpty():
-        return
-    strangers = queries.select("model").distinct().join(known, "model", "left_anti")
-    found = strangers.first()
-    if found is not None:
-        raise ValueError(f"the store holds no vectors of model {found['model']!r}")
+    stranger = queries.select("model").distinct().join(known, "model", "left_anti").first()
+    if stranger is not None and not store.isEmpty():
+        raise ValueError(f"the store holds no vectors of model {stranger['model']!r}")
 
 
 def same_model(queries: DataFrame, store: DataFrame) -> DataFrame:

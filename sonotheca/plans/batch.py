@@ -89,10 +89,17 @@ def prepare_episodes(
 
 
 def landed_transcripts(texts: DataFrame) -> Callable[[DataFrame], DataFrame]:
-    """Transcribe by looking texts up: ``texts`` holds ``collection, stem, text``."""
+    """Transcribe by looking texts up: ``texts`` holds ``collection, stem, text``, once per key.
+
+    The texts are first cut down to the episodes of the run.  Few episodes are
+    broadcast for that and the texts stay where they are; many are joined by key,
+    and the second join then finds its input partitioned already.
+    """
+    key = ["collection", "stem"]
 
     def look_up(episodes: DataFrame) -> DataFrame:
-        found = episodes.join(texts.select("collection", "stem", "text"), ["collection", "stem"], "left")
+        wanted = texts.select(*key, "text").join(episodes.select(*key), key, "left_semi")
+        found = episodes.join(wanted, key, "left")
         missing = F.when(F.col("text").isNull(), F.lit("No transcript"))
         return found.withColumn("error", F.coalesce("error", missing))
 
