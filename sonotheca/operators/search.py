@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sonotheca.fixed_values import NEAREST_K, UNKNOWN_SOURCE
@@ -15,11 +15,11 @@ from sonotheca.operators.embedding import Embedder, embed, offline_embedder
 from sonotheca.operators.ranking import first_per
 
 # Queries up to this many bytes of vectors are sent to every task; more are spread
-# over a grid of query and store cells instead.  Both ways are exact.
+# over a grid of query and store cells instead.  Both ways are exact.  A query block
+# is the part of the queries whose distances to a batch are computed together.
 BROADCAST_BYTES = 64 * 1024 * 1024
-QUERY_CELL_ROWS = 4096
-STORE_CELL_ROWS = 16384
 QUERY_BLOCK_ROWS = 1024
+TASKS_PER_CORE = 4
 
 # Distances are rounded to this many places before they are compared, so that
 # distances that are equal but for the order of additions tie and the id decides.
@@ -47,32 +47,33 @@ def _directions(vectors: np.ndarray) -> np.ndarray:
 
 
 def _closest(
-    qids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    qids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int,
+    bound: np.ndarray,
+) -> list[tuple]:
     """The ``k`` closest of some vectors for every query, ties by id.
 
     One matrix product gives all distances but for rounding.  Whatever lies within
-    the rounding error of the k-th is measured again exactly and ranked.
+    the rounding error of the k-th, and of the ``bound`` reached by earlier vectors,
+    is measured again exactly and ranked.
     """
     if queries.shape[1] != vectors.shape[1]:
         raise ValueError("queries and store differ in vector length")
     q_norm, v_norm = (queries**2).sum(axis=1), (vectors**2).sum(axis=1)
     slack = 1e-12 * (q_norm + v_norm.max()) + 10.0 ** (1 - DISTANCE_PLACES)
     top = min(k, len(ids))
-    out_q, out_id, out_d = [], [], []
+    found = []
     for begin in range(0, len(qids), QUERY_BLOCK_ROWS):
         block = slice(begin, begin + QUERY_BLOCK_ROWS)
         rough = q_norm[block, None] + v_norm[None, :] - 2.0 * (queries[block] @ vectors.T)
-        reach = np.partition(rough, top - 1, axis=1)[:, top - 1] + slack[block]
-        for row, qid in enumerate(qids[block]):
+        kth = np.partition(rough, top - 1, axis=1)[:, top - 1]
+        reach = np.minimum(kth, bound[block]) + slack[block]
+        for row in np.flatnonzero(rough.min(axis=1) <= reach):
             near = np.flatnonzero(rough[row] <= reach[row])
             gap = vectors[near] - queries[begin + row]
             exact = (gap * gap).sum(axis=1).round(DISTANCE_PLACES)
             best = np.lexsort((ids[near], exact))[:top]
-            out_q.append(np.full(len(best), qid, np.int64))
-            out_id.append(ids[near][best])
-            out_d.append(exact[best])
-    return np.concatenate(out_q), np.concatenate(out_id), np.concatenate(out_d)
+            found.append((np.full(len(best), qids[begin + row]), ids[near][best], exact[best]))
+    return found
 
 
 def _by_model(table: pa.Table, cosine: bool) -> dict[str, tuple[np.ndarray, np.ndarray]]:
@@ -86,9 +87,10 @@ def _by_model(table: pa.Table, cosine: bool) -> dict[str, tuple[np.ndarray, np.n
 
 
 def _search_batch(
-    queries: dict, batch: pa.RecordBatch | pa.Table, k: int, cosine: bool
-) -> list[tuple]:
-    found = []
+    queries: dict, batch: pa.RecordBatch | pa.Table, k: int, cosine: bool, best: tuple | None = None
+) -> tuple | None:
+    """The ``k`` best per query of this batch and of the ``best`` found before it."""
+    found = [best] if best else []
     for model, (qids, q_vectors) in queries.items():
         rows = batch.filter(pc.equal(batch["model"], model))
         if not rows.num_rows:
@@ -97,12 +99,23 @@ def _search_batch(
         if cosine:
             vectors = _directions(vectors)
         ids = np.array(rows["id"].to_pylist(), dtype=object)
-        found.append(_closest(qids, q_vectors, ids, vectors, k))
-    return found
+        found += _closest(qids, q_vectors, ids, vectors, k, _bounds(best, qids, k))
+    return _k_best(found, k) if found else None
+
+
+def _bounds(best: tuple | None, qids: np.ndarray, k: int) -> np.ndarray:
+    """The k-th distance of every query so far, infinite until it has ``k`` candidates."""
+    if not best or not len(best[0]):
+        return np.full(len(qids), np.inf)
+    end = np.searchsorted(best[0], qids, side="right")
+    have = end - np.searchsorted(best[0], qids, side="left")
+    return np.where(have >= k, best[2][np.maximum(end - 1, 0)], np.inf)
 
 
 def _k_best(found: list[tuple], k: int) -> tuple:
-    """Merge several sets of candidates into the ``k`` best per query."""
+    """Merge several sets of candidates, each within ``k`` already, into the ``k`` best per query."""
+    if len(found) == 1:
+        return found[0]
     qid, ids, distance = (np.concatenate(part) for part in zip(*found))
     order = np.lexsort((ids, distance, qid))
     qid, ids, distance = qid[order], ids[order], distance[order]
@@ -130,8 +143,8 @@ def nearest(
     is exact: each task keeps ``k`` candidates per query and only these are shuffled.
 
     Queries below ``broadcast_bytes`` are sent to the tasks and the store is scanned
-    in place.  More queries meet the store in a grid: rows are hashed to cells of
-    bounded size and each pair of cells is searched by one task.
+    in place.  More queries are hashed to cells of that size, which meet the store in
+    a grid of cells.
     """
     return _ranked(queries, store, k, metric, broadcast_bytes)[0]
 
@@ -158,45 +171,84 @@ def _ranked(
     if bounded:
         candidates = _search_broadcast(_by_model(head, cosine), stored, k, cosine)
     else:
-        candidates = _search_grid(asked, stored, k, cosine)
+        candidates = _search_grid(asked, stored, k, cosine, limit)
     best = first_per(candidates, ["qid"], [F.col("distance"), F.col("id")], k, rank_as="rank")
     distance = F.col("distance") / 2 if cosine else F.col("distance")
     return best.select("qid", "rank", "id", distance.alias("distance")), bounded
 
 
 def _search_broadcast(queries: dict, stored: DataFrame, k: int, cosine: bool) -> DataFrame:
-    shared = stored.sparkSession.sparkContext.broadcast(queries)
+    context = stored.sparkSession.sparkContext
+    shared = context.broadcast(queries)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = None
         for batch in batches:
-            found = _search_batch(shared.value, batch, k, cosine)
-            if found:
-                best = _k_best(found + ([best] if best else []), k)
+            best = _search_batch(shared.value, batch, k, cosine, best)
         if best:
             yield _as_arrow(best)
 
-    return stored.mapInArrow(scan, _NEAR_DDL)
+    # Every task returns k candidates per query, so a few long tasks per core are
+    # enough.  Fewer partitions than that stay as they are, and nothing is shuffled.
+    long_tasks = stored.coalesce(TASKS_PER_CORE * context.defaultParallelism)
+    return long_tasks.mapInArrow(scan, _NEAR_DDL)
+
+
+def _search_grid(
+    asked: DataFrame, stored: DataFrame, k: int, cosine: bool, cell_rows: int
+) -> DataFrame:
+    """Every query cell meets every store cell in one place, without broadcast or driver.
 
+    A cell pair receives its queries first and then streams its share of the store,
+    so a task holds one query cell and one batch, however large the store is.
+    """
+    tasks = TASKS_PER_CORE * asked.sparkSession.sparkContext.defaultParallelism
+    q_cells = max(1, -(-asked.count() // cell_rows))
+    s_cells = max(1, -(-tasks // q_cells))
+
+    def hashed(key: str, cells: int) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(cells)).cast("int")
+
+    def every(cells: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(cells - 1)))
+
+    left = asked.withColumn("q_cell", hashed("qid", q_cells)).withColumn("s_cell", every(s_cells))
+    right = stored.withColumn("s_cell", hashed("id", s_cells)).withColumn("q_cell", every(q_cells))
+    rows = left.withColumn("stored", F.lit(0)).unionByName(
+        right.withColumn("stored", F.lit(1)), allowMissingColumns=True
+    )
+    placed = rows.repartition(q_cells * s_cells, "q_cell", "s_cell").sortWithinPartitions(
+        "q_cell", "s_cell", "stored"
+    )
+
+    def scan_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, held, queries, best = None, [], None, None
+        for batch in batches:
+            for here, is_store, piece in _cell_pieces(batch):
+                if here != cell:
+                    if best:
+                        yield _as_arrow(best)
+                    cell, held, queries, best = here, [], None, None
+                if not is_store:
+                    held.append(piece)
+                    continue
+                if queries is None:
+                    queries = _by_model(pa.Table.from_batches(held), cosine) if held else {}
+                best = _search_batch(queries, piece, k, cosine, best)
+        if best:
+            yield _as_arrow(best)
 
-def _search_grid(asked: DataFrame, stored: DataFrame, k: int, cosine: bool) -> DataFrame:
-    q_cells = -(-asked.count() // QUERY_CELL_ROWS)
-    s_cells = max(1, -(-stored.count() // STORE_CELL_ROWS))
-    every_q = F.explode(F.sequence(F.lit(0), F.lit(q_cells - 1)))
-    every_s = F.explode(F.sequence(F.lit(0), F.lit(s_cells - 1)))
-    left = asked.withColumn("q_cell", F.pmod(F.xxhash64("qid"), F.lit(q_cells)).cast("int"))
-    left = left.withColumn("s_cell", every_s)
-    right = stored.withColumn("s_cell", F.pmod(F.xxhash64("id"), F.lit(s_cells)).cast("int"))
-    right = right.withColumn("q_cell", every_q)
+    return placed.mapInArrow(scan_cells, _NEAR_DDL)
 
-    def search_cell(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not (left.num_rows and right.num_rows):
-            return _NEAR.empty_table()
-        found = _search_batch(_by_model(left, cosine), right, k, cosine)
-        return pa.Table.from_batches([_as_arrow(_k_best(found, k))] if found else [], schema=_NEAR)
 
-    cells = ["q_cell", "s_cell"]
-    return left.groupBy(*cells).cogroup(right.groupBy(*cells)).applyInArrow(search_cell, _NEAR_DDL)
+def _cell_pieces(batch: pa.RecordBatch) -> Iterator[tuple[tuple, bool, pa.RecordBatch]]:
+    """A sorted batch cut where the cell, or queries to store, changes."""
+    place = np.stack([batch[c].to_numpy() for c in ("q_cell", "s_cell", "stored")], axis=1)
+    starts = [0, *(np.flatnonzero((place[1:] != place[:-1]).any(axis=1)) + 1).tolist(), len(place)]
+    for begin, end in zip(starts, starts[1:]):
+        if end > begin:
+            q_cell, s_cell, stored = place[begin].tolist()
+            yield (q_cell, s_cell), bool(stored), batch.slice(begin, end - begin)
 
 
 def require_same_model(queries: DataFrame, store: DataFrame) -> None:

@@ -111,7 +111,7 @@ def nearest(t: Tables) -> DataFrame:
 @query(_L2_SQL)
 def nearest_grid(t: Tables) -> DataFrame:
     """The same through the grid of cells, as used for more queries than fit a broadcast."""
-    return _rounded(se.nearest(_centres(t), _stored_vectors(t), broadcast_bytes=1))
+    return _rounded(se.nearest(_centres(t), _stored_vectors(t), broadcast_bytes=5 * 64 * 8))
 
 
 @query(_nearest_sql("1 - list_cosine_similarity(e.embedding::DOUBLE[], c.centre)"))

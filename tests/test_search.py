@@ -93,11 +93,9 @@ def brute(queries, store, k, distance):
     return out
 
 
-@pytest.mark.parametrize("limit", [se.BROADCAST_BYTES, 1])
+@pytest.mark.parametrize("limit", [se.BROADCAST_BYTES, 8 * 4 * 10])
 @pytest.mark.parametrize("k", [1, 7, 500])
-def test_nearest_is_exact_with_ties_by_id(random_sets, monkeypatch, limit, k):
-    monkeypatch.setattr(se, "QUERY_CELL_ROWS", 10)
-    monkeypatch.setattr(se, "STORE_CELL_ROWS", 60)
+def test_nearest_is_exact_with_ties_by_id(random_sets, limit, k):
     queries, store, q_rows, s_rows = random_sets
     got = {tuple(r) for r in se.nearest(queries, store, k, broadcast_bytes=limit).collect()}
     assert got == brute(q_rows, s_rows, k, lambda a, b: ((a - b) ** 2).sum())
@@ -107,11 +105,13 @@ def test_small_blocks_and_batches(random_sets, monkeypatch, spark):
     monkeypatch.setattr(se, "QUERY_BLOCK_ROWS", 4)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "11")
     queries, store, q_rows, s_rows = random_sets
+    want = brute(q_rows, s_rows, 3, lambda a, b: ((a - b) ** 2).sum())
     try:
-        got = {tuple(r) for r in se.nearest(queries, store, 3).collect()}
+        for limit in (se.BROADCAST_BYTES, 8 * 4 * 10):
+            hits = se.nearest(queries, store, 3, broadcast_bytes=limit)
+            assert {tuple(r) for r in hits.collect()} == want
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-    assert got == brute(q_rows, s_rows, 3, lambda a, b: ((a - b) ** 2).sum())
 
 
 def test_cosine(spark):
