@@ -53,3 +53,13 @@ def needs_splitting(n_bytes: Column | str, max_mib: float = SAFE_UPLOAD_MIB) ->
 def part_name(path: Column | str, part_ix: Column | str) -> Column:
     """``talk.mp3``, 7 -> ``talk_chunk007.mp3``."""
     return F.format_string("%s_chunk%03d%s", stem(path), _col(part_ix), suffix(path))
+
+
+def transcript_path(path: Column | str, input_dir: str, output_dir: str) -> Column:
+    """Where the text of a recording goes: the same relative path with suffix ``.txt``."""
+    start = len(input_dir.rstrip("/")) + 1
+    relative = F.substring(_col(path), start + 1, 2**31 - 1 - start)
+    return F.concat(
+        F.lit(output_dir.rstrip("/") + "/"),
+        F.regexp_replace(relative, r"(?<=[^/])\.[^./]+$", ""), F.lit(".txt"),
+    )

@@ -66,50 +66,60 @@ def _kept_tail(lengths: Column, overlap: int) -> Column:
     return F.aggregate(F.reverse(lengths), start, step)
 
 
+# Sentences folded together before their finished ranges join the others.  Spark copies
+# the state of a fold at every step, so the state has to stay small in long texts.
+_FOLD_BLOCK = 1024
+
+
 def chunk_ranges(lengths: Column, chunk_size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> Column:
     """Sentence ranges ``(first, n)`` of the chunks, from the sentence lengths.
 
-    One pass over the sentences.  The state holds the finished ranges and the
-    lengths in the open chunk only, so its size does not grow with the text.
+    One pass over the sentences, in blocks.  The state of a block holds the ranges
+    finished in it and the lengths in the open chunk, not those of the whole text.
     """
-    start = F.struct(
-        F.array().cast("array<struct<first:int,n:int>>").alias("done"),
-        F.lit(0).alias("first"),
-        F.array().cast("array<int>").alias("held"),
-        F.lit(0).alias("chars"),
-    )
+    no_ranges = F.array().cast("array<struct<first:int,n:int>>")
+
+    def state(done: Column, first: Column, held: Column, chars: Column) -> Column:
+        return F.struct(
+            done.alias("done"), first.alias("first"), held.alias("held"), chars.alias("chars")
+        )
 
     def cut(acc: Column, length: Column, tail: Column) -> Column:
         n = F.size(acc["held"])
-        return F.struct(
-            F.concat(
-                acc["done"], F.array(F.struct(acc["first"].alias("first"), n.alias("n")))
-            ).alias("done"),
-            (acc["first"] + n - tail["n"]).alias("first"),
-            F.concat(
-                F.slice(acc["held"], n - tail["n"] + 1, tail["n"]), F.array(length)
-            ).alias("held"),
-            (tail["chars"] + length).alias("chars"),
+        return state(
+            F.concat(acc["done"], F.array(F.struct(acc["first"].alias("first"), n.alias("n")))),
+            acc["first"] + n - tail["n"],
+            F.concat(F.slice(acc["held"], n - tail["n"] + 1, tail["n"]), F.array(length)),
+            tail["chars"] + length,
         )
 
-    def step(acc: Column, length: Column) -> Column:
+    def add(acc: Column, length: Column) -> Column:
         full = (F.size(acc["held"]) > 0) & (acc["chars"] + length > chunk_size)
+        grown = state(
+            acc["done"], acc["first"], F.concat(acc["held"], F.array(length)), acc["chars"] + length
+        )
         return F.when(
             full, let(_kept_tail(acc["held"], overlap), lambda tail: cut(acc, length, tail))
-        ).otherwise(
-            F.struct(
-                acc["done"].alias("done"),
-                acc["first"].alias("first"),
-                F.concat(acc["held"], F.array(length)).alias("held"),
-                (acc["chars"] + length).alias("chars"),
-            )
+        ).otherwise(grown)
+
+    def add_block(acc: Column, block: Column) -> Column:
+        opened = state(no_ranges, acc["first"], acc["held"], acc["chars"])
+        return let(
+            F.aggregate(block, opened, add),
+            lambda b: state(F.concat(acc["done"], b["done"]), b["first"], b["held"], b["chars"]),
         )
 
     def finish(acc: Column) -> Column:
         last = F.struct(acc["first"].alias("first"), F.size(acc["held"]).alias("n"))
         return F.concat(acc["done"], F.array(last))
 
-    return F.aggregate(lengths, start, step, finish)
+    def fold(all_lengths: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(all_lengths), F.lit(_FOLD_BLOCK))
+        blocks = F.transform(starts, lambda i: F.slice(all_lengths, i, F.lit(_FOLD_BLOCK)))
+        empty = state(no_ranges, F.lit(0), F.array().cast("array<int>"), F.lit(0))
+        return F.aggregate(blocks, empty, add_block, finish)
+
+    return let(lengths, fold)
 
 
 def chunk_text(text: Column | str, chunk_size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> Column:

@@ -47,8 +47,8 @@ def bucket_counts(buckets: Column, dim: int = EMBEDDING_DIM) -> Column:
 def unit_length(counts: Column) -> Column:
     """Integer counts scaled to Euclidean length 1; all zeros stay zeros."""
     def scaled(v: Column) -> Column:
-        squares = F.aggregate(v, F.lit(0), lambda acc, x: acc + x * x)
-        length = F.sqrt(F.greatest(squares, F.lit(1)))
+        squares = F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x)
+        length = F.sqrt(F.greatest(squares, F.lit(1.0)))
         return let(length, lambda n: F.transform(v, lambda x: x / n))
 
     return let(counts, scaled)

@@ -119,6 +119,14 @@ def nearest_cosine(t: Tables) -> DataFrame:
     return _rounded(se.nearest(_centres(t), _stored_vectors(t), metric="cosine"))
 
 
+@query("""
+SELECT label::BIGINT AS qid, 1 AS rank, '' AS id, 0.0::DOUBLE AS distance
+FROM embeddings WHERE label <> label""")
+def no_neighbours(t: Tables) -> DataFrame:
+    """Queries of a model that filled nothing find nothing, without an error."""
+    return se.nearest(_centres(t).withColumn("model", F.lit("other")), _stored_vectors(t))
+
+
 def doc_metadata() -> Column:
     """An episode record made of a document row."""
     return F.struct(

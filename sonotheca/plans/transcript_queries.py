@@ -166,6 +166,14 @@ def needs_splitting(t: Tables) -> DataFrame:
     return _listing(t).select("doc_id", audio.needs_splitting("length").alias("needs_splitting"))
 
 
+@query(f"""
+WITH {_LISTING_SQL} SELECT doc_id, 'texts/v1.0/doc ' || doc_id || '.txt' AS output FROM listing""")
+def transcript_paths(t: Tables) -> DataFrame:
+    return _listing(t).select(
+        "doc_id", audio.transcript_path("path", "media/", "texts").alias("output")
+    )
+
+
 _PLAN_SQL = """
 plan AS (
   SELECT doc_id, n_chars, unnest(range(CAST(floor(n_chars / 600.0) AS BIGINT) + 1)) AS part_ix

@@ -80,8 +80,17 @@ def write_transcripts(transcripts: DataFrame, path: str, mode: str = "append") -
 
 
 def export_texts(transcripts: DataFrame, path: str, stem: str = "stem") -> None:
-    """One folder ``stem=…`` with a text file per transcript, for readers of plain text."""
-    transcripts.select(stem, "text").write.partitionBy(stem).text(path)
+    """One folder ``stem=…`` with a text file per transcript, for readers of plain text.
+
+    Creating the files is the work here, so they are spread over all tasks however
+    few bytes they hold.
+    """
+    spark = transcripts.sparkSession
+    tasks = max(
+        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    )
+    placed = transcripts.select(stem, "text").repartition(tasks, stem)
+    placed.write.partitionBy(stem).text(path)
 
 
 def read_exported_texts(spark: SparkSession, path: str) -> DataFrame:

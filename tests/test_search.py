@@ -9,7 +9,7 @@ from sonotheca.functions.vectors import hashed_words, squared_distance
 from sonotheca.operators import embedding as em
 from sonotheca.operators import search as se
 
-TEXTS = ["Été ok, été! 2 fois", "", "...", "mot " * 500, "a b c a", "ß Straße 日本 x_y"]
+TEXTS = ["Été ok, été! 2 fois", "", "...", "mot " * 500, "un deux " * 60000, "a b c a", "ß Straße 日本 x_y"]
 
 
 def test_offline_embedding_by_brute_force(spark):

@@ -36,6 +36,14 @@ def test_sizes(spark):
     assert [r.s for r in rows] == [True, True, False, True]
 
 
+def test_transcript_path_keeps_the_relative_path(spark):
+    paths = {"in/a.mp3": "out/a.txt", "in/sub.d/b c.WAV": "out/sub.d/b c.txt", "in/sub.d/plain": "out/sub.d/plain.txt"}
+    df = spark.createDataFrame([(p,) for p in paths], "path STRING")
+    for base in ("in", "in/"):
+        got = df.select("path", audio.transcript_path("path", base, "out/").alias("t")).collect()
+        assert {r.path: r.t for r in got} == paths
+
+
 def test_split_plan(spark):
     durations = {"a b.mp3": 0.0, "b.x.mp3": 599.9, "c.mp3": 600.0, "d.mp3": 1200.0, "e.mp3": 1500.5}
     plan = tr.split_plan(spark.createDataFrame(list(durations.items()), "path STRING, duration DOUBLE"))
