@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sonotheca.functions.vectors import hashed_words, squared_distance
+from sonotheca.functions.vectors import squared_distance
 from sonotheca.operators import embedding as em
 from sonotheca.operators import search as se
 
