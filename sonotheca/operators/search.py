@@ -35,15 +35,24 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
         column = column.combine_chunks()
     if not len(column):
         return np.empty((0, 0))
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
-    if flat.size % len(column):
+    widths = pc.min_max(pc.list_value_length(column)).as_py()
+    if widths["min"] != widths["max"]:
         raise ValueError("vectors of different length in one model")
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
     return flat.reshape(len(column), -1)
 
 
-def _directions(vectors: np.ndarray) -> np.ndarray:
+def _directions(vectors: np.ndarray, side: int) -> np.ndarray:
+    """Vectors scaled to length 1, so that squared distance is twice the cosine distance.
+
+    A zero vector has no direction.  It points along an extra axis of its own side
+    (0 queries, 1 store), which puts it at cosine distance 1 from everything.
+    """
     length = np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
-    return np.divide(vectors, length, out=np.zeros_like(vectors), where=length > 0)
+    unit = np.divide(vectors, length, out=np.zeros_like(vectors), where=length > 0)
+    extra = np.zeros((len(vectors), 2))
+    extra[length[:, 0] == 0, side] = 1.0
+    return np.hstack([unit, extra])
 
 
 def _closest(
@@ -82,7 +91,7 @@ def _by_model(table: pa.Table, cosine: bool) -> dict[str, tuple[np.ndarray, np.n
     for model in sorted(table["model"].unique().to_pylist()):
         picked = table.filter(pc.equal(table["model"], model))
         vectors = _matrix(picked["embedding"])
-        grouped[model] = (picked["qid"].to_numpy(), _directions(vectors) if cosine else vectors)
+        grouped[model] = (picked["qid"].to_numpy(), _directions(vectors, 0) if cosine else vectors)
     return grouped
 
 
@@ -97,7 +106,7 @@ def _search_batch(
             continue
         vectors = _matrix(rows["embedding"])
         if cosine:
-            vectors = _directions(vectors)
+            vectors = _directions(vectors, 1)
         ids = np.array(rows["id"].to_pylist(), dtype=object)
         found += _closest(qids, q_vectors, ids, vectors, k, _bounds(best, qids, k))
     return _k_best(found, k) if found else None
@@ -159,11 +168,11 @@ def _ranked(
     asked = queries.select(
         F.col("qid").cast("bigint").alias("qid"), "model",
         F.col("embedding").cast("array<double>").alias("embedding"),
-    )
+    ).filter("embedding IS NOT NULL")
     stored = store.select(
         F.col("id").cast("string").alias("id"), "model",
         F.col("embedding").cast("array<double>").alias("embedding"),
-    )
+    ).filter("embedding IS NOT NULL")
     one = asked.select(F.size("embedding")).first()
     limit = max(1, broadcast_bytes // (8 * max(1, one[0] if one else 1)))
     head = asked.limit(limit + 1).toArrow()

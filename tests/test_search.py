@@ -126,6 +126,28 @@ def test_cosine(spark):
         se.nearest(asked, store, metric="l3")
 
 
+def test_zero_vectors_have_no_direction(spark):
+    store = spark.createDataFrame(
+        [("blank", "m", [0.0, 0.0]), ("weak", "m", [1.0, 2.0]), ("missing", "m", None)],
+        "id STRING, model STRING, embedding ARRAY<DOUBLE>",
+    )
+    asked = spark.createDataFrame(
+        [(1, "m", [1.0, 0.0]), (2, "m", [0.0, 0.0])], "qid INT, model STRING, embedding ARRAY<DOUBLE>"
+    )
+    rows = se.nearest(asked, store, metric="cosine").orderBy("qid", "rank").collect()
+    got = [(r.qid, r.id, round(r.distance, 6)) for r in rows]
+    assert got == [(1, "weak", 0.552786), (1, "blank", 1.0), (2, "blank", 1.0), (2, "weak", 1.0)]
+
+
+def test_vectors_of_different_length_are_refused(spark):
+    store = spark.createDataFrame(
+        [("a", "m", [0.0]), ("b", "m", [1.0, 2.0, 3.0])], "id STRING, model STRING, embedding ARRAY<DOUBLE>"
+    )
+    asked = spark.createDataFrame([(1, "m", [1.0, 0.0])], "qid INT, model STRING, embedding ARRAY<DOUBLE>")
+    with pytest.raises(Exception, match="different length|differ in vector length"):
+        se.nearest(asked, store.coalesce(1)).collect()
+
+
 def test_nearest_without_neighbours(random_sets, spark):
     queries, store, _, _ = random_sets
     assert se.nearest(queries, store.filter("false")).count() == 0
