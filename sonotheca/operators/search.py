@@ -85,11 +85,18 @@ def _closest(
     return found
 
 
+def _of_model(rows: pa.RecordBatch | pa.Table, model: str) -> pa.RecordBatch | pa.Table:
+    """The rows of a model that have a vector."""
+    return rows.filter(pc.and_(pc.equal(rows["model"], model), pc.is_valid(rows["embedding"])))
+
+
 def _by_model(table: pa.Table, cosine: bool) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     """Query ids and vectors of each model, as plain arrays that can be broadcast."""
     grouped = {}
-    for model in sorted(table["model"].unique().to_pylist()):
-        picked = table.filter(pc.equal(table["model"], model))
+    for model in sorted(table["model"].unique().drop_null().to_pylist()):
+        picked = _of_model(table, model)
+        if not picked.num_rows:
+            continue
         vectors = _matrix(picked["embedding"])
         grouped[model] = (picked["qid"].to_numpy(), _directions(vectors, 0) if cosine else vectors)
     return grouped
@@ -101,7 +108,7 @@ def _search_batch(
     """The ``k`` best per query of this batch and of the ``best`` found before it."""
     found = [best] if best else []
     for model, (qids, q_vectors) in queries.items():
-        rows = batch.filter(pc.equal(batch["model"], model))
+        rows = _of_model(batch, model)
         if not rows.num_rows:
             continue
         vectors = _matrix(rows["embedding"])
@@ -168,13 +175,13 @@ def _ranked(
     asked = queries.select(
         F.col("qid").cast("bigint").alias("qid"), "model",
         F.col("embedding").cast("array<double>").alias("embedding"),
-    ).filter("embedding IS NOT NULL")
+    )
     stored = store.select(
         F.col("id").cast("string").alias("id"), "model",
         F.col("embedding").cast("array<double>").alias("embedding"),
-    ).filter("embedding IS NOT NULL")
+    )
     one = asked.select(F.size("embedding")).first()
-    limit = max(1, broadcast_bytes // (8 * max(1, one[0] if one else 1)))
+    limit = max(1, broadcast_bytes // (8 * max(1, (one and one[0]) or 1)))
     head = asked.limit(limit + 1).toArrow()
     bounded = head.num_rows <= limit
     if bounded:

@@ -132,7 +132,7 @@ def test_zero_vectors_have_no_direction(spark):
         "id STRING, model STRING, embedding ARRAY<DOUBLE>",
     )
     asked = spark.createDataFrame(
-        [(1, "m", [1.0, 0.0]), (2, "m", [0.0, 0.0])], "qid INT, model STRING, embedding ARRAY<DOUBLE>"
+        [(1, "m", [1.0, 0.0]), (2, "m", [0.0, 0.0]), (3, "m", None), (4, None, [1.0, 0.0])], "qid INT, model STRING, embedding ARRAY<DOUBLE>"
     )
     rows = se.nearest(asked, store, metric="cosine").orderBy("qid", "rank").collect()
     got = [(r.qid, r.id, round(r.distance, 6)) for r in rows]
