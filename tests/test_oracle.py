@@ -9,6 +9,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as registered
+from sonotheca.plans.registry import ORACLE, QUERIES
 from tools.compare import NAMES, rows
 
 FOLDER = "/root/testdata/sf0.001"
@@ -22,11 +23,11 @@ def con():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, con, name):
-    df = registered.queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     mine = rows(df.columns, df.collect())
-    relation = con.sql(registered.oracle_sql()[name])
+    relation = con.sql(ORACLE[name])
     assert mine == rows(relation.columns, relation.fetchall())
 
 
