@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonotheca.llm import decontamination, simhash
+from sonotheca.llm import decontamination, mixing, quality, simhash
 from sonotheca.llm.registry import ORACLE, QUERIES, query, table  # noqa: F401
 
 
@@ -58,3 +58,20 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
         F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+@query()
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document; ids with crc32 mod 4 = 2 are held out of the fit."""
+    docs = table(spark, folder, "documents")
+    model = quality.fit(docs, table(spark, folder, "labels"), usable=~held_out(2, 4))
+    found = quality.scored(docs, model, keep=["doc_id"])
+    return found.select("doc_id", held_out(2, 4).alias("held_out"), "score",
+                        (F.col("score") >= quality.CUT).cast("int").alias("predicted"))
+
+
+@query()
+def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """What a mix of all sources takes of every document."""
+    return mixing.Mix(table(spark, folder, "documents")).taken().select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")

@@ -66,7 +66,8 @@ class Words:
 
     def __init__(self, texts: list[bytes], is_word: np.ndarray):
         joined = b"\n".join(texts) + b"\n"
-        self.bytes = LOWER[np.frombuffer(joined, dtype=np.uint8)]
+        self.raw = np.frombuffer(joined, dtype=np.uint8)
+        self.bytes = LOWER[self.raw]
         inside = np.zeros(len(joined) + 1, dtype=np.int8)
         inside[1:] = is_word[self.bytes]
         edge = np.diff(inside)
