@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonotheca.llm import decontamination, mixing, quality, simhash
+from sonotheca.llm import decontamination, line_dedup, mixing, quality, simhash
 from sonotheca.llm.registry import ORACLE, QUERIES, query, table  # noqa: F401
 
 
@@ -75,3 +75,10 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """What a mix of all sources takes of every document."""
     return mixing.Mix(table(spark, folder, "documents")).taken().select(
         F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@query()
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the runs of lines that repeat earlier ones."""
+    found = line_dedup.without_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.col("_units").alias("n_lines"), F.col("_deleted").alias("n_deleted"), "text")
