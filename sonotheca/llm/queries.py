@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonotheca.llm import decontamination, line_dedup, mixing, quality, simhash
+from sonotheca.llm import decontamination, line_dedup, mixing, quality, secrets, simhash
 from sonotheca.llm.registry import ORACLE, QUERIES, query, table  # noqa: F401
 
 
@@ -82,3 +82,22 @@ def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without the runs of lines that repeat earlier ones."""
     found = line_dedup.without_repeats(table(spark, folder, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.col("_units").alias("n_lines"), F.col("_deleted").alias("n_deleted"), "text")
+
+
+def _joined(spans):
+    """Spans as kind:start:end, comma-joined in their order."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def _count(spans, kind: str):
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
+
+
+@query()
+def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of every document, also those under layers of encoding."""
+    found = secrets.secrets(table(spark, folder, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), *(_count("base", k).alias(f"n_{k}") for k in ("assign", "access", "hex")),
+        F.sha2(_joined("base").cast("binary"), 256).alias("base_sha256"), _joined("spans").alias("spans"), "layers")
