@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonotheca.llm import decontamination, line_dedup, mixing, quality, secrets, simhash
+from sonotheca.llm import decontamination, line_dedup, mixing, quality, secrets, simhash, url_filter
 from sonotheca.llm.registry import ORACLE, QUERIES, query, table  # noqa: F401
 
 
@@ -101,3 +101,11 @@ def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         F.col("id").alias("doc_id"), *(_count("base", k).alias(f"n_{k}") for k in ("assign", "access", "hex")),
         F.sha2(_joined("base").cast("binary"), 256).alias("base_sha256"), _joined("spans").alias("spans"), "layers")
+
+
+@query()
+def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether every page's url is allowed, by rule or else by naive Bayes."""
+    found = url_filter.judged(table(spark, folder, "pages"))
+    return found.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict",
+                        F.array_join("words", " ").alias("host_words"), "score")
