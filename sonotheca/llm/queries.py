@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonotheca.llm import decontamination, line_dedup, mixing, quality, secrets, simhash, url_filter
+from sonotheca.llm import decontamination, graph_ann, line_dedup, mixing, quality, secrets, simhash, url_filter
 from sonotheca.llm.registry import ORACLE, QUERIES, query, table  # noqa: F401
+from sonotheca.session import written
 
 
 def held_out(remainder: int, modulus: int):
@@ -109,3 +110,13 @@ def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     found = url_filter.judged(table(spark, folder, "pages"))
     return found.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict",
                         F.array_join("words", " ").alias("host_words"), "score")
+
+
+@query()
+def op3_graph_ann(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 vectors with the largest inner product found for every 20th vector."""
+    vectors = table(spark, folder, "embeddings")
+    index = written(graph_ann.build_index(vectors), "index")
+    asked = graph_ann.candidates(vectors, "vec_id", "embedding").where("id % 20 = 0")
+    return graph_ann.search(index, asked, 20).select(
+        "query_id", "rank", F.col("id").alias("vec_id"), "score")
