@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonotheca.llm import decontamination, graph_ann, line_dedup, mixing, quality, secrets, simhash, url_filter
+from sonotheca.llm import decontamination, graph_ann, katz, line_dedup, mixing, quality, secrets, simhash, url_filter
 from sonotheca.llm.registry import ORACLE, QUERIES, query, table  # noqa: F401
 from sonotheca.session import written
 
@@ -120,3 +120,11 @@ def op3_graph_ann(spark: SparkSession, folder: str) -> DataFrame:
     asked = graph_ann.candidates(vectors, "vec_id", "embedding").where("id % 20 = 0")
     return graph_ann.search(index, asked, 20).select(
         "query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+@query()
+def op6_katz(spark: SparkSession, folder: str) -> DataFrame:
+    """Log10 probability of every document; ids with crc32 mod 7 = 2 are held out of the counts."""
+    found = katz.scored(table(spark, folder, "documents"), ~held_out(2, 7))
+    return found.select(F.col("id").alias("doc_id"), (~F.col("train")).alias("held_out"), "n_tokens", "n_known",
+                        "train_tokens", "base_score", "score")
