@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonotheca.llm import decontamination, graph_ann, katz, line_dedup, mixing, quality, secrets, simhash, url_filter
+from sonotheca.llm import decontamination, graph_ann, katz, line_dedup, mixing, pii, quality, secrets, simhash, url_filter
 from sonotheca.llm.registry import ORACLE, QUERIES, query, table  # noqa: F401
 from sonotheca.session import written
 
@@ -128,3 +128,16 @@ def op6_katz(spark: SparkSession, folder: str) -> DataFrame:
     found = katz.scored(table(spark, folder, "documents"), ~held_out(2, 7))
     return found.select(F.col("id").alias("doc_id"), (~F.col("train")).alias("held_out"), "n_tokens", "n_known",
                         "train_tokens", "base_score", "score")
+
+
+@query()
+def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of every document: fixed patterns, and what the model adds."""
+    kinds = F.array(*map(F.lit, pii.KINDS))
+    named = lambda spans: F.transform(spans, lambda s: F.struct(
+        F.get(kinds, s["kind"]).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    found = pii.personal_data(table(spark, folder, "documents")).select(
+        "id", named("base").alias("base"), named("spans").alias("spans"))
+    return found.select(
+        F.col("id").alias("doc_id"), *(_count("base", k).alias(f"n_{k}") for k in pii.KINDS),
+        F.sha2(_joined("base").cast("binary"), 256).alias("base_sha256"), _joined("spans").alias("spans"))
