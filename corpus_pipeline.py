@@ -12,6 +12,7 @@ pass through all stages but the last.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sonotheca.llm import decontamination, line_dedup, mixing, quality, simhash
 from sonotheca.llm.queries import held_out
@@ -25,8 +26,9 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later repeats of runs of lines go, and documents of which nothing is left."""
-    return line_dedup.deduplicated(docs)
+    """Later repeats of runs of lines go, and documents of which nothing is left; ``n_chars`` follows."""
+    kept = line_dedup.deduplicated(docs)
+    return kept.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in docs.columns else kept
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
