@@ -137,8 +137,9 @@ def contamination(
 ) -> DataFrame:
     """One row per document: ``id``, ``text_hash``, ``n_words``, ``spans``, ``items``.
 
-    ``spans`` are the maximal shared runs as (start, end, item) in words, ``items`` the
-    distinct ids of the items they come from, sorted as strings.
+    ``spans`` are the extended matches as (start, end) in words; a match is extended as far
+    as a window around its fingerprint reaches, so overlapping ones make up a longer run.
+    ``items`` are the distinct ids of the items they come from, sorted as strings.
     """
     spark = docs.sparkSession
     source = items.select(
