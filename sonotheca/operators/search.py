@@ -13,17 +13,19 @@ from pyspark.sql import functions as F
 from sonotheca.fixed_values import NEAREST_K, UNKNOWN_SOURCE
 from sonotheca.operators.embedding import Embedder, embed, offline_embedder
 from sonotheca.operators.ranking import first_per
+from sonotheca.session import written
 
-# Queries up to this many bytes of vectors are sent to every task; more are spread
-# over a grid of query and store cells instead.  Both ways are exact.  A query block
-# is the part of the queries whose distances to a batch are computed together.
+# Limits of one task: queries that are held together, stored vectors of one grid cell,
+# and queries whose distances to a batch are computed together.  They change no result.
+# Queries may only be sent to every task up to the broadcast limit.
 BROADCAST_BYTES = 64 * 1024 * 1024
+QUERY_CELL_ROWS = 8192
+STORE_CELL_ROWS = 500_000
 QUERY_BLOCK_ROWS = 1024
-TASKS_PER_CORE = 4
 
-# Distances are rounded to this many places before they are compared, so that
-# distances that are equal but for the order of additions tie and the id decides.
-DISTANCE_PLACES = 9
+# Distances are compared at this many binary digits of their own size, so that distances
+# that are equal but for the order of additions tie and the id decides.
+DISTANCE_BITS = 40
 
 _NEAR = pa.schema([("qid", pa.int64()), ("id", pa.string()), ("distance", pa.float64())])
 _NEAR_DDL = "qid BIGINT, id STRING, distance DOUBLE"
@@ -55,6 +57,12 @@ def _directions(vectors: np.ndarray, side: int) -> np.ndarray:
     return np.hstack([unit, extra])
 
 
+def _comparable(distance: np.ndarray) -> np.ndarray:
+    """Distances cut to ``DISTANCE_BITS`` significant binary digits."""
+    part, power = np.frexp(distance)
+    return np.ldexp(np.round(part * 2.0**DISTANCE_BITS), power - DISTANCE_BITS)
+
+
 def _closest(
     qids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int,
     bound: np.ndarray,
@@ -63,23 +71,30 @@ def _closest(
 
     One matrix product gives all distances but for rounding.  Whatever lies within
     the rounding error of the k-th, and of the ``bound`` reached by earlier vectors,
-    is measured again exactly and ranked.
+    is measured again exactly and ranked.  So are vectors whose squares overflow.
     """
     if queries.shape[1] != vectors.shape[1]:
         raise ValueError("queries and store differ in vector length")
-    q_norm, v_norm = (queries**2).sum(axis=1), (vectors**2).sum(axis=1)
-    slack = 1e-12 * (q_norm + v_norm.max()) + 10.0 ** (1 - DISTANCE_PLACES)
+    with np.errstate(over="ignore", invalid="ignore"):
+        q_norm, v_norm = (queries**2).sum(axis=1), (vectors**2).sum(axis=1)
+        huge = ~np.isfinite(v_norm)
+        slack = 1e-12 * (q_norm + v_norm[~huge].max(initial=0.0))
     top = min(k, len(ids))
     found = []
     for begin in range(0, len(qids), QUERY_BLOCK_ROWS):
         block = slice(begin, begin + QUERY_BLOCK_ROWS)
-        rough = q_norm[block, None] + v_norm[None, :] - 2.0 * (queries[block] @ vectors.T)
+        with np.errstate(over="ignore", invalid="ignore"):
+            rough = q_norm[block, None] + v_norm[None, :] - 2.0 * (queries[block] @ vectors.T)
+        rough[:, huge] = np.inf
         kth = np.partition(rough, top - 1, axis=1)[:, top - 1]
         reach = np.minimum(kth, bound[block]) + slack[block]
-        for row in np.flatnonzero(rough.min(axis=1) <= reach):
-            near = np.flatnonzero(rough[row] <= reach[row])
-            gap = vectors[near] - queries[begin + row]
-            exact = (gap * gap).sum(axis=1).round(DISTANCE_PLACES)
+        measured = ~np.isfinite(q_norm[block]) | huge.any() | (rough.min(axis=1) <= reach)
+        for row in np.flatnonzero(measured):
+            sure = np.isfinite(q_norm[begin + row])
+            near = np.flatnonzero((rough[row] <= reach[row]) | huge) if sure else np.arange(len(ids))
+            with np.errstate(over="ignore"):
+                gap = vectors[near] - queries[begin + row]
+                exact = _comparable((gap * gap).sum(axis=1))
             best = np.lexsort((ids[near], exact))[:top]
             found.append((np.full(len(best), qids[begin + row]), ids[near][best], exact[best]))
     return found
@@ -147,55 +162,63 @@ def _as_arrow(best: tuple) -> pa.RecordBatch:
     )
 
 
+def usable(vector: Column | str) -> Column:
+    """Whether a vector is there and all its components are finite."""
+    value = F.col(vector) if isinstance(vector, str) else vector
+    finite = F.forall(value, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    return F.coalesce(finite, F.lit(False))
+
+
+def unusable(vectors: DataFrame, key: str = "id") -> DataFrame:
+    """``key, reason`` of the rows that a search passes over, one by one."""
+    value = F.col("embedding").cast("array<double>")
+    reason = F.when(F.col("model").isNull(), "no model").when(value.isNull(), "no vector").otherwise("not finite")
+    return vectors.filter(F.col("model").isNull() | ~usable(value)).select(key, reason.alias("reason"))
+
+
 def nearest(
     queries: DataFrame, store: DataFrame, k: int = NEAREST_K, metric: str = "l2",
-    broadcast_bytes: int = BROADCAST_BYTES,
+    layout: str = "grid",
 ) -> DataFrame:
     """``qid, rank, id, distance`` of the ``k`` stored vectors nearest to every query.
 
     ``queries`` has ``qid, model, embedding``, ``store`` has ``id, model, embedding``
-    with unique ids; only vectors of the same model are compared.  ``metric`` is
-    ``l2`` (squared distance) or ``cosine``; equal distances rank by id.  The search
-    is exact: each task keeps ``k`` candidates per query and only these are shuffled.
-
-    Queries below ``broadcast_bytes`` are sent to the tasks and the store is scanned
-    in place.  More queries are hashed to cells of that size, which meet the store in
-    a grid of cells.
+    with unique ids; only vectors of the same model are compared, and a row without
+    model or with a vector that is missing or not finite takes no part (``unusable``
+    lists those).  ``metric`` is ``l2`` (squared distance) or ``cosine``; equal
+    distances rank by id.  The search is exact: each task keeps ``k`` candidates per
+    query and only these are shuffled.
+
+    ``layout`` only decides where the work is done.  ``grid`` works for any number of
+    queries: they are hashed to cells, which meet the store in a grid.  ``broadcast``
+    sends all queries to every task and scans the store in place; more than
+    ``BROADCAST_BYTES`` of them are refused.
     """
-    return _ranked(queries, store, k, metric, broadcast_bytes)[0]
-
-
-def _ranked(
-    queries: DataFrame, store: DataFrame, k: int, metric: str, broadcast_bytes: int
-) -> tuple[DataFrame, bool]:
-    """The hits, and whether their number is bounded by the broadcast check."""
     if metric not in ("l2", "cosine"):
         raise ValueError(f"unknown metric {metric}")
+    if layout not in ("grid", "broadcast"):
+        raise ValueError(f"unknown layout {layout}")
     cosine = metric == "cosine"
-    asked = queries.select(
-        F.col("qid").cast("bigint").alias("qid"), "model",
-        F.col("embedding").cast("array<double>").alias("embedding"),
-    )
-    stored = store.select(
-        F.col("id").cast("string").alias("id"), "model",
-        F.col("embedding").cast("array<double>").alias("embedding"),
-    )
-    one = asked.select(F.size("embedding")).first()
-    limit = max(1, broadcast_bytes // (8 * max(1, (one and one[0]) or 1)))
-    head = asked.limit(limit + 1).toArrow()
-    bounded = head.num_rows <= limit
-    if bounded:
-        candidates = _search_broadcast(_by_model(head, cosine), stored, k, cosine)
-    else:
-        candidates = _search_grid(asked, stored, k, cosine, limit)
-    best = first_per(candidates, ["qid"], [F.col("distance"), F.col("id")], k, rank_as="rank")
+    asked = written(_vectors(queries, "qid", "bigint"), "asked")
+    stored = _vectors(store, "id", "string")
+    scan = _search_broadcast if layout == "broadcast" else _search_grid
+    best = first_per(scan(asked, stored, k, cosine), ["qid"], [F.col("distance"), F.col("id")], k, rank_as="rank")
     distance = F.col("distance") / 2 if cosine else F.col("distance")
-    return best.select("qid", "rank", "id", distance.alias("distance")), bounded
+    return best.select("qid", "rank", "id", distance.alias("distance"))
+
+
+def _vectors(rows: DataFrame, key: str, kind: str) -> DataFrame:
+    cast = rows.select(
+        F.col(key).cast(kind).alias(key), "model", F.col("embedding").cast("array<double>").alias("embedding")
+    )
+    return cast.filter(F.col("model").isNotNull() & usable("embedding"))
 
 
-def _search_broadcast(queries: dict, stored: DataFrame, k: int, cosine: bool) -> DataFrame:
-    context = stored.sparkSession.sparkContext
-    shared = context.broadcast(queries)
+def _search_broadcast(asked: DataFrame, stored: DataFrame, k: int, cosine: bool) -> DataFrame:
+    size = 8 * (asked.agg(F.sum(F.size("embedding"))).first()[0] or 0)
+    if size > BROADCAST_BYTES:
+        raise ValueError(f"{size} bytes of queries exceed the broadcast limit; use layout='grid'")
+    shared = stored.sparkSession.sparkContext.broadcast(_by_model(asked.toArrow(), cosine))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = None
@@ -204,23 +227,20 @@ def _search_broadcast(queries: dict, stored: DataFrame, k: int, cosine: bool) ->
         if best:
             yield _as_arrow(best)
 
-    # Every task returns k candidates per query, so a few long tasks per core are
-    # enough.  Fewer partitions than that stay as they are, and nothing is shuffled.
-    long_tasks = stored.coalesce(TASKS_PER_CORE * context.defaultParallelism)
-    return long_tasks.mapInArrow(scan, _NEAR_DDL)
+    return stored.mapInArrow(scan, _NEAR_DDL)
 
 
-def _search_grid(
-    asked: DataFrame, stored: DataFrame, k: int, cosine: bool, cell_rows: int
-) -> DataFrame:
+def _search_grid(asked: DataFrame, stored: DataFrame, k: int, cosine: bool) -> DataFrame:
     """Every query cell meets every store cell in one place, without broadcast or driver.
 
-    A cell pair receives its queries first and then streams its share of the store,
-    so a task holds one query cell and one batch, however large the store is.
+    Both numbers of cells follow the tables.  A cell pair is one partition: it receives
+    its queries first and then streams its share of the store, so a task holds one query
+    cell and one batch, and no task sorts more than a cell of the store.
     """
-    tasks = TASKS_PER_CORE * asked.sparkSession.sparkContext.defaultParallelism
-    q_cells = max(1, -(-asked.count() // cell_rows))
-    s_cells = max(1, -(-tasks // q_cells))
+    q_cells = max(1, -(-asked.count() // QUERY_CELL_ROWS))
+    s_cells = max(1, -(-stored.count() // STORE_CELL_ROWS))
+    cores = asked.sparkSession.sparkContext.defaultParallelism
+    s_cells = max(s_cells, -(-cores // q_cells))
 
     def hashed(key: str, cells: int) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(cells)).cast("int")
@@ -233,9 +253,9 @@ def _search_grid(
     rows = left.withColumn("stored", F.lit(0)).unionByName(
         right.withColumn("stored", F.lit(1)), allowMissingColumns=True
     )
-    placed = rows.repartition(q_cells * s_cells, "q_cell", "s_cell").sortWithinPartitions(
-        "q_cell", "s_cell", "stored"
-    )
+    placed = rows.repartitionById(
+        q_cells * s_cells, F.col("q_cell") * s_cells + F.col("s_cell")
+    ).sortWithinPartitions("q_cell", "s_cell", "stored")
 
     def scan_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell, held, queries, best = None, [], None, None
@@ -267,11 +287,11 @@ def _cell_pieces(batch: pa.RecordBatch) -> Iterator[tuple[tuple, bool, pa.Record
             yield (q_cell, s_cell), bool(stored), batch.slice(begin, end - begin)
 
 
-def require_same_model(queries: DataFrame, store: DataFrame) -> None:
-    """Refuse queries whose model did not fill the store; an empty store is fine."""
-    known = store.select("model").distinct()
+def require_same_model(queries: DataFrame, models: DataFrame) -> None:
+    """Refuse queries whose model filled none of ``models``; an empty table is fine."""
+    known = models.select("model").distinct()
     stranger = queries.select("model").distinct().join(known, "model", "left_anti").first()
-    if stranger is not None and not store.isEmpty():
+    if stranger is not None and not known.isEmpty():
         raise ValueError(f"the store holds no vectors of model {stranger['model']!r}")
 
 
@@ -298,18 +318,19 @@ def label_source(results: DataFrame, metadata: str = "metadata") -> DataFrame:
 
 def search(
     queries: DataFrame, store: DataFrame, k: int = NEAREST_K, embedder: Embedder | None = None,
-    metric: str = "l2", text: str = "text",
+    metric: str = "l2", text: str = "text", layout: str = "grid", models: DataFrame | None = None,
 ) -> DataFrame:
     """``qid, rank, id, distance, document, source`` of the nearest chunks to query texts.
 
-    The documents are fetched for the few winning ids only, after the search has
-    read nothing but ids and vectors.  No neighbours give an empty result.
+    The questions are embedded once, and the hits are a table, so Spark knows its size
+    when it fetches the documents of the winning ids.  ``models`` names a small table
+    with the ``model`` of the store, for example its ``collections``; without it the
+    store's own column is read.  No neighbours give an empty result.
     """
-    asked = embed(queries.select("qid", text), text, embedder or offline_embedder())
-    require_same_model(asked, store)
-    hits, bounded = _ranked(asked, store, k, metric, BROADCAST_BYTES)
-    if bounded:  # at most k hits for each of the counted queries
-        hits = F.broadcast(hits)
+    chosen = embedder or offline_embedder()
+    asked = written(embed(queries.select("qid", text), text, chosen), "questions")
+    require_same_model(asked, store if models is None else models)
+    hits = written(nearest(asked, store, k, metric, layout), "hits")
     shown = [c for c in ("document", "metadata") if c in store.columns]
     found = hits.join(store.select("id", *shown), "id")
     if "metadata" in shown:
@@ -318,5 +339,3 @@ def search(
         found = found.withColumn("source", F.lit(UNKNOWN_SOURCE))
     first = ["qid", "rank", "id", "distance", "document", "source"]
     return found.select(*first, *[c for c in found.columns if c not in first])
-
-

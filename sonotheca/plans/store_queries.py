@@ -105,13 +105,13 @@ _L2_SQL = _nearest_sql("list_distance(e.embedding::DOUBLE[], c.centre) ^ 2")
 
 @query(_L2_SQL)
 def nearest(t: Tables) -> DataFrame:
-    return _rounded(se.nearest(_centres(t), _stored_vectors(t)))
+    return _rounded(se.nearest(_centres(t), _stored_vectors(t), layout="broadcast"))
 
 
 @query(_L2_SQL)
 def nearest_grid(t: Tables) -> DataFrame:
-    """The same through the grid of cells, as used for more queries than fit a broadcast."""
-    return _rounded(se.nearest(_centres(t), _stored_vectors(t), broadcast_bytes=5 * 64 * 8))
+    """The same through the grid of cells, which takes any number of queries."""
+    return _rounded(se.nearest(_centres(t), _stored_vectors(t)))
 
 
 @query(_nearest_sql("1 - list_cosine_similarity(e.embedding::DOUBLE[], c.centre)"))
@@ -119,12 +119,47 @@ def nearest_cosine(t: Tables) -> DataFrame:
     return _rounded(se.nearest(_centres(t), _stored_vectors(t), metric="cosine"))
 
 
+@query(_L2_SQL.replace("e.embedding::DOUBLE[]", "list_transform(e.embedding::DOUBLE[], lambda x: x * 1e-5)")
+       .replace("c.centre)", "list_transform(c.centre, lambda x: x * 1e-5))").replace(", 9)", ", 19)")
+       .replace("round(distance, 6)", "round(distance * 1e10, 6)"))
+def nearest_small(t: Tables) -> DataFrame:
+    """Vectors a hundred thousand times smaller rank as the others do."""
+    small = lambda df: df.withColumn("embedding", F.transform("embedding", lambda x: x * 1e-5))
+    hits = se.nearest(small(_centres(t)), small(_stored_vectors(t)))
+    return hits.withColumn("distance", F.round(F.col("distance") * 1e10, 6))
+
+
+@query(_L2_SQL.replace("FROM centres c, embeddings e", "FROM centres c, embeddings e WHERE e.vec_id % 5 > 2"))
+def nearest_uneven(t: Tables) -> DataFrame:
+    """Rows whose vector is missing or not finite are passed over, one by one."""
+    number = F.substring("id", 5, 12).cast("bigint") % 5
+    first = lambda bad: F.transform("embedding", lambda x, i: F.when(i == 0, bad).otherwise(x))
+    odd = _stored_vectors(t).withColumn(
+        "embedding", F.when(number == 0, F.lit(None)).when(number == 1, first(F.lit(float("nan"))))
+        .when(number == 2, first(F.lit(None).cast("double"))).otherwise(F.col("embedding")))
+    return _rounded(se.nearest(_centres(t), odd, layout="broadcast"))
+
+
 @query("""
-SELECT label::BIGINT AS qid, 1 AS rank, '' AS id, 0.0::DOUBLE AS distance
-FROM embeddings WHERE label <> label""")
+WITH pairs AS (
+  SELECT a.vec_id AS qid, 'vec_' || lpad(b.vec_id::VARCHAR, 12, '0') AS id,
+         round(list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) ^ 2, 9) AS distance
+  FROM embeddings a, embeddings b)
+SELECT qid, rank, id, round(distance, 6) + 0.0 AS distance FROM (
+  SELECT *, row_number() OVER (PARTITION BY qid ORDER BY distance, id) AS rank FROM pairs)
+WHERE rank <= 2""")
+def nearest_many(t: Tables) -> DataFrame:
+    """Every vector as a query, through the grid."""
+    asked = spread(t.embeddings).select(F.col("vec_id").alias("qid"), F.lit("given").alias("model"), "embedding")
+    hits = se.nearest(asked, _stored_vectors(t), k=2)
+    return hits.withColumn("distance", F.round("distance", 6) + 0.0)
+
+
+@query(f"SELECT * FROM ({_L2_SQL}) WHERE qid % 2 = 0")
 def no_neighbours(t: Tables) -> DataFrame:
-    """Queries of a model that filled nothing find nothing, without an error."""
-    return se.nearest(_centres(t).withColumn("model", F.lit("other")), _stored_vectors(t))
+    """Queries of a model that filled nothing find nothing; those beside them do."""
+    asked = _centres(t).withColumn("model", F.when(F.col("qid") % 2 == 0, "given").otherwise("other"))
+    return _rounded(se.nearest(asked, _stored_vectors(t)))
 
 
 def doc_metadata() -> Column:
@@ -170,7 +205,7 @@ SELECT {columns} FROM hits h JOIN documents d ON h.doc_id = d.doc_id"""
 def search(t: Tables) -> DataFrame:
     """The three chunks nearest to every benchmark text."""
     asked = t.benchmark.select(F.col("item_id").alias("qid"), "text")
-    hits = se.search(asked, chunk_store(t))
+    hits = se.search(asked, chunk_store(t), layout="broadcast")
     return hits.select(
         "qid", "rank", "id", (F.round("distance", 6) + 0.0).alias("distance"), "document"
     )
@@ -182,7 +217,7 @@ def search(t: Tables) -> DataFrame:
 def label_source(t: Tables) -> DataFrame:
     """The same hits with the labels shown to the user."""
     asked = t.benchmark.select(F.col("item_id").alias("qid"), "text")
-    return se.search(asked, chunk_store(t)).select("qid", "rank", "source", "podcast", "title")
+    return se.search(asked, chunk_store(t), layout="broadcast").select("qid", "rank", "source", "podcast", "title")
 
 
 @query("SELECT item_id AS qid, item_id % 3 <> 0 AS comparable FROM benchmark")

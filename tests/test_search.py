@@ -88,16 +88,18 @@ def random_sets(spark):
 def brute(queries, store, k, distance):
     out = set()
     for qid, model, q in queries:
-        ranked = sorted((round(distance(np.array(q), np.array(v)), 9), i) for i, m, v in store if m == model)
+        ranked = sorted((distance(np.array(q), np.array(v)), i) for i, m, v in store if m == model)
         out |= {(qid, rank, i, d) for rank, (d, i) in enumerate(ranked[:k], 1)}
     return out
 
 
-@pytest.mark.parametrize("limit", [se.BROADCAST_BYTES, 8 * 4 * 10])
+@pytest.mark.parametrize("layout", ["broadcast", "grid"])
 @pytest.mark.parametrize("k", [1, 7, 500])
-def test_nearest_is_exact_with_ties_by_id(random_sets, limit, k):
+def test_nearest_is_exact_with_ties_by_id(random_sets, layout, k, monkeypatch):
+    monkeypatch.setattr(se, "QUERY_CELL_ROWS", 10)
+    monkeypatch.setattr(se, "STORE_CELL_ROWS", 70)
     queries, store, q_rows, s_rows = random_sets
-    got = {tuple(r) for r in se.nearest(queries, store, k, broadcast_bytes=limit).collect()}
+    got = {tuple(r) for r in se.nearest(queries, store, k, layout=layout).collect()}
     assert got == brute(q_rows, s_rows, k, lambda a, b: ((a - b) ** 2).sum())
 
 
@@ -107,8 +109,8 @@ def test_small_blocks_and_batches(random_sets, monkeypatch, spark):
     queries, store, q_rows, s_rows = random_sets
     want = brute(q_rows, s_rows, 3, lambda a, b: ((a - b) ** 2).sum())
     try:
-        for limit in (se.BROADCAST_BYTES, 8 * 4 * 10):
-            hits = se.nearest(queries, store, 3, broadcast_bytes=limit)
+        for layout in ("broadcast", "grid"):
+            hits = se.nearest(queries, store, 3, layout=layout)
             assert {tuple(r) for r in hits.collect()} == want
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
@@ -139,6 +141,41 @@ def test_zero_vectors_have_no_direction(spark):
     assert got == [(1, "weak", 0.552786), (1, "blank", 1.0), (2, "blank", 1.0), (2, "weak", 1.0)]
 
 
+@pytest.mark.parametrize("layout", ["broadcast", "grid"])
+def test_odd_vectors_are_passed_over_one_by_one(spark, layout):
+    nan, inf = float("nan"), float("inf")
+    store = spark.createDataFrame(
+        [("a", "m", [1.0, 0.0]), ("b", "m", [nan, 0.0]), ("c", "m", [0.0, 1.0]), ("d", "m", [inf, 0.0]),
+         ("e", "m", [None, 1.0]), ("f", "m", None), ("g", None, [1.0, 0.0]), ("h", "m", [1e200, 0.0]), ("i", "m", [2.0, 0.0])],
+        "id STRING, model STRING, embedding ARRAY<DOUBLE>",
+    ).coalesce(1)
+    asked = spark.createDataFrame(
+        [(1, "m", None), (2, "m", [1.0, 0.0]), (3, "m", [nan, 1.0]), (4, "m", [1e200, 1.0])],
+        "qid INT, model STRING, embedding ARRAY<DOUBLE>",
+    ).coalesce(1)
+    rows = se.nearest(asked, store, 3, layout=layout).orderBy("qid", "rank").collect()
+    assert [(r.qid, r.id) for r in rows] == [(2, "a"), (2, "i"), (2, "c"), (4, "h"), (4, "a"), (4, "c")]
+    reasons = {r.id: r.reason for r in se.unusable(store).collect()}
+    assert reasons == {"b": "not finite", "d": "not finite", "e": "not finite", "f": "no vector", "g": "no model"}
+
+
+@pytest.mark.parametrize("scale", [1e-5, 1.0, 1e100])
+def test_order_does_not_depend_on_the_scale(spark, scale):
+    rng = np.random.default_rng(2)
+    points, question = rng.normal(size=(60, 5)) * scale, rng.normal(size=5) * scale
+    store = spark.createDataFrame(
+        [(f"v{i:02}", "m", p.tolist()) for i, p in enumerate(points)], "id STRING, model STRING, embedding ARRAY<DOUBLE>")
+    asked = spark.createDataFrame([(1, "m", question.tolist())], "qid INT, model STRING, embedding ARRAY<DOUBLE>")
+    got = [r.id for r in se.nearest(asked, store, 10).orderBy("rank").collect()]
+    assert got == [f"v{i:02}" for i in np.argsort(((points - question) ** 2).sum(axis=1))[:10]]
+
+
+def test_too_many_queries_for_a_broadcast_are_refused(random_sets, monkeypatch):
+    monkeypatch.setattr(se, "BROADCAST_BYTES", 100)
+    with pytest.raises(ValueError, match="grid"):
+        se.nearest(*random_sets[:2], layout="broadcast")
+
+
 def test_vectors_of_different_length_are_refused(spark):
     store = spark.createDataFrame(
         [("a", "m", [0.0]), ("b", "m", [1.0, 2.0, 3.0])], "id STRING, model STRING, embedding ARRAY<DOUBLE>"
@@ -162,7 +199,7 @@ def test_distance_expression_agrees(spark):
 
 def test_plan_prunes_before_the_shuffle(random_sets, plan_of):
     queries, store, _, _ = random_sets
-    plan = plan_of(se.nearest(queries, store))
+    plan = plan_of(se.nearest(queries, store, layout="broadcast"))
     assert plan.count("WindowGroupLimit") == 2 and "MapInArrow" in plan
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
