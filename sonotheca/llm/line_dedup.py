@@ -38,6 +38,8 @@ PLAIN = 5
 LEAST = 20
 #: Units end at a line break, or at white space after a full stop, exclamation or question mark.
 _UNIT_END = r"(?<=\n)|(?<=[.!?][ \t])"
+#: The same places, taking the character before them along; tried at white space only.
+_SEPARATOR = r"[\n \t](?<=\n|[.!?][ \t])"
 
 
 def units(text: Column) -> Column:
@@ -45,11 +47,14 @@ def units(text: Column) -> Column:
     return F.split(text, _UNIT_END, -1)
 
 
-def _words(unit: Column) -> Column:
-    """Words of a unit, counted by its single spaces after trimming."""
-    bare = F.trim(F.translate(unit, "\t\n\u000b\f\r", "     "))
-    return F.when(F.length(bare) == 0, 0).otherwise(
-        F.length(bare) - F.length(F.replace(bare, F.lit(" "))) + 1).cast("int")
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _words(bare: Column) -> Column:
+    """Words of a trimmed unit, counted by its spaces."""
+    return F.when(bare == "", 0).otherwise(F.length(bare) - F.length(F.replace(bare, F.lit(" "))) + 1).cast("int")
 
 
 def _key(id_col: str, text_col: str) -> Column:
@@ -65,14 +70,13 @@ def _hashed(docs: DataFrame, id_col: str, text_col: str, plain: int) -> DataFram
     """
     high, low = F.lit(-(1 << 63)), F.lit((1 << 63) - 1)
 
-    def hashed(unit: Column) -> Column:
-        number = F.xxhash64(F.trim(F.translate(unit, "\t\n\u000b\f\r", "     ")))
-        words = _words(unit)
-        return F.struct(F.when(words >= plain, number.bitwiseOR(high)).otherwise(number.bitwiseAND(low)).alias("h"),
-                        words.alias("w"))
+    def hashed(bare: Column) -> Column:
+        return _let(F.struct(F.xxhash64(bare).alias("h"), _words(bare).alias("w")), lambda u: F.struct(
+            F.when(u["w"] >= plain, u["h"].bitwiseOR(high)).otherwise(u["h"].bitwiseAND(low)).alias("h"), u["w"].alias("w")))
 
     parts = docs.where(F.col(text_col) != "").select(
-        _key(id_col, text_col).alias("k"), F.transform(units(F.col(text_col)), hashed).alias("u"))
+        _key(id_col, text_col).alias("k"),
+        F.transform(F.split(F.col(text_col), _SEPARATOR, -1), lambda unit: _let(F.trim(unit), hashed)).alias("u"))
     return parts.select("k", F.col("u.h").alias("hashes"), F.col("u.w").alias("words"))
 
 
@@ -89,11 +93,6 @@ def _selected(window: int, least: int) -> Column:
     return F.array_distinct(F.concat(F.transform(starts, smallest), long))
 
 
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _runs(least: int) -> Column:
     """Maximal equal runs of at least ``least`` words, as (start, end) in the later document.
 
@@ -122,7 +121,10 @@ def repeated_runs(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     window: int = WINDOW, plain: int = PLAIN, least: int = LEAST,
 ) -> DataFrame:
-    """``k`` (no_id, id, text_hash) and ``runs``: the unit ranges that repeat something earlier."""
+    """``k`` (no_id, id, text_hash), ``n_units`` and ``runs`` of every different document with text.
+
+    ``runs`` are the unit ranges that repeat something earlier; null if there are none.
+    """
     hashed = written(_hashed(docs, id_col, text_col, plain), "units")
     if hashed.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").head(1):
         hashed = written(hashed.dropDuplicates(["k"]), "units")
@@ -144,7 +146,8 @@ def repeated_runs(
     sources = hashed.select(F.col("k").alias("source_k"), F.col("hashes").alias("source"))
     with_source = written(matches.join(sources, "source_k").select("k", "shift", "source"), "matched")
     runs = with_source.join(hashed, "k").select("k", _runs(least).alias("runs")).where(F.size("runs") > 0)
-    return runs.groupBy("k").agg(F.array_distinct(F.flatten(F.collect_list("runs"))).alias("runs"))
+    found = runs.groupBy("k").agg(F.array_distinct(F.flatten(F.collect_list("runs"))).alias("runs"))
+    return hashed.select("k", F.size("hashes").alias("n_units")).join(found, "k", "left")
 
 
 def without_repeats(
@@ -156,13 +159,12 @@ def without_repeats(
     parts = units(F.col(text_col))
     kept = F.filter(parts, lambda u, i: ~F.exists("_runs", lambda r: (i >= r["start"]) & (i < r["end"])))
     changed = F.col("_runs").isNotNull()
-    runs = runs.select(F.col("k").alias("_k"), F.col("runs").alias("_runs"))
+    runs = runs.select(F.col("k").alias("_k"), F.col("runs").alias("_runs"), F.col("n_units").alias("_n"))
     joined = docs.join(runs, _key(id_col, text_col) == F.col("_k"), "left")
     own = [F.when(changed, F.array_join(kept, "")).otherwise(F.col(c)).alias(c) if c == text_col else F.col(c)
            for c in docs.columns]
-    n_units = F.when(F.length(text_col) > 0, F.size(parts)).otherwise(0)
     covered = F.array_distinct(F.flatten(F.transform("_runs", lambda r: F.sequence(r["start"], r["end"] - 1))))
-    return joined.select(*own, n_units.cast("bigint").alias("_units"),
+    return joined.select(*own, F.coalesce("_n", F.lit(0)).cast("bigint").alias("_units"),
                          F.when(changed, F.size(covered)).otherwise(0).cast("bigint").alias("_deleted"))
 
 
