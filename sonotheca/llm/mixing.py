@@ -2,9 +2,9 @@
 
 1. **Pack.** The words of a source, document after document, are one stream cut into
    blocks of ``block`` words.  A document's offset is a running sum in two levels: over
-   the totals of hashed buckets of the source, then inside a bucket.  The number of
-   buckets follows the number of rows, so a task sorts about ``BUCKET_ROWS`` rows however
-   large one source is.
+   the totals of hashed buckets of the source, then inside a bucket.  There are as many
+   buckets as rows in a bucket, the square root of all rows, so no task sorts more than
+   that however large one source is.
 2. **Draw.** The mix is ``n`` slots in output shards of ``shard`` slots.  Each shard takes
    the whole part of its expected count from every source and draws the rest from the
    multinomial distribution over the fractions: each drawn slot is one equi-join.  Whole parts keep the noise of the draw below one slot per shard and source.
@@ -27,6 +27,8 @@ dealt in any order.  Other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,7 +40,8 @@ WEIGHTS = (5, 2, 1)
 TOTAL = 1.5
 MOST = 2
 ROUNDS = 16
-BUCKET_ROWS = 20_000
+#: Slots that one task numbers.
+TASK_SLOTS = 100_000
 #: Words between white space.
 _WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -107,7 +110,8 @@ class Mix:
             docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
                         F.xxhash64(text_col).alias("text_hash"), n_words(F.col(text_col)).alias("size")), "sizes")
         self.sources = written(self._sources(sized, weights, total), "sources")
-        self.buckets = max(1, -(-sized.count() // BUCKET_ROWS) * 2)
+        # as many buckets as rows in a bucket: neither the sums over buckets nor a bucket get large
+        self.buckets = math.isqrt(sized.count()) + 1
         self.starts = written(self._starts(sized), "starts")
         with_words = sized.where("size > 0").withColumn("bucket", self._bucket())
         self.placed = written(self._place(with_words, self.starts), "placed")
@@ -173,7 +177,9 @@ class Mix:
             sure.select("place", F.col("out_shard").cast("bigint"), "n").unionByName(counts.select("place", "out_shard", "n"))
             .groupBy("place", "out_shard").agg(F.sum("n").alias("n")), "shard-counts")
         before = Window.partitionBy("place").orderBy("out_shard").rowsBetween(Window.unboundedPreceding, -1)
-        numbered = per_shard.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        numbered = written(per_shard.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0))), "numbered")
+        # few rows that make many slots: dealt out by their number of slots
+        numbered = numbered.repartition(max(1, int(-(-(all_slots or 0) // TASK_SLOTS))))
         each = numbered.select("place", "out_shard", F.explode(F.sequence("first", F.col("first") + F.col("n") - 1)).alias("nth"))
         index = permuted(F.pmod("nth", "n_blocks"), F.col("n_blocks"), F.col("place") * 31 + self.seed)
         return each.join(plan.select("place", "n_blocks"), "place").where(F.col("nth") < F.col("n_blocks") * self.most) \
