@@ -14,6 +14,10 @@ PART_SECONDS = 600
 TRANSCRIPT_LANGUAGE = "fr"
 TRANSCRIPT_MODEL = "whisper-large-v3"
 
+# Texts of errors that results are compared by.
+TOO_LARGE = ("File too large: ", "MB")
+NOT_SPLIT = "Failed to split audio file"
+
 # Quotas of the transcription service.
 REQUESTS_PER_MINUTE = 20
 REQUESTS_PER_DAY = 2000

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sonotheca.fixed_values import AUDIO_SUFFIXES, MAX_UPLOAD_BYTES, SAFE_UPLOAD_MIB
+from sonotheca.fixed_values import AUDIO_SUFFIXES, MAX_UPLOAD_BYTES, SAFE_UPLOAD_MIB, TOO_LARGE
 from sonotheca.functions.text import _col
 
 
@@ -42,7 +42,7 @@ def size_error(n_bytes: Column | str, auto_split: bool = True) -> Column:
     mib = F.format_string("%.1f", _col(n_bytes) / F.lit(1048576.0))
     return F.when(
         size_class(n_bytes, auto_split) == "too_large",
-        F.concat(F.lit("File too large: "), mib, F.lit("MB")),
+        F.concat(F.lit(TOO_LARGE[0]), mib, F.lit(TOO_LARGE[1])),
     )
 
 

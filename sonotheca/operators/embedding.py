@@ -19,12 +19,14 @@ class Embedder:
     """A named way to turn a text column into a vector column.
 
     The name is stored with every vector, so that queries can be checked against
-    the model that filled the store.
+    the model that filled the store.  With ``may_fail`` the column is a struct of
+    ``embedding`` and ``error``.
     """
 
-    def __init__(self, name: str, column: Callable[[Column], Column]):
+    def __init__(self, name: str, column: Callable[[Column], Column], may_fail: bool = False):
         self.name = name
         self.column = column
+        self.may_fail = may_fail
 
 
 def offline_embedder(dim: int = EMBEDDING_DIM) -> Embedder:
@@ -48,25 +50,48 @@ def model_embedder(name: str, load: Callable[[], Callable[[list[str]], list]]) -
     """An embedder around a model.
 
     ``load()`` runs once per task and returns a function from a list of texts to
-    one raw output per text, each with 1, 2 or 3 dimensions.
+    one raw output per text, each with 1, 2 or 3 dimensions.  Where it fails on a
+    list, its texts are tried one by one, and a text that fails alone has an
+    ``error`` instead of a vector.
     """
 
-    @F.pandas_udf("array<double>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def one(model: Callable, text: str) -> tuple:
+        try:
+            (raw,) = model([text])
+            return _pooled(raw), None
+        except Exception as problem:  # one bad text must not end the batch
+            return None, str(problem) or type(problem).__name__
+
+    def every(model: Callable, texts: list) -> list[tuple]:
+        try:
+            outputs = [(_pooled(raw), None) for raw in model(texts)]
+        except Exception:
+            outputs = []
+        return outputs if len(outputs) == len(texts) else [one(model, text) for text in texts]
+
+    @F.pandas_udf("embedding array<double>, error string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = load()
         for texts in batches:
-            outputs = model(texts.tolist()) if len(texts) else []
-            yield pd.Series([_pooled(raw) for raw in outputs], index=texts.index, dtype="object")
+            outputs = every(model, texts.tolist()) if len(texts) else []
+            yield pd.DataFrame(outputs, columns=["embedding", "error"], index=texts.index, dtype="object")
 
-    return Embedder(name, run)
+    return Embedder(name, run, may_fail=True)
 
 
 def embed(df: DataFrame, text: str = "document", embedder: Embedder | None = None) -> DataFrame:
-    """Adds ``embedding`` and ``model``; an empty input gives an empty output."""
+    """Adds ``embedding``, ``model`` and ``embed_error``; an empty input gives an empty output.
+
+    A text that the model refuses has no vector but an error.  Write the result once
+    before using it twice: every use runs the model again.
+    """
     chosen = embedder or offline_embedder()
-    return df.withColumn("embedding", chosen.column(F.col(text))).withColumn(
-        "model", F.lit(chosen.name)
-    )
+    if not chosen.may_fail:
+        vector, error = chosen.column(F.col(text)), F.lit(None).cast("string")
+        return df.withColumns({"embedding": vector, "model": F.lit(chosen.name), "embed_error": error})
+    return df.withColumn("_made", chosen.column(F.col(text))).withColumns({
+        "embedding": F.col("_made.embedding"), "model": F.lit(chosen.name), "embed_error": F.col("_made.error"),
+    }).drop("_made")
 
 
 def pool(raw: Column | str, ndim: int) -> Column:

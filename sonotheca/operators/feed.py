@@ -28,20 +28,23 @@ def read_mark(collections: DataFrame, marks: DataFrame, key: str = "collection")
 def new_since(items: DataFrame, marks: DataFrame, key: str = "feed_id") -> DataFrame:
     """Dated items strictly after the mark of their feed; undated items are dropped.
 
-    ``marks`` holds ``key`` and ``published_ts``.  A feed without mark starts at
-    the default.  The earliest mark is a lower bound for every feed and reaches
-    the scan as a pushed filter; the exact test follows on the join.
+    ``marks`` holds ``key`` and ``published_ts``.  The earliest mark bounds all feeds
+    that have one and reaches the scan as a pushed filter; the exact test follows on the
+    join.  Feeds without mark start at the default, in a branch of their own that is
+    only there if a look at the keys finds such feeds.
     """
     kind = items.schema["published_ts"].dataType
-    default = F.lit(DEFAULT_MARK).cast(kind)
-    stored = marks.groupBy(key).agg(F.max("published_ts").cast(kind).alias("_mark"))
-    earliest = stored.agg(F.least(F.min("_mark"), default)).scalar()
-    return (
-        items.filter(F.col("published_ts") > earliest)
-        .join(stored, key, "left")
-        .filter(F.col("published_ts") > F.coalesce("_mark", default))
-        .drop("_mark")
+    stored = marks.groupBy(key).agg(F.max("published_ts").cast(kind).alias("_mark")).filter("_mark IS NOT NULL")
+    earliest = stored.agg(F.min("_mark")).scalar()
+    marked = (
+        items.filter(F.col("published_ts") > earliest).join(stored, key)
+        .filter(F.col("published_ts") > F.col("_mark")).select(*items.columns)
     )
+    without = items.select(key).distinct().join(stored, key, "left_anti")
+    if without.isEmpty():
+        return marked
+    fresh = items.filter(F.col("published_ts") > F.lit(DEFAULT_MARK).cast(kind))
+    return marked.unionByName(fresh.join(stored.select(key), key, "left_anti").select(*items.columns))
 
 
 def oldest_first(

@@ -3,21 +3,21 @@
 Layout below one root folder, all Parquet:
 
 - ``collections``: the model of each collection
-- ``batches``: written chunks (partitioned by ``collection`` and ``batch_seq``)
-- ``base/<collection>/<upto>``: a compacted current view, with its pointer in ``bases``
-- ``marks``: publication marks (partitioned by ``batch_seq``)
-- ``selected/<batch_seq>``: the episodes a run took on
-- ``transcripts``: every item a run handled, with its text or its error
-  (partitioned by ``batch_seq``)
-
-Nothing is ever rewritten while it may be read, except that writing a batch again
-replaces that batch.  On a lakehouse table the same upsert is one ``MERGE INTO``.
+- ``runs``: the number of every batch that was begun
+- ``batches/batch_seq=<n>``: written chunks, partitioned by a bounded hash of the collection
+- ``base/<version>``: a compacted current view, with its pointer in ``bases``; ``replays``
+  says which batches were written again since
+- ``marks/batch_seq=<n>``: the publication marks a batch moved
+- ``selected/<n>``: the episodes a run took on
+- ``transcripts/batch_seq=<n>``: every item a run handled, with its text or its error;
+  ``failures/batch_seq=<n>``: those whose text could not be embedded
+
+A batch is replaced as a whole when it is written again, also by an empty one; nothing
+else is ever rewritten.  On a lakehouse table the same upsert is one ``MERGE INTO``.
 """
 
 from __future__ import annotations
 
-from urllib.parse import quote
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,10 +25,17 @@ from pyspark.sql import types as T
 
 from sonotheca.fixed_values import EPISODE_FIELDS
 from sonotheca.operators.ranking import first_per
-from sonotheca.schemas import BASES, CHUNKS, COLLECTIONS, STORED_MARKS, TRANSCRIPTS
+from sonotheca.schemas import (
+    BASES, CHUNKS, COLLECTIONS, FAILURES, REPLAYS, RUNS, STORED_MARKS, TRANSCRIPTS,
+)
+from sonotheca.session import written
 
 _KEY = ["collection", "id"]
 
+#: Partitions of a batch, however many collections there are.
+BUCKETS = 64
+_BUCKETED = T.StructType(CHUNKS.fields + [T.StructField("bucket", T.IntegerType())])
+
 
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A table of the store; one that was never written is empty."""
@@ -40,12 +47,30 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def _write(df: DataFrame, path: str, *partitions: str) -> None:
-    """Replace exactly the partitions that occur in ``df``."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def _replace(df: DataFrame, path: str, *partitions: str) -> None:
+    """Replace everything at ``path``, also by nothing."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     writer.partitionBy(*partitions).parquet(path)
 
 
+def _batch(path: str, batch_seq: int) -> str:
+    return f"{path}/batch_seq={batch_seq}"
+
+
+def _bucket(collection: Column) -> Column:
+    return F.pmod(F.xxhash64(collection), F.lit(BUCKETS)).cast("int")
+
+
+def _write_bucketed(chunks: DataFrame, path: str) -> None:
+    """Chunks in partitions of ``bucket``, sorted by key.
+
+    ``rebalance`` puts a bucket into one task, or into several if it is large, so the
+    number of files follows the data and not the number of collections or tasks.
+    """
+    rows = chunks.withColumn("bucket", _bucket(F.col("collection"))).hint("rebalance", "bucket")
+    _replace(rows.sortWithinPartitions("bucket", *_KEY), path, "bucket")
+
+
 def open_collection(
     spark: SparkSession, root: str, collection: str, model: str | None = None, create: bool = True
 ) -> DataFrame:
@@ -77,8 +102,16 @@ def register_collections(
     new.write.mode("append").parquet(f"{root}/collections")
 
 
-def read_batches(spark: SparkSession, root: str) -> DataFrame:
-    return _read(spark, f"{root}/batches", CHUNKS)
+def _of_collection(rows: DataFrame, collection: str | None) -> DataFrame:
+    """The rows of one collection, from its bucket only; all rows without a name."""
+    if collection is not None:
+        name = F.lit(collection)
+        rows = rows.filter((F.col("bucket") == _bucket(name)) & (F.col("collection") == name))
+    return rows.drop("bucket")
+
+
+def read_batches(spark: SparkSession, root: str, collection: str | None = None) -> DataFrame:
+    return _of_collection(_read(spark, f"{root}/batches", _BUCKETED), collection)
 
 
 def resolve_collisions(batch: DataFrame, newest: str = "published_ts", path: str = "file") -> DataFrame:
@@ -100,56 +133,69 @@ def upsert(spark: SparkSession, root: str, batch: DataFrame, batch_seq: int) ->
 
     ``batch`` must hold each ``collection, id`` once; see ``resolve_collisions``.
     """
-    rows = batch.withColumn("batch_seq", F.lit(batch_seq).cast("bigint"))
-    _write(rows.select(*CHUNKS.fieldNames()), f"{root}/batches", "collection", "batch_seq")
+    columns = [c for c in CHUNKS.fieldNames() if c != "batch_seq"]
+    compacted = _read(spark, f"{root}/bases", BASES).agg(F.max("upto"), F.max("version")).first()
+    if compacted[0] is not None and compacted[0] >= batch_seq:
+        again = spark.createDataFrame([(batch_seq, compacted[1])], REPLAYS)
+        again.write.mode("append").parquet(f"{root}/replays")
+    _write_bucketed(batch.select(*columns), _batch(f"{root}/batches", batch_seq))
 
 
 def latest_by_id(rows: DataFrame) -> DataFrame:
-    """The row of the latest batch for every id."""
-    return first_per(rows, _KEY, [F.col("batch_seq").desc()])
-
+    """The row of the latest batch for every id.
 
-def _base_path(root: str, collection: str, upto: int) -> str:
-    return f"{root}/base/{quote(collection, safe='')}/{upto}"
+    Only keys and numbers are compared.  What they supersede is a narrow table, so
+    documents and vectors are read in place unless very many were replaced.
+    """
+    keys = rows.select(*_KEY, "batch_seq")
+    newest = keys.groupBy(*_KEY).agg(F.max("batch_seq").alias("_newest"), F.count("*").alias("_n"))
+    old = keys.join(newest.filter("_n > 1"), _KEY).filter("batch_seq < _newest").select(*_KEY, "batch_seq")
+    return rows.join(written(old, "superseded"), [*_KEY, "batch_seq"], "left_anti")
 
 
-def _upto(spark: SparkSession, root: str, collection: str) -> int | None:
-    bases = _read(spark, f"{root}/bases", BASES).filter(F.col("collection") == collection)
-    return bases.agg(F.max("upto")).first()[0]
+def _base(spark: SparkSession, root: str) -> tuple[int, int] | None:
+    """``upto`` and ``version`` of the newest base that no later replay has outdated."""
+    bases, replays = _read(spark, f"{root}/bases", BASES), _read(spark, f"{root}/replays", REPLAYS)
+    r, b = replays.alias("r"), bases.alias("b")
+    outdated = (F.col("r.batch_seq") <= F.col("b.upto")) & (F.col("r.version") >= F.col("b.version"))
+    found = b.join(r, outdated, "left_anti").orderBy(F.desc("version")).first()
+    return (found["upto"], found["version"]) if found else None
 
 
-def current_chunks(spark: SparkSession, root: str, collection: str) -> DataFrame:
-    """The latest version of every chunk of a collection.
+def current_chunks(spark: SparkSession, root: str, collection: str | None = None) -> DataFrame:
+    """The latest version of every chunk of a collection, or of all.
 
-    Only batches after the last compaction are ranked.  The compacted base holds
-    unique ids already; it loses the ids written since and is never sorted.
+    Only batches after the last compaction are compared.  The compacted base holds
+    unique ids already; it loses the ids written since.
     """
-    batches = read_batches(spark, root).filter(F.col("collection") == collection)
-    upto = _upto(spark, root, collection)
-    if upto is None:
+    batches, base = read_batches(spark, root, collection), _base(spark, root)
+    if base is None:
         return latest_by_id(batches)
-    since = batches.filter(F.col("batch_seq") > upto)
-    base = spark.read.schema(CHUNKS).parquet(_base_path(root, collection, upto))
-    kept = base.join(since.select("id").distinct(), "id", "left_anti")
+    since = batches.filter(F.col("batch_seq") > base[0])
+    compacted = _of_collection(_read(spark, f"{root}/base/{base[1]}", _BUCKETED), collection)
+    kept = compacted.join(written(since.select(*_KEY).distinct(), "since"), _KEY, "left_anti")
     return kept.unionByName(latest_by_id(since))
 
 
-def compact(spark: SparkSession, root: str, collection: str) -> None:
+def compact(spark: SparkSession, root: str) -> None:
     """Write the current view as a new base.  Its pointer follows once it is complete."""
-    newest = (
-        read_batches(spark, root)
-        .filter(F.col("collection") == collection)
-        .agg(F.max("batch_seq"))
-        .first()[0]
-    )
-    if newest is None or newest == _upto(spark, root, collection):
+    newest = read_batches(spark, root).agg(F.max("batch_seq")).first()[0]
+    base = _base(spark, root)
+    if newest is None or (base and newest == base[0]):
         return
-    path = _base_path(root, collection, newest)
-    current_chunks(spark, root, collection).write.mode("overwrite").parquet(path)
-    pointer = spark.createDataFrame([(collection, newest)], BASES)
+    version = (_read(spark, f"{root}/bases", BASES).agg(F.max("version")).first()[0] or 0) + 1
+    _write_bucketed(current_chunks(spark, root), f"{root}/base/{version}")
+    pointer = spark.createDataFrame([(newest, version)], BASES)
     pointer.write.mode("append").parquet(f"{root}/bases")
 
 
+def compact_when_due(spark: SparkSession, root: str, every: int | None) -> None:
+    """Compact once ``every`` batches were begun since the last base; never without a number."""
+    base = _base(spark, root)
+    if every and next_batch_seq(spark, root) - 1 - (base[0] if base else 0) >= every:
+        compact(spark, root)
+
+
 def read_marks(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
     """The stored mark of every collection: the greatest one ever written.
 
@@ -177,19 +223,43 @@ def advance_mark(stored: DataFrame, marks: DataFrame) -> DataFrame:
     )
 
 
+def moved_marks(advanced: DataFrame, marks: DataFrame) -> DataFrame:
+    """Those of ``advanced`` that differ from the marks before."""
+    old = marks.select("collection", F.col("published_ts").alias("_old"))
+    return advanced.join(old, "collection", "left").filter(
+        ~F.col("published_ts").eqNullSafe(F.col("_old"))).drop("_old")
+
+
 def write_marks(spark: SparkSession, root: str, marks: DataFrame, batch_seq: int) -> None:
-    rows = marks.select("collection", "published_ts", F.lit(batch_seq).cast("bigint").alias("batch_seq"))
-    _write(rows, f"{root}/marks", "batch_seq")
+    _replace(marks.select("collection", "published_ts"), _batch(f"{root}/marks", batch_seq))
+
+
+def write_handled(handled: DataFrame, root: str, batch_seq: int) -> DataFrame:
+    """Record what a run handled, before anything is derived from it; the rows as recorded."""
+    columns = [c for c in TRANSCRIPTS.fieldNames() if c != "batch_seq"]
+    path = _batch(f"{root}/transcripts", batch_seq)
+    _replace(handled.select(*columns), path)
+    stored = T.StructType([TRANSCRIPTS[c] for c in columns])
+    return handled.sparkSession.read.schema(stored).parquet(path).withColumn(
+        "batch_seq", F.lit(batch_seq).cast("bigint"))
 
 
-def write_handled(handled: DataFrame, root: str, batch_seq: int) -> None:
-    """Record what a run handled, before anything is derived from it."""
-    rows = handled.withColumn("batch_seq", F.lit(batch_seq).cast("bigint"))
-    _write(rows.select(*TRANSCRIPTS.fieldNames()), f"{root}/transcripts", "batch_seq")
+def write_failures(failures: DataFrame, root: str, batch_seq: int) -> DataFrame:
+    """``collection, stem, failure`` of the transcripts that a run could not embed."""
+    path = _batch(f"{root}/failures", batch_seq)
+    columns = [c for c in FAILURES.fieldNames() if c != "batch_seq"]
+    _replace(failures.select(*columns), path)
+    return failures.sparkSession.read.schema(T.StructType([FAILURES[c] for c in columns])).parquet(path)
 
 
-def read_handled(spark: SparkSession, root: str) -> DataFrame:
-    return _read(spark, f"{root}/transcripts", TRANSCRIPTS)
+def read_handled(spark: SparkSession, root: str, batch_seq: int | None = None) -> DataFrame:
+    """What runs handled, or one run; ``error`` includes failures of the embedding."""
+    handled = _read(spark, f"{root}/transcripts", TRANSCRIPTS)
+    failures = _read(spark, f"{root}/failures", FAILURES)
+    if batch_seq is not None:
+        handled, failures = (df.filter(F.col("batch_seq") == batch_seq) for df in (handled, failures))
+    joined = handled.join(failures, ["batch_seq", "collection", "stem"], "left")
+    return joined.withColumn("error", F.coalesce("error", "failure")).select(*TRANSCRIPTS.fieldNames())
 
 
 def write_selected(episodes: DataFrame, root: str, batch_seq: int) -> DataFrame:
@@ -200,7 +270,18 @@ def write_selected(episodes: DataFrame, root: str, batch_seq: int) -> DataFrame:
 
 
 def next_batch_seq(spark: SparkSession, root: str) -> int:
-    return (read_handled(spark, root).agg(F.max("batch_seq")).first()[0] or 0) + 1
+    return (_read(spark, f"{root}/runs", RUNS).agg(F.max("batch_seq")).first()[0] or 0) + 1
+
+
+def allot_batch(spark: SparkSession, root: str, source: str | None = None) -> int:
+    """A new batch number; a ``source`` that has one already, after a crash, gets it again."""
+    if source is not None:
+        known = _read(spark, f"{root}/runs", RUNS).filter(F.col("source") == source).first()
+        if known is not None:
+            return known["batch_seq"]
+    number = next_batch_seq(spark, root)
+    spark.createDataFrame([(number, source)], RUNS).write.mode("append").parquet(f"{root}/runs")
+    return number
 
 
 def failed_items(spark: SparkSession, root: str) -> DataFrame:

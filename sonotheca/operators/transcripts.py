@@ -9,10 +9,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sonotheca.fixed_values import PART_SECONDS, TRANSCRIPT_LANGUAGE, TRANSCRIPT_MODEL
+from sonotheca.fixed_values import NOT_SPLIT, PART_SECONDS, TRANSCRIPT_LANGUAGE, TRANSCRIPT_MODEL
 from sonotheca.functions.audio import format_error, part_name, size_class, size_error
 from sonotheca.functions.text import _col
 from sonotheca.schemas import RESPONSE, SEGMENTS
+from sonotheca.session import written
 
 # Parts of one file that are worked on together.  A file with more parts is cut
 # into blocks of this many, so no task ever holds a whole long file part by part.
@@ -198,16 +199,15 @@ def transcribe(
 
 def transcribe_directory(
     files: DataFrame, transcriber: Callable[..., dict], payload: list[str] | None = None,
-    auto_split: bool = True, part_seconds: int = PART_SECONDS, spool: Callable | None = None,
+    auto_split: bool = True, part_seconds: int = PART_SECONDS,
     **settings,
 ) -> DataFrame:
     """Every listed file to one result row; failures are rows with ``error``.
 
     ``files`` holds ``path, length, duration``; ``payload`` names further columns
     the transcriber needs.  Small files are one part, large ones follow the split
-    plan, and one part that fails fails its file.  ``spool`` (for example
-    ``session.written``) stores the part results before they are combined, so the
-    transcriber runs once per part.
+    plan, and one part that fails fails its file.  The answers are written to the shared
+    folder before they are combined, so the transcriber runs once per part.
     """
     language = settings.get("language", TRANSCRIPT_LANGUAGE)
     is_split = size_class("length", auto_split) == "split"
@@ -215,7 +215,7 @@ def transcribe_directory(
         format_error("path"),
         size_error("length", auto_split),
         F.when(is_split & F.col("duration").isNull(), F.lit("Duration unknown")),
-        F.when(is_split & (F.col("duration") <= 0), F.lit("Failed to split audio file")),
+        F.when(is_split & (F.col("duration") <= 0), F.lit(NOT_SPLIT)),
     )
     checked = files.withColumn("error", reason).withColumn("is_split", is_split)
     refused = checked.filter(F.col("error").isNotNull()).select(F.col("path").alias("file"), "error")
@@ -229,9 +229,7 @@ def transcribe_directory(
     wanted = [*keys, "start_s", "len_s", "part_name", *(payload or [])]
     parts = parts.withColumnRenamed("path", "file").select(*wanted)
 
-    answers = transcribe(parts, transcriber, keys, **settings)
-    if spool:
-        answers = spool(answers)
+    answers = written(transcribe(parts, transcriber, keys, **settings), "answers")
     failed = (
         answers.filter(F.col("error").isNotNull())
         .groupBy("file")

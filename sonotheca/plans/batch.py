@@ -19,31 +19,48 @@ from sonotheca.operators.feed import (
     oldest_first,
     with_audio,
 )
+from sonotheca.operators.ranking import first_per
 from sonotheca.operators.store import (
     advance_mark,
+    allot_batch,
     as_metadata,
+    compact_when_due,
     failed_items,
-    next_batch_seq,
+    moved_marks,
     read_handled,
     read_marks,
     register_collections,
-    resolve_collisions,
     upsert,
+    write_failures,
     write_handled,
     write_marks,
     write_selected,
 )
+from sonotheca.operators.transcripts import attach_sidecar, transcribe_directory
 from sonotheca.schemas import CATALOGUE
-from sonotheca.session import spread
+from sonotheca.session import spread, written
+from sonotheca.sources.files import read_sidecars, read_transcripts
+
+NO_AUDIO = "No audio link"
+COMPACT_EVERY = 50
 
 
 def select_items(
     spark: SparkSession, root: str, items: DataFrame, batch_seq: int,
     n: int | None = EPISODES_PER_RUN, with_ties: bool = False, retry_failed: bool = False,
+    since: int | None = None,
 ) -> DataFrame:
-    """The items of a run: new ones per feed, oldest first, and optionally earlier failures."""
-    marks = read_marks(spark, root, before=batch_seq).withColumnRenamed("collection", "feed_id")
-    chosen = oldest_first(new_since(items, marks), n, per="feed_id", with_ties=with_ties)
+    """The items of a run: new ones per feed, oldest first, and optionally earlier failures.
+
+    With ``since`` the marks are those before that batch, and items that a run handled
+    since then are left out, whatever came of them.
+    """
+    marks = read_marks(spark, root, before=batch_seq if since is None else since)
+    new = new_since(items, marks.withColumnRenamed("collection", "feed_id"))
+    if since is not None:
+        tried = read_handled(spark, root).filter(F.col("batch_seq").between(since, batch_seq - 1))
+        new = _untried(new, tried)
+    chosen = oldest_first(new, n, per="feed_id", with_ties=with_ties)
     if not retry_failed:
         return chosen
     open_work = failed_items(spark, root).select(
@@ -57,6 +74,13 @@ def select_items(
     return chosen.unionByName(again).dropDuplicates(["feed_id", "feed_pos"])
 
 
+def _untried(items: DataFrame, tried: DataFrame) -> DataFrame:
+    """The items without a record of the same feed, stem and date in ``tried``."""
+    done = tried.select(F.col("collection").alias("feed_id"), F.col("stem").alias("_stem"), "published_ts").distinct()
+    named = items.withColumn("_stem", safe_title("title"))
+    return named.join(done, ["feed_id", "_stem", "published_ts"], "left_anti").select(*items.columns)
+
+
 def prepare_episodes(
     items: DataFrame, fetch_log: DataFrame | None = None, catalogue: DataFrame | None = None,
     show_name: str | None = None,
@@ -106,6 +130,38 @@ def landed_transcripts(texts: DataFrame) -> Callable[[DataFrame], DataFrame]:
     return look_up
 
 
+def transcribed_recordings(recordings: DataFrame, transcriber: Callable[..., dict], **options) -> Callable[[DataFrame], DataFrame]:
+    """Transcribe by running a user's function over the recordings of the episodes of a run.
+
+    ``recordings`` holds ``audio_url, path, length, duration`` and what ``payload`` names,
+    once per address.  Only recordings of episodes without error are sent.
+    """
+
+    def run(episodes: DataFrame) -> DataFrame:
+        wanted = episodes.filter(F.col("error").isNull()).select("audio_url").distinct()
+        chosen = recordings.join(wanted, "audio_url", "left_semi")
+        results = transcribe_directory(chosen.drop("audio_url"), transcriber, **options).select(
+            F.col("file").alias("path"), "text", F.col("error").alias("_failed"))
+        found = recordings.select("audio_url", "path").join(results, "path").drop("path")
+        missing = F.when(F.col("text").isNull(), F.coalesce("_failed", F.lit("No recording")))
+        return episodes.join(found, "audio_url", "left").withColumn("error", F.coalesce("error", missing)).drop("_failed")
+
+    return run
+
+
+def one_per_stem(texts: DataFrame) -> DataFrame:
+    """One row per ``collection, stem``: the latest published wins, then the greater address, then text.
+
+    Two episodes of one stem share a file, so one of them wins whole.  Only the rows of
+    contested stems are ranked; all others stay where they are.
+    """
+    key = ["collection", "stem"]
+    contested = written(texts.groupBy(*key).agg(F.count("*").alias("_n")).filter("_n > 1").drop("_n"), "contested")
+    order = [F.col("published_ts").desc_nulls_last(), F.col("audio_url").desc_nulls_last(), F.col("text").desc()]
+    winners = first_per(texts.join(contested, key, "left_semi"), key, order)
+    return texts.join(contested, key, "left_anti").unionByName(winners.select(*texts.columns))
+
+
 def store_transcripts(
     spark: SparkSession, root: str, handled: DataFrame, batch_seq: int,
     embedder: Embedder | None = None, chunk_size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
@@ -114,30 +170,49 @@ def store_transcripts(
 
     ``handled`` holds ``collection, stem, audio_url, metadata, published_ts, text,
     error``.  It is written first, and everything after reads that table, so an
-    expensive source is evaluated once.  The marks come last: a crash before them
-    repeats the batch, which the keyed store makes harmless.
+    expensive source is evaluated once; so is the embedding.  A transcript with a chunk
+    that the model refuses is a failure: nothing of it is stored and it moves no mark.
+    The marks come last: a crash before them repeats the batch, which the keyed store
+    makes harmless.
     """
     chosen = embedder or offline_embedder()
     blank = ~F.coalesce(non_blank("text"), F.lit(False))
-    write_handled(handled.withColumn("blank", blank), root, batch_seq)
-    recorded = read_handled(spark, root).filter(F.col("batch_seq") == batch_seq)
+    recorded = write_handled(handled.withColumn("blank", blank), root, batch_seq)
     good = recorded.filter(F.col("error").isNull() & ~F.col("blank"))
 
     register_collections(spark, root, good, chosen.name)
-    texts = spread(
-        good.select(
-            "collection", F.concat("stem", F.lit(".txt")).alias("file"), "text", "metadata",
-            "published_ts",
-        )
-    )
-    chunks = chunk_transcripts(texts, chunk_size=chunk_size, overlap=overlap)
-    winners = resolve_collisions(chunks)
-    upsert(spark, root, embed(winners, "document", chosen), batch_seq)
+    texts = spread(one_per_stem(good).select(
+        "collection", "stem", F.concat("stem", F.lit(".txt")).alias("file"), "text", "metadata"))
+    chunks = embed(chunk_transcripts(texts, chunk_size=chunk_size, overlap=overlap), "document", chosen)
+    if chosen.may_fail:
+        chunks = written(chunks, "embedded")
+    failures = chunks.filter(F.col("embed_error").isNotNull()).groupBy("collection", "stem").agg(
+        F.min_by("embed_error", "chunk_ix").alias("failure"))
+    failed = write_failures(failures, root, batch_seq)
+    kept = chunks.join(failed, ["collection", "stem"], "left_anti") if chosen.may_fail else chunks
+    upsert(spark, root, kept, batch_seq)
 
-    stored = good.select("collection", "published_ts")
-    write_marks(
-        spark, root, advance_mark(stored, read_marks(spark, root, before=batch_seq)), batch_seq
-    )
+    stored = good.join(failed, ["collection", "stem"], "left_anti").select("collection", "published_ts")
+    marks = read_marks(spark, root, before=batch_seq)
+    write_marks(spark, root, moved_marks(advance_mark(stored, marks), marks), batch_seq)
+
+
+def store_folder(
+    spark: SparkSession, root: str, folder: str, collection: str, embedder: Embedder | None = None,
+    batch_seq: int | None = None,
+) -> DataFrame:
+    """Store every transcript of a folder with its metadata record; items per outcome.
+
+    ``*.txt`` files are transcripts, the ``*.json`` file of the same stem is the record.
+    A transcript without record is a failure of its own; a blank one is passed over.
+    An undated one is stored and moves no mark.
+    """
+    seq = allot_batch(spark, root) if batch_seq is None else batch_seq
+    known = attach_sidecar(read_transcripts(spark, folder), read_sidecars(spark, folder))
+    store_transcripts(spark, root, known.select(
+        F.lit(collection).alias("collection"), "stem", F.col("metadata.audio_url").alias("audio_url"), "metadata",
+        F.try_to_timestamp("metadata.published_date").alias("published_ts"), "text", "error"), seq, embedder)
+    return run_summary(spark, root, seq)
 
 
 def run_batch(
@@ -146,26 +221,43 @@ def run_batch(
     n: int | None = EPISODES_PER_RUN, with_ties: bool = False, retry_failed: bool = False,
     fetch_log: DataFrame | None = None, catalogue: DataFrame | None = None,
     show_name: str | None = None, embedder: Embedder | None = None,
+    since: int | None = None, compact_every: int | None = COMPACT_EVERY,
 ) -> DataFrame:
     """One incremental update; returns items per collection and outcome.
 
     ``items`` are feed entries whose feed is the collection they go to.
     ``transcripts`` adds ``text`` to the episodes and may set ``error``.  Passing the
-    ``batch_seq`` of an earlier run replays that run.
+    ``batch_seq`` of an earlier run replays that run.  ``since`` belongs to a backfill:
+    it also records the items without audio, so that they count as tried.  The store is
+    compacted after every ``compact_every`` runs.
     """
-    seq = next_batch_seq(spark, root) if batch_seq is None else batch_seq
-    chosen = select_items(spark, root, items, seq, n, with_ties, retry_failed)
+    seq = allot_batch(spark, root) if batch_seq is None else batch_seq
+    chosen = select_items(spark, root, items, seq, n, with_ties, retry_failed, since)
+    if since is not None:
+        chosen = written(chosen, "chosen")
     prepared = prepare_episodes(chosen, fetch_log, catalogue, show_name)
     episodes = write_selected(prepared, root, seq)
-    store_transcripts(spark, root, transcripts(episodes), seq, embedder)
+    handled = transcripts(episodes)
+    if since is not None:
+        handled = handled.unionByName(_without_audio(chosen), allowMissingColumns=True)
+    store_transcripts(spark, root, handled, seq, embedder)
+    compact_when_due(spark, root, compact_every)
     return run_summary(spark, root, seq)
 
 
+def _without_audio(items: DataFrame) -> DataFrame:
+    """The items that ``prepare_episodes`` passes over, as failures."""
+    key = ["feed_id", "feed_pos"]
+    silent = items.join(with_audio(items).select(*key), key, "left_anti")
+    return silent.select(F.col("feed_id").alias("collection"), safe_title("title").alias("stem"),
+                         "published_ts", F.lit(NO_AUDIO).alias("error"))
+
+
 def run_summary(spark: SparkSession, root: str, batch_seq: int) -> DataFrame:
     outcome = (
         F.when(F.col("error").isNotNull(), "failed").when(F.col("blank"), "blank").otherwise("stored")
     )
-    done = read_handled(spark, root).filter(F.col("batch_seq") == batch_seq)
+    done = read_handled(spark, root, batch_seq)
     return done.groupBy("collection", outcome.alias("outcome")).agg(F.count("*").alias("items"))
 
 
@@ -173,16 +265,20 @@ def backfill(
     spark: SparkSession, root: str, items: DataFrame,
     transcripts: Callable[[DataFrame], DataFrame], n: int | None = None, **options,
 ) -> int:
-    """Run until no mark moves any more; returns the number of runs that stored something.
+    """Run until no untried item is left; returns the number of runs that handled something.
 
-    Without ``n`` one run takes everything.  With ``n`` the runs go oldest first, and
-    items that share the date of the last one are taken along, so none is skipped.
+    Items are new by the marks before the first run.  Without ``n`` one run takes
+    everything.  With ``n`` the runs go oldest first, and items that share the date of
+    the last one are taken along.  Items without audio, failed fetches and blank
+    transcripts are recorded and block nothing.
     """
-    runs = 0
+    runs, since = 0, None
     while True:
-        seq = next_batch_seq(spark, root)
-        run_batch(spark, root, items, transcripts, batch_seq=seq, n=n, with_ties=True, **options)
-        moved = read_marks(spark, root).exceptAll(read_marks(spark, root, before=seq))
-        if moved.isEmpty():
+        seq = allot_batch(spark, root)
+        since = seq if since is None else since
+        done = run_batch(spark, root, items, transcripts, batch_seq=seq, n=n, with_ties=True, since=since, **options)
+        if done.isEmpty():
             return runs
         runs += 1
+        if n is None:
+            return runs

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sonotheca.functions.text import safe_title
 from sonotheca.operators import search as se
 from sonotheca.operators import store as st
-from sonotheca.operators.embedding import embed, offline_embedder, pool, pool_rows
+from sonotheca.operators.embedding import embed, model_embedder, offline_embedder, pool, pool_rows
 from sonotheca.plans import batch
 from sonotheca.plans.feed_queries import _MARKS_SQL, _iso, _items, _marks
 from sonotheca.plans.registry import Tables, query
@@ -266,7 +266,7 @@ def _upserted(t: Tables, compacted: bool) -> DataFrame:
     st.open_collection(t.spark, root, "talks", offline_embedder().name)
     st.upsert(t.spark, root, _first_batch(t), 1)
     if compacted:
-        st.compact(t.spark, root, "talks")
+        st.compact(t.spark, root)
     st.upsert(t.spark, root, _second_batch(t), 2)
     st.upsert(t.spark, root, _second_batch(t), 2)  # a replay changes nothing
     current = st.open_collection(t.spark, root, "talks", create=False)
@@ -402,6 +402,58 @@ def backfill(t: Tables) -> DataFrame:
     return _stored_rows(t, root)
 
 
+@query(_run_sql("WHERE doc_id % 9 > 0"))
+def backfill_steps(t: Tables) -> DataFrame:
+    """The same in steps, with items that have no audio and fetches that fail."""
+    root, inputs = fresh_dir(t.spark, "store"), _run_inputs(t)
+    silent = F.transform("links", lambda x: F.struct(F.lit("text/html").alias("type"), x["href"].alias("href")))
+    inputs["items"] = inputs["items"].withColumn(
+        "links", F.when(F.col("feed_pos") % 9 == 0, silent).otherwise(F.col("links")))
+    steps = -(-t.documents.count() // 5)  # a few runs at any size
+    batch.backfill(t.spark, root, n=steps, **inputs)
+    return _stored_rows(t, root)
+
+
+def _speak(part: dict, **settings) -> dict:
+    """A stand-in for speech to text; some recordings are refused."""
+    if part["number"] % 11 == 0:
+        raise ValueError("too quiet")
+    return {"text": part["text"], "language": settings["language"], "duration": 1.0, "segments": []}
+
+
+@query(_run_sql("WHERE doc_id % 11 > 0"))
+def run_with_transcriber(t: Tables) -> DataFrame:
+    """One run that transcribes the recordings of its episodes itself."""
+    root, inputs = fresh_dir(t.spark, "store"), _run_inputs(t)
+    number = F.col("doc_id")
+    recordings = spread(t.documents.select("doc_id", "text")).select(
+        F.concat(F.lit("https://a.example/"), number).alias("audio_url"), F.concat(F.lit("media/"), number, F.lit(".mp3")).alias("path"),
+        F.lit(1000).cast("bigint").alias("length"), F.lit(60.0).alias("duration"), "text", number.alias("number"))
+    inputs["transcripts"] = batch.transcribed_recordings(recordings, _speak, payload=["text", "number"])
+    batch.run_batch(t.spark, root, n=None, **inputs)
+    return _stored_rows(t, root)
+
+
+@query("""
+SELECT item_id, CASE WHEN length(text) % 7 > 0 THEN length(text)::DOUBLE END AS size,
+       CASE WHEN length(text) % 7 = 0 THEN 'refused ' || length(text) END AS error
+FROM benchmark""")
+def embed_with_failures(t: Tables) -> DataFrame:
+    """A model that refuses some texts costs those texts only."""
+
+    def load():
+        def model(texts: list[str]) -> list[list[float]]:
+            for text in texts:
+                if len(text) % 7 == 0:
+                    raise ValueError(f"refused {len(text)}")
+            return [[float(len(text))] for text in texts]
+
+        return model
+
+    made = embed(t.benchmark, "text", model_embedder("stand-in", load))
+    return made.select("item_id", F.get("embedding", F.lit(0)).alias("size"), F.col("embed_error").alias("error"))
+
+
 @query(_run_sql("", catalogue=False))
 def stream_ingest(t: Tables) -> DataFrame:
     """The documents read as a stream of landed transcripts."""
@@ -417,3 +469,20 @@ def stream_ingest(t: Tables) -> DataFrame:
     episodes = prepared.drop("error")
     start_stream(landed, root, episodes, fresh_dir(t.spark, "stream")).awaitTermination()
     return _stored_rows(t, root)
+
+
+@query(f"""
+WITH RECURSIVE {CHUNKS_SQL}
+SELECT d.lang AS collection, 'doc_' || d.doc_id || '_' || c.chunk_ix AS id, c.document
+FROM chunks c JOIN documents d ON c.doc_id = d.doc_id""")
+def stream_ingest_many(t: Tables) -> DataFrame:
+    """Several files in several micro-batches, newest first, every fourth undated, stems per feed."""
+    root, folder = fresh_dir(t.spark, "store"), fresh_dir(t.spark, "landing")
+    stem = F.concat(F.lit("doc "), F.col("doc_id"))
+    landing = t.documents.select(F.col("lang").alias("collection"), stem.alias("stem"), "text")
+    landing.orderBy(F.desc("doc_id")).coalesce(4).write.option("maxRecordsPerFile", max(1, t.documents.count() // 3)).parquet(folder)
+    landed = t.spark.readStream.schema(landing.schema).option("maxFilesPerTrigger", 2).parquet(folder)
+    items = _episodes(t).withColumn("published_ts", F.when(F.col("feed_pos") % 4 > 0, F.col("published_ts")))
+    episodes = batch.prepare_episodes(items).drop("error")
+    start_stream(landed, root, episodes, fresh_dir(t.spark, "stream")).awaitTermination()
+    return st.current_chunks(t.spark, root).select("collection", "id", "document")

@@ -347,7 +347,7 @@ def transcribe_directory(t: Tables) -> DataFrame:
     texts = t.documents.select("doc_id", "text", "lang", F.length("text").cast("double").alias("duration"))
     files = spread(_listing(t)).join(texts, "doc_id")
     results = tr.transcribe_directory(
-        files, _read_part, ["text", "lang"], spool=lambda df: written(df, "answers")
+        files, _read_part, ["text", "lang"]
     )
     number = F.regexp_extract("file", r"doc (\d+)", 1).cast("bigint")
     return results.select(number.alias("doc_id"), "text", "duration", "parts", "error")

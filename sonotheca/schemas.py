@@ -40,7 +40,10 @@ CHUNKS = _schema(
     collection=_STR, batch_seq=_LONG, id=_STR, document=_STR, embedding=T.ArrayType(_DOUBLE),
     model=_STR, metadata=EPISODE,
 )
-BASES = _schema(collection=_STR, upto=_LONG)
+BASES = _schema(upto=_LONG, version=_LONG)
+REPLAYS = _schema(batch_seq=_LONG, version=_LONG)
+RUNS = _schema(batch_seq=_LONG, source=_STR)
+FAILURES = _schema(collection=_STR, stem=_STR, failure=_STR, batch_seq=_LONG)
 MARKS = _schema(collection=_STR, published_ts=_TIME)
 STORED_MARKS = _schema(collection=_STR, published_ts=_TIME, batch_seq=_LONG)
 QUERIES = _schema(qid=_LONG, text=_STR, model=_STR)

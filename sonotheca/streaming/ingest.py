@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sonotheca.operators.embedding import Embedder
-from sonotheca.operators.feed import new_since
-from sonotheca.operators.store import read_marks
+from sonotheca.operators.store import allot_batch
 from sonotheca.plans.batch import store_transcripts
 from sonotheca.sources.feeds import file_stem
 
@@ -32,32 +31,33 @@ def ingest_batch(
 ) -> None:
     """Store one micro-batch under its own number, so that a replay replaces itself.
 
-    Transcripts dated at or before the mark of their collection are not taken.
-    Those without episode record are kept as failures of the default collection "".
+    Every transcript with an episode record is stored, whatever its date: one dated at
+    or before the mark, or not at all, only moves no mark.  Those without record are
+    kept as failures, in the collection they landed for, else in the default one "".
     """
-    spark = landed.sparkSession
-    known = landed.join(episodes, "stem", "left").withColumn(
+    key = [c for c in ("collection", "stem") if c in landed.columns]
+    known = landed.join(episodes, key, "left").withColumn(
         "error", F.when(F.col("metadata").isNull(), F.lit("Metadata record not found"))
     )
-    marks = read_marks(spark, root, before=batch_seq)
-    fresh = new_since(known.filter(F.col("error").isNull()), marks, key="collection")
-    orphans = known.filter(F.col("error").isNotNull()).withColumn("collection", F.lit(""))
-    store_transcripts(spark, root, fresh.unionByName(orphans), batch_seq, embedder)
+    named = known.withColumn("collection", F.coalesce("collection", F.lit("")))
+    store_transcripts(landed.sparkSession, root, named, batch_seq, embedder)
 
 
 def stream_ingest(
     landed: DataFrame, root: str, episodes: DataFrame, checkpoint: str,
-    embedder: Embedder | None = None, first_seq: int = 1,
+    embedder: Embedder | None = None,
 ) -> StreamingQuery:
     """Start ingesting what has landed; the query ends when it has caught up.
 
-    ``landed`` is a stream of ``stem, text``; ``episodes`` holds ``stem, collection,
-    audio_url, metadata, published_ts``, once per stem.  Micro-batches are stored as
-    ``first_seq`` onwards; set it past the batches of earlier runs on the same store.
+    ``landed`` is a stream of ``stem, text``, and ``collection`` where stems of several
+    feeds may be equal; ``episodes`` holds ``stem, collection, audio_url, metadata,
+    published_ts``, once per key.  The store allots the batch numbers, and a micro-batch
+    repeated after a crash gets the number it had.
     """
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(batch, first_seq + batch_id, root, episodes, embedder)
+        seq = allot_batch(batch.sparkSession, root, f"{checkpoint}#{batch_id}")
+        ingest_batch(batch, seq, root, episodes, embedder)
 
     return (
         landed.writeStream.trigger(availableNow=True)

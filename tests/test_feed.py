@@ -179,3 +179,36 @@ def test_plans(spark, dated, plan_of):
     marks = feedlike.limit(1)
     scan = plan_of(feed.new_since(feedlike, marks))
     assert "DataFilters: [isnotnull(o_orderdate" in scan and "CartesianProduct" not in scan
+
+
+def test_many_rows_per_hot_key_are_ranked_in_parts(spark, plan_of):
+    from sonotheca.operators.ranking import first_per
+
+    df = spark.range(0, 20_000, 1, 8).select(
+        F.expr("if(id % 10 < 9, 'hot', 'x')").alias("k"), (F.col("id") * 7919 % 20_011).alias("v"))
+    got = first_per(df, ["k"], [F.col("v")], 5000)
+    assert plan_of(got).count("Window [") == 2 and "_salt" in plan_of(got)
+    want = {}
+    for r in sorted(df.collect(), key=lambda r: r.v):
+        want.setdefault(r.k, [])
+        if len(want[r.k]) < 5000:
+            want[r.k].append(r.v)
+    have = {}
+    for r in got.collect():
+        have.setdefault(r.k, []).append(r.v)
+    assert {k: sorted(v) for k, v in have.items()} == want
+
+
+def test_pushed_bound_follows_the_marks(spark, tmp_path, plan_of):
+    from datetime import datetime
+
+    from sonotheca.operators.feed import new_since
+
+    days = [datetime(2024, 1, n) for n in range(1, 20)]
+    spark.createDataFrame([("a", d) for d in days] + [("b", d) for d in days], "feed_id STRING, published_ts TIMESTAMP").write.parquet(str(tmp_path / "items"))
+    items = spark.read.parquet(str(tmp_path / "items"))
+    marks = spark.createDataFrame([("a", days[10]), ("b", days[15])], "feed_id STRING, published_ts TIMESTAMP")
+    found = new_since(items, marks)
+    assert found.count() == 8 + 3 and "2000-01-01" not in plan_of(found)
+    marks = marks.filter("feed_id = 'a'")
+    assert new_since(items, marks).count() == 8 + 19

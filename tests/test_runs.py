@@ -151,10 +151,89 @@ def test_stream_ingest(spark, tmp_path, root):
     (landing / "late.txt").write_text("Dated at the mark.")
     catch_up()
     catch_up()
-    assert stored(spark, root) == {("a", "talk_1_0"): "Un. Deux.", ("a", "talk_2_0"): "Trois."}
+    assert stored(spark, root) == {
+        ("a", "talk_1_0"): "Un. Deux.", ("a", "talk_2_0"): "Trois.", ("a", "late_0"): "Dated at the mark."}
     assert marks(spark, root) == {"a": 1}
 
 
+def test_undated_late_and_equal_stems_are_stored(spark, root):
+    known = episodes(spark, [("x", "a", "u", None), ("y", "a", "u", START), ("y", "b", "v", START)])
+    schema = "collection STRING, stem STRING, text STRING"
+    ingest.ingest_batch(spark.createDataFrame([("a", "x", "One."), ("a", "y", "Two."), ("b", "y", "Other.")], schema), 1, root, known)
+    assert stored(spark, root) == {("a", "x_0"): "One.", ("a", "y_0"): "Two.", ("b", "y_0"): "Other."}
+    assert marks(spark, root) == {"a": 0, "b": 0}
+
+
+def test_two_streams_on_one_store_keep_both(spark, tmp_path, root):
+    known = episodes(spark, [("one", "a", "u", START), ("two", "a", "u", START)])
+    for name in ("one", "two"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / f"{name}.txt").write_text(f"{name}.")
+        stream = ingest.stream_transcript_files(spark, str(tmp_path / name))
+        ingest.stream_ingest(stream, root, known, str(tmp_path / f"state-{name}")).awaitTermination()
+    assert set(stored(spark, root)) == {("a", "one_0"), ("a", "two_0")}
+
+
+def test_backfill_in_steps_is_not_blocked(spark, root):
+    rows = [item("a", pos, pos, audio=pos >= 5) for pos in range(12)]
+    items = spark.createDataFrame(rows, FEED_ITEMS)
+    texts = batch.landed_transcripts(spark.createDataFrame(
+        [("a", f"Talk {n}", f"Text {n}.") for n in range(12) if n != 6] + [("a", "Talk 6", "  ")], "collection STRING, stem STRING, text STRING"))
+    assert batch.backfill(spark, root, items, texts, n=5) == 3
+    assert set(stored(spark, root)) == {("a", f"Talk_{n}_0") for n in range(5, 12) if n != 6}
+    assert {r.error for r in st.read_handled(spark, root).filter("error IS NOT NULL").collect()} == {batch.NO_AUDIO}
+
+
+def test_runs_compact_the_store(spark, root, items, texts):
+    for _ in range(2):
+        batch.run_batch(spark, root, items, texts, n=2, compact_every=2)
+    assert spark.read.parquet(f"{root}/bases").count() == 1
+    assert len(st.current_chunks(spark, root).collect()) == len(stored(spark, root))
+
+
+def test_one_episode_of_a_stem_wins_whole(spark):
+    rows = [("a", "s", "u1", START, "first text"), ("a", "s", "u2", START, "second text"), ("a", "s", "u9", None, "undated"),
+            ("a", "t", "u", None, "alone"), ("b", "s", "u", None, "elsewhere"), ("a", "t", "u", None, "alone")]
+    df = spark.createDataFrame(rows, "collection STRING, stem STRING, audio_url STRING, published_ts TIMESTAMP, text STRING")
+    assert sorted(r.text for r in batch.one_per_stem(df).collect()) == ["alone", "elsewhere", "second text"]
+
+
+def refusing_model():
+    def load():
+        def outputs(texts):
+            if any("bad" in t for t in texts):
+                raise RuntimeError("refused")
+            return [[float(len(t)), 1.0] for t in texts]
+
+        return outputs
+
+    from sonotheca.operators.embedding import model_embedder
+    return model_embedder("refusing", load)
+
+
+def test_a_text_the_model_refuses_costs_only_its_episode(spark, root, items):
+    texts = batch.landed_transcripts(spark.createDataFrame(
+        [("a", f"Talk {n}", "A bad text." if n == 3 else f"Good {n}.") for n in range(9)], "collection STRING, stem STRING, text STRING"))
+    done = batch.run_batch(spark, root, items.filter("feed_id = 'a'"), texts, n=None, embedder=refusing_model())
+    assert summary(done) == {("a", "stored"): 8, ("a", "failed"): 1}
+    assert ("a", "Talk_3_0") not in stored(spark, root) and len(stored(spark, root)) == 8
+    assert [(r.stem, r.error) for r in st.failed_items(spark, root).collect()] == [("Talk 3", "refused")]
+
+
+def test_store_folder(spark, tmp_path, root):
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    record = '{"title": "T", "podcast": "P", "audio_url": "u", "spotify_url": null, "published_date": %s}'
+    for stem, text, date in (("one", "Un. Deux.", '"2024-01-03T00:00:00"'), ("undated", "Trois.", "null"), ("blank", " ", "null")):
+        (folder / f"{stem}.txt").write_text(text)
+        (folder / f"{stem}.json").write_text(record % date)
+    (folder / "lost.txt").write_text("No record.")
+    done = batch.store_folder(spark, root, str(folder), "shelf")
+    assert summary(done) == {("shelf", "stored"): 2, ("shelf", "blank"): 1, ("shelf", "failed"): 1}
+    assert stored(spark, root) == {("shelf", "one_0"): "Un. Deux.", ("shelf", "undated_0"): "Trois."}
+    assert marks(spark, root) == {"shelf": 2}
+
+
 def test_replayed_micro_batch_changes_nothing(spark, root):
     known = episodes(spark, [("x", "a", "u", START), ("y", "a", "u", START + timedelta(days=1))])
     landed = spark.createDataFrame([("x", "One."), ("y", "Two.")], "stem STRING, text STRING")

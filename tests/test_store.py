@@ -37,17 +37,17 @@ def test_open_collection(spark, root):
 @pytest.mark.parametrize("compacted", [False, True])
 def test_upsert_replaces_by_id_and_keeps_the_rest(spark, root, compacted):
     st.open_collection(spark, root, "c", "m")
-    st.upsert(spark, root, chunks(spark, [("t_0", "old"), ("t_1", "old tail"), ("u_0", "u")]), 1)
-    st.upsert(spark, root, chunks(spark, [("t_0", "elsewhere")], "d"), 1)
+    first = chunks(spark, [("t_0", "old"), ("t_1", "old tail"), ("u_0", "u")])
+    st.upsert(spark, root, first.union(chunks(spark, [("t_0", "elsewhere")], "d")), 1)
     if compacted:
-        st.compact(spark, root, "c")
-        st.compact(spark, root, "c")
+        st.compact(spark, root)
+        st.compact(spark, root)
     second = chunks(spark, [("t_0", "new"), ("v_0", "v")])
     want = {"t_0": "new", "t_1": "old tail", "u_0": "u", "v_0": "v"}
     for _ in range(2):  # the replay changes nothing
         st.upsert(spark, root, second, 2)
         assert content(st.current_chunks(spark, root, "c")) == want
-    st.compact(spark, root, "c")
+    st.compact(spark, root)
     assert content(st.current_chunks(spark, root, "c")) == want
     assert content(st.current_chunks(spark, root, "d")) == {"t_0": "elsewhere"}
     st.upsert(spark, root, chunks(spark, [("t_1", "newer")]), 3)
@@ -60,6 +60,46 @@ def test_replayed_batch_that_shrank_is_replaced(spark, root):
     assert content(st.current_chunks(spark, root, "c")) == {"a": "2"}
 
 
+def test_replayed_batch_without_rows_leaves_none(spark, root):
+    st.upsert(spark, root, chunks(spark, [("a", "1")]).union(chunks(spark, [("b", "1")], "d")), 1)
+    st.upsert(spark, root, chunks(spark, [("a", "2")]), 1)
+    assert st.current_chunks(spark, root, "d").count() == 0
+    st.upsert(spark, root, chunks(spark, []), 1)
+    assert st.current_chunks(spark, root).count() == 0
+
+
+def test_replay_of_a_compacted_batch_is_seen(spark, root):
+    st.upsert(spark, root, chunks(spark, [("a", "1"), ("b", "1")]), 1)
+    st.upsert(spark, root, chunks(spark, [("b", "2")]), 2)
+    st.compact(spark, root)
+    st.upsert(spark, root, chunks(spark, [("a", "again")]), 1)
+    assert content(st.current_chunks(spark, root, "c")) == {"a": "again", "b": "2"}
+    st.compact(spark, root)
+    assert content(st.current_chunks(spark, root, "c")) == {"a": "again", "b": "2"}
+
+
+def test_files_do_not_grow_with_the_collections(spark, root, tmp_path):
+    many = spark.range(1000).select(
+        F.concat(F.lit("c"), "id").alias("collection"), F.concat(F.lit("x"), "id").alias("id"), F.lit("d").alias("document"),
+        F.array(F.lit(1.0)).alias("embedding"), F.lit("m").alias("model"), F.lit(None).cast(CHUNKS["metadata"].dataType).alias("metadata"))
+    st.upsert(spark, root, many.repartition(8), 1)
+    files = list((tmp_path / "store" / "batches").rglob("*.parquet"))
+    assert len(files) <= st.BUCKETS
+    assert content(st.current_chunks(spark, root, "c77")) == {"x77": "d"}
+
+
+def test_current_view_ranks_no_wide_rows(spark, root, plan_of):
+    for seq in (1, 2):
+        st.upsert(spark, root, chunks(spark, [("a", str(seq)), ("b", "x")]), seq)
+    plan = plan_of(st.current_chunks(spark, root, "c"))
+    assert "Window" not in plan and "bucket" in plan
+
+
+def test_batch_numbers_are_allotted_once(spark, root):
+    assert [st.allot_batch(spark, root), st.allot_batch(spark, root, "s#0"), st.allot_batch(spark, root, "s#1")] == [1, 2, 3]
+    assert [st.allot_batch(spark, root, "s#0"), st.allot_batch(spark, root)] == [2, 4]
+
+
 def test_collisions(spark):
     day = datetime(2024, 1, 1)
     rows = [("c", "x_0", "a.txt", day), ("c", "x_0", "b.txt", day), ("c", "x_0", "z.txt", None),
