@@ -49,7 +49,7 @@ def test_layers_are_unwrapped_and_mapped(name):
 
 
 def test_a_span_inside_a_layer_maps_to_its_own_part():
-    text = "x " + b64("a" * 30 + " AKIA" + "Q" * 16 + " " + "b" * 30)
+    text = "x " + b64("z" * 30 + " AKIA" + "Q" * 16 + " " + "y" * 30)
     (_, a, b), = S.find(text)[1]
     assert b"AKIA" in base64.b64decode(text[2:])[(a - 2) // 4 * 3:(b - 2 + 3) // 4 * 3] and b - a < 32
 
@@ -74,7 +74,7 @@ def test_cycles_and_bombs_end():
     assert S.find(text)[1]
     bomb = b64(gzip.compress(b"a" * 2_000_000))
     _, spans, _ = S.find("x " + bomb, most=1_000_000)
-    assert ("oversize", 2, 2 + len(bomb.rstrip("="))) in spans
+    assert ("oversize", 2, 2 + len(bomb)) in spans
 
 
 def test_plain_words_give_nothing():
