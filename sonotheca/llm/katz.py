@@ -46,7 +46,7 @@ from sonotheca.session import written
 
 ORDER = 2
 K = 5
-CHUNK_TOKENS = 1 << 21
+CHUNK_TOKENS = 1 << 20
 BUCKET_KEYS = 1 << 20
 #: Stand-ins for the end of a text and for what precedes it.
 END = np.uint64(0x5851F42D4C957F2D)
