@@ -74,7 +74,7 @@ def documents():
         rows.append((i, f"some plain words {thing} and more words"))
     rows += [(1000 + i, f"plain words {digits(16)} and more words") for i in range(200)]
     rows += [(2000, "some plain words (736) 555-2678 and more words"), (2001, "some words user [at] mail9 (dot) example (dot) com end"),
-             (2002, "born in 1999 at 10:30 with 12 of 345"), (2003, None), (None, "x a@b.cd"), (3, "again a@b.cd"), (3, "again a@b.cd")]
+             (2002, "born in 1999 at 10:30 with 12 of 345"), (2003, None), (None, "x a@b.cd"), (5000, "again a@b.cd"), (5000, "again a@b.cd")]
     return rows
 
 
