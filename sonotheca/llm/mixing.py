@@ -208,12 +208,12 @@ class Mix:
 
     def blocks(self) -> DataFrame:
         """The mix itself: ``out_shard``, ``source``, ``nth``, ``doc_ids`` and ``text`` of every slot's block."""
-        words = F.regexp_extract_all(self.text_col, F.lit(_WORD), F.lit(0))
+        # the text travels as it is; it is cut into words where it arrives
         rows = self.docs.select(
             F.col(self.id_col).alias("id"), F.col(self.source_col).alias("source"),
-            F.xxhash64(self.text_col).alias("text_hash"), words.alias("words")).withColumn(
-                "size", F.size("words").cast("bigint")).where("size > 0").withColumn("bucket", self._bucket())
-        starts = self._place(rows, self.starts)
+            F.xxhash64(self.text_col).alias("text_hash"), F.col(self.text_col).alias("text"),
+            n_words(F.col(self.text_col)).alias("size")).where("size > 0").withColumn("bucket", self._bucket())
+        starts = self._place(rows, self.starts).withColumn("words", F.regexp_extract_all("text", F.lit(_WORD), F.lit(0)))
         block = F.lit(self.block)
         first, last = F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block)
 
@@ -224,8 +224,9 @@ class Mix:
                 F.slice("words", (begin + 1).cast("int"), (end - begin).cast("int")), " ").alias("words"))
 
         cut = starts.select("id", "source", "place", "start", F.explode(F.transform(F.sequence(first, last), piece)).alias("p"))
-        whole = cut.groupBy("place", "source", F.col("p.index").alias("index")).agg(F.sort_array(F.collect_list(F.struct(
-            (F.col("start") + F.col("p.from")).alias("at"), "id", F.col("p.words").alias("words")))).alias("parts"))
+        # grouped by the keys of the join, so a block is shuffled once
+        whole = cut.groupBy("place", F.col("p.index").alias("index")).agg(F.first("source").alias("source"), F.sort_array(
+            F.collect_list(F.struct((F.col("start") + F.col("p.from")).alias("at"), "id", F.col("p.words").alias("words")))).alias("parts"))
         filled = whole.select("place", "source", "index", F.col("parts.id").alias("doc_ids"),
                               F.array_join("parts.words", " ").alias("text"))
         return self.slots.join(filled, ["place", "index"]).select("out_shard", "source", "nth", "doc_ids", "text")
