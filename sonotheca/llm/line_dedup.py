@@ -1,19 +1,16 @@
-"""Line dedup by winnowing over line hashes, with DataFrame functions only.
+"""Line dedup over hashes of runs of lines, with DataFrame functions only.
 
 A text is cut into units: lines, and inside a line sentences, so that a passage that was
 pasted into a paragraph is still a run of whole units.  Each unit has a 63-bit hash.
 
-1. **Select.**  In every window of ``window`` consecutive units the smallest hash is a
-   fingerprint; units of ``plain`` words or more come before shorter ones, whose hashes
-   recur by chance.  A unit of ``least`` words or more is a fingerprint by itself.  So
-   every repeated run of ``window`` units, or with one long unit, holds a common one.
-2. **Join.**  Fingerprints that occur once are dropped by a count of their hashes.  Each
-   other one is joined with a single earlier one: the one before it in its document, or
-   else the first of all documents.
-3. **Extend.**  A match fixes a document, an earlier source and an offset between them.
-   Along it the unit hashes are compared over the whole overlap, both ways.
-4. **Delete** what lies in runs of ``least`` words or more.  The first occurrence of a
-   run, by id and position, stays.
+1. **Windows.**  From every unit on, and back from every unit, the shortest run of
+   ``least`` words or more is a window.  Every repeated run of ``least`` words or more is
+   the union of the windows inside it: the one from its first unit on covers its start, and
+   those back from the units behind that cover the rest.  So nothing needs to be extended.
+2. **Join.**  Windows whose hash occurs once are dropped by a count.  The others are joined
+   with the first of their hash in all documents, by id and place.
+3. **Delete** the units of every window but the first of its hash.  A unit that goes has an
+   equal one before it, so the first occurrence of a run always stays.
 
 A document whose units are all deleted is empty; ``deduplicated`` drops it.
 
@@ -23,7 +20,7 @@ joins of plain tables with one row per hash or document, which Spark may split.
 Nulls and edge cases: a null text stays null and an empty one empty.  A null id comes
 after all others.  Rows equal in id and text are one document: what repeats between them
 is not deleted from either.  Rows that share only the id are told apart by their text.
-Blank units are no part of a run's words, but go with the run around them.
+Blank units are passed over when runs are compared; those inside a run go with it.
 """
 
 from __future__ import annotations
@@ -33,9 +30,9 @@ from pyspark.sql import functions as F
 
 from sonotheca.session import written
 
-WINDOW = 3
-PLAIN = 5
 LEAST = 20
+#: Runs of so many units are tried one by one before all their words are added up.
+_NEAR = 4
 #: Units end at a line break, or at white space after a full stop, exclamation or question mark.
 _UNIT_END = r"(?<=\n)|(?<=[.!?][ \t])"
 #: The same places, taking the character before them along; tried at white space only.
@@ -63,99 +60,93 @@ def _key(id_col: str, text_col: str) -> Column:
                     F.xxhash64(text_col).alias("text_hash"))
 
 
-def _hashed(docs: DataFrame, id_col: str, text_col: str, plain: int) -> DataFrame:
-    """``k``, ``hashes`` and ``upto`` (words up to the end of each unit), one row per different document.
+def _hashed(docs: DataFrame, id_col: str, text_col: str, least: int) -> DataFrame:
+    """``k``, ``n_units`` and ``windows``, one row per document with text."""
+    def unit(d: Column, raw: Column, i: Column) -> Column:
+        bare = F.trim(raw)
+        return _let(bare, lambda b: F.struct(F.xxhash64(b).alias("h"), _words(b).alias("w"), i.alias("at")))
 
-    A hash of a unit of ``plain`` words or more is negative, so it is smaller than the others.
-    """
-    high, low = F.lit(-(1 << 63)), F.lit((1 << 63) - 1)
+    text = F.col(text_col)
+    parts = docs.where(text != "").select(_key(id_col, text_col).alias("k"), _let(
+        F.struct(text.alias("text")),
+        lambda d: F.transform(F.split(d["text"], _SEPARATOR, -1), lambda raw, i: unit(d, raw, i))).alias("u"))
+    real = F.filter("u", lambda u: u["w"] > 0)
+    return parts.select("k", F.size("u").alias("n_units"), _let(real, lambda u: _windows(u, least)).alias("windows"))
 
-    def hashed(bare: Column) -> Column:
-        return _let(F.struct(F.xxhash64(bare).alias("h"), _words(bare).alias("w")), lambda u: F.struct(
-            F.when(u["w"] >= plain, u["h"].bitwiseOR(high)).otherwise(u["h"].bitwiseAND(low)).alias("h"), u["w"].alias("w")))
 
-    parts = docs.where(F.col(text_col) != "").select(
-        _key(id_col, text_col).alias("k"),
-        F.transform(F.split(F.col(text_col), _SEPARATOR, -1), lambda unit: _let(F.trim(unit), hashed)).alias("u"))
-    return parts.select("k", F.col("u.h").alias("hashes"), F.col("u.w").alias("words"))
+def _windows(u: Column, least: int) -> Column:
+    """The shortest runs of ``least`` words or more from every unit on, and back from every unit.
 
+    ``u`` is an array of units with words: ``h``, ``w`` and ``at``, the place among all units.
+    Gives structs of ``h`` (the hash of the run's units), ``start`` and ``end`` (in all units).
+    """
+    def reach(words: Column, i: Column) -> Column:
+        """Where the run from ``i`` on ends; null if too few words follow.  It has ``least`` units at most."""
+        near, total = None, F.lit(0)
+        for c in range(_NEAR):
+            total = total + F.get(words, i + c)
+            near = F.when(total >= least, i + c + 1) if near is None else near.when(total >= least, i + c + 1)
+        far = F.aggregate(F.slice(words, i + 1, least), F.struct(F.lit(0).alias("c"), F.lit(0).alias("w")), lambda got, w: F.when(
+            got["w"] >= least, got).otherwise(F.struct((got["c"] + 1).alias("c"), (got["w"] + w).alias("w"))),
+            lambda got: F.when(got["w"] >= least, i + got["c"]))
+        return near.when(F.get(words, i + _NEAR).isNotNull(), far)
 
-def _selected(window: int, least: int) -> Column:
-    """Positions of the fingerprints of a document with ``hashes`` and ``words``."""
-    n = F.size("hashes")
+    def runs(v: Column, ends: Column) -> Column:
+        n = F.size(v["w"])
 
-    def smallest(i: Column) -> Column:
-        near = F.slice("hashes", i + 1, window)
-        return i + F.array_position(near, F.array_min(near)).cast("int") - 1
+        def some(e: Column, i: Column) -> Column:
+            # the runs back from units behind e start at i as well, up to where the next run on ends
+            last = F.greatest(e, F.coalesce(F.get(ends, i + 1) - 1, n))
+            return F.transform(F.sequence(e, last), lambda j: F.struct(
+                F.xxhash64(F.slice(v["h"], i + 1, j - i)).alias("h"), F.get(v["at"], i).alias("start"),
+                (F.get(v["at"], j - 1) + 1).alias("end")))
 
-    starts = F.sequence(F.lit(0), F.greatest(n - window, F.lit(0)))
-    long = F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.get("words", i) >= least)
-    return F.array_distinct(F.concat(F.transform(starts, smallest), long))
+        return F.flatten(F.transform(F.filter(ends, lambda e: e.isNotNull()), some))
 
+    def every(v: Column) -> Column:
+        return _let(F.transform(v["w"], lambda w, i: reach(v["w"], i)), lambda ends: runs(v, ends))
 
-def _runs(least: int) -> Column:
-    """Maximal equal runs of at least ``least`` words, as (start, end) in the later document.
+    return _let(F.struct(u["h"].alias("h"), u["w"].alias("w"), u["at"].alias("at")), every)
 
-    ``hashes`` and ``words`` are its units, ``source`` those of the earlier one, ``shift``
-    the offset between them.  Hashes are compared over the whole overlap; in one document
-    the source of a unit lies ``shift`` units before it.
-    """
-    first = F.greatest(F.lit(0), F.col("shift"))
-    length = F.least(F.size("hashes"), F.size("source") + F.col("shift")) - first
-    equal = F.zip_with(F.slice("hashes", first + 1, length), F.slice("source", first - F.col("shift") + 1, length),
-                       lambda a, b: a == b)
 
-    def ends(same: Column) -> Column:
-        here = F.filter(F.sequence(F.lit(0), F.size(same) - 1), lambda i: F.get(same, i))
-        edge = lambda step: F.filter(here, lambda i: ~F.coalesce(F.get(same, i + step), F.lit(False)))
-        return F.zip_with(edge(-1), edge(1), lambda a, b: F.struct(
-            (a + first).alias("start"), (b + first + 1).alias("end")))
+def _merged(runs: Column) -> Column:
+    """Windows of one document as maximal runs; sorted by start they are sorted by end too."""
+    def joined(every: Column) -> Column:
+        at = F.sequence(F.lit(0), F.size(every) - 1)
+        gap = lambda i: F.get(every, i)["start"] > F.get(every, i - 1)["end"]
+        return F.zip_with(F.filter(at, lambda i: F.coalesce(gap(i), F.lit(True))), F.filter(at, lambda i: F.coalesce(gap(i + 1), F.lit(True))),
+                          lambda a, b: F.struct(F.get(every, a)["start"].alias("start"), F.get(every, b)["end"].alias("end")))
 
-    def weight(run: Column) -> Column:
-        return F.aggregate(F.slice("words", run["start"] + 1, run["end"] - run["start"]), F.lit(0), lambda n, w: n + w)
-
-    return F.filter(_let(equal, ends), lambda run: weight(run) >= least)
+    return _let(F.array_sort(runs), joined)
 
 
 def repeated_runs(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-    window: int = WINDOW, plain: int = PLAIN, least: int = LEAST,
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST,
 ) -> DataFrame:
     """``k`` (no_id, id, text_hash), ``n_units`` and ``runs`` of every different document with text.
 
     ``runs`` are the unit ranges that repeat something earlier; null if there are none.
     """
-    hashed = written(_hashed(docs, id_col, text_col, plain), "units")
+    hashed = written(_hashed(docs, id_col, text_col, least), "units")
     if hashed.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").head(1):
         hashed = written(hashed.dropDuplicates(["k"]), "units")
-    seeds = hashed.select("k", "hashes", F.explode(_selected(window, least)).alias("pos")).select(
-        F.get("hashes", F.col("pos")).alias("h"), "k", "pos")
+    seeds = hashed.select("k", F.explode("windows").alias("r")).select(
+        "r.h", "k", "r.start", "r.end")
     often = written(seeds.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "often")
     found = written(seeds.join(often, "h"), "seeds")
-    first = written(found.groupBy("h").agg(F.min(F.struct("k", "pos")).alias("first")), "first")
-    # a fingerprint is compared with the one before it in its document, or else with the first of all
-    before = F.lag("pos").over(Window.partitionBy("h", "k").orderBy("pos"))
-    chained = found.withColumn("before", before)
-    within = chained.where("before IS NOT NULL").select(
-        "k", F.col("k").alias("source_k"), (F.col("pos") - F.col("before")).alias("shift"))
-    across = (
-        written(chained.where("before IS NULL").select("h", "k", "pos"), "own-first").join(first, "h")
-        .where(F.col("k") > F.col("first.k"))
-        .select("k", F.col("first.k").alias("source_k"), (F.col("pos") - F.col("first.pos")).alias("shift")))
-    matches = written(within.unionByName(across).distinct(), "matches")
-    sources = hashed.select(F.col("k").alias("source_k"), F.col("hashes").alias("source"))
-    with_source = written(matches.join(sources, "source_k").select("k", "shift", "source"), "matched")
-    runs = with_source.join(hashed, "k").select("k", _runs(least).alias("runs")).where(F.size("runs") > 0)
-    found = runs.groupBy("k").agg(F.array_distinct(F.flatten(F.collect_list("runs"))).alias("runs"))
-    return hashed.select("k", F.size("hashes").alias("n_units")).join(found, "k", "left")
+    first = written(found.groupBy("h").agg(F.min(F.struct("k", "start")).alias("first")), "first")
+    # the first run of all stays, every other one goes
+    later = found.join(first, "h").where(F.struct("k", "start") > F.col("first")).select("k", "start", "end")
+    runs = later.groupBy("k").agg(F.collect_list(F.struct("start", "end")).alias("runs"))
+    return hashed.select("k", "n_units").join(runs.select("k", _merged(F.col("runs")).alias("runs")), "k", "left")
 
 
 def without_repeats(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-    window: int = WINDOW, plain: int = PLAIN, least: int = LEAST,
+    least: int = LEAST,
 ) -> DataFrame:
     """``docs`` with repeated runs deleted from ``text_col``, and ``n_units``, ``n_deleted``."""
-    runs = written(repeated_runs(docs, id_col=id_col, text_col=text_col, window=window, plain=plain, least=least), "runs")
+    runs = written(repeated_runs(docs, id_col=id_col, text_col=text_col, least=least), "runs")
     parts = units(F.col(text_col))
     kept = F.filter(parts, lambda u, i: ~F.exists("_runs", lambda r: (i >= r["start"]) & (i < r["end"])))
     changed = F.col("_runs").isNotNull()

@@ -103,3 +103,39 @@ def test_long_text(spark):
 @pytest.mark.parametrize("rows", [[], [(1, None)], [(1, "")]])
 def test_nothing_to_do(spark, rows):
     assert [r["_deleted"] for r in run(spark, rows)] == [0] * len(rows)
+
+
+def first_kept(rows, least=20):
+    """By brute force: the texts without units in a run of ``least`` words or more that came before."""
+    seen, out = set(), {}
+    for d, text in sorted(rows):
+        parts = split(text)
+        real = [i for i, u in enumerate(parts) if n_words(u)]
+        bare = [re.sub(r"[\t\n\x0b\x0c\r]", " ", parts[i]).strip(" ") for i in real]
+        gone = set()
+        for a in range(len(real)):
+            for b in range(a + 1, min(a + least, len(real)) + 1):
+                if sum(n_words(u) for u in bare[a:b]) >= least:
+                    run = tuple(bare[a:b])
+                    if run in seen:
+                        gone.update(range(real[a], real[b - 1] + 1))
+                    seen.add(run)
+        out[d] = "".join(u for i, u in enumerate(parts) if i not in gone)
+    return out
+
+
+def test_a_run_finds_the_place_that_holds_all_of_it(spark):
+    s1, s2, s3 = (" ".join(f"{tag}{i}" for i in range(18)) + ". " for tag in "abc")
+    for alone in (s1, s2, s3):
+        rows = [(1, f"One. {alone}Here."), (2, f"Two. {s1}{s2}{s3}There."), (3, f"Three. {alone}And. {s1}{s2}{s3}Then.")]
+        got = {r["doc_id"]: r["text"] for r in run(spark, rows)}
+        assert got == {**dict(rows), 3: f"Three. {alone}And. Then."} == first_kept(rows)
+
+
+def test_against_brute_force(spark):
+    rnd = random.Random(11)
+    pool = [" ".join(f"u{j}w{i}" for i in range(rnd.choice([1, 2, 5, 9, 13, 21]))) + rnd.choice([". ", ".\n", "\n", "!\t"]) for j in range(25)]
+    rows = [(d, "".join(rnd.choice(["\n", "own. ", *pool * 2]) if rnd.random() < 0.5 else "".join(pool[a:a + rnd.randint(1, 6)])
+                        for a in (rnd.randrange(25) for _ in range(12)))) for d in range(40)]
+    got = {r["doc_id"]: r["text"] for r in run(spark, rows)}
+    assert got == first_kept(rows) and got != dict(rows)
