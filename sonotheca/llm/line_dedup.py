@@ -20,7 +20,8 @@ joins of plain tables with one row per hash or document, which Spark may split.
 Nulls and edge cases: a null text stays null and an empty one empty.  A null id comes
 after all others.  Rows equal in id and text are one document: what repeats between them
 is not deleted from either.  Rows that share only the id are told apart by their text.
-Blank units are passed over when runs are compared; those inside a run go with it.
+Blank units are passed over when runs are compared; those inside a run go with it.  Tabs,
+vertical tabs, form feeds and carriage returns count as spaces.
 """
 
 from __future__ import annotations
@@ -49,6 +50,11 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _spaced(text: Column) -> Column:
+    """``text`` with every vertical tab, form feed and carriage return as a space."""
+    return F.translate(text, "\u000b\f\r", "   ")
+
+
 def _words(bare: Column) -> Column:
     """Words of a trimmed unit, counted by its spaces."""
     return F.when(bare == "", 0).otherwise(F.length(bare) - F.length(F.replace(bare, F.lit(" "))) + 1).cast("int")
@@ -63,12 +69,14 @@ def _key(id_col: str, text_col: str) -> Column:
 def _hashed(docs: DataFrame, id_col: str, text_col: str, least: int) -> DataFrame:
     """``k``, ``n_units`` and ``windows``, one row per document with text."""
     def unit(d: Column, raw: Column, i: Column) -> Column:
-        bare = F.trim(raw)
+        # a carriage return ends no sentence as a space does, so it is replaced after the split
+        bare = F.trim(F.when(d["odd"], _spaced(raw)).otherwise(raw))
         return _let(bare, lambda b: F.struct(F.xxhash64(b).alias("h"), _words(b).alias("w"), i.alias("at")))
 
     text = F.col(text_col)
+    odd = F.contains(text, F.lit("\r")) | F.contains(text, F.lit("\f")) | F.contains(text, F.lit("\u000b"))
     parts = docs.where(text != "").select(_key(id_col, text_col).alias("k"), _let(
-        F.struct(text.alias("text")),
+        F.struct(F.replace(text, F.lit("\t"), F.lit(" ")).alias("text"), odd.alias("odd")),
         lambda d: F.transform(F.split(d["text"], _SEPARATOR, -1), lambda raw, i: unit(d, raw, i))).alias("u"))
     real = F.filter("u", lambda u: u["w"] > 0)
     return parts.select("k", F.size("u").alias("n_units"), _let(real, lambda u: _windows(u, least)).alias("windows"))

@@ -139,3 +139,14 @@ def test_against_brute_force(spark):
                         for a in (rnd.randrange(25) for _ in range(12)))) for d in range(40)]
     got = {r["doc_id"]: r["text"] for r in run(spark, rows)}
     assert got == first_kept(rows) and got != dict(rows)
+
+
+def test_tabs_and_carriage_returns_count_as_spaces(spark):
+    rnd = random.Random(5)
+    lines = [" ".join(f"w{rnd.randrange(10 ** 6)}" for _ in range(9)) for _ in range(6)]
+    table = "".join("\t".join(f"cell{i}{j}" for j in range(8)) + "\n" for i in range(4))
+    rows = [(1, "\n".join(lines) + "\n" + table + "own end."), (2, "Own start.\r\n" + "\r\n".join(lines) + "\r\nOwn end.\r\n"),
+            (3, "Start.\n" + "".join(f"\t\x0b{line}\x0c\n" for line in lines) + "End."), (4, f"Start.\n{table}End.")]
+    got = {r["doc_id"]: r for r in run(spark, rows)}
+    assert [got[d]["text"] for d in (1, 2, 3, 4)] == [rows[0][1], "Own start.\r\nOwn end.\r\n", "Start.\nEnd.", "Start.\nEnd."]
+    assert all(r["_units"] == len(split(dict(rows)[d])) for d, r in got.items())
