@@ -5,13 +5,14 @@
    the totals of hashed buckets of the source, then inside a bucket.  There are as many
    buckets as rows in a bucket, the square root of all rows, so no task sorts more than
    that however large one source is.
-2. **Draw.** The mix is ``n`` slots in output shards of ``shard`` slots.  Each shard takes
-   the whole part of its expected count from every source and draws the rest from the
-   multinomial distribution over the fractions: each drawn slot is one equi-join.  Whole parts keep the noise of the draw below one slot per shard and source.
+2. **Draw.** The mix is ``n`` slots in output shards of ``shard`` slots on average.  A source
+   gets the whole part of the slots it wants and one draw for the fraction, over all shards,
+   so its total does not depend on theirs.  Every shard takes an equal whole part of it; the
+   slots that are left fall to shards at random, which makes them multinomial.
 3. **Map.** The r-th slot of a source, counted over all shards, takes the block at
    position r (modulo the number of blocks) of a pseudorandom permutation of the source's
    blocks: a swap-or-not cipher on exactly that many numbers.  A source is thus gone
-   through once before any block repeats, and slots beyond two rounds stay empty.
+   through once before any block repeats, and no source has more slots than two rounds.
 4. **Join** slots and blocks by source and index.
 
 Targets: a source's weight share of ``total`` times all words, but at most ``most`` times
@@ -152,38 +153,27 @@ class Mix:
 
     def _slots(self) -> DataFrame:
         """``out_shard``, ``place``, ``nth`` (of the source, over all shards) and ``index`` of the block."""
-        all_slots, places = self.sources.agg(F.sum("want"), F.count(F.lit(1))).first()
+        all_slots = self.sources.agg(F.sum("want")).first()[0]
         shards = int(-(-(all_slots or 0) // self.shard))
-        spark = self.docs.sparkSession
+        # the whole part of what a source wants, and one draw for its fraction
+        total = F.floor("want") + (_unit(self.seed, F.col("place"), F.lit("total")) < F.col("want") - F.floor("want")).cast("bigint")
         plan = self.sources.where("want > 0").select(
-            "place", "n_blocks", (F.col("want") / max(1, shards)).alias("mean"))
-        plan = plan.withColumn("whole", F.floor("mean")).withColumn("part", F.col("mean") - F.floor("mean"))
-        plan = written(plan, "plan")
-        parts = plan.agg(F.sum("part")).first()[0] or 0.0
-        drawn = round(parts)
-        n_cells = 4 * max(1, places)
-        cells = written(_cells(plan, parts, n_cells), "cells")
-        counts = plan.select("place", F.lit(None).cast("bigint").alias("out_shard"), F.lit(0).cast("bigint").alias("n")).limit(0)
-        if shards and drawn:
-            tickets = spark.range(shards * drawn).select(
-                F.floor(F.col("id") / drawn).alias("out_shard"),
-                _unit(self.seed, F.col("id")).alias("u"))
-            tickets = tickets.withColumn("cell", F.floor(F.col("u") * n_cells))
-            picked = tickets.join(cells, "cell").where("lo <= u AND u < hi").select("out_shard", "place")
-            counts = picked.groupBy("place", "out_shard").agg(F.count(F.lit(1)).alias("n"))
-        sure = plan.where("whole > 0").select("place", F.explode(F.sequence(F.lit(0), F.lit(max(0, shards - 1)))).alias("out_shard"),
-                                              F.col("whole").alias("n")) if shards else counts
-        per_shard = written(
-            sure.select("place", F.col("out_shard").cast("bigint"), "n").unionByName(counts.select("place", "out_shard", "n"))
-            .groupBy("place", "out_shard").agg(F.sum("n").alias("n")), "shard-counts")
+            "place", "n_blocks", F.least(total, F.col("n_blocks") * self.most).alias("total"))
+        plan = written(plan.withColumn("whole", F.floor(F.col("total") / max(1, shards)))
+                       .withColumn("rest", F.col("total") - F.col("whole") * shards), "plan")
+        upto = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1))
+        sure = plan.where("whole > 0").select("place", upto(F.lit(max(1, shards)).cast("bigint")).alias("out_shard"), F.col("whole").alias("n"))
+        drawn = plan.where("rest > 0").select("place", upto(F.col("rest")).alias("ticket")).select(
+            "place", F.floor(_unit(self.seed, F.col("place"), F.col("ticket")) * shards).alias("out_shard"),
+            F.lit(1).cast("bigint").alias("n"))
+        per_shard = written(sure.unionByName(drawn).groupBy("place", "out_shard").agg(F.sum("n").alias("n")), "shard-counts")
         before = Window.partitionBy("place").orderBy("out_shard").rowsBetween(Window.unboundedPreceding, -1)
         numbered = written(per_shard.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0))), "numbered")
         # few rows that make many slots: dealt out by their number of slots
         numbered = numbered.repartition(max(1, int(-(-(all_slots or 0) // TASK_SLOTS))))
         each = numbered.select("place", "out_shard", F.explode(F.sequence("first", F.col("first") + F.col("n") - 1)).alias("nth"))
         index = permuted(F.pmod("nth", "n_blocks"), F.col("n_blocks"), F.col("place") * 31 + self.seed)
-        return each.join(plan.select("place", "n_blocks"), "place").where(F.col("nth") < F.col("n_blocks") * self.most) \
-            .select("out_shard", "place", "nth", index.alias("index"))
+        return each.join(plan.select("place", "n_blocks"), "place").select("out_shard", "place", "nth", index.alias("index"))
 
     def pieces(self) -> DataFrame:
         """The part of every document in every block: ``index``, ``from`` and ``length`` in the document."""
@@ -230,17 +220,3 @@ class Mix:
         filled = whole.select("place", "source", "index", F.col("parts.id").alias("doc_ids"),
                               F.array_join("parts.words", " ").alias("text"))
         return self.slots.join(filled, ["place", "index"]).select("out_shard", "source", "nth", "doc_ids", "text")
-
-
-def _cells(plan: DataFrame, parts: float, n: int) -> DataFrame:
-    """``cell``, ``place``, ``lo``, ``hi``: where the fractions of the sources lie on the unit line.
-
-    The line has ``n`` equal cells; a source has a row for each cell it reaches into, so a
-    draw finds its source by an equi-join on the cell and a comparison inside it.
-    """
-    upto = F.sum("part").over(Window.orderBy("place").rowsBetween(Window.unboundedPreceding, 0)) / max(parts, 1e-300)
-    lines = plan.where("part > 0").select("place", upto.alias("hi"))  # one row per source
-    lines = lines.withColumn("lo", F.coalesce(F.lag("hi").over(Window.orderBy("place")), F.lit(0.0)))
-    lines = lines.withColumn("hi", F.when(F.lead("hi").over(Window.orderBy("place")).isNull(), F.lit(1.1)).otherwise(F.col("hi")))
-    cell = lambda x: F.least(F.floor(F.col(x) * n), F.lit(n - 1).cast("bigint"))
-    return lines.select("place", "lo", "hi", F.explode(F.sequence(cell("lo"), cell("hi"))).alias("cell"))

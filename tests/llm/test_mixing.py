@@ -90,3 +90,14 @@ def test_nothing_to_mix(spark, rows):
     mix = M.Mix(spark.createDataFrame(rows, "doc_id BIGINT, text STRING, source STRING"))
     assert [(r["taken"], r["target"]) for r in mix.taken().collect()] == [(0, 0.0)] * len(rows)
     assert mix.blocks().count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_a_tiny_source_beside_a_huge_one_keeps_its_share(spark, seed):
+    rows = [(0, " ".join(["z"] * 3 * M.BLOCK), "z")] + [(i, " ".join(["a"] * M.BLOCK), "a") for i in range(1, 202)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, source STRING")
+    # 20 shards of 15 slots of the one and 0.3 of the other
+    slots = M.Mix(docs, shard=16, seed=seed).slots.collect()
+    assert Counter(r["place"] for r in slots) == {0: 300, 1: 6}
+    assert len({r["out_shard"] for r in slots if r["place"] == 1}) > 1 and {r["out_shard"] for r in slots} == set(range(20))
+    assert len({(r["place"], r["nth"]) for r in slots}) == 306
