@@ -1,8 +1,9 @@
 """Secret scan with a recursive decoding worklist.
 
 A text is a layer.  Every layer is scanned for secrets and unwrapped: percent escapes and
-Unicode escapes anywhere in it give a decoded copy; runs of base64 that decode to text,
-or to gzip or zlib data, give a layer each.  New layers go on the worklist until nothing
+Unicode escapes anywhere in it give a decoded copy; runs of base64, also wrapped in lines
+or with other characters before them, give a layer for each part that decodes to text, or
+to gzip or zlib data of one or more members.  New layers go on the worklist until nothing
 new appears.  A layer that was seen before (same content from the same place) is not
 entered again, which also ends cycles.  Each layer keeps, for every character, where in
 the original text it comes from, so every finding maps to a span of the original.
@@ -45,7 +46,13 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 #: The shortest secret has 16 characters, which base64 makes 22.
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{22,}={0,2}")
+#: A run may be wrapped in lines of 22 characters or more, of which the last may be shorter.
+BASE64 = re.compile(r"[A-Za-z0-9+/_-]{22,}(?:[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_-]{22,})*(?:[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_-]{1,21}(?![^\s=]))?={0,2}")
+#: Where gzip or zlib data may start.
+_PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]")
+#: UTF-8 without control characters other than white space, as long as the shortest secret.
+_READABLE = re.compile(rb"(?:[\t-\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}"
+                       rb"|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){16,}")
 
 
 class Layer:
@@ -147,18 +154,39 @@ def _unicode(layer: Layer) -> Layer | None:
 
 
 def _inflated(data: bytes, most: int) -> bytes | None:
-    """The content of gzip or zlib data; ``None`` if it is none.  Raises OverflowError beyond ``most``."""
-    gzip, zlib_ = data[:2] == b"\x1f\x8b", len(data) > 2 and data[0] == 0x78 and (data[0] * 256 + data[1]) % 31 == 0
-    if not gzip and not zlib_:
-        return None
-    stream = zlib.decompressobj(47)
-    try:
-        out = stream.decompress(data, most)
-    except zlib.error:
-        return None
-    if stream.unconsumed_tail:
+    """The content of gzip or zlib data, all members; ``None`` if it is none.  Raises OverflowError beyond ``most``."""
+    out, found = [], False
+    while _PACKED.match(data):
+        stream = zlib.decompressobj(47)
+        try:
+            out.append(stream.decompress(data, most - sum(map(len, out)) + 1))
+        except zlib.error:
+            break
+        found = True
+        if stream.unconsumed_tail or sum(map(len, out)) > most:
+            raise OverflowError
+        data = stream.unused_data
+    return b"".join(out) if found else None
+
+
+def _unpacked(data: bytes, most: int) -> Iterator[bytes]:
+    """The contents of all compressed data in ``data``, and in those; OverflowError as the last if one is too large."""
+    too_large, work = False, [(data, 0)]
+    while work:
+        inside, depth = work.pop()
+        # content is looked at from its start only; what is glued to base64 lies before compressed data
+        starts = [m.start() for m in _PACKED.finditer(inside)] if depth == 0 else [0]
+        for at in starts:
+            try:
+                plain = _inflated(inside[at:], most)
+            except OverflowError:
+                too_large = True
+                continue
+            if plain:
+                yield plain
+                work.append((plain, depth + 1))
+    if too_large:
         raise OverflowError
-    return out
 
 
 def _text(data: bytes) -> str | None:
@@ -171,46 +199,36 @@ def _text(data: bytes) -> str | None:
 
 
 def _base64(layer: Layer, most: int) -> Iterator[Layer | tuple[int, int]]:
-    """Layers inside runs of base64, and the origins of streams that are too large to inflate."""
+    """Layers inside runs of base64, and the origins of streams that are too large to inflate.
+
+    A run may start with other characters of the alphabet, so it is decoded from each of its
+    first four; what is text in the result is a layer.  Line breaks inside a run are left out.
+    """
     for m in BASE64.finditer(layer.text):
-        run = m[0].rstrip("=")
-        if len(run) % 4 == 1:
-            continue
-        try:
-            data = base64.b64decode(run.translate(str.maketrans("-_", "+/")) + "=" * (-len(run) % 4))
-        except (binascii.Error, ValueError):
-            continue
+        places = np.array([m.start() + i for i, c in enumerate(m[0]) if c not in " \t\r\n="])
+        run = "".join(c for c in m[0] if c not in " \t\r\n=").translate(str.maketrans("-_", "+/"))
         low, high = layer.origin(m.start(), m.end())
-        try:
-            plain = _inflated(data, most)
-        except OverflowError:
-            yield low, high
-            continue
-        if plain is not None:
-            # compressed content may hold compressed content in turn
-            while plain is not None:
-                data, whole = plain, True
-                try:
-                    plain = _inflated(data, most)
-                except OverflowError:
-                    yield low, high
-                    plain = None
-        else:
-            whole = False
-        text = _text(data)
-        if text is None:
-            continue
-        if whole:
-            n = len(text)
-            yield Layer(text, np.full(n, low), np.full(n, high))
-        else:
-            # byte i comes from characters i * 4 // 3 and (i * 4 + 4) // 3 of the run
-            widths = np.fromiter((len(c.encode()) for c in text), np.int64, len(text))
-            last = np.cumsum(widths) - 1
-            first = last - widths + 1
-            starts, ends = layer.origins()
-            yield Layer(text, starts[m.start() + first * 4 // 3],
-                        ends[m.start() + np.minimum((last * 4 + 4) // 3, len(run) - 1)])
+        for offset in range(4):
+            part = run[offset:]
+            part = part[:-1] if len(part) % 4 == 1 else part
+            data = base64.b64decode(part + "=" * (-len(part) % 4))
+            try:
+                for plain in _unpacked(data, most):
+                    text = _text(plain)
+                    if text is not None:
+                        yield Layer(text, np.full(len(text), low), np.full(len(text), high))
+            except OverflowError:
+                yield low, high
+            for piece in _READABLE.finditer(data):
+                # byte i comes from characters i * 4 // 3 and (i * 4 + 4) // 3 of the part
+                text = piece[0].decode("utf-8", "replace")
+                widths = np.fromiter((len(c.encode()) for c in text), np.int64, len(text))
+                last = piece.start() + np.cumsum(widths) - 1
+                first = last - widths + 1
+                starts, ends = layer.origins()
+                own = places[offset:offset + len(part)]
+                yield Layer(text, starts[own[np.minimum(first * 4 // 3, len(own) - 1)]],
+                            ends[own[np.minimum((last * 4 + 4) // 3, len(own) - 1)]])
 
 
 def find(text: str, most: int = MOST_INFLATED) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int]:

@@ -99,3 +99,27 @@ def test_query(spark):
         assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
         assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(k == x for k, _, _ in own) for x in ("assign", "access", "hex")]
         assert set(filter(None, joined.split(","))) <= set(r["spans"].split(","))
+
+
+@pytest.mark.parametrize("glued", ["", "/data/", "key_", "id-", "\\n", "x", "abcde+"])
+def test_base64_behind_other_characters(glued):
+    secret = "password=Tr0ub4dor_and_3x"
+    for data in (f"some text, {secret}".encode(), gzip.compress(f"packed text, {secret}".encode())):
+        text = f"see {glued}{base64.b64encode(data).decode()} there"
+        assert any(k == "assign" for k, _, _ in S.find(text)[1])
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n  "])
+def test_base64_wrapped_in_lines(end):
+    secret = "password=Tr0ub4dor_and_3x"
+    words = " ".join(f"word{i * 7919 % 1000}" for i in range(30))
+    for data in (f"{words[:50]} {secret} {words}".encode(), gzip.compress(f"{words} {secret} {words}".encode())):
+        coded = base64.b64encode(data).decode()
+        text = "-----BEGIN-----\n" + end.join(coded[i:i + 76] for i in range(0, len(coded), 76)) + "\n-----END-----"
+        (found,) = {(a, b) for k, a, b in S.find(text)[1] if k == "assign"}
+        assert text.index(coded[:20]) <= found[0] < found[1] <= text.index("\n-----END")
+
+
+def test_later_members_of_a_stream():
+    data = gzip.compress(b"first member") + gzip.compress(b"then password=Tr0ub4dor_and_3x")
+    assert any(k == "assign" for k, _, _ in S.find(base64.b64encode(data).decode())[1])
