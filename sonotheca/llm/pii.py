@@ -289,6 +289,17 @@ def _fitted(rows: DataFrame) -> dict[int, tuple[tuple, float]]:
     return models
 
 
+def _meets(a: Column, b: Column) -> Column:
+    return (a["start"] < b["end"]) & (b["start"] < a["end"])
+
+
+def _apart(chosen: Column) -> Column:
+    """From the greatest candidate down, each one that meets none kept before."""
+    return _let(F.reverse(F.array_sort(chosen)), lambda every: F.aggregate(
+        every, F.slice(every, 1, 0), lambda kept, c: F.when(F.exists(kept, lambda o: _meets(o, c)), kept).otherwise(
+            F.concat(kept, F.array(c)))))
+
+
 def personal_data(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id``, ``base`` and ``spans`` per row: arrays of (start, kind, end), kinds numbered as ``KINDS``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -307,14 +318,10 @@ def personal_data(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
         return F.struct(value.alias("score"), (c["end"] - c["start"]).alias("length"), (-c["start"]).alias("early"),
                         (-c["kind"]).alias("first"), c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end"))
 
-    def meets(a: Column, b: Column) -> Column:
-        return (a["start"] < b["end"]) & (b["start"] < a["end"])
-
-    free = F.filter("candidates", lambda c: ~F.exists("base", lambda b: meets(b, c)))
+    free = F.filter("candidates", lambda c: ~F.exists("base", lambda b: _meets(b, c)))
     chosen = F.filter(F.transform(free, rated), lambda c: c["score"].isNotNull())
-    added = _let(chosen, lambda every: F.transform(
-        F.filter(every, lambda c: ~F.exists(every, lambda o: meets(o, c) & (o > c))),
-        lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end"))))
+    added = F.transform(_apart(chosen), lambda c: F.struct(
+        c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end")))
     return rows.select("id", "base", F.array_sort(F.array_distinct(F.concat("base", added))).alias("spans"))
 
 

@@ -121,3 +121,10 @@ def test_redaction(spark):
 def test_plan_is_native(spark, plan_of):
     df = spark.createDataFrame([(1, "a@b.cd")], "doc_id BIGINT, text STRING")
     assert "Python" not in plan_of(P.personal_data(df)) and "Arrow" not in plan_of(P.personal_data(df))
+
+
+def test_a_candidate_yields_only_to_one_that_is_kept(spark):
+    chain = [(0.2, 18, 30), (0.9, 0, 10), (0.5, 8, 20), (0.1, 40, 50), (0.1, 45, 60)]
+    df = spark.createDataFrame([(chain,), ([],)], "c ARRAY<STRUCT<score: DOUBLE, start: INT, end: INT>>")
+    got = [[tuple(c) for c in r["kept"]] for r in df.select(P._apart(F.col("c")).alias("kept")).collect()]
+    assert got == [[(0.9, 0, 10), (0.2, 18, 30), (0.1, 45, 60)], []]
