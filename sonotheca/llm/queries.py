@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonotheca.llm import decontamination, graph_ann, katz, line_dedup, mixing, pii, quality, secrets, simhash, url_filter
+from sonotheca.llm import (decontamination, graph_ann, katz, line_dedup, merkle, mixing, packing, pii, quality, secrets,
+                           simhash, url_filter, whitening)
 from sonotheca.llm.registry import ORACLE, QUERIES, query, table  # noqa: F401
 from sonotheca.session import written
 
@@ -141,3 +142,100 @@ def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         F.col("id").alias("doc_id"), *(_count("base", k).alias(f"n_{k}") for k in pii.KINDS),
         F.sha2(_joined("base").cast("binary"), 256).alias("base_sha256"), _joined("spans").alias("spans"))
+
+
+@query()
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector whitened on the four largest components."""
+    vectors = table(spark, folder, "embeddings")
+    model = whitening.fit(vectors, components=4)
+    explained = F.array(*map(F.lit, model.explained)).cast("array<double>")
+    return model.transform(vectors).select(
+        F.col("id").alias("vec_id"), "deviation", F.posexplode("whitened").alias("place", "whitened"),
+    ).select(
+        "vec_id", (F.col("place") + 1).alias("component"), F.lit(model.centre.n).cast("bigint").alias("n"), "deviation",
+        "whitened", F.get(explained, F.col("place")).alias("explained"),
+        F.lit(model.identity_error).cast("double").alias("identity_error"))
+
+
+@query()
+def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Where every piece of every document lies in sequences of 1,024 tokens."""
+    return packing.packed(table(spark, folder, "documents")).select(
+        F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset")
+
+
+_MERKLE_SQL = """
+WITH RECURSIVE crcs AS (
+  SELECT DISTINCT doc_id, xor(list_reduce(list_concat([4294967295::BIGINT],
+           list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+           lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+             lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) AS crc FROM documents),
+lined AS (
+  SELECT doc_id, lang, concat(coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-'),
+                              coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-')) AS head,
+         n_chars, coalesce(strlen(text) || ':' || text, '-') AS tail FROM documents),
+leaves AS (
+  SELECT doc_id, lang, sha256(concat(head, coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-'), tail)) AS leaf,
+         sha256(concat(head, coalesce(strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-'), tail)) AS changed FROM lined),
+placed AS (
+  SELECT *, row_number() OVER w - 1 AS ix, count(*) OVER (PARTITION BY lang) AS n
+  FROM leaves WINDOW w AS (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf)),
+nodes AS (
+  SELECT 0 AS level, lang, ix, n, leaf AS h FROM placed
+  UNION ALL
+  SELECT level + 1, lang, ix // 2, any_value((n + 1) // 2), sha256(string_agg(h, '' ORDER BY ix))
+  FROM nodes WHERE n > 1 GROUP BY level, lang, ix // 2),
+subroots AS (
+  SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS lx, count(*) OVER () AS ln
+  FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, lx AS ix, ln AS n, subroot AS h FROM subroots
+  UNION ALL
+  SELECT level + 1, ix // 2, any_value((n + 1) // 2), sha256(string_agg(h, '' ORDER BY ix))
+  FROM tops WHERE n > 1 GROUP BY level, ix // 2),
+steps AS (
+  SELECT p.doc_id, p.leaf, m.level AS level, m.ix % 2 AS side, s.h AS sibling
+  FROM placed p JOIN nodes m ON m.lang IS NOT DISTINCT FROM p.lang AND m.ix = p.ix >> m.level AND m.n > 1
+  LEFT JOIN nodes s ON s.lang IS NOT DISTINCT FROM m.lang AND s.level = m.level AND s.ix = xor(m.ix, 1)
+  UNION ALL
+  SELECT p.doc_id, p.leaf, 1000 + m.level, m.ix % 2, s.h
+  FROM placed p JOIN subroots r ON r.lang IS NOT DISTINCT FROM p.lang JOIN tops m ON m.ix = r.lx >> m.level AND m.n > 1
+  LEFT JOIN tops s ON s.level = m.level AND s.ix = xor(m.ix, 1)),
+paths AS (
+  SELECT doc_id, leaf, string_agg(sibling, '' ORDER BY level) AS siblings,
+         list({'side': side, 'h': coalesce(sibling, '')} ORDER BY level) AS path FROM steps GROUP BY doc_id, leaf),
+folds AS (
+  SELECT p.doc_id, p.leaf, p.lang, s.siblings, s.path, 1 AS step,
+         CASE WHEN c.crc % 7 = 0 THEN changed ELSE p.leaf END AS h
+  FROM placed p LEFT JOIN paths s ON s.doc_id = p.doc_id AND s.leaf = p.leaf
+  LEFT JOIN crcs c ON c.doc_id = p.doc_id
+  UNION ALL
+  SELECT doc_id, leaf, lang, siblings, path, step + 1,
+         sha256(CASE path[step].side WHEN 1 THEN path[step].h || h ELSE h || path[step].h END)
+  FROM folds WHERE step <= len(path))
+SELECT f.doc_id, f.leaf, r.subroot, t.h AS root, sha256(coalesce(f.siblings, '')) AS proof_sha256,
+       f.h AS folded_root, f.h = t.h AS verified
+FROM folds f JOIN subroots r ON r.lang IS NOT DISTINCT FROM f.lang CROSS JOIN (SELECT h FROM tops WHERE n = 1) t
+WHERE f.step = coalesce(len(f.path), 0) + 1
+"""
+
+
+@query(_MERKLE_SQL)
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """A proof for every document, and whether the row checked against it is the one that was hashed."""
+    docs = table(spark, folder, "documents")
+
+    def leaf(n_chars):
+        return merkle.hashed(*map(merkle.field, (F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text"))))
+
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    rows = docs.select(
+        "doc_id", F.col("lang").alias("grp"), F.col("doc_id").alias("id"), leaf(F.col("n_chars")).alias("leaf"),
+        F.when(tampered, leaf(F.col("n_chars") + 1)).alias("changed"))
+    found = merkle.manifest(rows, ["doc_id", "changed"])
+    folded = merkle.folded(F.coalesce("changed", "leaf"), F.col("steps"))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_hash(F.col("steps")).alias("proof_sha256"),
+        folded.alias("folded_root"), (folded == F.col("root")).alias("verified"))
