@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sonotheca.fixed_values import EPISODE_FIELDS
 from sonotheca.operators import store as st
 from sonotheca.plans import batch
 from sonotheca.plans.registry import Tables, query
+from sonotheca.plans.transcript_queries import CHUNKS_SQL
 from sonotheca.session import fresh_dir, spread
 from sonotheca.sources import files
+from sonotheca.sources.named import write_named
 
 
 def _one_file_each(rows: DataFrame, kind: str, path: str, **options: str) -> str:
@@ -80,29 +82,19 @@ def sidecar_files(t: Tables) -> DataFrame:
     return files.read_sidecars(t.spark, folder).select(*EPISODE_FIELDS)
 
 
-def _named_by(spark: SparkSession, folder: str, pattern: str, suffix: str) -> None:
-    """Rename the files of a folder after what ``pattern`` finds in them, such as ``talk 7``."""
-    rows = spark.read.text(folder, wholetext=True, pathGlobFilter=f"part-*{suffix}").select(
-        F.col("_metadata.file_path").alias("path"), F.regexp_extract("value", pattern, 0).alias("name")).collect()
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    system = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    for row in rows:
-        system.rename(path(row["path"]), path(f"{folder}/{row['name']}{suffix}"))
-
-
 @query(f"""
-SELECT 'talk_' || item_id || '_0' AS id, rtrim('talk ' || item_id || ' ' || left(replace(text, chr(10), ' '), 200)) AS document,
-       published_date
-FROM (SELECT item_id, text, {_RECORD_SQL.format('item_id')} FROM benchmark WHERE item_id % 4 > 0)""")
+WITH RECURSIVE {CHUNKS_SQL}
+SELECT 'talk_' || c.doc_id || '_' || c.chunk_ix AS id, c.document, r.published_date
+FROM chunks c JOIN (SELECT doc_id, {_RECORD_SQL.format('doc_id')} FROM labels) r ON r.doc_id = c.doc_id""")
 def store_folder(t: Tables) -> DataFrame:
-    """A landing folder with a text file per benchmark item, and a record for three in four."""
+    """A landing folder with a text file per document, and a record for those with a label."""
     folder, root = fresh_dir(t.spark, "landing"), fresh_dir(t.spark, "store")
-    number = F.col("item_id")
-    words = F.left(F.translate("text", "\n", " "), F.lit(200))
-    _one_file_each(t.benchmark.select(F.concat(F.lit("talk "), number, F.lit(" "), words)), "text", folder)
-    _one_file_each(t.benchmark.filter("item_id % 4 > 0").select(*_record(number)), "json", folder, ignoreNullFields="false")
-    for suffix in (".txt", ".json"):
-        _named_by(t.spark, folder, "talk [0-9]+", suffix)
+    number = F.col("doc_id")
+
+    def name(suffix: str) -> Column:
+        return F.concat(F.lit("talk "), number, F.lit(suffix)).alias("name")
+
+    record = F.to_json(F.struct(*_record(number)), {"ignoreNullFields": "false"})
+    write_named(t.documents.select(name(".txt"), "text").unionByName(t.labels.select(name(".json"), record.alias("text"))), folder)
     batch.store_folder(t.spark, root, folder, "shelf")
-    return st.current_chunks(t.spark, root, "shelf").select(
-        "id", F.regexp_replace("document", r"\s+\z", "").alias("document"), F.col("metadata.published_date").alias("published_date"))
+    return st.current_chunks(t.spark, root, "shelf").select("id", "document", F.col("metadata.published_date").alias("published_date"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from sonotheca.functions import audio
 from sonotheca.functions.text import non_blank
-from sonotheca.operators import chunking, service_log
+from sonotheca.operators import chunking, dispatch, service_log
 from sonotheca.operators import transcripts as tr
 from sonotheca.plans.registry import Tables, query
 from sonotheca.session import fresh_dir, spread, written
@@ -461,3 +461,66 @@ def quota_usage(t: Tables) -> DataFrame:
         F.floor("value").cast("double").alias("audio_seconds"),
     )
     return service_log.quota_usage(calls)
+
+
+@query("""
+WITH RECURSIVE logged AS (
+  SELECT event_id, user_id % 20 AS account, CAST(floor(value * 20) AS BIGINT) AS audio, event_type,
+         CAST(floor(epoch(ts)) AS BIGINT) AS second, ts, event_id % 3 AS attempt FROM events),
+calls AS (
+  SELECT account, second, count(*) AS n, sum(audio) AS audio FROM logged WHERE ts < TIMESTAMP '2024-01-08' GROUP BY ALL),
+recent AS (
+  SELECT account, second, n, audio FROM calls
+  QUALIFY second > max(second) OVER (PARTITION BY account) - 86400),
+queued AS (
+  SELECT event_id AS item, account, audio,
+         greatest(CAST(epoch(date_trunc('week', ts)) AS BIGINT),
+                  CASE WHEN event_type = 'error'
+                       THEN CAST(ceil(epoch(ts)) AS BIGINT) + 60 * (attempt + 1) END) AS ready,
+         CASE WHEN event_type = 'error' AND attempt >= 2 THEN 'give_up' WHEN event_type = 'error' THEN 'retry' ELSE 'first' END AS action
+  FROM logged WHERE ts >= TIMESTAMP '2024-01-08' AND event_type <> 'purchase'),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY account ORDER BY ready, item) AS place
+  FROM queued WHERE action <> 'give_up' AND audio <= 7200 QUALIFY place <= 2000),
+sums AS (
+  SELECT account, list(second ORDER BY second) AS t, list(upto ORDER BY second) AS c, list(heard ORDER BY second) AS a
+  FROM (SELECT account, second, CAST(sum(n) OVER w AS BIGINT) AS upto, CAST(sum(audio) OVER w AS BIGINT) AS heard
+        FROM recent WINDOW w AS (PARTITION BY account ORDER BY second)) GROUP BY account),
+-- t: seconds with calls, c and a: requests and audio up to them; what has to leave a window
+-- for the next item are the calls up to the first whose sum exceeds all sums less the limit
+sent AS (
+  SELECT account, 0 AS place, coalesce(list_last(t), 0) AS send_s, t, c, a
+  FROM (SELECT DISTINCT account FROM placed) LEFT JOIN sums USING (account)
+  UNION ALL
+  SELECT account, place, s, list_append(coalesce(t, []), s), list_append(coalesce(c, []), coalesce(list_last(c), 0) + 1),
+         list_append(coalesce(a, []), coalesce(list_last(a), 0) + audio)
+  FROM (
+    SELECT p.account, p.place, p.audio, x.t, x.c, x.a,
+           greatest(x.send_s, p.ready,
+             x.t[len(list_filter(x.c, lambda v: v < list_last(x.c) + 1 - 20)) + 1] + 60
+               + CASE WHEN list_last(x.c) + 1 > 20 THEN 0 END,
+             x.t[len(list_filter(x.c, lambda v: v < list_last(x.c) + 1 - 2000)) + 1] + 86400
+               + CASE WHEN list_last(x.c) + 1 > 2000 THEN 0 END,
+             x.t[len(list_filter(x.a, lambda v: v < list_last(x.a) + p.audio - 7200)) + 1] + 3600
+               + CASE WHEN list_last(x.a) + p.audio > 7200 THEN 0 END,
+             x.t[len(list_filter(x.a, lambda v: v < list_last(x.a) + p.audio - 28800)) + 1] + 86400
+               + CASE WHEN list_last(x.a) + p.audio > 28800 THEN 0 END) AS s
+    FROM sent x JOIN placed p ON p.account = x.account AND p.place = x.place + 1))
+SELECT q.account, q.item, q.action, q.ready AS ready_s, x.send_s,
+       CASE WHEN q.action = 'give_up' THEN 'give_up' WHEN q.audio > 7200 THEN 'too_long'
+            WHEN x.send_s IS NOT NULL THEN 'planned' ELSE 'later' END AS state
+FROM queued q LEFT JOIN placed p ON p.item = q.item LEFT JOIN sent x ON x.account = p.account AND x.place = p.place
+""")
+def dispatch_plan(t: Tables) -> DataFrame:
+    """Events of the first week as calls made; later ones as items, queued in bursts, of which some failed before."""
+    events = t.events.withColumn("account", F.col("user_id") % 20).withColumn("audio_seconds", F.floor(F.col("value") * 20))
+    early = F.col("ts") < F.lit("2024-01-08").cast("timestamp_ntz")
+    later = events.filter(~early)
+    items = later.select(F.col("event_id").alias("item"), "account", "audio_seconds", F.date_trunc("week", "ts").alias("queued_ts"))
+    failed = later.filter("event_type = 'error'").select(
+        F.col("event_id").alias("item"), F.lit("transcription").alias("service"), (F.col("event_id") % 3).alias("attempt"),
+        F.lit("HTTP 429").alias("error"), F.col("ts").cast("timestamp").alias("ts"))
+    done = later.filter("event_type = 'purchase'").select(F.col("event_id").alias("item"), F.lit(None).cast("string").alias("error"))
+    plan = dispatch.dispatch_plan(
+        dispatch.open_items(items, failed, done), events.filter(early).select("account", F.col("ts").cast("timestamp").alias("ts"), "audio_seconds"))
+    return plan.select("account", "item", "action", "state", F.unix_seconds("ready_at").alias("ready_s"), F.unix_seconds("send_at").alias("send_s"))

@@ -11,6 +11,9 @@ from sonotheca.fixed_values import EPISODE_FIELDS
 from sonotheca.functions.audio import is_audio
 from sonotheca.schemas import EPISODE, LISTING
 from sonotheca.sources.feeds import file_stem
+from sonotheca.sources.named import read_named, write_named
+
+EXPORT_FOLDERS = 256
 
 
 def _missing(problem: AnalysisException) -> bool:
@@ -79,21 +82,17 @@ def write_transcripts(transcripts: DataFrame, path: str, mode: str = "append") -
     transcripts.write.mode(mode).parquet(path)
 
 
-def export_texts(transcripts: DataFrame, path: str, stem: str = "stem") -> None:
-    """One folder ``stem=…`` with a text file per transcript, for readers of plain text.
+def export_texts(transcripts: DataFrame, path: str, stem: str = "stem", folders: int = EXPORT_FOLDERS) -> None:
+    """A text file per transcript, named by its stem, for readers of plain text.
 
-    Creating the files is the work here, so they are spread over all tasks however
-    few bytes they hold.
+    A stem may be a relative path, which is kept.  The files are dealt to ``folders``
+    sub-folders; 0 puts them into ``path`` itself.
     """
-    spark = transcripts.sparkSession
-    tasks = max(
-        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
-    )
-    placed = transcripts.select(stem, "text").repartition(tasks, stem)
-    placed.write.partitionBy(stem).text(path)
+    named = transcripts.select(F.concat(F.col(stem), F.lit(".txt")).alias("name"), "text")
+    write_named(named, path, folders=folders)
 
 
-def read_exported_texts(spark: SparkSession, path: str) -> DataFrame:
-    """``stem, text`` of an export, without the line end the text writer adds."""
-    texts = spark.read.schema("value STRING, stem STRING").text(path, wholetext=True)
-    return texts.select("stem", F.regexp_replace("value", r"\n\z", "").alias("text"))
+def read_exported_texts(spark: SparkSession, path: str, folders: int = EXPORT_FOLDERS) -> DataFrame:
+    """``stem, text`` of an export, exactly as they were."""
+    texts = read_named(spark, path, ".txt", folders)
+    return texts.select(F.regexp_replace("name", r"\.txt$", "").alias("stem"), "text")

@@ -5,7 +5,7 @@ from pyspark.errors import AnalysisException
 
 from sonotheca.operators.transcripts import attach_sidecar, quarantined
 from sonotheca.schemas import EPISODE
-from sonotheca.sources import files
+from sonotheca.sources import files, named
 
 
 @pytest.fixture
@@ -81,3 +81,70 @@ def test_transcript_table(spark, tmp_path):
     files.write_transcripts(df, path)
     files.write_transcripts(df, path)
     assert spark.read.parquet(path).count() == 2
+
+
+def found(folder):
+    return {str(p.relative_to(folder)): p.read_text() for p in folder.rglob("*") if p.is_file() and not p.name.startswith((".", "_"))}
+
+
+def named_rows(spark, rows):
+    return spark.createDataFrame(rows, "name STRING, text STRING")
+
+
+def test_named_files_keep_names_paths_and_texts(spark, tmp_path):
+    rows = [("talk 7.txt", "one\ntwo"), ("show/é + %.txt", ""), ("a:b?.txt", None), (".hidden.txt", "h"), ("../up.txt", "u"), ("/abs//x.txt", "x")]
+    named.write_named(named_rows(spark, rows), str(tmp_path / "flat"))
+    files_there = found(tmp_path / "flat")
+    assert files_there["talk 7.txt"] == "one\ntwo" and files_there["show/é + %25.txt"] == "" and len(files_there) == 6
+    got = {r["name"]: r["text"] for r in named.read_named(spark, str(tmp_path / "flat"), ".txt").collect()}
+    assert got == {n.replace("/abs//", "abs/"): t or "" for n, t in rows}
+    named.write_named(named_rows(spark, rows), str(tmp_path / "dealt"), folders=16)
+    assert all(p[:4].isdigit() for p in found(tmp_path / "dealt"))
+    assert {r["name"]: r["text"] for r in named.read_named(spark, str(tmp_path / "dealt"), ".txt", 16).collect()} == got
+    assert not list((tmp_path / "flat" / "_manifests").iterdir())
+    assert json.loads((tmp_path / "flat" / "_SUCCESS").read_text()) == {"files": 6, "bytes": 10}
+
+
+def test_rows_of_one_name_and_written_again(spark, tmp_path):
+    folder = tmp_path / "again"
+    named.write_named(named_rows(spark, [("a.txt", "1"), ("a.txt", "3"), ("a.txt", "2"), ("b.txt", "b")]), str(folder))
+    assert found(folder) == {"a.txt": "3", "b.txt": "b"}
+    named.write_named(named_rows(spark, [("a.txt", "new")]), str(folder))
+    assert found(folder) == {"a.txt": "new", "b.txt": "b"}
+    named.write_named(named_rows(spark, []), str(folder))
+    assert found(folder) == {"a.txt": "new", "b.txt": "b"}
+
+
+def test_failed_job_takes_its_new_files_back(spark, tmp_path):
+    folder = tmp_path / "failed"
+    named.write_named(named_rows(spark, [("old.txt", "o")]), str(folder))
+    with pytest.raises(Exception, match="a file needs a name"):
+        named.write_named(named_rows(spark, [(f"n{i}.txt", "x") for i in range(20)] + [(None, "lost")]), str(folder))
+    assert found(folder) == {"old.txt": "o"}
+
+
+def test_a_repeated_task_leaves_one_file(monkeypatch, tmp_path):
+    import pyarrow as pa
+
+    class Context:
+        def partitionId(self):
+            return 0
+
+        def taskAttemptId(self):
+            return next(attempts)
+
+    attempts = iter(range(9))
+    monkeypatch.setattr(named.TaskContext, "get", Context)
+    writer = named._Writer(str(tmp_path), 0)
+    batch = pa.RecordBatch.from_pydict({"name": ["a.txt", "b.txt"], "text": ["1", "2"]})
+
+    def lost():
+        yield batch
+        raise OSError("executor lost")
+
+    with pytest.raises(OSError):
+        writer.write(lost())
+    message = writer.write(iter([batch]))
+    writer.commit([message])
+    assert found(tmp_path) == {"a.txt": "1", "b.txt": "2"}
+    assert [p.name for p in tmp_path.iterdir() if p.name.startswith(".")] == []
