@@ -1,19 +1,21 @@
-"""Line dedup over hashes of runs of lines, with DataFrame functions only.
+"""Line dedup by winnowing over line hashes, with DataFrame functions only.
 
 A text is cut into units: lines, and inside a line sentences, so that a passage that was
 pasted into a paragraph is still a run of whole units.  Each unit has a 63-bit hash.
 
-1. **Windows.**  From every unit on, and back from every unit, the shortest run of
-   ``least`` words or more is a window.  Every repeated run of ``least`` words or more is
-   the union of the windows inside it: the one from its first unit on covers its start, and
-   those back from the units behind that cover the rest.  So nothing needs to be extended.
-2. **Join.**  Windows whose hash occurs once are dropped by a count.  The others are joined
-   with the first of their hash in all documents, by id and place.
-3. **Delete** the units of every window but the first of its hash.  A unit that goes has an
+1. **Winnow.**  A window is a run of units that reaches ``least`` words and would not without
+   its first or without its last unit.  The least unit hash of every window is its
+   fingerprint (of equal ones the first).  Two places that share a run of ``least`` words share
+   a window, and so select the same unit of it.
+2. **Join.**  Fingerprints that occur once are dropped by a count; the places of all others
+   are joined with it.
+3. **Extend.**  From each such place the run grows to the left and to the right as long as the
+   fingerprint stays the least, which gives the windows that it was selected for.  Each is
+   compared as a whole with the first place of its hash, so a repeat always meets a place that
+   holds all of it; windows that follow one another add up to the longest repeated run.
+4. **Delete** the units of every window but the first of its hash.  A unit that goes has an
    equal one before it, so the first occurrence of a run always stays.
 
-A document whose units are all deleted is empty; ``deduplicated`` drops it.
-
 Hot lines only meet in counts and minima, which are combined before the shuffle, and in
 joins of plain tables with one row per hash or document, which Spark may split.
 
@@ -67,7 +69,11 @@ def _key(id_col: str, text_col: str) -> Column:
 
 
 def _hashed(docs: DataFrame, id_col: str, text_col: str, least: int) -> DataFrame:
-    """``k``, ``n_units`` and ``windows``, one row per document with text."""
+    """``k``, ``n_units``, ``v`` and ``picks``, one row per document with text.
+
+    ``v`` holds the units with words as arrays: ``h``, ``w`` and ``at``, the place among all units;
+    ``picks`` are the numbers of the selected ones.
+    """
     def unit(d: Column, raw: Column, i: Column) -> Column:
         # a carriage return ends no sentence as a space does, so it is replaced after the split
         bare = F.trim(F.when(d["odd"], _spaced(raw)).otherwise(raw))
@@ -79,17 +85,69 @@ def _hashed(docs: DataFrame, id_col: str, text_col: str, least: int) -> DataFram
         F.struct(F.replace(text, F.lit("\t"), F.lit(" ")).alias("text"), odd.alias("odd")),
         lambda d: F.transform(F.split(d["text"], _SEPARATOR, -1), lambda raw, i: unit(d, raw, i))).alias("u"))
     real = F.filter("u", lambda u: u["w"] > 0)
-    return parts.select("k", F.size("u").alias("n_units"), _let(real, lambda u: _windows(u, least)).alias("windows"))
+    arrays = parts.select("k", F.size("u").alias("n_units"), _let(
+        real, lambda u: F.struct(u["h"].alias("h"), u["w"].alias("w"), u["at"].alias("at"))).alias("v"))
+    return arrays.withColumn("picks", _picks(F.col("v"), least))
 
 
-def _windows(u: Column, least: int) -> Column:
-    """The shortest runs of ``least`` words or more from every unit on, and back from every unit.
+def _beside(v: Column, i: Column, least: int, side: int) -> Column:
+    """How many units on one ``side`` of unit ``i`` its windows can reach while it is their least.
 
-    ``u`` is an array of units with words: ``h``, ``w`` and ``at``, the place among all units.
-    Gives structs of ``h`` (the hash of the run's units), ``start`` and ``end`` (in all units).
+    Those on the left have greater hashes, those on the right none that is less, and between
+    ``i`` and the last of them lie fewer than ``least`` words.
     """
+    own = F.get(v["h"], i)
+
+    def at(c) -> Column:
+        return i + c if side > 0 else i - c
+
+    def stays(c) -> Column:
+        other = F.get(v["h"], at(c))
+        return F.coalesce(other >= own if side > 0 else other > own, F.lit(False))
+
+    def step(got: Column, c: Column) -> Column:
+        more = got["open"] & (got["w"] < least) & stays(c)
+        return F.when(more, F.struct((got["n"] + 1).alias("n"), (got["w"] + F.get(v["w"], at(c))).alias("w"), F.lit(True).alias("open"))) \
+            .otherwise(F.struct(got["n"].alias("n"), got["w"].alias("w"), F.lit(False).alias("open")))
+
+    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("w"), F.lit(True).alias("open"))
+    far = F.aggregate(F.sequence(F.lit(1), F.lit(least)), start, step, lambda got: got["n"])
+    found, words = F.when(~stays(1), 0), F.lit(0)
+    for c in range(1, _NEAR):
+        words = words + F.get(v["w"], at(c))
+        found = found.when((words >= least) | ~stays(c + 1), c)
+    return found.otherwise(far)
+
+
+def _around(v: Column, i: Column, least: int, body) -> Column:
+    """``body`` of the number of units to the left and to the right that windows selecting ``i`` can hold."""
+    return _let(_beside(v, i, least, -1), lambda left: _let(_beside(v, i, least, 1), lambda right: body(left, right)))
+
+
+def _picks(v: Column, least: int) -> Column:
+    """The units that are the least of some window: those around which enough words lie."""
+    def picked(i: Column) -> Column:
+        enough = _around(v, i, least, lambda left, right: F.aggregate(
+            F.slice(v["w"], i - left + 1, left + right + 1), F.lit(0), lambda total, w: total + w) >= least)
+        return F.when(F.get(v["w"], i) >= least, True).otherwise(enough)
+
+    every = F.when(F.size(v["w"]) > 0, F.sequence(F.lit(0), F.size(v["w"]) - 1)).otherwise(F.array().cast("array<int>"))
+    return F.filter(every, picked)
+
+
+def _extended(v: Column, i: Column, least: int) -> Column:
+    """The windows of which unit ``i`` is the least, as structs of ``h`` (the hash of all units), ``start`` and ``end``."""
+    def cut(left: Column, right: Column) -> Column:
+        some = [F.slice(v[name], i - left + 1, left + right + 1).alias(name) for name in ("h", "w", "at")]
+        return _let(F.struct(*some, left.alias("own")), lambda u: _windows(u, least))
+
+    return _around(v, i, least, cut)
+
+
+def _windows(u: Column, least: int) -> Column:
+    """The windows through unit ``own`` of the arrays ``h``, ``w`` and ``at``; places are among all units."""
     def reach(words: Column, i: Column) -> Column:
-        """Where the run from ``i`` on ends; null if too few words follow.  It has ``least`` units at most."""
+        """Where the shortest run from ``i`` on ends; null if too few words follow.  It has ``least`` units at most."""
         near, total = None, F.lit(0)
         for c in range(_NEAR):
             total = total + F.get(words, i + c)
@@ -99,22 +157,21 @@ def _windows(u: Column, least: int) -> Column:
             lambda got: F.when(got["w"] >= least, i + got["c"]))
         return near.when(F.get(words, i + _NEAR).isNotNull(), far)
 
-    def runs(v: Column, ends: Column) -> Column:
-        n = F.size(v["w"])
-
+    def runs(ends: Column) -> Column:
         def some(e: Column, i: Column) -> Column:
             # the runs back from units behind e start at i as well, up to where the next run on ends
-            last = F.greatest(e, F.coalesce(F.get(ends, i + 1) - 1, n))
-            return F.transform(F.sequence(e, last), lambda j: F.struct(
-                F.xxhash64(F.slice(v["h"], i + 1, j - i)).alias("h"), F.get(v["at"], i).alias("start"),
-                (F.get(v["at"], j - 1) + 1).alias("end")))
-
-        return F.flatten(F.transform(F.filter(ends, lambda e: e.isNotNull()), some))
+            last = F.greatest(e, F.coalesce(F.get(ends, i + 1) - 1, F.size(u["w"])))
+            first = F.greatest(e, u["own"] + 1)
+            stops = F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+            return F.transform(stops, lambda j: F.struct(
+                F.xxhash64(F.slice(u["h"], i + 1, j - i)).alias("h"), F.get(u["at"], i).alias("start"),
+                (F.get(u["at"], j - 1) + 1).alias("end")))
 
-    def every(v: Column) -> Column:
-        return _let(F.transform(v["w"], lambda w, i: reach(v["w"], i)), lambda ends: runs(v, ends))
+        # ends are null from some place on
+        before = F.filter(F.slice(ends, 1, u["own"] + 1), lambda e: e.isNotNull())
+        return F.flatten(F.transform(before, some))
 
-    return _let(F.struct(u["h"].alias("h"), u["w"].alias("w"), u["at"].alias("at")), every)
+    return _let(F.transform(F.slice(u["w"], 1, u["own"] + 2), lambda w, i: reach(u["w"], i)), runs)
 
 
 def _merged(runs: Column) -> Column:
@@ -138,10 +195,12 @@ def repeated_runs(
     hashed = written(_hashed(docs, id_col, text_col, least), "units")
     if hashed.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").head(1):
         hashed = written(hashed.dropDuplicates(["k"]), "units")
-    seeds = hashed.select("k", F.explode("windows").alias("r")).select(
-        "r.h", "k", "r.start", "r.end")
-    often = written(seeds.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "often")
-    found = written(seeds.join(often, "h"), "seeds")
+    picks = hashed.select("k", F.explode(F.transform("picks", lambda i: F.struct(F.get("v.h", i).alias("h"), i.alias("i")))).alias("p"))
+    prints = picks.select("p.h", "k", "p.i")
+    often = written(prints.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "often")
+    shared = prints.join(often, "h").groupBy("k").agg(F.collect_list("i").alias("shared"))
+    windows = F.flatten(F.transform("shared", lambda i: _extended(F.col("v"), i, least)))
+    found = written(hashed.join(shared, "k").select("k", F.explode(windows).alias("r")).select("r.h", "k", "r.start", "r.end"), "windows")
     first = written(found.groupBy("h").agg(F.min(F.struct("k", "start")).alias("first")), "first")
     # the first run of all stays, every other one goes
     later = found.join(first, "h").where(F.struct("k", "start") > F.col("first")).select("k", "start", "end")
