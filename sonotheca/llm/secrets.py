@@ -2,15 +2,20 @@
 
 A text is a layer.  Every layer is scanned for secrets and unwrapped: percent escapes and
 Unicode escapes anywhere in it give a decoded copy; runs of base64, also wrapped in lines
-or with other characters before them, give a layer for each part that decodes to text, or
-to gzip or zlib data of one or more members.  New layers go on the worklist until nothing
-new appears.  A layer that was seen before (same content from the same place) is not
-entered again, which also ends cycles.  Each layer keeps, for every character, where in
-the original text it comes from, so every finding maps to a span of the original.
-
-The work is done per row in Arrow batches and shuffles nothing.  A compressed stream is
-inflated up to ``MOST_INFLATED`` bytes; a larger one is not scanned further but reported
-as an ``oversize`` span, so nothing is passed over silently.
+or with other characters before them, give bytes.  Of bytes, each readable piece (UTF-8, or
+UTF-16 of ASCII characters) is a layer, and gzip or zlib data anywhere in them, of one or more
+members, gives bytes again.  Layers and bytes go through one worklist until nothing new
+appears; what was seen before (same content from the same place) is not entered again, which
+also ends cycles.  Each layer keeps, for every character, where in the original text it comes
+from, so every finding maps to a span of the original.
+
+The work is done per row in Arrow batches and shuffles nothing.  Its time follows the length
+of the layers: runs are decoded once for each of four offsets, and places are looked up only
+for pieces that are found.  A compressed stream is inflated in parts of at most
+``MOST_INFLATED`` bytes, each looked through before the next is inflated; parts share
+``OVERLAP`` bytes, so what is shorter is found whole.  A stream of several parts is also
+reported as an ``oversize`` span, since data inside it that is compressed once more and longer
+than a part is read to the end of the part only.
 
 Nulls and edge cases: a null text counts as empty and has no spans.  Repeated rows are
 reported each.  Spans of one kind, start and end are reported once, whichever layer they
@@ -20,7 +25,6 @@ were found in.  Other columns are ignored.
 from __future__ import annotations
 
 import base64
-import binascii
 import hashlib
 import re
 import zlib
@@ -33,6 +37,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MOST_INFLATED = 64 << 20
+OVERLAP = 1 << 20
+_FED = 1 << 16
 KINDS = ("assign", "access", "hex", "oversize")
 
 # What counts as a secret.
@@ -48,33 +54,50 @@ UNICODE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-F
 #: The shortest secret has 16 characters, which base64 makes 22.
 #: A run may be wrapped in lines of 22 characters or more, of which the last may be shorter.
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{22,}(?:[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_-]{22,})*(?:[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_-]{1,21}(?![^\s=]))?={0,2}")
-#: Where gzip or zlib data may start.
-_PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]")
+#: Where gzip or zlib data may start: of any window, without a preset dictionary, with the header's check right.
+_PACKED = re.compile(rb"\x1f\x8b\x08|" + b"|".join(
+    re.escape(bytes((method, flags))) for method in range(0x08, 0x80, 0x10) for flags in range(256)
+    if (method << 8 | flags) % 31 == 0 and not flags & 0x20))
+_ASCII_16 = tuple(re.compile(p) for p in (rb"(?:[\t\n\r\x20-\x7e]\x00){16,}", rb"(?:\x00[\t\n\r\x20-\x7e]){16,}"))
+_URL_SAFE = bytes.maketrans(b"-_", b"+/")
 #: UTF-8 without control characters other than white space, as long as the shortest secret.
 _READABLE = re.compile(rb"(?:[\t-\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}"
                        rb"|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){16,}")
 
 
 class Layer:
-    """Text and, for each character, the start and end of its origin (``None``: the text itself)."""
+    """Text and where its characters come from: each its own range, all the same one, or the text itself."""
 
-    __slots__ = ("text", "starts", "ends")
+    __slots__ = ("text", "starts", "ends", "whole")
 
-    def __init__(self, text: str, starts: np.ndarray | None = None, ends: np.ndarray | None = None):
-        self.text, self.starts, self.ends = text, starts, ends
+    def __init__(self, text: str, starts: np.ndarray | None = None, ends: np.ndarray | None = None,
+                 whole: tuple[int, int] | None = None):
+        self.text, self.starts, self.ends, self.whole = text, starts, ends, whole
 
     def origin(self, a: int, b: int) -> tuple[int, int]:
+        if self.whole:
+            return self.whole
         if self.starts is None:
             return a, b
         return int(self.starts[a]), int(self.ends[b - 1])
 
     def origins(self) -> tuple[np.ndarray, np.ndarray]:
+        """The ranges of all characters; worked out once."""
         if self.starts is None:
             at = np.arange(len(self.text))
-            return at, at + 1
+            self.starts, self.ends = at, at + 1
         return self.starts, self.ends
 
 
+class Data:
+    """Decoded bytes, and the range of the original that they come from."""
+
+    __slots__ = ("content", "whole")
+
+    def __init__(self, content: bytes, whole: tuple[int, int]):
+        self.content, self.whole = content, whole
+
+
 def scan(text: str) -> Iterator[tuple[str, int, int]]:
     """Secrets in one layer: kind, start, end."""
     for m in ASSIGN.finditer(text):
@@ -89,8 +112,13 @@ def scan(text: str) -> Iterator[tuple[str, int, int]]:
 
 def _rewritten(layer: Layer, found: Iterator[tuple[int, int, str]]) -> Layer | None:
     """A copy of the layer with each (start, end) replaced; a replacement's characters share the range."""
-    starts, ends = layer.origins()
     texts, lows, highs, at = [], [], [], 0
+    if layer.whole:
+        for a, b, new in found:
+            texts += [layer.text[at:a], new]
+            at = b
+        return Layer("".join([*texts, layer.text[at:]]), whole=layer.whole) if texts else None
+    starts, ends = layer.origins()
     for a, b, new in found:
         texts += [layer.text[at:a], new]
         lows += [starts[at:a], np.full(len(new), starts[a])]
@@ -153,103 +181,131 @@ def _unicode(layer: Layer) -> Layer | None:
     return _rewritten(layer, found())
 
 
-def _inflated(data: bytes, most: int) -> bytes | None:
-    """The content of gzip or zlib data, all members; ``None`` if it is none.  Raises OverflowError beyond ``most``."""
-    out, found = [], False
-    while _PACKED.match(data):
-        stream = zlib.decompressobj(47)
+def _inflated(data: memoryview, at: int, most: int) -> Iterator[bytes | int]:
+    """The parts of the compressed data at ``at``, all members, and at last where it ends; nothing if it is none.
+
+    A part is cut where it exceeds ``most``, and begins with the last ``OVERLAP`` bytes of the one before.
+    """
+    out, size, end, shared = [], 0, None, min(OVERLAP, most // 4)
+    while _PACKED.match(data, at):
+        stream, fed = zlib.decompressobj(47), at
         try:
-            out.append(stream.decompress(data, most - sum(map(len, out)) + 1))
+            while not stream.eof and (fed < len(data) or stream.unconsumed_tail):
+                given = stream.unconsumed_tail or data[fed:fed + _FED]
+                fed += 0 if stream.unconsumed_tail else len(given)
+                out.append(stream.decompress(given, most + 1 - size))
+                size += len(out[-1])
+                if size > most:
+                    part = b"".join(out)
+                    yield part
+                    out, size = [part[-shared:]], shared
         except zlib.error:
+            pass
+        if not stream.eof and not size:
             break
-        found = True
-        if stream.unconsumed_tail or sum(map(len, out)) > most:
-            raise OverflowError
-        data = stream.unused_data
-    return b"".join(out) if found else None
-
-
-def _unpacked(data: bytes, most: int) -> Iterator[bytes]:
-    """The contents of all compressed data in ``data``, and in those; OverflowError as the last if one is too large."""
-    too_large, work = False, [(data, 0)]
-    while work:
-        inside, depth = work.pop()
-        # content is looked at from its start only; what is glued to base64 lies before compressed data
-        starts = [m.start() for m in _PACKED.finditer(inside)] if depth == 0 else [0]
-        for at in starts:
-            try:
-                plain = _inflated(inside[at:], most)
-            except OverflowError:
-                too_large = True
-                continue
-            if plain:
-                yield plain
-                work.append((plain, depth + 1))
-    if too_large:
-        raise OverflowError
-
-
-def _text(data: bytes) -> str | None:
-    """``data`` as text, if it is UTF-8 without control characters other than white space."""
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if text and not re.search(r"[\x00-\x08\x0e-\x1f\x7f]", text) else None
-
-
-def _base64(layer: Layer, most: int) -> Iterator[Layer | tuple[int, int]]:
-    """Layers inside runs of base64, and the origins of streams that are too large to inflate.
+        end = at = fed - len(stream.unused_data) - len(stream.unconsumed_tail) if stream.eof else fed
+    if end is not None:
+        yield b"".join(out)
+        yield end
+
+
+def _opened(data: Data, most: int) -> Iterator[Layer | Data | tuple[int, int]]:
+    """What is inside bytes: readable pieces, the contents of compressed data, and the origin of streams in parts."""
+    content = memoryview(data.content)
+    for piece in _READABLE.finditer(data.content):
+        yield Layer(piece[0].decode(), whole=data.whole)
+    for order, pattern in enumerate(_ASCII_16):
+        for piece in pattern.finditer(data.content):
+            yield Layer(piece[0][order::2].decode(), whole=data.whole)
+    at = 0
+    while found := _PACKED.search(content, at):
+        at, parts = found.start() + 1, 0
+        for part in _inflated(content, found.start(), most):
+            if isinstance(part, int):
+                at = max(at, part)
+            elif part:
+                parts += 1
+                yield Data(part, data.whole)
+        if parts > 1:
+            yield data.whole
+
+
+def _base64(layer: Layer) -> Iterator[Layer | Data]:
+    """What runs of base64 decode to: readable pieces with the place of each character, and bytes that may be compressed.
 
     A run may start with other characters of the alphabet, so it is decoded from each of its
-    first four; what is text in the result is a layer.  Line breaks inside a run are left out.
+    first four.  Line breaks inside a run are left out.
     """
     for m in BASE64.finditer(layer.text):
-        places = np.array([m.start() + i for i, c in enumerate(m[0]) if c not in " \t\r\n="])
-        run = "".join(c for c in m[0] if c not in " \t\r\n=").translate(str.maketrans("-_", "+/"))
-        low, high = layer.origin(m.start(), m.end())
+        raw = m[0].encode()
+        run = raw.translate(_URL_SAFE, b" \t\r\n=")
         for offset in range(4):
-            part = run[offset:]
-            part = part[:-1] if len(part) % 4 == 1 else part
-            data = base64.b64decode(part + "=" * (-len(part) % 4))
-            try:
-                for plain in _unpacked(data, most):
-                    text = _text(plain)
-                    if text is not None:
-                        yield Layer(text, np.full(len(text), low), np.full(len(text), high))
-            except OverflowError:
-                yield low, high
+            size = len(run) - offset
+            size -= size % 4 == 1
+            part = run[offset:offset + size]
+            data = base64.b64decode(part + b"=" * (-size % 4))
+            if _PACKED.search(data):
+                yield Data(data, layer.origin(m.start(), m.end()))
             for piece in _READABLE.finditer(data):
-                # byte i comes from characters i * 4 // 3 and (i * 4 + 4) // 3 of the part
-                text = piece[0].decode("utf-8", "replace")
-                widths = np.fromiter((len(c.encode()) for c in text), np.int64, len(text))
-                last = piece.start() + np.cumsum(widths) - 1
-                first = last - widths + 1
-                starts, ends = layer.origins()
-                own = places[offset:offset + len(part)]
-                yield Layer(text, starts[own[np.minimum(first * 4 // 3, len(own) - 1)]],
-                            ends[own[np.minimum((last * 4 + 4) // 3, len(own) - 1)]])
+                text = piece[0].decode()
+                widths = np.ones(len(text), np.int64) if text.isascii() else np.fromiter((len(c.encode()) for c in text), np.int64, len(text))
+                yield _placed(layer, m.start(), raw, offset, size, text, piece.start(), widths)
+            for order, pattern in enumerate(_ASCII_16):
+                for piece in pattern.finditer(data):
+                    text = piece[0][order::2].decode()
+                    yield _placed(layer, m.start(), raw, offset, size, text, piece.start(), np.full(len(text), 2))
+
+
+def _placed(layer: Layer, start: int, raw: bytes, offset: int, size: int, text: str, at: int, widths: np.ndarray) -> Layer:
+    """A layer of ``text``, whose characters take ``widths`` bytes from byte ``at`` on of what a run decodes to."""
+    if layer.whole:
+        return Layer(text, whole=layer.whole)
+    last = at + np.cumsum(widths) - 1
+    first = last - widths + 1
+    # byte i comes from characters i * 4 // 3 and (i * 4 + 4) // 3 of the part
+    a, b = first[0] * 4 // 3, min(int(last[-1] * 4 + 4) // 3, size - 1)
+    solid = np.frombuffer(raw, np.uint8)
+    if len(raw) > offset + size + 2:  # wrapped in lines
+        own = start + np.flatnonzero(~np.isin(solid, np.frombuffer(b" \t\r\n=", np.uint8)))[offset + a:offset + b + 1]
+    else:
+        own = start + np.arange(offset + a, offset + b + 1)
+    starts, ends = layer.origins()
+    return Layer(text, starts[own[first * 4 // 3 - a]], ends[own[np.minimum((last * 4 + 4) // 3, size - 1) - a]])
+
+
+def _unwrapped(layer: Layer) -> Iterator[Layer | Data]:
+    for new in (_percent(layer), _unicode(layer)):
+        if new is not None:
+            yield new
+    yield from _base64(layer)
 
 
 def find(text: str, most: int = MOST_INFLATED) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int]:
     """Base spans of the text itself, all spans, and how many layers were unwrapped."""
     base = sorted(scan(text), key=_order)
-    spans, seen, work, layers = set(base), set(), [Layer(text)], -1
+    spans, seen, layers = set(base), set(), 0
+    work = [_unwrapped(Layer(text))]
     while work:
-        layer = work.pop()
-        mark = (hashlib.blake2b(layer.text.encode("utf-8", "surrogatepass"), digest_size=16).digest(),
-                layer.origin(0, len(layer.text)) if layer.text else None) if layers >= 0 else None
-        if mark in seen:
-            continue
-        seen.add(mark)
-        layers += 1
-        if layers:
-            spans.update((kind, *layer.origin(a, b)) for kind, a, b in scan(layer.text))
-        for new in (_percent(layer), _unicode(layer), *_base64(layer, most)):
-            if isinstance(new, tuple):
-                spans.add(("oversize", *new))
-            elif new is not None:
-                work.append(new)
+        # one item at a time: what it holds is looked through before the next is decoded
+        new = next(work[-1], None)
+        if new is None:
+            work.pop()
+        elif isinstance(new, tuple):
+            spans.add(("oversize", *new))
+        else:
+            is_data = isinstance(new, Data)
+            content = new.content if is_data else new.text.encode("utf-8", "surrogatepass")
+            place = new.whole if is_data else new.origin(0, len(new.text)) if new.text else None
+            mark = hashlib.blake2b(content, digest_size=16).digest(), is_data, place
+            if mark in seen:
+                continue
+            seen.add(mark)
+            if is_data:
+                work.append(_opened(new, most))
+                continue
+            layers += 1
+            spans.update((kind, *new.origin(a, b)) for kind, a, b in scan(new.text))
+            work.append(_unwrapped(new))
     return base, sorted(spans, key=_order), layers
 
 

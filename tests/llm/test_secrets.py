@@ -123,3 +123,73 @@ def test_base64_wrapped_in_lines(end):
 def test_later_members_of_a_stream():
     data = gzip.compress(b"first member") + gzip.compress(b"then password=Tr0ub4dor_and_3x")
     assert any(k == "assign" for k, _, _ in S.find(base64.b64encode(data).decode())[1])
+
+
+def packed_tar(body):
+    import io
+    import tarfile
+    out = io.BytesIO()
+    with tarfile.open(fileobj=out, mode="w:gz") as tar:
+        info = tarfile.TarInfo("a.txt")
+        info.size = len(body)
+        tar.addfile(info, io.BytesIO(body))
+    return out.getvalue()
+
+
+@pytest.mark.parametrize("data", [
+    packed_tar(f"x {SECRET} y".encode()), gzip.compress(b"\0" + SECRET.encode()), gzip.compress(f"caf\u00e9 {SECRET} \u00fc".encode("latin-1")),
+    f"utf {SECRET} end".encode("utf-16-le"), f"utf {SECRET} end".encode("utf-16-be"), gzip.compress(f"utf {SECRET} end".encode("utf-16")),
+    zlib.compressobj(wbits=9).compress(b"") + (lambda c: c.compress(SECRET.encode()) + c.flush())(zlib.compressobj(wbits=9)),
+    packed_tar(b"head " * 10 + gzip.compress(SECRET.encode()) + b" tail"), b"junk\x00\xff" + gzip.compress(SECRET.encode()) + b"\xfe\x01junk",
+    gzip.compress(gzip.compress(b"one") + gzip.compress(SECRET.encode()) + b"rest"),
+], ids=range(10))
+def test_binary_layers_are_not_lost(data):
+    text = f"before {b64(data)} after"
+    found = [s for s in S.find(text)[1] if s[0] == "assign"]
+    assert found and all(7 <= a < b <= len(text) - 6 for _, a, b in found)
+
+
+def test_a_stream_that_inflates_to_itself_ends(monkeypatch):
+    class Same:
+        def __init__(self, wbits):
+            self.eof, self.unused_data, self.unconsumed_tail = False, b"", b""
+
+        def decompress(self, given, most):
+            self.eof = True
+            return bytes(given)
+
+    monkeypatch.setattr(S.zlib, "decompressobj", Same)
+    S.find(b64(b"\x1f\x8b\x08" + bytes(range(40))))
+
+
+def test_time_follows_the_length():
+    import random
+    import time
+
+    rnd = random.Random(1)
+    tokens = [b64(rnd.randbytes(30)) if i % 3 else b64(f"plain words {i} and some more") for i in range(60_000)]
+    seconds = []
+    for n in (15_000, 60_000):
+        began = time.process_time()
+        S.find(" ".join(tokens[:n]))
+        seconds.append(time.process_time() - began)
+    assert seconds[1] < 8 * seconds[0] and seconds[1] < 60
+
+
+def test_large_streams_are_scanned_in_parts(monkeypatch):
+    monkeypatch.setattr(S, "OVERLAP", 1000)
+    filler = bytes(range(32, 127)).replace(b"=", b"") * 2000
+    for place in (0, 9_990, 10_990, 11_000, 60_000, len(filler)):
+        body = filler[:place] + b" " + SECRET.encode() + b" " + filler[place:]
+        coded = b64(gzip.compress(body))
+        spans = S.find("x " + coded, most=10_000)[1]
+        assert ("assign", 2, 2 + len(coded)) in spans and ("oversize", 2, 2 + len(coded)) in spans
+
+
+def test_many_small_members_and_origins_inside_wrapped_lines():
+    members = b"".join(gzip.compress(f"member {i}".encode()) for i in range(3000)) + gzip.compress(SECRET.encode())
+    assert any(k == "assign" for k, _, _ in S.find(b64(members))[1])
+    coded = b64("z" * 300 + " AKIA" + "Q" * 16 + " " + "y" * 300)
+    text = "head\n" + "\n".join(coded[i:i + 60] for i in range(0, len(coded), 60)) + "\ntail"
+    (_, a, b), = [s for s in S.find(text)[1] if s[0] == "access"]
+    assert "AKIA" + "Q" * 16 in base64.b64decode("".join(text[:b + 4].split()[1:])[:len("".join(text[:b].split()[1:])) // 4 * 4 + 4]).decode() and b - a < 34
