@@ -18,6 +18,7 @@ from sonotheca.session import written
 # Parts of one file that are worked on together.  A file with more parts is cut
 # into blocks of this many, so no task ever holds a whole long file part by part.
 BLOCK = 1024
+_FIXED_KEYS = ("start", "end", "text")
 
 
 def split_plan(
@@ -43,16 +44,40 @@ def drop_empty_parts(parts: DataFrame, length: str = "length") -> DataFrame:
 
 
 def normalise_result(response: Column | str, language: str = TRANSCRIPT_LANGUAGE) -> Column:
-    """A JSON response as a struct, with defaults for what it leaves out."""
+    """A JSON response as a struct, with defaults for what it leaves out.
+
+    A segment keeps all its keys: ``start``, ``end`` and ``text`` are fields, and ``other`` maps
+    the rest to variants.  A key that is no JSON for a variant, such as NaN, leaves ``other`` null.
+    """
     parsed = F.from_json(_col(response), RESPONSE)
+    whole = F.try_variant_get(F.try_parse_json(_col(response)), "$.segments", "array<map<string,variant>>")
+
+    def segment(fixed: Column, keys: Column) -> Column:
+        other = F.map_filter(keys, lambda name, _: ~name.isin(*_FIXED_KEYS))
+        return F.struct(*(fixed[n].alias(n) for n in _FIXED_KEYS), other.alias("other"))
+
+    segments = F.when(whole.isNull(), F.transform(parsed["segments"], lambda s: segment(s, F.lit(None).cast("map<string,variant>")))) \
+        .otherwise(F.zip_with(parsed["segments"], whole, segment))
     return F.struct(
         parsed["text"].alias("text"),
         F.coalesce(parsed["language"], F.lit(language)).alias("language"),
         parsed["duration"].alias("duration"),
-        F.coalesce(parsed["segments"], F.array().cast(SEGMENTS)).alias("segments"),
+        F.coalesce(segments, F.array().cast(SEGMENTS)).alias("segments"),
     )
 
 
+def segments_json(segments: Column | str) -> Column:
+    """Segments as JSON text with all their keys, which come in alphabetical order; a missing one stays out."""
+    def whole(s: Column) -> Column:
+        fixed = F.map_from_arrays(
+            F.array(*map(F.lit, _FIXED_KEYS)), F.array(*(s[n].cast("variant") for n in _FIXED_KEYS)))
+        given = F.map_filter(fixed, lambda _, value: value.isNotNull())
+        other = F.coalesce(s["other"], F.create_map().cast("map<string,variant>"))
+        return F.to_json(F.to_variant_object(F.map_concat(given, other)))
+
+    return F.concat(F.lit("["), F.array_join(F.transform(_col(segments), whole), ","), F.lit("]"))
+
+
 def _in_blocks(rows: DataFrame, pos: str) -> DataFrame:
     """Adds the block of each row, unless an earlier step has placed the rows already."""
     return rows if "_block" in rows.columns else rows.withColumn("_block", F.floor(F.col(pos) / BLOCK))
@@ -96,12 +121,14 @@ def _shifted(parts: DataFrame, key: str) -> DataFrame:
     """Shifted parts that still carry their block, so that grouping by it needs no shuffle."""
     reported = F.coalesce(F.col("duration"), F.lit(0.0))
     placed = earlier_total(parts, reported, key, "part_ix", "_earlier")
+    kind = parts.schema["segments"].dataType
+    kept = [name for name in kind.elementType.fieldNames() if name not in ("start", "end")]
     shifted = F.transform(
-        F.coalesce("segments", F.array().cast(SEGMENTS)),
+        F.coalesce("segments", F.array().cast(kind)),
         lambda s: F.struct(
             (F.coalesce(s["start"], F.lit(0.0)) + F.col("_earlier")).alias("start"),
             (F.coalesce(s["end"], F.lit(0.0)) + F.col("_earlier")).alias("end"),
-            s["text"].alias("text"),
+            *(s[name].alias(name) for name in kept),
         ),
     )
     return placed.withColumn("segments", shifted).drop("_earlier")
@@ -109,7 +136,8 @@ def _shifted(parts: DataFrame, key: str) -> DataFrame:
 
 def _in_order(value: str) -> Column:
     """Array columns of the grouped rows, concatenated in part order."""
-    collected = F.array_sort(F.collect_list(F.struct("_ix", value)))
+    by_place = lambda a, b: F.when(a["_ix"] < b["_ix"], -1).when(a["_ix"] > b["_ix"], 1).otherwise(0)
+    collected = F.array_sort(F.collect_list(F.struct("_ix", value)), by_place)
     return F.flatten(F.transform(collected, lambda s: s[value]))
 
 

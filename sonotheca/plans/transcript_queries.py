@@ -263,24 +263,32 @@ WITH {_PARTS_SQL}, {_SHIFTED_SQL}
 SELECT p.file, md5(string_agg(p.text, ' ' ORDER BY p.part_ix)) AS digest,
        coalesce(sum(p.duration), 0) AS duration, count(*) AS parts,
        2 * count(*) FILTER (WHERE p.part_ix % 4 <> 2) AS segments,
-       coalesce(max(s.earlier + 2 * s.half) FILTER (WHERE p.part_ix % 4 <> 2), 0) AS ends
+       coalesce(string_agg(concat_ws(' ', CAST(8 * s.earlier AS BIGINT), CAST(8 * (s.earlier + s.half) AS BIGINT), 'first,')
+         || concat_ws(' ', CAST(8 * (s.earlier + s.half) AS BIGINT), CAST(8 * (s.earlier + 2 * s.half) AS BIGINT), 'second'), ','
+         ORDER BY p.part_ix) FILTER (WHERE p.part_ix % 4 <> 2), '') AS eighths
 FROM parts p JOIN shifted s ON p.file = s.file AND p.part_ix = s.part_ix GROUP BY p.file""")
 def combine_results(t: Tables) -> DataFrame:
-    ends = F.array_max(F.transform("segments", lambda s: s["end"]))
     return tr.combine_results(_parts(t)).select(
         "file", F.md5("text").alias("digest"), "duration", "parts",
-        F.size("segments").alias("segments"), F.coalesce(ends, F.lit(0.0)).alias("ends"),
+        F.size("segments").alias("segments"), _eighths("segments").alias("eighths"),
     )
 
 
+def _eighths(segments: str) -> Column:
+    """Times of segments in eighths of a second, and their texts, in order."""
+    times = lambda s: [F.coalesce(F.round(s[n] * 8).cast("bigint").cast("string"), F.lit("-")) for n in ("start", "end")]
+    return F.array_join(F.transform(segments, lambda s: F.concat_ws(" ", *times(s), s["text"])), ",")
+
+
 @query("""
 SELECT conv_id, turn, text, CASE WHEN role = 'user' THEN 'en' ELSE 'fr' END AS language,
        CASE WHEN turn % 3 <> 1 THEN length(text)::DOUBLE / 4 END AS duration,
-       CASE WHEN turn % 4 <> 2 THEN 1 ELSE 0 END AS segments
+       CASE WHEN turn % 4 <> 2 THEN 1 ELSE 0 END AS segments,
+       CASE WHEN turn % 4 <> 2 THEN '0 ' || 8 * length(text) || ' said' ELSE '' END AS eighths
 FROM conversations""")
 def normalise_result(t: Tables) -> DataFrame:
     """Responses written as JSON, where some fields are left out."""
-    segment = F.struct(F.lit(0.0).alias("start"), F.length("text").cast("double").alias("end"))
+    segment = F.struct(F.lit(0.0).alias("start"), F.length("text").cast("double").alias("end"), F.lit("said").alias("text"))
     response = F.to_json(
         F.struct(
             "text", F.when(F.col("role") == "user", "en").alias("language"),
@@ -290,10 +298,50 @@ def normalise_result(t: Tables) -> DataFrame:
     )
     answer = t.conversations.select("conv_id", "turn", tr.normalise_result(response).alias("r"))
     return answer.select(
-        "conv_id", "turn", "r.text", "r.language", "r.duration", F.size("r.segments").alias("segments")
+        "conv_id", "turn", "r.text", "r.language", "r.duration", F.size("r.segments").alias("segments"),
+        _eighths("r.segments").alias("eighths"),
     )
 
 
+@query(f"""
+WITH {_PARTS_SQL}, {_SHIFTED_SQL},
+cut AS (SELECT file, part_ix, earlier, half, unnest(range(3)) AS i FROM shifted WHERE part_ix % 4 <> 2),
+listed AS (
+  SELECT file, row_number() OVER (PARTITION BY file ORDER BY part_ix, i) - 1 AS segment_ix, i,
+         earlier + CASE i WHEN 0 THEN 0 ELSE half END AS "start", earlier + CASE i WHEN 2 THEN 0 ELSE half * (i + 1) END AS "end",
+         part_ix FROM cut)
+SELECT file, segment_ix, "start", "end", CASE WHEN i < 2 THEN 'part ' || part_ix END AS text,
+       CASE WHEN i < 2 THEN CAST(part_ix * 10 + i AS BIGINT) END AS id,
+       CAST(CASE i WHEN 0 THEN -0.5 WHEN 1 THEN 0.25 END AS DOUBLE) AS avg_logprob,
+       CASE WHEN i < 2 THEN '[' || part_ix || ',"w"]' END AS tokens, CASE i WHEN 2 THEN 'true' END AS silent,
+       CASE WHEN i < 2 THEN 6 ELSE 3 END AS keys
+FROM listed""")
+def segments_all_keys(t: Tables) -> DataFrame:
+    """Responses whose segments carry further keys, shifted and concatenated with all of them."""
+    half, turn = F.length("text") * 0.125, F.col("turn")
+    text = F.concat(F.lit("part "), turn.cast("string"))
+    tokens = F.concat(F.lit("["), turn.cast("string"), F.lit(',"w"]'))
+    said = [F.format_string('{"id":%d,"start":%s,"end":%s,"text":"%s","avg_logprob":%s,"tokens":%s}',
+                            turn * 10 + i, (half * i).cast("string"), (half * (i + 1)).cast("string"), text, F.lit(score), tokens)
+            for i, score in enumerate(("-0.5", "0.25"))]
+    silent = F.format_string('{"start":%s,"silent":true}', half.cast("string"))
+    listed = F.when(turn % 4 != 2, F.concat(F.lit(',"segments":['), F.concat_ws(",", *said, silent), F.lit("]"))).otherwise("")
+    duration = F.when(turn % 3 != 1, F.concat(F.lit(',"duration":'), (F.length("text") * 0.25).cast("string"))).otherwise("")
+    response = F.concat(F.lit('{"text":"x"'), duration, listed, F.lit("}"))
+    parts = t.conversations.select(F.col("conv_id").alias("file"), turn.alias("part_ix"), tr.normalise_result(response).alias("r"))
+    whole = tr.combine_results(parts.select("file", "part_ix", "r.*"))
+    one = whole.select("file", F.posexplode("segments").alias("segment_ix", "s"), F.from_json(
+        tr.segments_json("segments"), "array<map<string,string>>").alias("json"))
+
+    def other(key: str, kind: str) -> Column:
+        return F.try_variant_get(F.element_at("s.other", key), "$", kind).alias(key)
+
+    return one.select(
+        "file", "segment_ix", "s.start", "s.end", "s.text", other("id", "bigint"), other("avg_logprob", "double"),
+        F.to_json(F.element_at("s.other", "tokens")).alias("tokens"), F.to_json(F.element_at("s.other", "silent")).alias("silent"),
+        F.size(F.get("json", F.col("segment_ix"))).alias("keys"))
+
+
 def _read_aloud(part: dict, **settings) -> dict:
     """Stand-in for a speech model: the recording "contains" its text."""
     if len(part["text"]) > 400:

@@ -11,7 +11,10 @@ def _schema(**fields: T.DataType) -> T.StructType:
 
 
 LINKS = T.ArrayType(_schema(type=_STR, href=_STR))
-SEGMENTS = T.ArrayType(_schema(start=_DOUBLE, end=_DOUBLE, text=_STR))
+#: The fixed fields of a segment, and ``other``: every further key of the response, as it came.
+_OTHER = T.MapType(_STR, T.VariantType())
+SEGMENTS = T.ArrayType(_schema(start=_DOUBLE, end=_DOUBLE, text=_STR, other=_OTHER))
+_FIXED_SEGMENTS = T.ArrayType(_schema(start=_DOUBLE, end=_DOUBLE, text=_STR))
 _ENCLOSURES = T.ArrayType(_schema(_url=_STR, _type=_STR, _length=_LONG))
 _ENTRIES = T.ArrayType(_schema(title=_STR, pubDate=_STR, link=_STR, enclosure=_ENCLOSURES))
 
@@ -24,9 +27,9 @@ CATALOGUE = _schema(query_title=_STR, rank=_INT, title=_STR, show=_STR, url=_STR
 EPISODE = _schema(
     title=_STR, podcast=_STR, audio_url=_STR, spotify_url=_STR, published_date=_STR
 )
-RESPONSE = _schema(text=_STR, language=_STR, duration=_DOUBLE, segments=SEGMENTS)
+RESPONSE = _schema(text=_STR, language=_STR, duration=_DOUBLE, segments=_FIXED_SEGMENTS)
 PART_RESULTS = _schema(
-    file=_STR, part_ix=_INT, text=_STR, duration=_DOUBLE, language=_STR, segments=SEGMENTS
+    file=_STR, part_ix=_INT, text=_STR, duration=_DOUBLE, language=_STR, segments=_FIXED_SEGMENTS
 )
 ATTEMPTS = _schema(item=_STR, service=_STR, attempt=_INT, error=_STR)
 CALLS = _schema(account=_STR, ts=_TIME, audio_seconds=_DOUBLE)

@@ -167,3 +167,30 @@ def test_sidecars_are_matched_or_quarantined(spark):
     assert (good.stem, good.metadata.title) == ("a", "Title")
     [lost] = tr.quarantined(joined).collect()
     assert (lost.stem, lost.error) == ("b", "Metadata record not found")
+
+
+def test_segments_keep_every_key(spark):
+    answers = [
+        ("a", 0, '{"text": "x", "duration": 2.0, "segments": [{"start": 0, "end": 1.5, "text": "é", "id": 7, "words": [{"w": "é"}], "end_": null}, {"id": 8}]}'),
+        ("a", 1, '{"text": "y", "segments": [{"text": "z", "start": 0.25, "end": 1, "score": -0.5}]}'),
+        ("b", 0, '{"text": "t", "segments": []}'), ("c", 0, '{"text": "t"}'), ("d", 0, "no json"),
+        ("e", 0, '{"text": "t", "segments": [{"start": 1, "end": 2, "text": "s", "score": NaN}]}'),
+    ]
+    rows = spark.createDataFrame(answers, "file STRING, part_ix INT, response STRING")
+    parts = rows.select("file", "part_ix", tr.normalise_result("response").alias("r")).select("file", "part_ix", "r.*")
+    whole = tr.combine_results(parts).select("file", tr.segments_json("segments").alias("s")).collect()
+    got = {r["file"]: json.loads(r["s"]) for r in whole}
+    assert got["a"] == [
+        {"start": 0, "end": 1.5, "text": "é", "id": 7, "words": [{"w": "é"}], "end_": None}, {"start": 0, "end": 0, "id": 8},
+        {"start": 2.25, "end": 3, "text": "z", "score": -0.5}]
+    assert got["b"] == got["c"] == got["d"] == [] and got["e"] == [{"start": 1, "end": 2, "text": "s"}]
+
+
+def test_directory_run_hands_on_all_keys(spark):
+    def speak(part, **settings):
+        return {"text": "t", "duration": 600.0, "segments": [{"start": 1.0, "end": 2.0, "text": "s", "part": part["part_ix"]}]}
+
+    files = spark.createDataFrame([("long.mp3", 30_000_000, 900.0), ("short.mp3", 10, 5.0)], "path STRING, length BIGINT, duration DOUBLE")
+    found = tr.transcribe_directory(files, speak).select("file", tr.segments_json("segments").alias("s")).collect()
+    got = {r["file"]: [(s["start"], s["part"]) for s in json.loads(r["s"])] for r in found}
+    assert got == {"long.mp3": [(1.0, 0), (601.0, 1)], "short.mp3": [(1.0, 0)]}
