@@ -13,9 +13,9 @@ end are filled up in the same way over all tasks, which leaves one open sequence
 these few pieces are cut freely into full sequences and at last powers of two, which need no
 padding.
 
-Texts are encoded by ``tokenizers``.  A text is first split at single spaces between printable
-characters, where the encoder never joins, and every distinct part is encoded once per task, so
-neither a very long text nor a frequent word costs more than its length.
+Texts are encoded by ``tokenizers``.  A text is first split where the encoder never joins, mostly
+into words, and every distinct part is encoded once per Python worker, so a very long text
+is never encoded at once and a frequent word costs a lookup.
 
 Nulls and edge cases: a null or empty text is the end id alone.  Bytes that are no UTF-8 are
 read as replacement characters.  Strings that look like special tokens are ordinary text
@@ -28,30 +28,38 @@ from __future__ import annotations
 
 import functools
 import os
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sonotheca.llm.words import GROUP_BYTES, groups, mixed
 from sonotheca.session import written
 
 CAPACITY = 1024
 SLACK = 16
 END = 0
-KNOWN_PARTS = 200_000
+KNOWN_PARTS = 3_000_000
 _FLUSH = 1 << 20
 _SHARD = 1 << 32
 _SHARED, _LAST = (1 << 30) * _SHARD, (1 << 30) * _SHARD + (1 << 29) * _SHARD
 
-# Printable characters without any kind of white space; between two of them a single space
-# always starts a new word of the encoder.
-_SOLID = "[!-~¡-ᙿ、-퟿]"
-_CUT = regex.compile(f"(?<={_SOLID}) (?={_SOLID})")
+# Classes of characters up to Cyrillic as the encoder's first split sees them; all others, control
+# characters and the wide spaces are of no known class, and nothing is cut beside them.
+_LETTER, _NUMBER, _SIGN, _SPACE, _BREAK = 1, 2, 3, 4, 5
+_KNOWN = 0x530
+_CLASS = np.zeros(_KNOWN + 1, dtype=np.int8)
+for _code in range(0x21, _KNOWN):
+    _kind = unicodedata.category(chr(_code))[0]
+    _CLASS[_code] = {"L": _LETTER, "N": _NUMBER, "M": _SIGN, "P": _SIGN, "S": _SIGN}.get(_kind, 0)
+_CLASS[0x20] = _SPACE
+_CLASS[[0x09, 0x0A, 0x0D]] = _BREAK
+_APOSTROPHE = 0x27
 
 _COLUMNS = [
     T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("ids", T.BinaryType()),
@@ -61,50 +69,119 @@ _COLUMNS = [
 ]
 
 
+def part_starts(codes: np.ndarray) -> np.ndarray:
+    """Where a text, given as code points, may be cut so that its parts encode as they do in it.
+
+    The encoder never joins letters, digits, signs and white space, but for one space before
+    a word and for an apostrophe with letters behind it.  How it takes a run of white space
+    depends on what follows, so only a single line break or tab is cut off from what is behind it.
+    """
+    kind = _CLASS[np.minimum(codes, _KNOWN)]
+    before, here = kind[:-1], kind[1:]
+    blank = (before == _SPACE) | (before == _BREAK)
+    alone = np.ones(len(before), dtype=bool)  # a break that follows no white space and nothing unknown
+    alone[1:] = (kind[:-2] == _LETTER) | (kind[:-2] == _NUMBER) | (kind[:-2] == _SIGN)
+    parted = (before != here) & (here > 0) & np.where(blank, (before == _BREAK) & alone & (here != _SPACE), before > 0)
+    parted &= ~((codes[:-1] == _APOSTROPHE) & (here == _LETTER))
+    return np.flatnonzero(np.concatenate((np.ones(min(1, len(codes)), dtype=bool), parted)))
+
+
 class Encoder:
-    """Texts to little-endian 32-bit ids, with the distinct parts of earlier texts remembered."""
+    """Texts to little-endian 32-bit ids; every distinct part of all texts is encoded once.
 
-    def __init__(self, path: str, special_as_text: bool = True):
+    Parts are known by two 64-bit hashes.  What is known is kept sorted in arrays of numbers, and
+    is forgotten when it exceeds ``most`` parts.
+    """
+
+    def __init__(self, path: str, special_as_text: bool = True, most: int = KNOWN_PARTS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = special_as_text
-        # the byte-level alphabet has one character a byte; special tokens stand for themselves
-        names = (self.model.id_to_token(i) or "" for i in range(self.model.get_vocab_size()))
-        self.n_bytes = np.fromiter(map(len, names), dtype=np.int64)
-        self.known: dict[str, bytes] = {}
-
-    def _encoded(self, text: str) -> np.ndarray:
-        return np.array(self.model.encode(text, add_special_tokens=False).ids, dtype="<u4")
-
-    def _learn(self, parts: list[str]) -> None:
-        """Encode inner parts joined: the encoder joins nothing across them, and bytes tell where each ends."""
-        for at in range(0, len(parts), 4096):
-            run = parts[at:at + 4096]
-            ids = self._encoded("".join(run))
-            ends = np.searchsorted(np.cumsum(self.n_bytes[ids]), np.cumsum([len(p.encode()) for p in run])) + 1
-            for part, begin, end in zip(run, [0, *ends], ends):
-                self.known[part] = ids[begin:end].tobytes()
-
-    def ids(self, text: str) -> bytes:
-        if not text:
-            return b""
-        parts = _CUT.split(text)
-        if len(parts) == 1:
-            return self._encoded(text).tobytes()
-        # the outer ends may be anything, also white space, and are encoded by themselves
-        first, last = self._encoded(parts[0]).tobytes(), self._encoded(" " + parts[-1]).tobytes()
-        out = [first]
-        for at in range(1, len(parts) - 1, KNOWN_PARTS):
-            inner = [" " + p for p in parts[at:min(at + KNOWN_PARTS, len(parts) - 1)]]
-            new = [p for p in dict.fromkeys(inner) if p not in self.known]
-            if len(self.known) + len(new) > 2 * KNOWN_PARTS:
-                self.known.clear()
-                new = list(dict.fromkeys(inner))
-            self._learn(new)
-            out += map(self.known.__getitem__, inner)
-        return b"".join([*out, last])
+        self.special = [] if special_as_text else [t.content for t in self.model.get_added_tokens_decoder().values()]
+        self.most = most
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys = np.empty((2, 0), np.uint64)
+        self.begins, self.counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.ids = np.empty(0, "<u4")
+
+    def _learn(self, keys: np.ndarray, parts: list[str]) -> None:
+        """Add parts; each is split by itself, and the numbers of the parts come back with the ids."""
+        ids, counts = [self.ids], []
+        for at in range(0, len(parts), 1 << 14):
+            run = parts[at:at + (1 << 14)]
+            found = self.model.encode(run, is_pretokenized=True, add_special_tokens=False)
+            ids.append(np.array(found.ids, dtype="<u4"))
+            counts.append(np.bincount(np.array(found.word_ids, dtype=np.int64), minlength=len(run)))
+        counts = np.concatenate(counts)
+        begins = len(self.ids) + np.cumsum(counts) - counts
+        self.ids = np.concatenate(ids)
+        place = np.searchsorted(self.keys[0], keys[0])
+        self.keys = np.insert(self.keys, place, keys, axis=1)
+        self.begins, self.counts = np.insert(self.begins, place, begins), np.insert(self.counts, place, counts)
+
+    def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of keys among the known ones, and which of them are known."""
+        place = np.minimum(np.searchsorted(self.keys[0], keys[0]), max(0, self.keys.shape[1] - 1))
+        if not self.keys.shape[1]:
+            return place, np.zeros(keys.shape[1], dtype=bool)
+        return place, (self.keys[:, place] == keys).all(axis=0)
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of every text."""
+        if any(special in text for special in self.special for text in texts):
+            return [np.array(self.model.encode(t, add_special_tokens=False).ids, dtype="<u4") for t in texts]
+        joined = "".join(texts)
+        codes = np.frombuffer(joined.encode("utf-32-le", "replace"), dtype="<u4")
+        ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
+        cuts, at = [], 0
+        for end in ends:
+            cuts.append(part_starts(codes[at:end]) + at)
+            at = end
+        starts = np.concatenate([*cuts, np.empty(0, np.int64)]).astype(np.int64)
+        if not len(starts):
+            return [self.ids[:0]] * len(texts)
+        stops = np.append(starts[1:], len(codes))
+        keys = np.stack([_hashes(codes, starts, stops, odd) for odd in _ODDS])
+        _, first, which = np.unique(keys[0], return_index=True, return_inverse=True)
+        own = keys[:, first]
+        if self.keys.shape[1] + len(first) > self.most:
+            self._forget()
+        _, known = self._find(own)
+        if not known.all():
+            new = first[~known]
+            self._learn(own[:, ~known], [joined[a:b] for a, b in zip(starts[new].tolist(), stops[new].tolist())])
+        place, known = self._find(own)
+        if not known.all() or (keys[1] != own[1][which]).any():  # two parts share the first hash
+            return [np.array(self.model.encode(t, add_special_tokens=False).ids, dtype="<u4") for t in texts]
+        begins, counts = self.begins[place][which], self.counts[place][which]
+        done = np.cumsum(counts)
+        every = self.ids[np.repeat(begins - (done - counts), counts) + np.arange(done[-1])]
+        parts_before = np.searchsorted(starts, np.concatenate(([0], ends)))
+        return np.split(every, np.concatenate(([0], done))[parts_before[1:-1]]) if len(texts) > 1 else [every]
+
+
+_ODDS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], dtype=np.uint64)
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _hashes(codes: np.ndarray, starts: np.ndarray, stops: np.ndarray, odd: np.uint64) -> np.ndarray:
+    """A hash of every part, from prefix sums of code * odd**position; ``codes`` up to some megabytes."""
+    n = len(codes)
+    if int(odd) not in _powers or len(_powers[int(odd)][0]) < n:
+        inverse = np.uint64(pow(int(odd), -1, 1 << 64))
+        tables = []
+        for base in (odd, inverse):
+            steps = np.full(2 * n, base, dtype=np.uint64)
+            steps[0] = 1
+            tables.append(np.multiply.accumulate(steps))
+        _powers[int(odd)] = tuple(tables)
+    up, down = _powers[int(odd)]
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * up[:n], dtype=np.uint64)))
+    return mixed((sums[stops] - sums[starts]) * down[starts] + (stops - starts).astype(np.uint64))
 
 
 @functools.lru_cache(maxsize=2)
@@ -147,6 +224,13 @@ class _Rows:
         return out
 
 
+def _encoded(encoder: Encoder, batch: pa.RecordBatch) -> Iterator[tuple[object, np.ndarray]]:
+    """The id column and the ids of every row, encoded in groups of about two megabytes."""
+    for first, texts in groups(batch.column(1), 2 * GROUP_BYTES):
+        keys = batch.column(0).slice(first, len(texts)).to_pylist()
+        yield from zip(keys, encoder.encode([t.decode("utf-8", "replace") for t in texts]))
+
+
 def _piece_rows(
     path: str, special_as_text: bool, capacity: int, slack: int, end: int, batches: Iterator[pa.RecordBatch],
 ) -> Iterator[pa.RecordBatch]:
@@ -155,9 +239,9 @@ def _piece_rows(
     ending = end.to_bytes(4, "little")
     for batch in batches:
         out = out or _Rows(batch.schema.field(0).type)
-        for key, value in zip(batch.column(0), batch.column(1)):
-            ids = encoder.ids((value.as_py() or b"").decode("utf-8", "replace")) + ending
-            key, total, start = key.as_py(), len(ids) // 4, 0
+        for key, ids in _encoded(encoder, batch):
+            ids = ids.tobytes() + ending
+            total, start = len(ids) // 4, 0
             for length, per in cuts(total, capacity, slack):
                 pieces = waiting.setdefault(per, [])
                 pieces.append((key, start, length, ids[4 * start:4 * (start + length)], total))

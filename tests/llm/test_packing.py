@@ -1,3 +1,4 @@
+import itertools
 import random
 import zlib
 from collections import defaultdict
@@ -25,22 +26,42 @@ def plain_ids(text):
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.sampled_from(list("ab'.,1é日 　 \n\t\r s<|>-")) | st.characters(exclude_categories=["Cs"]), max_size=60))
 def test_encoder_agrees_with_plain_encoding(text):
-    assert np.frombuffer(ENCODER.ids(text), "<u4").tolist() == plain_ids(text)[:-1]
+    assert ENCODER.encode([text])[0].tolist() == plain_ids(text)[:-1]
+
+
+TRICKY = ["", " ", "a\n\nb", "a\n b", "a \n  b\t\tc", "it's 'tis we'll 's", "x'", "3rd v2.0, (a)", "é'ê ñ", "word\u00a0 word", "a\u3000 b",
+          "\u0085x", "naïve café", "Привет, мир! 5%", "日本 語 a", "a\x1c b", "\r\n\r\nend\n", "co\u0301te", "<|endoftext|> x"]
+
+
+def test_texts_of_a_batch_are_told_apart():
+    assert [ids.tolist() for ids in ENCODER.encode(TRICKY)] == [plain_ids(t)[:-1] for t in TRICKY]
+    assert [ids.tolist() for ids in ENCODER.encode([])] == [] and [ids.tolist() for ids in ENCODER.encode(["", ""])] == [[], []]
+
+
+def test_every_two_classes_beside_each_other():
+    signs = list("aZ9'.\n\t \r-éß²½\u0301я٣\u00a0\u2003語")
+    texts = ["".join(t) for t in itertools.product(signs, repeat=3)]
+    assert [ids.tolist() for ids in ENCODER.encode(texts)] == [plain_ids(t)[:-1] for t in texts]
 
 
 def test_special_tokens_as_such_on_request():
-    assert np.frombuffer(ENCODER.ids("a <|endoftext|> b"), "<u4").tolist() == plain_ids("a <|endoftext|> b")[:-1]
     as_such = packing.Encoder(PATH, special_as_text=False)
-    got = np.frombuffer(as_such.ids("a b <|endoftext|> c d <|endoftext|>"), "<u4").tolist()
-    assert got == Tokenizer.from_file(PATH).encode("a b <|endoftext|> c d <|endoftext|>", add_special_tokens=False).ids
-    assert got.count(50256) == 2
+    got = as_such.encode(["a b <|endoftext|> c d <|endoftext|>", "plain"])
+    assert got[0].tolist() == Tokenizer.from_file(PATH).encode("a b <|endoftext|> c d <|endoftext|>", add_special_tokens=False).ids
+    assert got[0].tolist().count(50256) == 2 and got[1].tolist() == plain_ids("plain")[:-1]
 
 
-def test_forgetting_known_parts_changes_nothing(monkeypatch):
-    monkeypatch.setattr(packing, "KNOWN_PARTS", 3)
-    encoder = packing.Encoder(PATH)
+def test_forgetting_known_parts_changes_nothing():
+    encoder = packing.Encoder(PATH, most=5)
     for text in ("one two three four five six seven one two", "eight nine one ten", "a b c d e f g h i j k"):
-        assert np.frombuffer(encoder.ids(text), "<u4").tolist() == plain_ids(text)[:-1]
+        assert encoder.encode([text])[0].tolist() == plain_ids(text)[:-1]
+
+
+def test_hashes_that_collide_change_nothing(monkeypatch):
+    monkeypatch.setattr(packing, "mixed", lambda x: x & np.uint64(7))
+    encoder = packing.Encoder(PATH)
+    for texts in (["one two three", "four five six"], ["seven eight, nine", "ten"]):
+        assert [ids.tolist() for ids in encoder.encode(texts)] == [plain_ids(t)[:-1] for t in texts]
 
 
 @pytest.mark.parametrize("capacity, slack", [(1024, 16), (64, 0), (64, 8)])
