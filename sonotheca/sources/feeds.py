@@ -15,6 +15,11 @@ def file_stem(name: Column) -> Column:
     return F.regexp_replace(decoded, r"(?<=.)\.[^./]+$", "")
 
 
+def channel_reader(reader):
+    """A batch or stream reader of feed files, one row per channel."""
+    return reader.format("xml").option("rowTag", "channel").schema(FEED_CHANNEL)
+
+
 def read_feed(spark: SparkSession, path: str) -> DataFrame:
     """One row per entry of every feed under ``path``, numbered in feed order.
 
@@ -22,16 +27,15 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
     it; many feeds are read in parallel.  The file stem identifies the feed.  The
     page link of an entry comes first, then its enclosures.
     """
-    channels = (
-        spark.read.format("xml")
-        .option("rowTag", "channel")
-        .schema(FEED_CHANNEL)
-        .load(path)
-        .select(
-            file_stem(F.col("_metadata.file_name")).alias("feed_id"),
-            F.col("title").alias("feed_title"),
-            F.posexplode("item").alias("feed_pos", "entry"),
-        )
+    return entries_of(channel_reader(spark.read).load(path))
+
+
+def entries_of(files: DataFrame) -> DataFrame:
+    """The entries of channels that were read from files."""
+    channels = files.select(
+        file_stem(F.col("_metadata.file_name")).alias("feed_id"),
+        F.col("title").alias("feed_title"),
+        F.posexplode("item").alias("feed_pos", "entry"),
     )
     page = F.when(
         F.col("entry.link").isNotNull(),
