@@ -90,88 +90,89 @@ def _hashed(docs: DataFrame, id_col: str, text_col: str, least: int) -> DataFram
     return arrays.withColumn("picks", _picks(F.col("v"), least))
 
 
-def _beside(v: Column, i: Column, least: int, side: int) -> Column:
-    """How many units on one ``side`` of unit ``i`` its windows can reach while it is their least.
+def _get(values: Column, i: Column, c: int) -> Column:
+    return F.get(values, i + c if c >= 0 else i - (-c))
 
-    Those on the left have greater hashes, those on the right none that is less, and between
-    ``i`` and the last of them lie fewer than ``least`` words.
+
+def _ends(v: Column, i: Column, side: int, c: int) -> Column:
+    """Whether the windows that select unit ``i`` end before the ``c``-th unit on one ``side``.
+
+    ``i`` is the least of them: what stands before it is greater, what follows is not less.
     """
-    own = F.get(v["h"], i)
+    own, other = F.get(v["h"], i), _get(v["h"], i, side * c)
+    return F.coalesce(other <= own if side < 0 else other < own, F.lit(True))
+
+
+def _picks(v: Column, least: int) -> Column:
+    """The units that are the least of some window, and few others in long runs of very short units.
+
+    The run around a unit in which it is the least is measured up to ``_NEAR`` units to each side.
+    """
+    def words(i: Column, side: int) -> Column:
+        total, chain = F.lit(0), F.when(_ends(v, i, side, 1), 0)
+        for c in range(1, _NEAR):
+            total = total + _get(v["w"], i, side * c)
+            chain = chain.when(_ends(v, i, side, c + 1), total)
+        return chain.otherwise(least)
+
+    every = F.when(F.size(v["w"]) > 0, F.sequence(F.lit(0), F.size(v["w"]) - 1)).otherwise(F.array().cast("array<int>"))
+    return F.filter(every, lambda i: (F.get(v["w"], i) >= least) | (F.get(v["w"], i) + words(i, -1) + words(i, 1) >= least))
+
+
+def _reach(words: Column, i: Column, least: int) -> Column:
+    """Where the shortest run of ``least`` words from ``i`` on ends; null if too few follow.  It has ``least`` units at most."""
+    near, total = None, F.lit(0)
+    for c in range(_NEAR):
+        total = total + _get(words, i, c)
+        near = F.when(total >= least, i + c + 1) if near is None else near.when(total >= least, i + c + 1)
+    far = F.aggregate(F.slice(words, i + 1, least), F.struct(F.lit(0).alias("c"), F.lit(0).alias("w")), lambda got, w: F.when(
+        got["w"] >= least, got).otherwise(F.struct((got["c"] + 1).alias("c"), (got["w"] + w).alias("w"))),
+        lambda got: F.when(got["w"] >= least, i + got["c"]))
+    return near.when(_get(words, i, _NEAR).isNotNull(), far)
 
-    def at(c) -> Column:
-        return i + c if side > 0 else i - c
 
-    def stays(c) -> Column:
-        other = F.get(v["h"], at(c))
-        return F.coalesce(other >= own if side > 0 else other > own, F.lit(False))
+def _beside(v: Column, i: Column, side: int, least: int) -> Column:
+    """How many units on one ``side`` the windows that select ``i`` can reach.
 
+    Between ``i`` and the last of them lie fewer than ``least`` words.
+    """
     def step(got: Column, c: Column) -> Column:
-        more = got["open"] & (got["w"] < least) & stays(c)
-        return F.when(more, F.struct((got["n"] + 1).alias("n"), (got["w"] + F.get(v["w"], at(c))).alias("w"), F.lit(True).alias("open"))) \
+        at = i + c if side > 0 else i - c
+        own, other = F.get(v["h"], i), F.get(v["h"], at)
+        more = got["open"] & (got["w"] < least) & F.coalesce(other >= own if side > 0 else other > own, F.lit(False))
+        return F.when(more, F.struct((got["n"] + 1).alias("n"), (got["w"] + F.get(v["w"], at)).alias("w"), F.lit(True).alias("open"))) \
             .otherwise(F.struct(got["n"].alias("n"), got["w"].alias("w"), F.lit(False).alias("open")))
 
     start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("w"), F.lit(True).alias("open"))
     far = F.aggregate(F.sequence(F.lit(1), F.lit(least)), start, step, lambda got: got["n"])
-    found, words = F.when(~stays(1), 0), F.lit(0)
+    found, words = F.when(_ends(v, i, side, 1), 0), F.lit(0)
     for c in range(1, _NEAR):
-        words = words + F.get(v["w"], at(c))
-        found = found.when((words >= least) | ~stays(c + 1), c)
+        words = words + _get(v["w"], i, side * c)
+        found = found.when((words >= least) | _ends(v, i, side, c + 1), c)
     return found.otherwise(far)
 
 
-def _around(v: Column, i: Column, least: int, body) -> Column:
-    """``body`` of the number of units to the left and to the right that windows selecting ``i`` can hold."""
-    return _let(_beside(v, i, least, -1), lambda left: _let(_beside(v, i, least, 1), lambda right: body(left, right)))
-
-
-def _picks(v: Column, least: int) -> Column:
-    """The units that are the least of some window: those around which enough words lie."""
-    def picked(i: Column) -> Column:
-        enough = _around(v, i, least, lambda left, right: F.aggregate(
-            F.slice(v["w"], i - left + 1, left + right + 1), F.lit(0), lambda total, w: total + w) >= least)
-        return F.when(F.get(v["w"], i) >= least, True).otherwise(enough)
-
-    every = F.when(F.size(v["w"]) > 0, F.sequence(F.lit(0), F.size(v["w"]) - 1)).otherwise(F.array().cast("array<int>"))
-    return F.filter(every, picked)
-
-
 def _extended(v: Column, i: Column, least: int) -> Column:
-    """The windows of which unit ``i`` is the least, as structs of ``h`` (the hash of all units), ``start`` and ``end``."""
-    def cut(left: Column, right: Column) -> Column:
-        some = [F.slice(v[name], i - left + 1, left + right + 1).alias(name) for name in ("h", "w", "at")]
-        return _let(F.struct(*some, left.alias("own")), lambda u: _windows(u, least))
-
-    return _around(v, i, least, cut)
-
-
-def _windows(u: Column, least: int) -> Column:
-    """The windows through unit ``own`` of the arrays ``h``, ``w`` and ``at``; places are among all units."""
-    def reach(words: Column, i: Column) -> Column:
-        """Where the shortest run from ``i`` on ends; null if too few words follow.  It has ``least`` units at most."""
-        near, total = None, F.lit(0)
-        for c in range(_NEAR):
-            total = total + F.get(words, i + c)
-            near = F.when(total >= least, i + c + 1) if near is None else near.when(total >= least, i + c + 1)
-        far = F.aggregate(F.slice(words, i + 1, least), F.struct(F.lit(0).alias("c"), F.lit(0).alias("w")), lambda got, w: F.when(
-            got["w"] >= least, got).otherwise(F.struct((got["c"] + 1).alias("c"), (got["w"] + w).alias("w"))),
-            lambda got: F.when(got["w"] >= least, i + got["c"]))
-        return near.when(F.get(words, i + _NEAR).isNotNull(), far)
-
-    def runs(ends: Column) -> Column:
-        def some(e: Column, i: Column) -> Column:
-            # the runs back from units behind e start at i as well, up to where the next run on ends
-            last = F.greatest(e, F.coalesce(F.get(ends, i + 1) - 1, F.size(u["w"])))
-            first = F.greatest(e, u["own"] + 1)
-            stops = F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
-            return F.transform(stops, lambda j: F.struct(
-                F.xxhash64(F.slice(u["h"], i + 1, j - i)).alias("h"), F.get(u["at"], i).alias("start"),
-                (F.get(u["at"], j - 1) + 1).alias("end")))
-
-        # ends are null from some place on
-        before = F.filter(F.slice(ends, 1, u["own"] + 1), lambda e: e.isNotNull())
-        return F.flatten(F.transform(before, some))
-
-    return _let(F.transform(F.slice(u["w"], 1, u["own"] + 2), lambda w, i: reach(u["w"], i)), runs)
+    """The windows of which unit ``i`` is the least, as structs of ``h`` (the hash of all units), ``start`` and ``end``.
+
+    A window from unit ``s`` on is the shortest that reaches ``least`` words, or a longer one that
+    does not reach them without ``s``: the shortest back from its last unit.
+    """
+    def windows(s: Column, e: Column, last: Column, most: Column) -> Column:
+        """Those from ``s`` on, where the shortest run ends at ``e`` and a window may end up to ``last`` and ``most``."""
+        first, stop = F.greatest(e, i + 1), F.least(F.greatest(e, F.coalesce(last, F.size(v["w"]))), most)
+        return F.when(e.isNotNull() & (first <= stop), F.transform(F.sequence(first, stop), lambda j: F.struct(
+            F.xxhash64(F.slice(v["h"], s + 1, j - s)).alias("h"), F.get(v["at"], s).alias("start"),
+            (F.get(v["at"], j - 1) + 1).alias("end"))))
+
+    def around(left: Column, right: Column) -> Column:
+        starts = F.sequence(i - left, i + 1)
+        runs = F.transform(starts, lambda s: F.struct(s.alias("s"), _reach(v["w"], s, least).alias("e")))
+        every = _let(runs, lambda r: F.transform(F.slice(r, 1, left + 1), lambda x, at: windows(
+            x["s"], x["e"], F.get(r, at + 1)["e"] - 1, i + right + 1)))
+        return F.flatten(F.filter(every, lambda w: w.isNotNull()))
+
+    return _let(F.struct(_beside(v, i, -1, least).alias("l"), _beside(v, i, 1, least).alias("r")), lambda n: around(n["l"], n["r"]))
 
 
 def _merged(runs: Column) -> Column:
