@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from sonotheca.fixed_values import NEAREST_K, UNKNOWN_SOURCE
 from sonotheca.operators.embedding import Embedder, embed, offline_embedder
+from sonotheca.operators.locate import FILE, ROW, fetch, is_located
 from sonotheca.operators.ranking import first_per
 from sonotheca.session import written
 
@@ -323,19 +324,48 @@ def search(
     """``qid, rank, id, distance, document, source`` of the nearest chunks to query texts.
 
     The questions are embedded once, and the hits are a table, so Spark knows its size
-    when it fetches the documents of the winning ids.  ``models`` names a small table
-    with the ``model`` of the store, for example its ``collections``; without it the
-    store's own column is read.  No neighbours give an empty result.
+    when it fetches the documents of the winning ids.  A store with the places of its rows
+    (``located``, or ``current_chunks`` with that option) hands them on with the hits, and
+    documents are then read from the files of the hits only; otherwise the store is scanned
+    for them.  ``models`` names a small table with the ``model`` of the store, for example its
+    ``collections``; without it the store's own column is read.  No neighbours give an empty
+    result.
     """
     chosen = embedder or offline_embedder()
     asked = written(embed(queries.select("qid", text), text, chosen), "questions")
     require_same_model(asked, store if models is None else models)
-    hits = written(nearest(asked, store, k, metric, layout), "hits")
     shown = [c for c in ("document", "metadata") if c in store.columns]
-    found = hits.join(store.select("id", *shown), "id")
+    found = None
+    if is_located(store):
+        hits = written(_split_place(nearest(asked, _with_place(store), k, metric, layout)), "hits")
+        found = fetch(hits, store, shown)
+        found = None if found is None else found.drop(FILE, ROW)
+        hits = hits.drop(FILE, ROW)
+    else:
+        hits = written(nearest(asked, store, k, metric, layout), "hits")
+    if found is None:
+        found = hits.join(store.select("id", *shown), "id")
     if "metadata" in shown:
         found = label_source(found).drop("metadata")
     else:
         found = found.withColumn("source", F.lit(UNKNOWN_SOURCE))
     first = ["qid", "rank", "id", "distance", "document", "source"]
     return found.select(*first, *[c for c in found.columns if c not in first])
+
+
+# The place of a row travels behind its id.  The character between them sorts before all
+# others, so equal distances still rank by id.
+_BEHIND = "\0"
+
+
+def _with_place(store: DataFrame) -> DataFrame:
+    place = F.concat(F.col("id"), F.lit(_BEHIND), F.col(ROW).cast("string"), F.lit(_BEHIND), F.col(FILE))
+    return store.withColumn("id", place)
+
+
+def _split_place(hits: DataFrame) -> DataFrame:
+    parts = F.split("id", _BEHIND)
+    size = F.size(parts)
+    return hits.withColumns({
+        FILE: F.get(parts, size - 1), ROW: F.get(parts, size - 2).cast("bigint"),
+        "id": F.array_join(F.slice(parts, 1, size - 2), _BEHIND)})

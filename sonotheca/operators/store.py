@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sonotheca.fixed_values import EPISODE_FIELDS
+from sonotheca.operators.locate import FILE, ROW, located
 from sonotheca.operators.ranking import first_per
 from sonotheca.schemas import (
     BASES, CHUNKS, COLLECTIONS, FAILURES, REPLAYS, RUNS, STORED_MARKS, TRANSCRIPTS,
@@ -37,14 +38,16 @@ BUCKETS = 64
 _BUCKETED = T.StructType(CHUNKS.fields + [T.StructField("bucket", T.IntegerType())])
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A table of the store; one that was never written is empty."""
+def _read(spark: SparkSession, path: str, schema: T.StructType, places: bool = False) -> DataFrame:
+    """A table of the store; one that was never written is empty.  ``places`` adds where each row is stored."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        table = spark.read.schema(schema).parquet(path)
+        return located(table) if places else table
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        empty = spark.createDataFrame([], schema)
+        return empty.withColumns({FILE: F.lit(""), ROW: F.lit(0).cast("bigint")}) if places else empty
 
 
 def _replace(df: DataFrame, path: str, *partitions: str) -> None:
@@ -110,8 +113,8 @@ def _of_collection(rows: DataFrame, collection: str | None) -> DataFrame:
     return rows.drop("bucket")
 
 
-def read_batches(spark: SparkSession, root: str, collection: str | None = None) -> DataFrame:
-    return _of_collection(_read(spark, f"{root}/batches", _BUCKETED), collection)
+def read_batches(spark: SparkSession, root: str, collection: str | None = None, places: bool = False) -> DataFrame:
+    return _of_collection(_read(spark, f"{root}/batches", _BUCKETED, places), collection)
 
 
 def resolve_collisions(batch: DataFrame, newest: str = "published_ts", path: str = "file") -> DataFrame:
@@ -162,17 +165,18 @@ def _base(spark: SparkSession, root: str) -> tuple[int, int] | None:
     return (found["upto"], found["version"]) if found else None
 
 
-def current_chunks(spark: SparkSession, root: str, collection: str | None = None) -> DataFrame:
+def current_chunks(spark: SparkSession, root: str, collection: str | None = None, places: bool = False) -> DataFrame:
     """The latest version of every chunk of a collection, or of all.
 
     Only batches after the last compaction are compared.  The compacted base holds
-    unique ids already; it loses the ids written since.
+    unique ids already; it loses the ids written since.  ``places`` adds the file and row of
+    every chunk, with which ``search`` reads the documents of its hits only.
     """
-    batches, base = read_batches(spark, root, collection), _base(spark, root)
+    batches, base = read_batches(spark, root, collection, places), _base(spark, root)
     if base is None:
         return latest_by_id(batches)
     since = batches.filter(F.col("batch_seq") > base[0])
-    compacted = _of_collection(_read(spark, f"{root}/base/{base[1]}", _BUCKETED), collection)
+    compacted = _of_collection(_read(spark, f"{root}/base/{base[1]}", _BUCKETED, places), collection)
     kept = compacted.join(written(since.select(*_KEY).distinct(), "since"), _KEY, "left_anti")
     return kept.unionByName(latest_by_id(since))
 

@@ -9,6 +9,7 @@ from sonotheca.functions.text import safe_title
 from sonotheca.operators import search as se
 from sonotheca.operators import store as st
 from sonotheca.operators.embedding import embed, model_embedder, offline_embedder, pool, pool_rows
+from sonotheca.operators.locate import located
 from sonotheca.plans import batch
 from sonotheca.plans.feed_queries import _MARKS_SQL, _iso, _items, _marks
 from sonotheca.plans.registry import Tables, query
@@ -179,7 +180,7 @@ def chunk_store(t: Tables) -> DataFrame:
     """All documents chunked, embedded and written, as the table that is searched."""
     texts = spread(t.documents.select("doc_id", "lang", doc_file(), "text"))
     chunks = batch.chunk_transcripts(texts.select(doc_file(), "text", doc_metadata()))
-    return written(embed(chunks), "chunks")
+    return located(written(embed(chunks), "chunks"))
 
 
 def _search_sql(columns: str) -> str:

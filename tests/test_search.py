@@ -236,3 +236,48 @@ def test_search_refuses_another_model(spark, library):
 def test_source_comes_from_the_record_when_it_has_one(spark):
     df = spark.createDataFrame([(("t", "f.txt"),), (("t", None),)], "metadata STRUCT<title STRING, source_file STRING>")
     assert sorted(r.source for r in se.label_source(df).collect()) == ["Unknown", "f.txt"]
+
+
+def filled_store(spark, root, batches):
+    """A store with one chunk a number and batch, a word for each number."""
+    from sonotheca.operators.chunking import chunk_transcripts
+    from sonotheca.operators.embedding import embed
+    from sonotheca.operators.store import upsert
+
+    for seq, numbers in enumerate(batches, 1):
+        rows = [(f"c{n % 3}", f"talk {n}.txt", f"word{n} again word{n}. Batch {seq}.") for n in numbers]
+        texts = spark.createDataFrame(rows, "collection STRING, file STRING, text STRING").withColumn(
+            "metadata", F.struct(*(F.col("file").alias(n) for n in ("title", "podcast", "audio_url", "spotify_url", "published_date"))))
+        upsert(spark, root, embed(chunk_transcripts(texts)), seq)
+
+
+@pytest.mark.parametrize("layout", ["grid", "broadcast"])
+def test_documents_are_read_from_the_files_of_the_hits_only(spark, tmp_path, layout, monkeypatch):
+    from sonotheca.operators import locate
+    from sonotheca.operators.store import compact, current_chunks
+
+    root = str(tmp_path / "a store +1")
+    filled_store(spark, root, [range(12), [3, 4, 20], [4, 21]])
+    questions = spark.createDataFrame([(1, "word4"), (2, "word20 again"), (3, "word7")], "qid BIGINT, text STRING")
+
+    def found(places):
+        rows = se.search(questions, current_chunks(spark, root, places=places), k=2, layout=layout)
+        return rows, sorted(map(tuple, rows.collect()))
+
+    for _ in range(2):
+        plain, placed = found(False), found(True)
+        assert plain[1] == placed[1] and plain[0].columns == placed[0].columns
+        assert any("word4 again word4. Batch 3." in r for r in placed[1])
+        every = {f.rpartition("/")[2] for f in current_chunks(spark, root).inputFiles()}
+        stored = [f for f in placed[0].inputFiles() if f.rpartition("/")[2] in every]
+        assert 0 < len(stored) <= 6 and len(stored) < len(every)
+        compact(spark, root)
+    monkeypatch.setattr(locate, "MOST_FILES", 0)
+    assert found(True)[1] == placed[1]
+
+
+def test_search_in_an_empty_store_with_places(spark, tmp_path):
+    from sonotheca.operators.store import current_chunks
+
+    questions = spark.createDataFrame([(1, "word4")], "qid BIGINT, text STRING")
+    assert se.search(questions, current_chunks(spark, str(tmp_path / "none"), places=True)).collect() == []
