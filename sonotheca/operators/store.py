@@ -5,8 +5,8 @@ Layout below one root folder, all Parquet:
 - ``collections``: the model of each collection
 - ``runs``: the number of every batch that was begun
 - ``batches/batch_seq=<n>``: written chunks, partitioned by a bounded hash of the collection
-- ``base/<version>``: a compacted current view, with its pointer in ``bases``; ``replays``
-  says which batches were written again since
+- ``merged/version=<n>/bucket=<b>``: the batches of a range merged into one run of a bucket,
+  with its pointer in ``merges``; ``replays`` says which batches were written again since
 - ``marks/batch_seq=<n>``: the publication marks a batch moved
 - ``selected/<n>``: the episodes a run took on
 - ``transcripts/batch_seq=<n>``: every item a run handled, with its text or its error;
@@ -27,7 +27,7 @@ from sonotheca.fixed_values import EPISODE_FIELDS
 from sonotheca.operators.locate import FILE, ROW, located
 from sonotheca.operators.ranking import first_per
 from sonotheca.schemas import (
-    BASES, CHUNKS, COLLECTIONS, FAILURES, REPLAYS, RUNS, STORED_MARKS, TRANSCRIPTS,
+    CHUNKS, COLLECTIONS, FAILURES, MERGED, REPLAYS, RUNS, STORED_MARKS, TRANSCRIPTS,
 )
 from sonotheca.session import written
 
@@ -35,6 +35,8 @@ _KEY = ["collection", "id"]
 
 #: Partitions of a batch, however many collections there are.
 BUCKETS = 64
+#: A run is merged with the newer ones once they hold a share of its rows as large as one in so many.
+TIER = 4
 _BUCKETED = T.StructType(CHUNKS.fields + [T.StructField("bucket", T.IntegerType())])
 
 
@@ -110,11 +112,11 @@ def _of_collection(rows: DataFrame, collection: str | None) -> DataFrame:
     if collection is not None:
         name = F.lit(collection)
         rows = rows.filter((F.col("bucket") == _bucket(name)) & (F.col("collection") == name))
-    return rows.drop("bucket")
+    return rows
 
 
 def read_batches(spark: SparkSession, root: str, collection: str | None = None, places: bool = False) -> DataFrame:
-    return _of_collection(_read(spark, f"{root}/batches", _BUCKETED, places), collection)
+    return _of_collection(_read(spark, f"{root}/batches", _BUCKETED, places), collection).drop("bucket")
 
 
 def resolve_collisions(batch: DataFrame, newest: str = "published_ts", path: str = "file") -> DataFrame:
@@ -137,9 +139,9 @@ def upsert(spark: SparkSession, root: str, batch: DataFrame, batch_seq: int) ->
     ``batch`` must hold each ``collection, id`` once; see ``resolve_collisions``.
     """
     columns = [c for c in CHUNKS.fieldNames() if c != "batch_seq"]
-    compacted = _read(spark, f"{root}/bases", BASES).agg(F.max("upto"), F.max("version")).first()
-    if compacted[0] is not None and compacted[0] >= batch_seq:
-        again = spark.createDataFrame([(batch_seq, compacted[1])], REPLAYS)
+    reach = _read(spark, f"{root}/merges", MERGED).agg(F.max("upto"), F.max("version")).first()
+    if reach[0] is not None and reach[0] >= batch_seq:
+        again = spark.createDataFrame([(batch_seq, reach[1])], REPLAYS)
         again.write.mode("append").parquet(f"{root}/replays")
     _write_bucketed(batch.select(*columns), _batch(f"{root}/batches", batch_seq))
 
@@ -156,48 +158,108 @@ def latest_by_id(rows: DataFrame) -> DataFrame:
     return rows.join(written(old, "superseded"), [*_KEY, "batch_seq"], "left_anti")
 
 
-def _base(spark: SparkSession, root: str) -> tuple[int, int] | None:
-    """``upto`` and ``version`` of the newest base that no later replay has outdated."""
-    bases, replays = _read(spark, f"{root}/bases", BASES), _read(spark, f"{root}/replays", REPLAYS)
-    r, b = replays.alias("r"), bases.alias("b")
-    outdated = (F.col("r.batch_seq") <= F.col("b.upto")) & (F.col("r.version") >= F.col("b.version"))
-    found = b.join(r, outdated, "left_anti").orderBy(F.desc("version")).first()
-    return (found["upto"], found["version"]) if found else None
+def _runs(spark: SparkSession, root: str) -> dict[int, list]:
+    """The merged runs that are in use, by bucket, newest range first; a few rows a bucket.
+
+    A run is not in use once a later one covers its range, or once a batch inside it was
+    written again after it; what it had covered itself is then in use again.
+    """
+    replays = [(r["batch_seq"], r["version"]) for r in _read(spark, f"{root}/replays", REPLAYS).collect()]
+    in_use: dict[int, list] = {}
+    for run in sorted(_read(spark, f"{root}/merges", MERGED).collect(), key=lambda r: -r["version"]):
+        later = in_use.setdefault(run["bucket"], [])
+        outdated = any(run["after"] < seq <= run["upto"] and version >= run["version"] for seq, version in replays)
+        if not outdated and not any(x["after"] <= run["after"] and run["upto"] <= x["upto"] for x in later):
+            later.append(run)
+    return {bucket: sorted(runs, key=lambda r: -r["upto"]) for bucket, runs in in_use.items() if runs}
+
+
+def _not_merged(runs: dict[int, list]) -> Column:
+    """Whether no run covers a batch of a bucket; both are partitions, so files are pruned by it."""
+    if not runs:
+        return F.lit(True)
+    pairs = []
+    for bucket, own in runs.items():
+        pairs += [F.lit(bucket), F.array(*(F.struct(F.lit(r["after"]).alias("after"), F.lit(r["upto"]).alias("upto")) for r in own))]
+    inside = lambda r: (F.col("batch_seq") > r["after"]) & (F.col("batch_seq") <= r["upto"])
+    return ~F.coalesce(F.exists(F.element_at(F.create_map(*pairs), F.col("bucket")), inside), F.lit(False))
+
+
+def _read_runs(spark: SparkSession, root: str, runs: list, places: bool = False) -> DataFrame:
+    """The chunks of merged runs, with their bucket."""
+    top = f"{root}/merged"
+    paths = [f"{top}/version={r['version']}/bucket={r['bucket']}" for r in runs if r["rows"]]
+    if not paths:
+        return _read(spark, f"{top}/none", _BUCKETED, places)
+    found = spark.read.schema(_BUCKETED).option("basePath", top).parquet(*paths)
+    return (located(found) if places else found).select(*_BUCKETED.fieldNames(), *((FILE, ROW) if places else ()))
 
 
 def current_chunks(spark: SparkSession, root: str, collection: str | None = None, places: bool = False) -> DataFrame:
     """The latest version of every chunk of a collection, or of all.
 
-    Only batches after the last compaction are compared.  The compacted base holds
-    unique ids already; it loses the ids written since.  ``places`` adds the file and row of
-    every chunk, with which ``search`` reads the documents of its hits only.
+    The oldest run of a bucket holds each id once and is by far the largest.  It only loses the
+    ids that were written since; just the newer runs and batches are compared among
+    themselves.  ``places`` adds the file and row of every chunk, with which ``search`` reads the
+    documents of its hits only.
     """
-    batches, base = read_batches(spark, root, collection, places), _base(spark, root)
-    if base is None:
-        return latest_by_id(batches)
-    since = batches.filter(F.col("batch_seq") > base[0])
-    compacted = _of_collection(_read(spark, f"{root}/base/{base[1]}", _BUCKETED, places), collection)
-    kept = compacted.join(written(since.select(*_KEY).distinct(), "since"), _KEY, "left_anti")
-    return kept.unionByName(latest_by_id(since))
+    runs = _runs(spark, root)
+    if collection is not None:
+        own = spark.range(1).select(_bucket(F.lit(collection))).first()[0]
+        runs = {bucket: some for bucket, some in runs.items() if bucket == own}
+    batches = _of_collection(_read(spark, f"{root}/batches", _BUCKETED, places), collection)
+    newer = batches.filter(_not_merged(runs))
+    later = [r for some in runs.values() for r in some[:-1]]
+    if later:
+        newer = newer.unionByName(_of_collection(_read_runs(spark, root, later, places), collection))
+    newer = newer.drop("bucket")
+    oldest = [some[-1] for some in runs.values()]
+    if not oldest:
+        return latest_by_id(newer)
+    base = _of_collection(_read_runs(spark, root, oldest, places), collection).drop("bucket")
+    kept = base.join(written(newer.select(*_KEY).distinct(), "since"), _KEY, "left_anti")
+    return kept.unionByName(latest_by_id(newer))
 
 
 def compact(spark: SparkSession, root: str) -> None:
-    """Write the current view as a new base.  Its pointer follows once it is complete."""
-    newest = read_batches(spark, root).agg(F.max("batch_seq")).first()[0]
-    base = _base(spark, root)
-    if newest is None or (base and newest == base[0]):
+    """Merge what was written since into runs, in the buckets that it touched; their pointers follow.
+
+    In each such bucket the new batches are merged with the newest runs for as long as the next
+    older run has no more than ``TIER`` times the rows gathered so far.  Runs therefore grow by
+    that factor, a bucket has a few of them, and a chunk is rewritten as often as its bucket
+    has sizes of runs, not at every merge.  Buckets without new batches stay as they are.
+    """
+    runs = _runs(spark, root)
+    batches = _read(spark, f"{root}/batches", _BUCKETED).filter(_not_merged(runs))
+    fresh = batches.groupBy("bucket").agg(F.count("*").alias("n"), F.min("batch_seq").alias("first"), F.max("batch_seq").alias("last")).collect()
+    if not fresh:
         return
-    version = (_read(spark, f"{root}/bases", BASES).agg(F.max("version")).first()[0] or 0) + 1
-    _write_bucketed(current_chunks(spark, root), f"{root}/base/{version}")
-    pointer = spark.createDataFrame([(newest, version)], BASES)
-    pointer.write.mode("append").parquet(f"{root}/bases")
+    version = (_read(spark, f"{root}/merges", MERGED).agg(F.max("version")).first()[0] or 0) + 1
+    ranges, taken = {}, []
+    for row in fresh:  # a row a bucket
+        size, after, upto = row["n"], row["first"] - 1, row["last"]
+        for run in runs.get(row["bucket"], []):
+            # a batch that was written again may lie before runs that are in use
+            if run["upto"] < row["first"] and run["rows"] > TIER * size:
+                after = run["upto"]
+                break
+            size, after, upto = size + run["rows"], min(after, run["after"]), max(upto, run["upto"])
+            taken.append(run)
+        ranges[row["bucket"]] = after, upto
+    gathered = batches.filter(F.col("bucket").isin(*ranges)).unionByName(_read_runs(spark, root, taken))
+    path = f"{root}/merged/version={version}"
+    _write_bucketed(latest_by_id(gathered.drop("bucket")), path)
+    rows = {r["bucket"]: r["n"] for r in _read(spark, path, _BUCKETED).groupBy("bucket").agg(F.count("*").alias("n")).collect()}
+    pointers = [(bucket, after, upto, version, rows.get(bucket, 0)) for bucket, (after, upto) in ranges.items()]
+    spark.createDataFrame(pointers, MERGED).coalesce(1).write.mode("append").parquet(f"{root}/merges")
 
 
 def compact_when_due(spark: SparkSession, root: str, every: int | None) -> None:
-    """Compact once ``every`` batches were begun since the last base; never without a number."""
-    base = _base(spark, root)
-    if every and next_batch_seq(spark, root) - 1 - (base[0] if base else 0) >= every:
-        compact(spark, root)
+    """Compact once ``every`` batches were begun since the last merge; never without a number."""
+    if every:
+        reached = _read(spark, f"{root}/merges", MERGED).agg(F.max("upto")).first()[0] or 0
+        if next_batch_seq(spark, root) - 1 - reached >= every:
+            compact(spark, root)
 
 
 def read_marks(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:

@@ -43,7 +43,7 @@ CHUNKS = _schema(
     collection=_STR, batch_seq=_LONG, id=_STR, document=_STR, embedding=T.ArrayType(_DOUBLE),
     model=_STR, metadata=EPISODE,
 )
-BASES = _schema(upto=_LONG, version=_LONG)
+MERGED = _schema(bucket=_INT, after=_LONG, upto=_LONG, version=_LONG, rows=_LONG)
 REPLAYS = _schema(batch_seq=_LONG, version=_LONG)
 RUNS = _schema(batch_seq=_LONG, source=_STR)
 FAILURES = _schema(collection=_STR, stem=_STR, failure=_STR, batch_seq=_LONG)

@@ -187,7 +187,7 @@ def test_backfill_in_steps_is_not_blocked(spark, root):
 def test_runs_compact_the_store(spark, root, items, texts):
     for _ in range(2):
         batch.run_batch(spark, root, items, texts, n=2, compact_every=2)
-    assert spark.read.parquet(f"{root}/bases").count() == 1
+    assert spark.read.parquet(f"{root}/merges").select("version").distinct().count() == 1
     assert len(st.current_chunks(spark, root).collect()) == len(stored(spark, root))
 
 

@@ -78,6 +78,58 @@ def test_replay_of_a_compacted_batch_is_seen(spark, root):
     assert content(st.current_chunks(spark, root, "c")) == {"a": "again", "b": "2"}
 
 
+def test_compacting_rewrites_the_touched_bucket_only(spark, root, tmp_path):
+    names = [f"c{i}" for i in range(30)]
+    first = chunks(spark, [("a", "1")], names[0])
+    for name in names[1:]:
+        first = first.union(chunks(spark, [("a", "1"), ("b", "1")], name))
+    st.upsert(spark, root, first, 1)
+    st.compact(spark, root)
+    st.upsert(spark, root, chunks(spark, [("a", "2")], "c7"), 2)
+    st.compact(spark, root)
+    merged = tmp_path / "store" / "merged"
+    bucket = spark.range(1).select(st._bucket(F.lit("c7"))).first()[0]
+    assert [p.name for p in (merged / "version=2").glob("bucket=*")] == [f"bucket={bucket}"]
+    assert content(st.current_chunks(spark, root, "c7")) == {"a": "2", "b": "1"}
+    assert content(st.current_chunks(spark, root, "c8")) == {"a": "1", "b": "1"}
+    assert st.current_chunks(spark, root).count() == 59
+    st.compact(spark, root)  # nothing new
+    assert not (merged / "version=3").exists()
+
+
+def test_runs_grow_in_tiers(spark, root):
+    st.upsert(spark, root, chunks(spark, [(f"x{i}", "1") for i in range(40)]), 1)
+    st.compact(spark, root)
+    want = {f"x{i}": "1" for i in range(40)}
+    shapes = []
+    for seq in range(2, 7):
+        st.upsert(spark, root, chunks(spark, [("x0", str(seq)), (f"y{seq}", "y")]), seq)
+        st.compact(spark, root)
+        want |= {"x0": str(seq), f"y{seq}": "y"}
+        (runs,) = st._runs(spark, root).values()
+        shapes.append([r["rows"] for r in runs])
+        assert content(st.current_chunks(spark, root, "c")) == want
+    assert shapes[0] == [2, 40] and shapes[1] == [3, 40] and all(len(s) <= 2 for s in shapes)
+    assert max(s[-1] for s in shapes) <= 45
+    st.upsert(spark, root, chunks(spark, [(f"x{i}", "9") for i in range(20)]), 7)
+    st.compact(spark, root)
+    (runs,) = st._runs(spark, root).values()
+    assert [r["rows"] for r in runs] == [45]
+    assert content(st.current_chunks(spark, root, "c")) == want | {f"x{i}": "9" for i in range(20)}
+
+
+def test_replay_inside_a_merged_range(spark, root):
+    for seq in (1, 2, 3):
+        st.upsert(spark, root, chunks(spark, [(f"a{i}", str(seq)) for i in range(seq, 4)]), seq)
+        st.compact(spark, root)
+    st.upsert(spark, root, chunks(spark, [("a2", "again"), ("new", "again")]), 2)
+    want = {"a1": "1", "a2": "again", "a3": "3", "new": "again"}
+    assert content(st.current_chunks(spark, root, "c")) == want
+    st.upsert(spark, root, chunks(spark, [("b", "4")]), 4)
+    st.compact(spark, root)
+    assert content(st.current_chunks(spark, root, "c")) == want | {"b": "4"}
+
+
 def test_files_do_not_grow_with_the_collections(spark, root, tmp_path):
     many = spark.range(1000).select(
         F.concat(F.lit("c"), "id").alias("collection"), F.concat(F.lit("x"), "id").alias("id"), F.lit("d").alias("document"),
