@@ -9,10 +9,10 @@ pasted into a paragraph is still a run of whole units.  Each unit has a 63-bit h
    a window, and so select the same unit of it.
 2. **Join.**  Fingerprints that occur once are dropped by a count; the places of all others
    are joined with it.
-3. **Extend.**  From each such place the run grows to the left and to the right as long as the
-   fingerprint stays the least, which gives the windows that it was selected for.  Each is
-   compared as a whole with the first place of its hash, so a repeat always meets a place that
-   holds all of it; windows that follow one another add up to the longest repeated run.
+3. **Extend.**  From each such place the run grows to the left and to the right, to every window
+   that holds it.  Each is compared as a whole with the first place of its hash, so a repeat
+   always meets a place that holds all of it; windows that follow one another add up to the
+   longest repeated run.
 4. **Delete** the units of every window but the first of its hash.  A unit that goes has an
    equal one before it, so the first occurrence of a run always stays.
 
@@ -36,6 +36,8 @@ from sonotheca.session import written
 LEAST = 20
 #: Runs of so many units are tried one by one before all their words are added up.
 _NEAR = 4
+#: Up to so many shared units of a text are looked up one by one.
+_LOOKED_UP = 256
 #: Units end at a line break, or at white space after a full stop, exclamation or question mark.
 _UNIT_END = r"(?<=\n)|(?<=[.!?][ \t])"
 #: The same places, taking the character before them along; tried at white space only.
@@ -52,6 +54,11 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _held(v: Column, body) -> Column:
+    """``body`` of the arrays of a document, each looked up in the row once."""
+    return _let(F.struct(*(v[name].alias(name) for name in ("h", "w", "at"))), body)
+
+
 def _spaced(text: Column) -> Column:
     """``text`` with every vertical tab, form feed and carriage return as a space."""
     return F.translate(text, "\u000b\f\r", "   ")
@@ -87,7 +94,7 @@ def _hashed(docs: DataFrame, id_col: str, text_col: str, least: int) -> DataFram
     real = F.filter("u", lambda u: u["w"] > 0)
     arrays = parts.select("k", F.size("u").alias("n_units"), _let(
         real, lambda u: F.struct(u["h"].alias("h"), u["w"].alias("w"), u["at"].alias("at"))).alias("v"))
-    return arrays.withColumn("picks", _picks(F.col("v"), least))
+    return arrays.withColumn("picks", _held(F.col("v"), lambda v: _picks(v, least)))
 
 
 def _get(values: Column, i: Column, c: int) -> Column:
@@ -131,48 +138,33 @@ def _reach(words: Column, i: Column, least: int) -> Column:
     return near.when(_get(words, i, _NEAR).isNotNull(), far)
 
 
-def _beside(v: Column, i: Column, side: int, least: int) -> Column:
-    """How many units on one ``side`` the windows that select ``i`` can reach.
+def _extended(v: Column, shared: Column, least: int) -> Column:
+    """The windows that hold a ``shared`` unit, as structs of ``h`` (the hash of all units), ``start`` and ``end``.
 
-    Between ``i`` and the last of them lie fewer than ``least`` words.
-    """
-    def step(got: Column, c: Column) -> Column:
-        at = i + c if side > 0 else i - c
-        own, other = F.get(v["h"], i), F.get(v["h"], at)
-        more = got["open"] & (got["w"] < least) & F.coalesce(other >= own if side > 0 else other > own, F.lit(False))
-        return F.when(more, F.struct((got["n"] + 1).alias("n"), (got["w"] + F.get(v["w"], at)).alias("w"), F.lit(True).alias("open"))) \
-            .otherwise(F.struct(got["n"].alias("n"), got["w"].alias("w"), F.lit(False).alias("open")))
-
-    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("w"), F.lit(True).alias("open"))
-    far = F.aggregate(F.sequence(F.lit(1), F.lit(least)), start, step, lambda got: got["n"])
-    found, words = F.when(_ends(v, i, side, 1), 0), F.lit(0)
-    for c in range(1, _NEAR):
-        words = words + _get(v["w"], i, side * c)
-        found = found.when((words >= least) | _ends(v, i, side, c + 1), c)
-    return found.otherwise(far)
-
-
-def _extended(v: Column, i: Column, least: int) -> Column:
-    """The windows of which unit ``i`` is the least, as structs of ``h`` (the hash of all units), ``start`` and ``end``.
-
-    A window from unit ``s`` on is the shortest that reaches ``least`` words, or a longer one that
-    does not reach them without ``s``: the shortest back from its last unit.
+    A window from unit ``i`` on is the shortest that reaches ``least`` words, or a longer one that
+    does not reach them without ``i``: the shortest back from its last unit.  Where very many
+    units of a text are shared, all of its windows are taken; what occurs once drops out later.
     """
-    def windows(s: Column, e: Column, last: Column, most: Column) -> Column:
-        """Those from ``s`` on, where the shortest run ends at ``e`` and a window may end up to ``last`` and ``most``."""
-        first, stop = F.greatest(e, i + 1), F.least(F.greatest(e, F.coalesce(last, F.size(v["w"]))), most)
-        return F.when(e.isNotNull() & (first <= stop), F.transform(F.sequence(first, stop), lambda j: F.struct(
-            F.xxhash64(F.slice(v["h"], s + 1, j - s)).alias("h"), F.get(v["at"], s).alias("start"),
+    n = F.size(v["w"])
+    few = (F.size(shared) <= _LOOKED_UP) & (F.size(shared) * 2 < n)
+
+    def holds(i: Column, stop: Column) -> Column:
+        one = lambda c: F.array_contains(shared, i + c)
+        rest = F.exists(F.sequence(i + 2, stop - 1), lambda x: F.array_contains(shared, x))
+        return ~few | one(0) | ((stop > i + 1) & one(1)) | F.when(stop > i + 2, rest).otherwise(False)
+
+    def from_start(ends: Column, e: Column, i: Column) -> Column:
+        # the runs back from units behind e start at i as well, up to where the next run on ends
+        last = F.greatest(e, F.coalesce(F.get(ends, i + 1) - 1, n))
+        return F.when(holds(i, last), F.transform(F.sequence(e, last), lambda j: F.struct(
+            F.xxhash64(F.slice(v["h"], i + 1, j - i)).alias("h"), F.get(v["at"], i).alias("start"),
             (F.get(v["at"], j - 1) + 1).alias("end"))))
 
-    def around(left: Column, right: Column) -> Column:
-        starts = F.sequence(i - left, i + 1)
-        runs = F.transform(starts, lambda s: F.struct(s.alias("s"), _reach(v["w"], s, least).alias("e")))
-        every = _let(runs, lambda r: F.transform(F.slice(r, 1, left + 1), lambda x, at: windows(
-            x["s"], x["e"], F.get(r, at + 1)["e"] - 1, i + right + 1)))
-        return F.flatten(F.filter(every, lambda w: w.isNotNull()))
+    def every(ends: Column) -> Column:
+        runs = F.transform(F.filter(ends, lambda e: e.isNotNull()), lambda e, i: from_start(ends, e, i))
+        return F.flatten(F.filter(runs, lambda r: r.isNotNull()))
 
-    return _let(F.struct(_beside(v, i, -1, least).alias("l"), _beside(v, i, 1, least).alias("r")), lambda n: around(n["l"], n["r"]))
+    return _let(F.transform(v["w"], lambda w, i: _reach(v["w"], i, least)), every)
 
 
 def _merged(runs: Column) -> Column:
@@ -200,7 +192,7 @@ def repeated_runs(
     prints = picks.select("p.h", "k", "p.i")
     often = written(prints.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "often")
     shared = prints.join(often, "h").groupBy("k").agg(F.collect_list("i").alias("shared"))
-    windows = F.flatten(F.transform("shared", lambda i: _extended(F.col("v"), i, least)))
+    windows = _held(F.col("v"), lambda v: _let(F.col("shared"), lambda some: _extended(v, some, least)))
     found = written(hashed.join(shared, "k").select("k", F.explode(windows).alias("r")).select("r.h", "k", "r.start", "r.end"), "windows")
     first = written(found.groupBy("h").agg(F.min(F.struct("k", "start")).alias("first")), "first")
     # the first run of all stays, every other one goes
