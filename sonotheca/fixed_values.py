@@ -15,6 +15,7 @@ TRANSCRIPT_LANGUAGE = "fr"
 TRANSCRIPT_MODEL = "whisper-large-v3"
 
 # Texts of errors that results are compared by.
+UNSUPPORTED = "Unsupported format: "
 TOO_LARGE = ("File too large: ", "MB")
 NOT_SPLIT = "Failed to split audio file"
 

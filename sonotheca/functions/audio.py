@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sonotheca.fixed_values import AUDIO_SUFFIXES, MAX_UPLOAD_BYTES, SAFE_UPLOAD_MIB, TOO_LARGE
+from sonotheca.fixed_values import AUDIO_SUFFIXES, MAX_UPLOAD_BYTES, SAFE_UPLOAD_MIB, TOO_LARGE, UNSUPPORTED
 from sonotheca.functions.text import _col
 
 
@@ -27,7 +27,7 @@ def is_audio(path: Column | str) -> Column:
 def format_error(path: Column | str) -> Column:
     """Null for a supported format, otherwise the reason it is refused."""
     return F.when(
-        ~is_audio(path), F.concat(F.lit("Unsupported format: "), F.lower(suffix(path)))
+        ~is_audio(path), F.concat(F.lit(UNSUPPORTED), F.lower(suffix(path)))
     )
 
 

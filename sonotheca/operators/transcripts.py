@@ -4,16 +4,18 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sonotheca.fixed_values import NOT_SPLIT, PART_SECONDS, TRANSCRIPT_LANGUAGE, TRANSCRIPT_MODEL
-from sonotheca.functions.audio import format_error, part_name, size_class, size_error
+from sonotheca.functions.audio import format_error, part_name, size_class, size_error, transcript_path
 from sonotheca.functions.text import _col
 from sonotheca.schemas import RESPONSE, SEGMENTS
 from sonotheca.session import written
+from sonotheca.sources.named import write_named
 
 # Parts of one file that are worked on together.  A file with more parts is cut
 # into blocks of this many, so no task ever holds a whole long file part by part.
@@ -21,6 +23,14 @@ BLOCK = 1024
 _FIXED_KEYS = ("start", "end", "text")
 
 
+def planned_parts(path: str, duration: Column, part_seconds: int = PART_SECONDS) -> Column:
+    """The planned parts of a file as an array of structs: ``part_ix, start_s, len_s, part_name``."""
+    last = F.floor(duration / part_seconds).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(
+        i.alias("part_ix"), (i.cast("bigint") * part_seconds).alias("start_s"), F.lit(part_seconds).alias("len_s"),
+        part_name(path, i).alias("part_name")))
+
+
 def split_plan(
     files: DataFrame, path: str = "path", duration: str = "duration",
     part_seconds: int = PART_SECONDS,
@@ -187,55 +197,100 @@ def combine_results(
     return reassemble(_shifted(parts, key), key, language, with_segments=True)
 
 
+def _one_by_one(transcriber: Callable[..., dict], parts: list[dict], settings: dict) -> list[tuple]:
+    """The response and the error of every part; what a part raises ends it alone."""
+    out = []
+    for part in parts:
+        try:
+            out.append((json.dumps(transcriber(part, **settings)), None))
+        except Exception as problem:  # one bad part must not end the batch
+            out.append((None, str(problem) or type(problem).__name__))
+    return out
+
+
+def _all_at_once(transcriber: Callable[..., list], parts: list[dict], settings: dict) -> list[tuple]:
+    """One call for all parts; if it fails as a whole, one call for each of them."""
+    try:
+        found = transcriber(parts, **settings)
+        if len(found) != len(parts):
+            raise ValueError(f"{len(found)} results for {len(parts)} parts")
+    except Exception:
+        def alone(part: dict, **same) -> dict:
+            (result,) = transcriber([part], **same)
+            if isinstance(result, Exception):
+                raise result
+            return result
+
+        return _one_by_one(alone, parts, settings)
+    return [(None, str(r) or type(r).__name__) if isinstance(r, Exception) else (json.dumps(r), None) for r in found]
+
+
 def transcribe(
     parts: DataFrame, transcriber: Callable[..., dict], keys: list[str],
     language: str = TRANSCRIPT_LANGUAGE, model: str = TRANSCRIPT_MODEL,
-    prompt: str | None = None, temperature: float = 0.0,
+    prompt: str | None = None, temperature: float = 0.0, batch_size: int | None = None,
+    nested: str | None = None,
 ) -> DataFrame:
     """Run a user's speech-to-text function over the parts.
 
     ``transcriber(part, model=…, language=…, prompt=…, temperature=…)`` gets one part
     as a dict and returns a response dict.  What it raises ends up in ``error`` of that
-    part only.  Write the result once before using it twice: every use runs the
-    function again.
+    part only.  With ``batch_size`` it gets a list of up to so many parts and returns a list of
+    responses, of which those that are exceptions become errors; if the call itself fails, the
+    parts are tried one by one.  ``nested`` names an array of structs with the parts of a row:
+    the row's other columns then reach the task once, however many parts there are.  Write
+    the result once before using it twice: every use runs the function again.
     """
     settings = {
         "model": model, "language": language, "prompt": prompt, "temperature": temperature
     }
 
+    def listed(batch: pd.DataFrame) -> Iterator[dict]:
+        for row in batch.to_dict("records"):
+            if nested is None:
+                yield row
+                continue
+            planned = row.pop(nested)
+            for part in planned if planned is not None else ():
+                yield {**row, **(part if isinstance(part, dict) else part.asDict())}
+
+    def answered(some: list[dict]) -> pd.DataFrame:
+        call = _one_by_one if batch_size is None else _all_at_once
+        found = call(transcriber, some, settings)
+        rows = [[*(part[k] for k in keys), *answer] for part, answer in zip(some, found)]
+        return pd.DataFrame(rows, columns=[*keys, "response", "error"], dtype="object")
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            responses, errors = [], []
-            for part in batch.to_dict("records"):
-                try:
-                    responses.append(json.dumps(transcriber(part, **settings)))
-                    errors.append(None)
-                except Exception as problem:  # one bad part must not end the batch
-                    responses.append(None)
-                    errors.append(str(problem) or type(problem).__name__)
-            out = batch[keys].copy()
-            out["response"] = pd.Series(responses, index=out.index, dtype="object")
-            out["error"] = pd.Series(errors, index=out.index, dtype="object")
-            yield out
-
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.select(*keys).schema)
+            rows = listed(batch)
+            while some := list(islice(rows, batch_size or 64)):
+                yield answered(some)
+
+    given = {f.name: f.dataType for f in parts.schema}
+    if nested is not None:
+        given |= {f.name: f.dataType for f in parts.schema[nested].dataType.elementType}
+    kept = ", ".join(f"`{k}` {given[k].simpleString()}" for k in keys)
     raw = parts.mapInPandas(run, f"{kept}, response STRING, error STRING")
-    answered = raw.withColumn("_answer", normalise_result("response", language))
+    answered_rows = raw.withColumn("_answer", normalise_result("response", language))
     no_text = F.when(F.col("_answer.text").isNull(), F.lit("Response without text"))
-    return answered.select(*keys, "_answer.*", F.coalesce("error", no_text).alias("error"))
+    return answered_rows.select(*keys, "_answer.*", F.coalesce("error", no_text).alias("error"))
 
 
 def transcribe_directory(
     files: DataFrame, transcriber: Callable[..., dict], payload: list[str] | None = None,
-    auto_split: bool = True, part_seconds: int = PART_SECONDS,
+    auto_split: bool = True, part_seconds: int = PART_SECONDS, save_to: str | None = None, base: str = "",
     **settings,
 ) -> DataFrame:
     """Every listed file to one result row; failures are rows with ``error``.
 
     ``files`` holds ``path, length, duration``; ``payload`` names further columns
     the transcriber needs.  Small files are one part, large ones follow the split
-    plan, and one part that fails fails its file.  The answers are written to the shared
-    folder before they are combined, so the transcriber runs once per part.
+    plan, and one part that fails fails its file.  Without payload the parts are rows of
+    their own, spread over the tasks, and the transcriber reads its part by path and offset.
+    With a payload a file stays one row, so what it holds is moved once and not for every
+    part.  The answers are written to the shared folder before they are combined, so the
+    transcriber runs once per part.  ``save_to`` names a folder for a ``.txt`` file per
+    transcript, which keeps the path of its recording below ``base``.
     """
     language = settings.get("language", TRANSCRIPT_LANGUAGE)
     is_split = size_class("length", auto_split) == "split"
@@ -248,16 +303,19 @@ def transcribe_directory(
     checked = files.withColumn("error", reason).withColumn("is_split", is_split)
     refused = checked.filter(F.col("error").isNotNull()).select(F.col("path").alias("file"), "error")
 
+    # what is not split is one part, whatever its duration
     planned_length = F.when(F.col("is_split"), F.col("duration")).otherwise(F.lit(0.0))
-    parts = split_plan(
-        checked.filter(F.col("error").isNull()).drop("error").withColumn("_planned", planned_length),
-        duration="_planned", part_seconds=part_seconds,
-    ).filter(~F.col("is_split") | (F.col("start_s") < F.col("duration")))
+    parts = F.filter(planned_parts("path", planned_length, part_seconds),
+                     lambda p: ~F.col("is_split") | (p["start_s"] < F.col("duration")))
     keys = ["file", "part_ix", "is_split"]
-    wanted = [*keys, "start_s", "len_s", "part_name", *(payload or [])]
-    parts = parts.withColumnRenamed("path", "file").select(*wanted)
-
-    answers = written(transcribe(parts, transcriber, keys, **settings), "answers")
+    good_files = checked.filter(F.col("error").isNull()).select(
+        F.col("path").alias("file"), "is_split", *(payload or []), parts.alias("_parts"))
+    if payload:
+        raw = transcribe(good_files, transcriber, keys, nested="_parts", **settings)
+    else:
+        rows = good_files.select("file", "is_split", F.explode("_parts").alias("_part")).select("file", "is_split", "_part.*")
+        raw = transcribe(rows, transcriber, keys, **settings)
+    answers = written(raw, "answers")
     failed = (
         answers.filter(F.col("error").isNotNull())
         .groupBy("file")
@@ -268,11 +326,23 @@ def transcribe_directory(
         "file", "text", "language", "duration", "segments", F.lit(None).cast("bigint").alias("parts")
     )
     joined = combine_results(good.filter("is_split"), "file", language)
-    return (
+    results = (
         single.unionByName(joined)
         .withColumn("error", F.lit(None).cast("string"))
         .unionByName(failed.unionByName(refused), allowMissingColumns=True)
     )
+    if save_to is None:
+        return results
+    results = written(results, "results")
+    save_transcripts(results, save_to, base)
+    return results
+
+
+def save_transcripts(results: DataFrame, folder: str, base: str = "") -> None:
+    """The texts of results without error as files below ``folder``, at the path of their recording below ``base``."""
+    inside = F.col("file") if base else F.concat(F.lit("./"), F.col("file"))
+    name = F.regexp_replace(transcript_path(inside, base or ".", ""), "^/+", "")
+    write_named(accepted(results).filter(F.col("text").isNotNull()).select(name.alias("name"), "text"), folder)
 
 
 def batch_summary(results: DataFrame) -> DataFrame:

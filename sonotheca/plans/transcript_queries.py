@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sonotheca.functions import audio
+from sonotheca.functions.sql import register_functions
 from sonotheca.functions.text import non_blank
 from sonotheca.operators import chunking, dispatch, service_log
 from sonotheca.operators import transcripts as tr
@@ -572,3 +573,13 @@ def dispatch_plan(t: Tables) -> DataFrame:
     plan = dispatch.dispatch_plan(
         dispatch.open_items(items, failed, done), events.filter(early).select("account", F.col("ts").cast("timestamp").alias("ts"), "audio_seconds"))
     return plan.select("account", "item", "action", "state", F.unix_seconds("ready_at").alias("ready_s"), F.unix_seconds("send_at").alias("send_s"))
+
+
+@query(f"WITH RECURSIVE {CHUNKS_SQL} SELECT doc_id, chunk_ix, document, 'doc_' || doc_id || '_' || chunk_ix AS id FROM chunks")
+def chunks_by_sql(t: Tables) -> DataFrame:
+    """The chunks asked for in SQL, with a table function per transcript."""
+    register_functions(t.spark)
+    spread(t.documents.select("doc_id", doc_file(), "text")).createOrReplaceTempView("chunks_by_sql_documents")
+    return t.spark.sql("""
+        SELECT d.doc_id, c.chunk_ix, c.document, chunk_id(d.file, c.chunk_ix) AS id
+        FROM chunks_by_sql_documents d, LATERAL chunk_text(d.text) c""")

@@ -146,3 +146,26 @@ def test_names(spark):
     assert row.title == "Ép 1 lété  n²"
     assert row.id == "My_talk_3"
     assert row.path == "a.txt/b.txt"
+
+
+def test_sql_functions_agree_with_the_columns(spark, plan_of):
+    from sonotheca.functions.sql import register_functions
+    from sonotheca.operators.chunking import chunk_transcripts
+
+    register_functions(spark)
+    rng = random.Random(3)
+    texts = ["", " ", None, "One. Two! Three? ", "no end", "a.  b.   c. \n d", "é" * 1500 + ". x"]
+    texts += ["".join(rng.choice(["w" * rng.randint(1, 300) + ".", "!", "?", " ", "  ", " ", "\n"]) for _ in range(200)) for _ in range(8)]
+    df = spark.createDataFrame([(i, f"f {i}.txt", t) for i, t in enumerate(texts)], "i INT, file STRING, text STRING")
+    df.createOrReplaceTempView("sql_texts")
+    found = spark.sql("SELECT t.i, c.chunk_ix, c.document, chunk_id(t.file, c.chunk_ix) AS id FROM sql_texts t, LATERAL chunk_text(t.text) c")
+    want = chunk_transcripts(df).select("i", "chunk_ix", "document", "id")
+    assert sorted(found.collect()) == sorted(want.collect()) and "Python" not in plan_of(found)
+    small = spark.sql("SELECT t.i, c.* FROM sql_texts t, LATERAL chunk_text(t.text, 50, 20) c")
+    assert sorted(small.collect()) == sorted(chunk_transcripts(df, chunk_size=50, overlap=20).select("i", "chunk_ix", "document").collect())
+    titles = ["Été: 7² _x ", "a\nb", "٣ ⑨", None]
+    given = spark.createDataFrame([(t,) for t in titles], "title STRING")
+    given.createOrReplaceTempView("sql_titles")
+    assert spark.sql("SELECT safe_title(title) AS s FROM sql_titles").collect() == given.select(tx.safe_title("title").alias("s")).collect()
+    assert spark.sql("SELECT split_sentences('a. b!  c') AS s").first()["s"] == ["a.", "b!", "c"]
+    assert [tuple(r) for r in spark.sql("SELECT * FROM sentence_rows('a. b')").collect()] == [(0, "a."), (1, "b")]

@@ -194,3 +194,55 @@ def test_directory_run_hands_on_all_keys(spark):
     found = tr.transcribe_directory(files, speak).select("file", tr.segments_json("segments").alias("s")).collect()
     got = {r["file"]: [(s["start"], s["part"]) for s in json.loads(r["s"])] for r in found}
     assert got == {"long.mp3": [(1.0, 0), (601.0, 1)], "short.mp3": [(1.0, 0)]}
+
+
+def counted(log):
+    """A batch transcriber that notes how many parts each call gets."""
+    def speak(parts, **settings):
+        with open(log, "a") as out:
+            out.write(f"{len(parts)}\n")
+        if any(p["text"] == "crash" for p in parts):
+            raise RuntimeError("service down")
+        return [ValueError("noisy") if p["text"] == "bad" else {"text": p["text"].upper()} for p in parts]
+
+    return speak
+
+
+def test_a_batch_transcriber_gets_one_call_per_list(spark, tmp_path):
+    rows = [(f"f{i}", 0, "bad" if i == 3 else f"t{i}") for i in range(10)]
+    parts = spark.createDataFrame(rows, "file STRING, part_ix INT, text STRING").coalesce(1)
+    log = str(tmp_path / "calls")
+    got = written(tr.transcribe(parts, counted(log), ["file", "part_ix"], batch_size=4), "batched").collect()
+    assert {r["file"]: (r["text"], r["error"]) for r in got} == {
+        f: (None, "noisy") if t == "bad" else (t.upper(), None) for f, _, t in rows}
+    assert open(log).read().split() == ["4", "4", "2"]
+
+
+def test_a_failed_list_is_tried_part_by_part(spark, tmp_path):
+    rows = [("a", 0, "x"), ("b", 0, "crash"), ("c", 0, "y")]
+    parts = spark.createDataFrame(rows, "file STRING, part_ix INT, text STRING").coalesce(1)
+    log = str(tmp_path / "calls")
+    got = written(tr.transcribe(parts, counted(log), ["file", "part_ix"], batch_size=8), "batched").collect()
+    assert {r["file"]: (r["text"], r["error"]) for r in got} == {"a": ("X", None), "b": (None, "service down"), "c": ("Y", None)}
+    assert open(log).read().split() == ["3", "1", "1", "1"]
+
+
+def test_directory_run_moves_a_payload_once_and_saves_texts(spark, tmp_path, plan_of):
+    files = spark.createDataFrame(
+        [("media/show/long one.mp3", 30_000_000, 1500.0, "L" * 1500), ("media/short.mp3", 10, None, "s"), ("media/x.doc", 1, 1.0, "?")],
+        "path STRING, length BIGINT, duration DOUBLE, sound STRING")
+
+    def speak(part, **settings):
+        text = part["sound"][part["start_s"]:part["start_s"] + part["len_s"]] if part["is_split"] else part["sound"]
+        return {"text": f"{part['part_name'] if part['is_split'] else ''}{len(text)}", "duration": float(len(text))}
+
+    results = tr.transcribe_directory(files, speak, ["sound"], save_to=str(tmp_path / "texts"), base="media/")
+    got = {r["file"]: (r["text"], r["parts"], r["error"]) for r in results.collect()}
+    assert got["media/show/long one.mp3"][0] == " ".join(f"long one_chunk{i:03d}.mp3{n}" for i, n in enumerate((600, 600, 300)))
+    assert got["media/short.mp3"][0] == "1" and got["media/x.doc"][2].startswith("Unsupported format")
+    saved = {str(p.relative_to(tmp_path / "texts")): p.read_text() for p in (tmp_path / "texts").rglob("*.txt")}
+    assert saved == {"show/long one.txt": got["media/show/long one.mp3"][0], "short.txt": "1"}
+    tr.save_transcripts(results, str(tmp_path / "whole"))
+    assert (tmp_path / "whole" / "media" / "short.txt").read_text() == "1"
+    without = tr.transcribe_directory(files.drop("sound"), lambda part, **s: {"text": str(part["start_s"])})
+    assert {r["file"]: r["text"] for r in without.collect() if not r["error"]} == {"media/show/long one.mp3": "0 600 1200", "media/short.mp3": "0"}
