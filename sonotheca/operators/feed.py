@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sonotheca.fixed_values import (
@@ -28,23 +28,44 @@ def read_mark(collections: DataFrame, marks: DataFrame, key: str = "collection")
 def new_since(items: DataFrame, marks: DataFrame, key: str = "feed_id") -> DataFrame:
     """Dated items strictly after the mark of their feed; undated items are dropped.
 
-    ``marks`` holds ``key`` and ``published_ts``.  The earliest mark bounds all feeds
-    that have one and reaches the scan as a pushed filter; the exact test follows on the
-    join.  Feeds without mark start at the default, in a branch of their own that is
-    only there if a look at the keys finds such feeds.
+    ``marks`` holds ``key`` and ``published_ts``; feeds without mark start at the default.  The
+    items are read once, by a left join with the marks.  The earliest mark of all feeds bounds
+    that read and reaches the scan as a pushed filter; whether a feed has none, so that the
+    default bounds it, takes a look at the keys alone.
     """
     kind = items.schema["published_ts"].dataType
     stored = marks.groupBy(key).agg(F.max("published_ts").cast(kind).alias("_mark")).filter("_mark IS NOT NULL")
-    earliest = stored.agg(F.min("_mark")).scalar()
-    marked = (
-        items.filter(F.col("published_ts") > earliest).join(stored, key)
-        .filter(F.col("published_ts") > F.col("_mark")).select(*items.columns)
+    return (
+        items.filter(F.col("published_ts") > earliest_mark(items, stored, key).scalar()).join(stored, key, "left")
+        .filter(F.col("published_ts") > F.coalesce("_mark", F.lit(DEFAULT_MARK).cast(kind))).select(*items.columns)
     )
-    without = items.select(key).distinct().join(stored, key, "left_anti")
-    if without.isEmpty():
-        return marked
-    fresh = items.filter(F.col("published_ts") > F.lit(DEFAULT_MARK).cast(kind))
-    return marked.unionByName(fresh.join(stored.select(key), key, "left_anti").select(*items.columns))
+
+
+def earliest_mark(items: DataFrame, stored: DataFrame, key: str = "feed_id") -> DataFrame:
+    """One value: the earliest ``_mark`` that a feed of ``items`` starts at."""
+    default = F.lit(DEFAULT_MARK).cast(items.schema["published_ts"].dataType)
+    unmarked = items.select(key).join(stored, key, "left_anti").select(default.alias("_mark"))
+    return stored.select("_mark").union(unmarked).agg(F.min("_mark"))
+
+
+def in_steps(items: DataFrame, n: int, key: str = "feed_id") -> DataFrame:
+    """Adds ``step``: the items of a feed oldest first, ``n`` to a step, equal dates in one step.
+
+    The step follows from the number of strictly older items of the feed.  It is counted in
+    two levels, per day and inside a day, over one row per date; so no task sees more of a feed
+    than its days or the dates of one day, however many items it has.
+    """
+    dates = items.groupBy(key, "published_ts").agg(F.count("*").alias("_own")).withColumn("_day", F.to_date("published_ts"))
+    days = dates.groupBy(key, "_day").agg(F.sum("_own").alias("_own"))
+
+    def before(*partition: str, order: str) -> Column:
+        window = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("_own").over(window), F.lit(0))
+
+    by_day = days.select(key, "_day", before(key, order="_day").alias("_days"))
+    older = dates.withColumn("_inside", before(key, "_day", order="published_ts")).join(by_day, [key, "_day"])
+    steps = older.select(key, "published_ts", F.floor((F.col("_days") + F.col("_inside")) / n).cast("int").alias("step"))
+    return items.join(steps, [key, "published_ts"])
 
 
 def oldest_first(

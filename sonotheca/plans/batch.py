@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sonotheca.fixed_values import CHUNK_OVERLAP, CHUNK_SIZE, EPISODES_PER_RUN
 from sonotheca.functions.text import non_blank, safe_title
@@ -15,6 +16,7 @@ from sonotheca.operators.feed import (
     accept_fetch,
     enrich_from_catalogue,
     episode_record,
+    in_steps,
     new_since,
     oldest_first,
     with_audio,
@@ -38,7 +40,7 @@ from sonotheca.operators.store import (
 )
 from sonotheca.operators.transcripts import attach_sidecar, transcribe_directory
 from sonotheca.schemas import CATALOGUE
-from sonotheca.session import spread, written
+from sonotheca.session import fresh_dir, spread, written
 from sonotheca.sources.files import read_sidecars, read_transcripts
 
 NO_AUDIO = "No audio link"
@@ -221,24 +223,25 @@ def run_batch(
     n: int | None = EPISODES_PER_RUN, with_ties: bool = False, retry_failed: bool = False,
     fetch_log: DataFrame | None = None, catalogue: DataFrame | None = None,
     show_name: str | None = None, embedder: Embedder | None = None,
-    since: int | None = None, compact_every: int | None = COMPACT_EVERY,
+    since: int | None = None, compact_every: int | None = COMPACT_EVERY, is_chosen: bool = False,
 ) -> DataFrame:
     """One incremental update; returns items per collection and outcome.
 
     ``items`` are feed entries whose feed is the collection they go to.
     ``transcripts`` adds ``text`` to the episodes and may set ``error``.  Passing the
-    ``batch_seq`` of an earlier run replays that run.  ``since`` belongs to a backfill:
-    it also records the items without audio, so that they count as tried.  The store is
-    compacted after every ``compact_every`` runs.
+    ``batch_seq`` of an earlier run replays that run.  ``is_chosen`` takes all of ``items``,
+    a table that a backfill has planned.  It, and ``since`` (see ``select_items``), also record
+    the items without audio, so that they count as tried.  The store is compacted after every
+    ``compact_every`` runs.
     """
     seq = allot_batch(spark, root) if batch_seq is None else batch_seq
-    chosen = select_items(spark, root, items, seq, n, with_ties, retry_failed, since)
+    chosen = items if is_chosen else select_items(spark, root, items, seq, n, with_ties, retry_failed, since)
     if since is not None:
         chosen = written(chosen, "chosen")
     prepared = prepare_episodes(chosen, fetch_log, catalogue, show_name)
     episodes = write_selected(prepared, root, seq)
     handled = transcripts(episodes)
-    if since is not None:
+    if since is not None or is_chosen:
         handled = handled.unionByName(_without_audio(chosen), allowMissingColumns=True)
     store_transcripts(spark, root, handled, seq, embedder)
     compact_when_due(spark, root, compact_every)
@@ -268,17 +271,19 @@ def backfill(
     """Run until no untried item is left; returns the number of runs that handled something.
 
     Items are new by the marks before the first run.  Without ``n`` one run takes
-    everything.  With ``n`` the runs go oldest first, and items that share the date of
-    the last one are taken along.  Items without audio, failed fetches and blank
-    transcripts are recorded and block nothing.
+    everything.  With ``n`` the runs go oldest first, ``n`` items of each feed at a time, and
+    items of one date are taken together.  Which run takes an item is settled once for all of
+    them, in a table of the new items that is partitioned by run; each run reads its own rows
+    only.  Items without audio, failed fetches and blank transcripts are recorded and block
+    nothing.
     """
-    runs, since = 0, None
-    while True:
-        seq = allot_batch(spark, root)
-        since = seq if since is None else since
-        done = run_batch(spark, root, items, transcripts, batch_seq=seq, n=n, with_ties=True, since=since, **options)
-        if done.isEmpty():
-            return runs
-        runs += 1
-        if n is None:
-            return runs
+    path = fresh_dir(spark, "schedule")
+    new = new_since(items, read_marks(spark, root).withColumnRenamed("collection", "feed_id"))
+    planned = new.withColumn("step", F.lit(0)) if n is None else in_steps(new, n)
+    planned.select(*items.columns, "step").write.partitionBy("step").parquet(path)
+    schedule = spark.read.schema(T.StructType([*items.schema.fields, T.StructField("step", T.IntegerType())])).parquet(path)
+    last = schedule.agg(F.max("step")).first()[0]
+    steps = 0 if last is None else last + 1
+    for step in range(steps):
+        run_batch(spark, root, schedule.filter(F.col("step") == step).drop("step"), transcripts, is_chosen=True, **options)
+    return steps

@@ -10,6 +10,7 @@ from sonotheca.operators import search as se
 from sonotheca.operators import store as st
 from sonotheca.operators.embedding import embed, model_embedder, offline_embedder, pool, pool_rows
 from sonotheca.operators.locate import located
+from sonotheca.operators.pivots import build_index
 from sonotheca.plans import batch
 from sonotheca.plans.feed_queries import _MARKS_SQL, _iso, _items, _marks
 from sonotheca.plans.registry import Tables, query
@@ -143,14 +144,17 @@ def nearest_uneven(t: Tables) -> DataFrame:
     return _rounded(se.nearest(_centres(t), odd, layout="broadcast"))
 
 
-@query("""
+_MANY_SQL = """
 WITH pairs AS (
   SELECT a.vec_id AS qid, 'vec_' || lpad(b.vec_id::VARCHAR, 12, '0') AS id,
          round(list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) ^ 2, 9) AS distance
   FROM embeddings a, embeddings b)
 SELECT qid, rank, id, round(distance, 6) + 0.0 AS distance FROM (
   SELECT *, row_number() OVER (PARTITION BY qid ORDER BY distance, id) AS rank FROM pairs)
-WHERE rank <= 2""")
+WHERE rank <= 2"""
+
+
+@query(_MANY_SQL)
 def nearest_many(t: Tables) -> DataFrame:
     """Every vector as a query, through the grid."""
     asked = spread(t.embeddings).select(F.col("vec_id").alias("qid"), F.lit("given").alias("model"), "embedding")
@@ -158,6 +162,14 @@ def nearest_many(t: Tables) -> DataFrame:
     return hits.withColumn("distance", F.round("distance", 6) + 0.0)
 
 
+@query(_MANY_SQL)
+def nearest_pruned(t: Tables) -> DataFrame:
+    """The same neighbours with rings of vectors skipped."""
+    asked = spread(t.embeddings).select(F.col("vec_id").alias("qid"), F.lit("given").alias("model"), "embedding")
+    index = build_index(_stored_vectors(t), "given")
+    return index.nearest(asked, k=2).withColumn("distance", F.round("distance", 6) + 0.0)
+
+
 @query(f"SELECT * FROM ({_L2_SQL}) WHERE qid % 2 = 0")
 def no_neighbours(t: Tables) -> DataFrame:
     """Queries of a model that filled nothing find nothing; those beside them do."""

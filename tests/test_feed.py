@@ -202,13 +202,29 @@ def test_many_rows_per_hot_key_are_ranked_in_parts(spark, plan_of):
 def test_pushed_bound_follows_the_marks(spark, tmp_path, plan_of):
     from datetime import datetime
 
-    from sonotheca.operators.feed import new_since
+    from sonotheca.operators.feed import earliest_mark, new_since
 
     days = [datetime(2024, 1, n) for n in range(1, 20)]
     spark.createDataFrame([("a", d) for d in days] + [("b", d) for d in days], "feed_id STRING, published_ts TIMESTAMP").write.parquet(str(tmp_path / "items"))
     items = spark.read.parquet(str(tmp_path / "items"))
     marks = spark.createDataFrame([("a", days[10]), ("b", days[15])], "feed_id STRING, published_ts TIMESTAMP")
     found = new_since(items, marks)
-    assert found.count() == 8 + 3 and "2000-01-01" not in plan_of(found)
+    bound = lambda: earliest_mark(items, marks.withColumnRenamed("published_ts", "_mark")).first()[0]
+    assert found.count() == 8 + 3 and bound() == days[10]
+    assert plan_of(found).count("FileScan parquet") == 1 and "Union" not in plan_of(found)
     marks = marks.filter("feed_id = 'a'")
-    assert new_since(items, marks).count() == 8 + 19
+    assert new_since(items, marks).count() == 8 + 19 and bound() == datetime(2000, 1, 1)
+
+
+def test_steps_by_counting_older_items(spark):
+    import random
+
+    rnd = random.Random(4)
+    rows = [(rnd.choice("aab"), datetime(2024, 1, rnd.randint(1, 4), rnd.choice([0, 0, 5, 9]), rnd.choice([0, 1])), i) for i in range(150)]
+    df = spark.createDataFrame(rows, "feed_id STRING, published_ts TIMESTAMP, feed_pos INT")
+    got = feed.in_steps(df, 7).collect()
+    assert len(got) == 150
+    for r in got:
+        older = sum(f == r["feed_id"] and d < r["published_ts"] for f, d, _ in rows)
+        assert r["step"] == older // 7
+    assert feed.in_steps(df.limit(0), 7).count() == 0

@@ -281,3 +281,34 @@ def test_search_in_an_empty_store_with_places(spark, tmp_path):
 
     questions = spark.createDataFrame([(1, "word4")], "qid BIGINT, text STRING")
     assert se.search(questions, current_chunks(spark, str(tmp_path / "none"), places=True)).collect() == []
+
+
+def test_pivots_give_the_rows_of_the_full_scan_and_skip_vectors(spark):
+    from sonotheca.operators import pivots
+
+    rnd = np.random.default_rng(2)
+    centres = rnd.normal(size=(12, 6)) * 20
+    vectors = np.concatenate([c + rnd.normal(size=(100, 6)) for c in centres])
+    vectors[200:260] = vectors[200]  # copies
+    rows = [(f"v{i:04d}", "m", v.tolist()) for i, v in enumerate(vectors)]
+    rows += [("odd1", "m", None), ("odd2", "m", [float("nan")] * 6), ("far", "m", [1e200] * 6), ("other", "n", [0.0])]
+    store = spark.createDataFrame(rows, "id STRING, model STRING, embedding ARRAY<DOUBLE>")
+    asked = [(i, "m", (vectors[i * 40] + 0.01).tolist()) for i in range(28)]
+    asked += [(100, "m", [0.0] * 6), (101, "m", vectors[200].tolist()), (102, "n", [0.0]), (103, "m", None), (104, "m", [1e200] * 6)]
+    queries = spark.createDataFrame(asked, "qid BIGINT, model STRING, embedding ARRAY<DOUBLE>")
+    index = pivots.build_index(store, "m", pivots=12, block_rows=25)
+    for k in (1, 5, 2000):
+        want = [tuple(r) for r in se.nearest(queries, store, k).filter("qid <> 102").orderBy("qid", "rank").collect()]
+        assert [tuple(r) for r in index.nearest(queries, k).orderBy("qid", "rank").collect()] == want
+    usable = queries.filter("qid < 100")
+    rest, _ = index.reached(usable.select("qid", "model", "embedding"), 5)
+    compared = rest.join(index.blocks, "block").agg(F.sum("n")).first()[0] or 0
+    assert index.blocks.agg(F.sum("n")).first()[0] == 1201 and compared < 0.2 * 28 * 1201
+
+
+def test_pivots_over_an_empty_store(spark):
+    from sonotheca.operators import pivots
+
+    empty = spark.createDataFrame([], "id STRING, model STRING, embedding ARRAY<DOUBLE>")
+    asked = spark.createDataFrame([(1, "m", [1.0])], "qid BIGINT, model STRING, embedding ARRAY<DOUBLE>")
+    assert pivots.build_index(empty, "m").nearest(asked).collect() == []
