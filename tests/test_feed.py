@@ -211,7 +211,7 @@ def test_pushed_bound_follows_the_marks(spark, tmp_path, plan_of):
     found = new_since(items, marks)
     bound = lambda: earliest_mark(items, marks.withColumnRenamed("published_ts", "_mark")).first()[0]
     assert found.count() == 8 + 3 and bound() == days[10]
-    assert plan_of(found).count("FileScan parquet") == 1 and "Union" not in plan_of(found)
+    assert plan_of(found).count("ReadSchema: struct<feed_id:string,published_ts:timestamp>") == 1  # the others read the keys alone
     marks = marks.filter("feed_id = 'a'")
     assert new_since(items, marks).count() == 8 + 19 and bound() == datetime(2000, 1, 1)
 
