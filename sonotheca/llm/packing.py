@@ -44,7 +44,7 @@ from sonotheca.session import written
 CAPACITY = 1024
 SLACK = 16
 END = 0
-KNOWN_PARTS = 3_000_000
+KNOWN_PARTS = 2_000_000
 _FLUSH = 1 << 20
 _SHARD = 1 << 32
 _SHARED, _LAST = (1 << 30) * _SHARD, (1 << 30) * _SHARD + (1 << 29) * _SHARD
@@ -175,7 +175,7 @@ def _hashes(codes: np.ndarray, starts: np.ndarray, stops: np.ndarray, odd: np.ui
         inverse = np.uint64(pow(int(odd), -1, 1 << 64))
         tables = []
         for base in (odd, inverse):
-            steps = np.full(2 * n, base, dtype=np.uint64)
+            steps = np.full(n + n // 8 + 1, base, dtype=np.uint64)
             steps[0] = 1
             tables.append(np.multiply.accumulate(steps))
         _powers[int(odd)] = tuple(tables)
@@ -225,8 +225,8 @@ class _Rows:
 
 
 def _encoded(encoder: Encoder, batch: pa.RecordBatch) -> Iterator[tuple[object, np.ndarray]]:
-    """The id column and the ids of every row, encoded in groups of about two megabytes."""
-    for first, texts in groups(batch.column(1), 2 * GROUP_BYTES):
+    """The id column and the ids of every row, encoded in groups of about a megabyte."""
+    for first, texts in groups(batch.column(1), GROUP_BYTES):
         keys = batch.column(0).slice(first, len(texts)).to_pylist()
         yield from zip(keys, encoder.encode([t.decode("utf-8", "replace") for t in texts]))
 
