@@ -201,16 +201,17 @@ def store_transcripts(
 
 def store_folder(
     spark: SparkSession, root: str, folder: str, collection: str, embedder: Embedder | None = None,
-    batch_seq: int | None = None,
+    batch_seq: int | None = None, recursive: bool = False,
 ) -> DataFrame:
     """Store every transcript of a folder with its metadata record; items per outcome.
 
     ``*.txt`` files are transcripts, the ``*.json`` file of the same stem is the record.
     A transcript without record is a failure of its own; a blank one is passed over.
-    An undated one is stored and moves no mark.
+    An undated one is stored and moves no mark.  ``recursive`` takes the files of sub-folders too;
+    stems are still unique in the whole folder.
     """
     seq = allot_batch(spark, root) if batch_seq is None else batch_seq
-    known = attach_sidecar(read_transcripts(spark, folder), read_sidecars(spark, folder))
+    known = attach_sidecar(read_transcripts(spark, folder, recursive), read_sidecars(spark, folder, recursive))
     store_transcripts(spark, root, known.select(
         F.lit(collection).alias("collection"), "stem", F.col("metadata.audio_url").alias("audio_url"), "metadata",
         F.try_to_timestamp("metadata.published_date").alias("published_ts"), "text", "error"), seq, embedder)

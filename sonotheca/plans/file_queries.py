@@ -10,25 +10,24 @@ from sonotheca.operators import store as st
 from sonotheca.plans import batch
 from sonotheca.plans.registry import Tables, query
 from sonotheca.plans.transcript_queries import CHUNKS_SQL
-from sonotheca.session import fresh_dir, spread
+from sonotheca.session import fresh_dir
 from sonotheca.sources import files
 from sonotheca.sources.named import write_named
 
 
-def _one_file_each(rows: DataFrame, kind: str, path: str, **options: str) -> str:
-    """Every row as a file of its own."""
-    rows.write.format(kind).mode("append").options(maxRecordsPerFile="1", **options).save(path)
+def _file_each(rows: DataFrame, body: Column, suffix: Column, path: str, folders: int = 0) -> str:
+    """Every row as a file of its own under a running number, dealt to sub-folders where there are very many."""
+    name = F.concat(F.lit("part "), F.monotonically_increasing_id(), F.lit("."), suffix)
+    write_named(rows.select(name.alias("name"), F.concat(body, F.lit("\n")).alias("text")), path, folders=folders)
     return path
 
 
 def _recordings(t: Tables) -> str:
     """A folder with a file per supplier, of three suffixes in turn; contents stand for sound."""
-    folder = fresh_dir(t.spark, "audio")
     sound = F.repeat(F.lit("x"), (F.col("s_suppkey") % 50 + 1).cast("int")).alias("sound")
-    for place, suffix in enumerate(("mp3", "wav", "txt")):
-        chosen = t.supplier.filter(F.col("s_suppkey") % 3 == place).select(sound)
-        _one_file_each(chosen, "csv", folder, extension=suffix)
-    return folder
+    suffix = F.get(F.array(*(F.lit(s) for s in ("mp3", "wav", "txt"))), (F.col("s_suppkey") % 3).cast("int"))
+    chosen = t.supplier.filter(F.col("s_suppkey") % 3 >= 0)
+    return _file_each(chosen, F.to_csv(F.struct(sound)), suffix, fresh_dir(t.spark, "audio"))
 
 
 def _suffix() -> Column:
@@ -53,8 +52,8 @@ def list_mp3_files(t: Tables) -> DataFrame:
 @query("SELECT text, true AS named FROM documents")
 def transcript_files(t: Tables) -> DataFrame:
     """Every document as a text file; the writer ends it with a line break."""
-    folder = _one_file_each(spread(t.documents.select("text")), "text", fresh_dir(t.spark, "texts"))
-    return files.read_transcripts(t.spark, folder).select(
+    folder = _file_each(t.documents, F.coalesce("text", F.lit("")), F.lit("txt"), fresh_dir(t.spark, "texts"), files.EXPORT_FOLDERS)
+    return files.read_transcripts(t.spark, folder, recursive=True).select(
         F.regexp_replace("text", r"\n\z", "").alias("text"),
         (F.col("file") == F.concat("stem", F.lit(".txt"))).alias("named"),
     )
@@ -77,9 +76,9 @@ _RECORD_SQL = """'talk ' || {0} AS title, 'Show é ' || {0} % 7 AS podcast, 'htt
 @query(f"SELECT {_RECORD_SQL.format('doc_id')} FROM labels")
 def sidecar_files(t: Tables) -> DataFrame:
     """Every label as a metadata record in a file of its own."""
-    rows = spread(t.labels.select("doc_id")).select(*_record(F.col("doc_id")))
-    folder = _one_file_each(rows, "json", fresh_dir(t.spark, "records"), ignoreNullFields="false")
-    return files.read_sidecars(t.spark, folder).select(*EPISODE_FIELDS)
+    record = F.to_json(F.struct(*_record(F.col("doc_id"))), {"ignoreNullFields": "false"})
+    folder = _file_each(t.labels, record, F.lit("json"), fresh_dir(t.spark, "records"), files.EXPORT_FOLDERS)
+    return files.read_sidecars(t.spark, folder, recursive=True).select(*EPISODE_FIELDS)
 
 
 @query(f"""
@@ -95,6 +94,7 @@ def store_folder(t: Tables) -> DataFrame:
         return F.concat(F.lit("talk "), number, F.lit(suffix)).alias("name")
 
     record = F.to_json(F.struct(*_record(number)), {"ignoreNullFields": "false"})
-    write_named(t.documents.select(name(".txt"), "text").unionByName(t.labels.select(name(".json"), record.alias("text"))), folder)
-    batch.store_folder(t.spark, root, folder, "shelf")
+    landed = t.documents.select(name(".txt"), "text").unionByName(t.labels.select(name(".json"), record.alias("text")))
+    write_named(landed, folder, folders=files.EXPORT_FOLDERS)
+    batch.store_folder(t.spark, root, folder, "shelf", recursive=True)
     return st.current_chunks(t.spark, root, "shelf").select("id", "document", F.col("metadata.published_date").alias("published_date"))

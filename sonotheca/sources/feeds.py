@@ -11,8 +11,12 @@ from sonotheca.schemas import FEED_CHANNEL, LINKS
 
 def file_stem(name: Column) -> Column:
     """Stem of a percent-encoded file name, as Spark reports it for most sources."""
-    decoded = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
-    return F.regexp_replace(decoded, r"(?<=.)\.[^./]+$", "")
+    return stem_of(F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))))
+
+
+def stem_of(name: Column) -> Column:
+    """Stem of a file name as it is."""
+    return F.regexp_replace(name, r"(?<=.)\.[^./]+$", "")
 
 
 def channel_reader(reader):

@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 from sonotheca.fixed_values import EPISODE_FIELDS
 from sonotheca.functions.audio import is_audio
 from sonotheca.schemas import EPISODE, LISTING
-from sonotheca.sources.feeds import file_stem
+from sonotheca.sources.feeds import file_stem, stem_of
+from sonotheca.sources.folders import as_utf8, list_files, read_files
 from sonotheca.sources.named import read_named, write_named
 
 EXPORT_FOLDERS = 256
@@ -20,10 +21,11 @@ def _missing(problem: AnalysisException) -> bool:
     return problem.getCondition() == "PATH_NOT_FOUND"
 
 
-def _listing(spark: SparkSession, folder: str, recursive: bool, glob: str | None) -> DataFrame:
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
+def _listing(spark: SparkSession, folder: str, recursive: bool, suffix: str = "") -> DataFrame:
+    listed = list_files(spark, folder, suffix, recursive)
+    if listed is not None:
+        return listed
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).option("pathGlobFilter", f"*{suffix}")
     return reader.load(folder).select(*LISTING.fieldNames())
 
 
@@ -32,40 +34,51 @@ def list_audio(spark: SparkSession, folder: str, recursive: bool = False) -> Dat
 
     A missing folder is an error.  Spark lists no files that start with ``.`` or ``_``.
     """
-    return _listing(spark, folder, recursive, None).filter(is_audio("path"))
+    return _listing(spark, folder, recursive).filter(is_audio("path"))
 
 
 def list_mp3(spark: SparkSession, folder: str) -> DataFrame:
     """Only ``*.mp3`` of the folder itself; a missing folder means no work."""
     try:
-        return _listing(spark, folder, False, "*.mp3")
+        return _listing(spark, folder, False, ".mp3")
     except AnalysisException as problem:
         if not _missing(problem):
             raise
         return spark.createDataFrame([], LISTING)
 
 
-def read_transcripts(spark: SparkSession, folder: str) -> DataFrame:
+def read_transcripts(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
     """``file, stem, text``: every ``*.txt`` of the folder as one row."""
-    texts = spark.read.text(folder, wholetext=True, pathGlobFilter="*.txt")
-    stem = file_stem(F.col("_metadata.file_name"))
-    return texts.select(
-        F.concat(stem, F.lit(".txt")).alias("file"), stem.alias("stem"), F.col("value").alias("text")
-    )
+    found = read_files(spark, folder, ".txt", recursive)
+    if found is None:
+        texts = spark.read.text(folder, wholetext=True, pathGlobFilter="*.txt", recursiveFileLookup=recursive)
+        stem, text = file_stem(F.col("_metadata.file_name")), F.col("value")
+    else:
+        texts, stem, text = found, stem_of(F.col("name")), F.col("body").cast("string")
+    return texts.select(F.concat(stem, F.lit(".txt")).alias("file"), stem.alias("stem"), text.alias("text"))
 
 
-def read_sidecars(spark: SparkSession, folder: str) -> DataFrame:
+def read_sidecars(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
     """``stem`` and the five metadata fields of every ``*.json`` of the folder.
 
     A file that is not a readable record yields no row, so its transcript ends up
     among the quarantined ones.
     """
     schema = T.StructType(EPISODE.fields + [T.StructField("_bad", T.StringType())])
-    records = spark.read.schema(schema).json(
-        folder, multiLine=True, columnNameOfCorruptRecord="_bad", pathGlobFilter="*.json"
-    )
-    stem = file_stem(F.col("_metadata.file_name")).alias("stem")
-    return records.select(stem, *EPISODE_FIELDS, "_bad").filter("_bad IS NULL").drop("_bad")
+    found = read_files(spark, folder, ".json", recursive, as_utf8)
+    if found is None:
+        records = spark.read.schema(schema).json(
+            folder, multiLine=True, columnNameOfCorruptRecord="_bad", pathGlobFilter="*.json", recursiveFileLookup=recursive
+        )
+        stem = file_stem(F.col("_metadata.file_name")).alias("stem")
+        return records.select(stem, *EPISODE_FIELDS, "_bad").filter("_bad IS NULL").drop("_bad")
+    text = F.col("body").cast("string")
+    one = F.from_json(text, schema, {"columnNameOfCorruptRecord": "_bad"})
+    # a list of records is a row for each, as in Spark's own source
+    records = F.when(text.rlike(r"\A\s*\["), F.from_json(text, T.ArrayType(EPISODE))).otherwise(
+        F.when(one.isNotNull() & one["_bad"].isNull(), F.array(F.struct(*(one[c].alias(c) for c in EPISODE_FIELDS)))))
+    return found.select(stem_of(F.col("name")).alias("stem"), F.explode(records).alias("record")).filter(
+        "record IS NOT NULL").select("stem", "record.*")
 
 
 def write_episode_records(episodes: DataFrame, path: str, mode: str = "append") -> None:

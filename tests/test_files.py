@@ -59,6 +59,33 @@ def test_transcripts_and_sidecars(spark, tmp_path):
     assert {r.stem for r in lost.collect()} == {"sans fiche", "cassé"}
 
 
+def test_folders_are_listed_and_read_by_tasks(spark, tmp_path, plan_of):
+    many = tmp_path / "many"
+    for at in ("", "x/y"):
+        (many / at).mkdir(parents=True, exist_ok=True)
+        for i in range(30):
+            (many / at / f"{at[:1]}{i}.txt").write_text(f"{i}\n")
+        (many / at / "empty.txt").write_text("")
+        (many / at / "_hidden.txt").write_text("no")
+    flat, deep = (files.read_transcripts(spark, str(many), recursive=r) for r in (False, True))
+    assert sorted(r.text for r in flat.collect()) == sorted(f"{i}\n" for i in range(30))
+    assert deep.count() == 60
+    for rows in (flat, files.read_sidecars(spark, str(many)), files.list_audio(spark, str(many))):
+        assert "FileScan" not in plan_of(rows)  # whose files the driver would hold
+        assert not rows.inputFiles()
+    assert files.read_transcripts(spark, f"{many}/x/*").count() == 30  # a pattern is left to Spark
+
+
+def test_records_of_any_encoding_and_lists_of_records(spark, tmp_path):
+    record = {"title": "Été", "podcast": None, "audio_url": "u", "spotify_url": None, "published_date": "d"}
+    text = json.dumps(record, ensure_ascii=False)
+    for name, body in {"plain": text.encode(), "wide": text.encode("utf-16"), "list": f" [{text}, {text}]".encode(),
+                       "null": b'{"title": null}', "blank": b"  ", "number": b"5", "cut": text[:20].encode()}.items():
+        (tmp_path / f"{name}.json").write_bytes(body)
+    got = sorted((r.stem, r.title) for r in files.read_sidecars(spark, str(tmp_path)).collect())
+    assert got == [("list", "Été"), ("list", "Été"), ("null", None), ("plain", "Été"), ("wide", "Été")]
+
+
 def test_episode_records_round_trip(spark, tmp_path):
     rows = [("Été", "P", "u", None, None), ("b", "P", "u", "s", "2024-01-01T00:00:00")]
     path = str(tmp_path / "records")
