@@ -10,10 +10,13 @@ from sonotheca.functions.text import safe_title, stem_path
 from sonotheca.operators import feed
 from sonotheca.operators.ranking import first_per
 from sonotheca.plans.registry import Tables, query
-from sonotheca.session import fresh_dir
+from sonotheca.session import fresh_dir, spread
 from sonotheca.sources.feeds import read_feed
 from sonotheca.sources.files import read_episode_records, write_episode_records
 
+#: Feeds that stand for one landed file.
+FEEDS_PER_FILE = 5000
+
 _ITEMS_SQL = """
 items AS (SELECT o_custkey AS feed_id, o_orderkey AS feed_pos, o_orderdate AS published_ts
           FROM orders)"""
@@ -294,11 +297,12 @@ def feed_files(t: Tables) -> DataFrame:
         entry(0, date, enclosure("image/png", "i"), enclosure("audio/mpeg", "a")),
         entry(1, F.lit(None).cast("string"), enclosure("image/png", "i")),
     )
-    channels = t.customer.select(
+    channels = spread(t.customer).select(
         F.concat(F.lit("Feed "), F.col("c_custkey")).alias("title"), items.alias("item")
     )
     path = fresh_dir(t.spark, "feeds")
-    channels.write.format("xml").options(rootTag="rss", rowTag="channel").save(path)
+    # a file is read whole by one task, so its feeds are bounded
+    channels.write.format("xml").options(rootTag="rss", rowTag="channel", maxRecordsPerFile=FEEDS_PER_FILE).save(path)
     return read_feed(t.spark, path).select(
         "feed_title", "feed_pos", "title", feed.first_audio_link("links").alias("audio_url"), _iso()
     )

@@ -228,3 +228,14 @@ def test_steps_by_counting_older_items(spark):
         older = sum(f == r["feed_id"] and d < r["published_ts"] for f, d, _ in rows)
         assert r["step"] == older // 7
     assert feed.in_steps(df.limit(0), 7).count() == 0
+
+
+def test_landed_feed_files_are_bounded(spark, tmp_path, monkeypatch):
+    from sonotheca.plans import feed_queries
+    from sonotheca.plans.registry import QUERIES
+
+    spark.range(50).selectExpr("id AS c_custkey", "id % 25 AS c_nationkey", "concat('n', id) AS c_name").coalesce(1).write.parquet(
+        str(tmp_path / "customer.parquet"))
+    monkeypatch.setattr(feed_queries, "FEEDS_PER_FILE", 4)
+    rows = QUERIES["feed_files"](spark, str(tmp_path))
+    assert rows.count() == 100 and len(rows.inputFiles()) >= 13
