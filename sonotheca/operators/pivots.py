@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from sonotheca.fixed_values import NEAREST_K
 from sonotheca.operators.ranking import first_per
-from sonotheca.operators.search import _NEAR_DDL, _as_arrow, _by_model, _cell_pieces, _matrix, _search_batch, _vectors
+from sonotheca.operators.search import QUERY_CELL_ROWS, _NEAR_DDL, _as_arrow, _by_model, _cell_pieces, _matrix, _search_batch, _vectors
 from sonotheca.session import written
 
 PIVOTS = 32
@@ -71,7 +71,7 @@ def _query_rows(pivots: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterat
 
 
 def _scan_blocks(k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The ``k`` best of every query in every block: a block's queries come first, then its vectors."""
+    """The ``k`` best of every query in every block: a cell's queries come first, then the block's vectors."""
     block, held, queries, best = None, [], None, None
     for batch in batches:
         for here, is_store, piece in _cell_pieces(batch):
@@ -98,15 +98,24 @@ class PivotIndex:
     rows: DataFrame
     blocks: DataFrame
 
+    def placed(self, asked: DataFrame, pairs: DataFrame, cell_rows: int = QUERY_CELL_ROWS) -> DataFrame:
+        """Queries and vectors of every block together, in cells of about ``cell_rows`` queries at most.
+
+        A block that more queries reach is compared in several cells, each with its own copy of
+        the block, so what a task holds does not grow with the queries.
+        """
+        cells = pairs.groupBy("block").agg(F.ceil(F.count("*") / cell_rows).cast("int").alias("_cells"))
+        q_cell = F.pmod(F.xxhash64("qid"), F.col("_cells")).cast("int")
+        left = pairs.select("qid", "block").join(cells, "block").withColumn("q_cell", q_cell).drop("_cells") \
+            .join(asked, "qid").withColumn("stored", F.lit(0))
+        # blocks that no query reaches are not read on
+        right = self.rows.join(cells, "block").withColumn("q_cell", F.explode(F.sequence(F.lit(0), F.col("_cells") - 1)))
+        both = left.unionByName(right.select("block", "id", "model", "embedding", "q_cell", F.lit(1).alias("stored")), allowMissingColumns=True)
+        return both.withColumn("s_cell", F.col("block")).repartition("block", "q_cell").sortWithinPartitions("q_cell", "s_cell", "stored")
+
     def _candidates(self, asked: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
         """The ``k`` best of every query in each of its blocks."""
-        left = pairs.select("qid", "block").join(asked, "qid").withColumn("stored", F.lit(0))
-        # blocks that no query reaches are not read on
-        right = self.rows.join(pairs.select("block").distinct(), "block", "left_semi").withColumn("stored", F.lit(1))
-        both = left.unionByName(right.select("block", "id", "model", "embedding", "stored"), allowMissingColumns=True)
-        placed = both.withColumns({"q_cell": F.lit(0), "s_cell": F.col("block")}).repartition("block") \
-            .sortWithinPartitions("s_cell", "stored")
-        return placed.mapInArrow(functools.partial(_scan_blocks, k), _NEAR_DDL)
+        return self.placed(asked, pairs).mapInArrow(functools.partial(_scan_blocks, k), _NEAR_DDL)
 
     def reached(self, asked: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
         """The pairs ``qid, block`` that have to be compared, and the candidates found on the way."""

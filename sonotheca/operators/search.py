@@ -17,12 +17,14 @@ from sonotheca.operators.ranking import first_per
 from sonotheca.session import written
 
 # Limits of one task: queries that are held together, stored vectors of one grid cell,
-# and queries whose distances to a batch are computed together.  They change no result.
+# and the most queries whose distances to a batch are computed together.  They change no result.
 # Queries may only be sent to every task up to the broadcast limit.
 BROADCAST_BYTES = 64 * 1024 * 1024
 QUERY_CELL_ROWS = 8192
 STORE_CELL_ROWS = 500_000
 QUERY_BLOCK_ROWS = 1024
+#: Distances that are held together, whatever the size of a batch.
+DISTANCES = 1 << 20
 
 # Distances are compared at this many binary digits of their own size, so that distances
 # that are equal but for the order of additions tie and the id decides.
@@ -82,10 +84,13 @@ def _closest(
         slack = 1e-12 * (q_norm + v_norm[~huge].max(initial=0.0))
     top = min(k, len(ids))
     found = []
-    for begin in range(0, len(qids), QUERY_BLOCK_ROWS):
-        block = slice(begin, begin + QUERY_BLOCK_ROWS)
+    rows = max(1, min(QUERY_BLOCK_ROWS, DISTANCES // max(1, len(ids))))
+    for begin in range(0, len(qids), rows):
+        block = slice(begin, begin + rows)
         with np.errstate(over="ignore", invalid="ignore"):
-            rough = q_norm[block, None] + v_norm[None, :] - 2.0 * (queries[block] @ vectors.T)
+            rough = queries[block] @ vectors.T
+            rough *= -2.0
+            rough += q_norm[block, None] + v_norm[None, :]
         rough[:, huge] = np.inf
         kth = np.partition(rough, top - 1, axis=1)[:, top - 1]
         reach = np.minimum(kth, bound[block]) + slack[block]

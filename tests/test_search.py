@@ -312,3 +312,33 @@ def test_pivots_over_an_empty_store(spark):
     empty = spark.createDataFrame([], "id STRING, model STRING, embedding ARRAY<DOUBLE>")
     asked = spark.createDataFrame([(1, "m", [1.0])], "qid BIGINT, model STRING, embedding ARRAY<DOUBLE>")
     assert pivots.build_index(empty, "m").nearest(asked).collect() == []
+
+
+def test_distances_held_together_are_bounded():
+    import tracemalloc
+
+    draw = np.random.default_rng(3)
+    queries, vectors = draw.normal(size=(2000, 4)), draw.normal(size=(20_000, 4))
+    ids = np.array([f"{i:05d}" for i in range(len(vectors))], dtype=object)
+    tracemalloc.start()
+    found = se._closest(np.arange(2000), queries, ids, vectors, 2, np.full(2000, np.inf))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6
+    gap = ((vectors[None] - queries[:50, None]) ** 2).sum(axis=2).argsort(axis=1)[:, :2]
+    assert [list(f[1]) for f in found[:50]] == [[ids[i] for i in row] for row in gap]
+
+
+def test_queries_of_a_block_are_dealt_to_cells(spark):
+    from sonotheca.operators.pivots import build_index
+
+    rows = [(f"{i:04d}", "m", [float(i % 97), float(i % 89)]) for i in range(600)]
+    index = build_index(spark.createDataFrame(rows, "id STRING, model STRING, embedding ARRAY<DOUBLE>"), "m", pivots=2, block_rows=1000)
+    asked = spark.createDataFrame([(i, "m", [float(i), 0.0]) for i in range(400)], "qid BIGINT, model STRING, embedding ARRAY<DOUBLE>")
+    pairs = asked.select("qid").crossJoin(index.blocks.select("block"))
+    cells = index.placed(asked, pairs, cell_rows=50).groupBy("block", "q_cell", "stored").count().collect()
+    assert max(c["count"] for c in cells if not c["stored"]) < 100
+    # every cell of a block has all its vectors, and every pair is in one cell
+    sizes = {r["block"]: r["n"] for r in index.blocks.collect()}
+    assert all(c["count"] == sizes[c["block"]] for c in cells if c["stored"])
+    assert sum(c["count"] for c in cells if not c["stored"]) == 400 * len(sizes)
