@@ -1,8 +1,10 @@
 """Rows as files of their own, under the row's name: a sink, and the source that reads them back.
 
-``write_named`` registers a Python data source, so that tasks write the files and Spark's
-commit protocol ends the job.  Files go through ``pyarrow.fs``, which knows the local file
-system and the common stores; the folder must be one that all executors reach.
+Tasks write the files, and the job is committed, or taken back, once they have ended.
+``write_named`` runs them as a map over Arrow batches; the data source ``named_files`` has the
+same writer, but Spark keeps three more Python workers beside the driver for each of its writes.
+Files go through ``pyarrow.fs``, which knows the local file system and the common stores; the
+folder must be one that all executors reach.
 
 Names are relative paths such as ``show/talk 7.txt``; what lies between slashes is
 percent-encoded where a file system or Spark would not take it as it is.  With ``folders``
@@ -102,6 +104,11 @@ class _Writer(DataSourceArrowWriter):
                 out.write(json.dumps(new).encode())
         return Written(files, size, manifest)
 
+    def tasks(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """``write`` as a map over Arrow batches; its message is a row."""
+        done = self.write(batches)
+        yield pa.RecordBatch.from_pydict({"files": [done.files], "bytes": [done.bytes], "manifest": [done.manifest]})
+
     def commit(self, messages: list[Written | None]) -> None:
         system, root = _file_system(self.folder)
         done = [m for m in messages if m is not None]
@@ -202,10 +209,16 @@ def write_named(rows: DataFrame, folder: str, name: str = "name", text: str = "t
     all tasks however few bytes they hold.
     """
     spark = rows.sparkSession
-    spark.dataSource.register(NamedFiles)
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    placed = rows.select(F.col(name).alias("name"), F.col(text).alias("text")).repartition(tasks, "name")
-    placed.sortWithinPartitions("name", "text").write.format(FORMAT).mode("append").options(path=folder, folders=folders).save()
+    placed = rows.select(F.col(name).cast("string").alias("name"), F.col(text).cast("string").alias("text")).repartition(tasks, "name")
+    writer = _Writer(folder.rstrip("/"), folders)
+    written = placed.sortWithinPartitions("name", "text").mapInArrow(writer.tasks, "files BIGINT, bytes BIGINT, manifest STRING")
+    try:
+        messages = [Written(*row) for row in written.collect()]  # a row a task
+    except Exception:
+        writer.abort([])
+        raise
+    writer.commit(messages)
 
 
 def read_named(spark: SparkSession, folder: str, suffix: str = "", folders: int = 0) -> DataFrame:

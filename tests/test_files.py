@@ -150,6 +150,16 @@ def test_failed_job_takes_its_new_files_back(spark, tmp_path):
     assert found(folder) == {"old.txt": "o"}
 
 
+def test_named_files_need_no_data_source_worker(spark, tmp_path, monkeypatch):
+    def refused(self, source):
+        raise AssertionError("each write through a data source leaves three Python workers beside the driver")
+
+    monkeypatch.setattr(type(spark.dataSource), "register", refused)
+    named.write_named(named_rows(spark, [(f"n{i}.txt", str(i)) for i in range(30)]), str(tmp_path / "out"), folders=4)
+    assert sorted(found(tmp_path / "out").values(), key=int) == [str(i) for i in range(30)]
+    assert json.loads((tmp_path / "out" / "_SUCCESS").read_text())["files"] == 30
+
+
 def test_a_repeated_task_leaves_one_file(monkeypatch, tmp_path):
     import pyarrow as pa
 
