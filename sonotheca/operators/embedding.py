@@ -6,13 +6,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.feature import CountVectorizerModel, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sonotheca.fixed_values import EMBEDDING_DIM
-from sonotheca.functions.vectors import hashed_words, mean_vector
+from sonotheca.functions.vectors import hashed_words, mean_vector, word_bucket, words
 
 
 class Embedder:
@@ -20,18 +21,34 @@ class Embedder:
 
     The name is stored with every vector, so that queries can be checked against
     the model that filled the store.  With ``may_fail`` the column is a struct of
-    ``embedding`` and ``error``.
+    ``embedding`` and ``error``.  ``rows`` is an optional other way to the same vectors: it
+    adds them as ``embedding`` to a table, given the name of its text column.
     """
 
-    def __init__(self, name: str, column: Callable[[Column], Column], may_fail: bool = False):
+    def __init__(self, name: str, column: Callable[[Column], Column], may_fail: bool = False,
+                 rows: Callable[[DataFrame, str], DataFrame] | None = None):
         self.name = name
         self.column = column
         self.may_fail = may_fail
+        self.rows = rows
+
+
+def _with_hashed_words(df: DataFrame, text: str, dim: int) -> DataFrame:
+    """``hashed_words`` as ``embedding``; the counts are those of Spark ML, which are quicker than array functions."""
+    buckets = F.transform(words(text), lambda w: word_bucket(w, dim).cast("string"))
+    given = df.withColumn("_buckets_of_words", F.coalesce(buckets, F.array().cast("array<string>")))
+    counts = CountVectorizerModel.from_vocabulary(
+        [str(i) for i in range(dim)], inputCol="_buckets_of_words", outputCol="_counts_of_words")
+    unit = Normalizer(p=2.0, inputCol="_counts_of_words", outputCol="_unit_of_words")
+    made = unit.transform(counts.transform(given))
+    vector = F.when(F.col(text).isNotNull(), vector_to_array("_unit_of_words"))
+    return made.withColumn("embedding", vector).drop("_buckets_of_words", "_counts_of_words", "_unit_of_words")
 
 
 def offline_embedder(dim: int = EMBEDDING_DIM) -> Embedder:
     """The native default: hashed word counts, no model file and no Python worker."""
-    return Embedder(f"hashed-words-{dim}", lambda text: hashed_words(text, dim))
+    return Embedder(f"hashed-words-{dim}", lambda text: hashed_words(text, dim),
+                    rows=lambda df, text: _with_hashed_words(df, text, dim))
 
 
 def _pooled(raw: object) -> list[float]:
@@ -87,7 +104,10 @@ def embed(df: DataFrame, text: str = "document", embedder: Embedder | None = Non
     """
     chosen = embedder or offline_embedder()
     if not chosen.may_fail:
-        vector, error = chosen.column(F.col(text)), F.lit(None).cast("string")
+        error = F.lit(None).cast("string")
+        if chosen.rows is not None:
+            return chosen.rows(df, text).withColumns({"model": F.lit(chosen.name), "embed_error": error})
+        vector = chosen.column(F.col(text))
         return df.withColumns({"embedding": vector, "model": F.lit(chosen.name), "embed_error": error})
     return df.withColumn("_made", chosen.column(F.col(text))).withColumns({
         "embedding": F.col("_made.embedding"), "model": F.lit(chosen.name), "embed_error": F.col("_made.error"),

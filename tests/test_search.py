@@ -24,6 +24,18 @@ def test_offline_embedding_by_brute_force(spark):
         assert row.model == "hashed-words-384"
 
 
+def test_offline_embedding_counts_in_spark_ml(spark, plan_of):
+    texts = [*TEXTS, None, "", "...", "a " * 5000, "ß É 12 ١٢ ﬁ"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i INT, document STRING").withColumn("embedding", F.lit("old"))
+    made = em.embed(df)
+    assert made.columns == ["i", "document", "embedding", "model", "embed_error"]
+    assert "sort_array" not in plan_of(made.select("embedding"))
+    for dim in (1, 8, 384):
+        chosen = em.offline_embedder(dim)
+        both = em.embed(df, embedder=chosen).withColumn("want", chosen.column(F.col("document")))
+        assert both.filter("NOT (embedding <=> want)").count() == 0
+
+
 def test_offline_embedding_has_no_python_and_no_shuffle(spark, plan_of):
     df = spark.createDataFrame([("a",)], "document STRING")
     plan = plan_of(em.embed(df.select(F.col("document"))))
