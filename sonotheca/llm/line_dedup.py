@@ -36,6 +36,8 @@ from sonotheca.session import written
 LEAST = 20
 #: Runs of so many units are tried one by one before all their words are added up.
 _NEAR = 4
+#: Runs of so many units are found step by step; longer ones by a fold, which costs far more.
+_STEPPED = 32
 #: Up to so many shared units of a text are looked up one by one.
 _LOOKED_UP = 256
 #: Units end at a line break, or at white space after a full stop, exclamation or question mark.
@@ -126,16 +128,24 @@ def _picks(v: Column, least: int) -> Column:
     return F.filter(every, lambda i: (F.get(v["w"], i) >= least) | (F.get(v["w"], i) + words(i, -1) + words(i, 1) >= least))
 
 
-def _reach(words: Column, i: Column, least: int) -> Column:
-    """Where the shortest run of ``least`` words from ``i`` on ends; null if too few follow.  It has ``least`` units at most."""
-    near, total = None, F.lit(0)
-    for c in range(_NEAR):
-        total = total + _get(words, i, c)
-        near = F.when(total >= least, i + c + 1) if near is None else near.when(total >= least, i + c + 1)
-    far = F.aggregate(F.slice(words, i + 1, least), F.struct(F.lit(0).alias("c"), F.lit(0).alias("w")), lambda got, w: F.when(
-        got["w"] >= least, got).otherwise(F.struct((got["c"] + 1).alias("c"), (got["w"] + w).alias("w"))),
-        lambda got: F.when(got["w"] >= least, i + got["c"]))
-    return near.when(_get(words, i, _NEAR).isNotNull(), far)
+def _reaches(words: Column, least: int) -> Column:
+    """Where the shortest run of ``least`` words from each unit on ends; null if too few follow.  It has ``least`` units at most.
+
+    All units take a step at a time: they hold the words so far, or the negative number of units once these suffice.
+    """
+    def step(units: int):
+        return lambda held, w: F.when(held < 0, held).otherwise(F.when(held + w >= least, -units).otherwise(held + w))
+
+    def far(i: Column) -> Column:
+        return F.aggregate(F.slice(words, i + 1, least), F.struct(F.lit(0).alias("c"), F.lit(0).alias("w")), lambda got, w: F.when(
+            got["w"] >= least, got).otherwise(F.struct((got["c"] + 1).alias("c"), (got["w"] + w).alias("w"))),
+            lambda got: F.when(got["w"] >= least, i + got["c"]))
+
+    held = F.transform(words, lambda w: F.when(w >= least, -1).otherwise(w))
+    for c in range(1, min(least, _STEPPED)):
+        held = F.zip_with(held, F.slice(words, c + 1, F.size(words)), step(c + 1))
+    # every unit has a word, so after ``least`` steps nothing is left to be found
+    return F.transform(held, lambda a, i: F.when(a < 0, i - a) if least <= _STEPPED else F.when(a < 0, i - a).when(a.isNotNull(), far(i)))
 
 
 def _extended(v: Column, shared: Column, least: int) -> Column:
@@ -164,7 +174,7 @@ def _extended(v: Column, shared: Column, least: int) -> Column:
         runs = F.transform(F.filter(ends, lambda e: e.isNotNull()), lambda e, i: from_start(ends, e, i))
         return F.flatten(F.filter(runs, lambda r: r.isNotNull()))
 
-    return _let(F.transform(v["w"], lambda w, i: _reach(v["w"], i, least)), every)
+    return _let(_reaches(v["w"], least), every)
 
 
 def _merged(runs: Column) -> Column:

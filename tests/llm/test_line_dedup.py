@@ -167,6 +167,17 @@ def test_few_units_are_selected_and_every_window_holds_one(spark):
                     break
 
 
+def test_runs_are_found_by_steps_alone(spark, plan_of):
+    rnd = random.Random(13)
+    rows = [([],), ([1] * 50,), ([25],), ([3, 30, 1],)] + [([rnd.choice([1, 1, 2, 9, 40]) for _ in range(rnd.randint(1, 60))],) for _ in range(30)]
+    df = spark.createDataFrame(rows, "w ARRAY<INT>")
+    for least in (1, 5, 20, 40):  # the last one is beyond the steps
+        found = df.select("w", L._reaches(F.col("w"), least).alias("r"))
+        assert ("aggregate" in plan_of(found)) == (least > 32)
+        for w, r in found.collect():
+            assert r == [next((j for j in range(i + 1, len(w) + 1) if sum(w[i:j]) >= least), None) for i in range(len(w))]
+
+
 def test_texts_of_short_and_equal_units_against_brute_force(spark):
     rnd = random.Random(12)
     pool = ["a\n", "b c\n", "d\n", " ".join(f"x{i}" for i in range(25)) + "\n", "e f g. ", " ".join(f"y{i}" for i in range(12)) + "\n"]
