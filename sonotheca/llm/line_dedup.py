@@ -34,14 +34,14 @@ from pyspark.sql import functions as F
 from sonotheca.session import written
 
 LEAST = 20
-#: Runs of so many units are tried one by one before all their words are added up.
+#: Runs of so many units are looked up unit by unit, longer ones as a whole.
 _NEAR = 4
 #: Runs of so many units are found step by step; longer ones by a fold, which costs far more.
 _STEPPED = 32
 #: Up to so many shared units of a text are looked up one by one.
 _LOOKED_UP = 256
-#: Units end at a line break, or at white space after a full stop, exclamation or question mark.
-_UNIT_END = r"(?<=\n)|(?<=[.!?][ \t])"
+#: Units end at a line break, or at white space after a full stop, exclamation or question mark; the first part skips most places.
+_UNIT_END = r"(?<=[\n \t])(?<=\n|[.!?][ \t])"
 #: The same places, taking the character before them along; tried at white space only.
 _SEPARATOR = r"[\n \t](?<=\n|[.!?][ \t])"
 
@@ -67,8 +67,8 @@ def _spaced(text: Column) -> Column:
 
 
 def _words(bare: Column) -> Column:
-    """Words of a trimmed unit, counted by its spaces."""
-    return F.when(bare == "", 0).otherwise(F.length(bare) - F.length(F.replace(bare, F.lit(" "))) + 1).cast("int")
+    """Words of a trimmed unit that is not empty, counted by its spaces."""
+    return (F.octet_length(bare) - F.octet_length(F.replace(bare, F.lit(" "))) + 1).cast("int")
 
 
 def _key(id_col: str, text_col: str) -> Column:
@@ -83,20 +83,28 @@ def _hashed(docs: DataFrame, id_col: str, text_col: str, least: int) -> DataFram
     ``v`` holds the units with words as arrays: ``h``, ``w`` and ``at``, the place among all units;
     ``picks`` are the numbers of the selected ones.
     """
-    def unit(d: Column, raw: Column, i: Column) -> Column:
+    def bare(d: Column) -> Column:
         # a carriage return ends no sentence as a space does, so it is replaced after the split
-        bare = F.trim(F.when(d["odd"], _spaced(raw)).otherwise(raw))
-        return _let(bare, lambda b: F.struct(F.xxhash64(b).alias("h"), _words(b).alias("w"), i.alias("at")))
+        raw = F.split(d["text"], _SEPARATOR, -1)
+        return F.when(d["odd"], F.transform(raw, lambda u: F.trim(_spaced(u)))).otherwise(F.transform(raw, lambda u: F.trim(u)))
+
+    def places(every: Column, real: Column) -> Column:
+        some = F.filter(F.transform(every, lambda u, i: F.when(u != "", i)), lambda i: i.isNotNull())
+        return F.when(F.size(every) == F.size(real), F.sequence(F.lit(0), F.size(every) - 1)).otherwise(some)
+
+    def arrays(every: Column, real: Column) -> Column:
+        return F.struct(F.transform(real, lambda u: F.xxhash64(u)).alias("h"), F.transform(real, lambda u: _words(u)).alias("w"),
+                        places(every, real).alias("at"))
+
+    def parts(every: Column) -> Column:
+        v = _let(F.array_remove(every, ""), lambda real: arrays(every, real))
+        return _let(v, lambda v: F.struct(F.size(every).alias("n_units"), v.alias("v"), _picks(v, least).alias("picks")))
 
     text = F.col(text_col)
     odd = F.contains(text, F.lit("\r")) | F.contains(text, F.lit("\f")) | F.contains(text, F.lit("\u000b"))
-    parts = docs.where(text != "").select(_key(id_col, text_col).alias("k"), _let(
-        F.struct(F.replace(text, F.lit("\t"), F.lit(" ")).alias("text"), odd.alias("odd")),
-        lambda d: F.transform(F.split(d["text"], _SEPARATOR, -1), lambda raw, i: unit(d, raw, i))).alias("u"))
-    real = F.filter("u", lambda u: u["w"] > 0)
-    arrays = parts.select("k", F.size("u").alias("n_units"), _let(
-        real, lambda u: F.struct(u["h"].alias("h"), u["w"].alias("w"), u["at"].alias("at"))).alias("v"))
-    return arrays.withColumn("picks", _held(F.col("v"), lambda v: _picks(v, least)))
+    # all in one expression, so that no array of strings or structs is laid out as a row in between
+    found = _let(F.struct(F.replace(text, F.lit("\t"), F.lit(" ")).alias("text"), odd.alias("odd")), lambda d: _let(bare(d), parts))
+    return docs.where(text != "").select(_key(id_col, text_col).alias("k"), found.alias("f")).select("k", "f.n_units", "f.v", "f.picks")
 
 
 def _get(values: Column, i: Column, c: int) -> Column:
@@ -131,21 +139,47 @@ def _picks(v: Column, least: int) -> Column:
 def _reaches(words: Column, least: int) -> Column:
     """Where the shortest run of ``least`` words from each unit on ends; null if too few follow.  It has ``least`` units at most.
 
-    All units take a step at a time: they hold the words so far, or the negative number of units once these suffice.
+    Words are summed over 1, 2, 4 ... units, up to where every sum of a text suffices.  All units skip the largest such
+    parts first, as long as these leave them short of ``least``; they hold the skipped units and the words of these in one number.
     """
-    def step(units: int):
-        return lambda held, w: F.when(held < 0, held).otherwise(F.when(held + w >= least, -units).otherwise(held + w))
+    bits = (2 * least).bit_length()
+    levels = (min(least, _STEPPED) - 1).bit_length()
 
     def far(i: Column) -> Column:
         return F.aggregate(F.slice(words, i + 1, least), F.struct(F.lit(0).alias("c"), F.lit(0).alias("w")), lambda got, w: F.when(
             got["w"] >= least, got).otherwise(F.struct((got["c"] + 1).alias("c"), (got["w"] + w).alias("w"))),
             lambda got: F.when(got["w"] >= least, i + got["c"]))
 
-    held = F.transform(words, lambda w: F.when(w >= least, -1).otherwise(w))
-    for c in range(1, min(least, _STEPPED)):
-        held = F.zip_with(held, F.slice(words, c + 1, F.size(words)), step(c + 1))
-    # every unit has a word, so after ``least`` steps nothing is left to be found
-    return F.transform(held, lambda a, i: F.when(a < 0, i - a) if least <= _STEPPED else F.when(a < 0, i - a).when(a.isNotNull(), far(i)))
+    def end(held: Column, i: Column) -> Column:
+        at = i + F.shiftright(held, bits)
+        # every unit has a word, so up to the steps nothing but the end of the text is left
+        return F.when(at < F.size(words), at + 1 if least <= _STEPPED else far(i))
+
+    def skip(part: Column, units: int):
+        def one(held: Column, i: Column) -> Column:
+            then = held + F.get(part, i + F.shiftright(held, bits)) + (units << bits)
+            return F.when(then.bitwiseAND(2 ** bits - 1) < least, then).otherwise(held)
+
+        return one
+
+    def summed(part: Column, units: int) -> Column:
+        # a part that the text is too short for counts as long enough, so none skips it
+        return F.transform(part, lambda w, i: F.least(w + F.get(part, i + units), F.lit(least)))
+
+    def skipped(parts: list) -> Column:
+        held = F.array_repeat(F.lit(0), F.size(words))
+        for c in reversed(range(len(parts))):
+            held = F.transform(held, skip(parts[c], 2 ** c))
+        return F.transform(held, end)
+
+    def level(parts: list, part: Column) -> Column:
+        every = [*parts, part]
+        more = _let(summed(part, 2 ** len(parts)), lambda wider: level(every, wider)) if len(every) < levels else skipped(every)
+        return F.when(F.array_min(part) >= least, skipped(parts)).otherwise(more)
+
+    if not levels:
+        return skipped([])
+    return _let(F.transform(words, lambda w: F.least(w, F.lit(least))), lambda part: level([], part))
 
 
 def _extended(v: Column, shared: Column, least: int) -> Column:
@@ -157,24 +191,31 @@ def _extended(v: Column, shared: Column, least: int) -> Column:
     """
     n = F.size(v["w"])
     few = (F.size(shared) <= _LOOKED_UP) & (F.size(shared) * 2 < n)
+    marks = F.when(few, F.transform(v["w"], lambda _, i: F.array_contains(shared, i)))
 
-    def holds(i: Column, stop: Column) -> Column:
-        one = lambda c: F.array_contains(shared, i + c)
-        rest = F.exists(F.sequence(i + 2, stop - 1), lambda x: F.array_contains(shared, x))
-        return ~few | one(0) | ((stop > i + 1) & one(1)) | F.when(stop > i + 2, rest).otherwise(False)
-
-    def from_start(ends: Column, e: Column, i: Column) -> Column:
+    def lasts(ends: Column) -> Column:
         # the runs back from units behind e start at i as well, up to where the next run on ends
-        last = F.greatest(e, F.coalesce(F.get(ends, i + 1) - 1, n))
-        return F.when(holds(i, last), F.transform(F.sequence(e, last), lambda j: F.struct(
-            F.xxhash64(F.slice(v["h"], i + 1, j - i)).alias("h"), F.get(v["at"], i).alias("start"),
-            (F.get(v["at"], j - 1) + 1).alias("end"))))
+        return F.transform(F.filter(ends, lambda e: e.isNotNull()), lambda e, i: F.greatest(e, F.coalesce(F.get(ends, i + 1) - 1, n)))
+
+    def hashed(i: Column, j: Column) -> Column:
+        # the hash of an array is that of its elements; nulls count for nothing, and a slice costs far more
+        near = [F.get(v["h"], i), *(F.when(j > i + c, F.get(v["h"], i + c)) for c in range(1, _NEAR))]
+        return F.when(j <= i + _NEAR, F.xxhash64(*near)).otherwise(F.xxhash64(F.slice(v["h"], i + 1, j - i)))
+
+    def from_start(e: Column, last: Column, i: Column) -> Column:
+        window = lambda j: F.struct(
+            hashed(i, j).alias("h"), F.get(v["at"], i).alias("start"), (F.get(v["at"], j - 1) + 1).alias("end"))
+        return F.when(e == last, F.array(window(e))).otherwise(F.transform(F.sequence(e, last), window))
+
+    def holds(marked: Column, i: Column, stop: Column) -> Column:
+        rest = F.exists(F.sequence(i + 2, stop - 1), lambda x: F.get(marked, x))
+        return marked.isNull() | F.get(marked, i) | ((stop > i + 1) & F.get(marked, i + 1)) | F.when(stop > i + 2, rest).otherwise(False)
 
-    def every(ends: Column) -> Column:
-        runs = F.transform(F.filter(ends, lambda e: e.isNotNull()), lambda e, i: from_start(ends, e, i))
+    def every(ends: Column, marked: Column) -> Column:
+        runs = F.transform(lasts(ends), lambda last, i: F.when(holds(marked, i, last), from_start(F.get(ends, i), last, i)))
         return F.flatten(F.filter(runs, lambda r: r.isNotNull()))
 
-    return _let(_reaches(v["w"], least), every)
+    return _let(_reaches(v["w"], least), lambda ends: _let(marks, lambda marked: every(ends, marked)))
 
 
 def _merged(runs: Column) -> Column:
@@ -204,7 +245,8 @@ def repeated_runs(
     shared = prints.join(often, "h").groupBy("k").agg(F.collect_list("i").alias("shared"))
     windows = _held(F.col("v"), lambda v: _let(F.col("shared"), lambda some: _extended(v, some, least)))
     found = written(hashed.join(shared, "k").select("k", F.explode(windows).alias("r")).select("r.h", "k", "r.start", "r.end"), "windows")
-    first = written(found.groupBy("h").agg(F.min(F.struct("k", "start")).alias("first")), "first")
+    # what occurs once is the first run itself, so it need not meet it
+    first = written(found.groupBy("h").agg(F.min(F.struct("k", "start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "first")
     # the first run of all stays, every other one goes
     later = found.join(first, "h").where(F.struct("k", "start") > F.col("first")).select("k", "start", "end")
     runs = later.groupBy("k").agg(F.collect_list(F.struct("start", "end")).alias("runs"))
@@ -224,9 +266,9 @@ def without_repeats(
     joined = docs.join(runs, _key(id_col, text_col) == F.col("_k"), "left")
     own = [F.when(changed, F.array_join(kept, "")).otherwise(F.col(c)).alias(c) if c == text_col else F.col(c)
            for c in docs.columns]
-    covered = F.array_distinct(F.flatten(F.transform("_runs", lambda r: F.sequence(r["start"], r["end"] - 1))))
+    covered = F.aggregate("_runs", F.lit(0), lambda n, r: n + r["end"] - r["start"])  # merged runs share no unit
     return joined.select(*own, F.coalesce("_n", F.lit(0)).cast("bigint").alias("_units"),
-                         F.when(changed, F.size(covered)).otherwise(0).cast("bigint").alias("_deleted"))
+                         F.when(changed, covered).otherwise(0).cast("bigint").alias("_deleted"))
 
 
 def deduplicated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -184,3 +184,25 @@ def test_texts_of_short_and_equal_units_against_brute_force(spark):
     rows = [(d, "".join(rnd.choice(pool) for _ in range(rnd.randint(0, 30)))) for d in range(60)]
     got = {r["doc_id"]: r["text"] for r in run(spark, rows)}
     assert got == first_kept(rows)
+
+
+def test_ends_are_found_without_slices_and_windows_are_whole(spark, plan_of):
+    rnd = random.Random(14)
+    rows = []
+    for n in [1, 2, 7, *[60] * 12]:
+        words = [rnd.choice([1, 2, 6, 11, 25]) for _ in range(n)]
+        rows.append(([rnd.randrange(-9, 9) for _ in words], words, [3 * i for i in range(n)], rnd.sample(range(n), rnd.randint(1, n))))
+    df = spark.createDataFrame(rows, "h ARRAY<BIGINT>, w ARRAY<INT>, at ARRAY<INT>, shared ARRAY<INT>")
+    assert "slice(" not in plan_of(df.select(L._reaches(F.col("w"), 20)))
+    v = F.struct("h", "w", "at")
+    got = df.select("h", "w", "shared", L._extended(v, F.col("shared"), 20).alias("r")).collect()
+    want = {}
+    for t, (h, w, at, shared) in enumerate(rows):
+        ends = [next((j for j in range(i + 1, len(w) + 1) if sum(w[i:j]) >= 20), None) for i in range(len(w))] + [None]
+        for i, e in enumerate(ends):
+            last = e and max(e, (ends[i + 1] or len(w) + 1) - 1)
+            if e and (len(shared) * 2 >= len(w) or set(shared) & set(range(i, last))):
+                want.update({(t, at[i], at[j - 1] + 1): h[i:j] for j in range(e, last + 1)})
+    found = {(t, x["start"], x["end"]): x["h"] for t, r in enumerate(got) for x in r["r"]}
+    hashes = spark.createDataFrame([(*k, x) for k, x in want.items()], "t INT, a INT, b INT, h ARRAY<BIGINT>").select("t", "a", "b", F.xxhash64("h")).collect()
+    assert found == {(t, a, b): x for t, a, b, x in hashes} and max(map(len, want.values())) > L._NEAR
